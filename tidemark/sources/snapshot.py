@@ -1,0 +1,108 @@
+"""The target as a bucketed snapshot table in plain Parquet folders.
+
+For storage without a table format. Rows lie in ``data/version=<n>/bucket=<b>``, where the
+bucket is a hash of the key. A commit writes new folders for the buckets it changes and,
+last, one small manifest file that says which version of which bucket is in force. Readers
+follow the newest manifest, so they see a commit whole or not at all, and a commit that
+dies half-way leaves nothing behind that counts. One job at a time may write to a table.
+
+The number of buckets is fixed for the life of a table; choose it so that one bucket is a
+task's worth of data or a few.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BUCKET = "bucket"
+_MANIFEST = "version bigint, bucket int, data_version bigint, buckets int, writer string, batch bigint"
+_ROW = "bucket int, data_version bigint, buckets int, writer string, batch bigint"
+# Stands in the manifest for the commit itself, so that it has a row even without data.
+_COMMIT_ROW = -1
+
+
+@dataclass(frozen=True)
+class Head:
+    """What is in force: version number and the data version of every non-empty bucket."""
+
+    version: int
+    places: dict[int, int]
+
+
+class SnapshotTable:
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], buckets: int = 16):
+        self.spark = spark
+        self.path = path
+        self.schema = schema
+        self.keys = list(keys)
+        self.buckets = buckets
+
+    def bucket_of(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def head(self) -> Head:
+        manifests = self._manifests()
+        newest = None if manifests is None else manifests.agg(F.max("version").alias("v")).first()["v"]
+        if newest is None:
+            return Head(0, {})
+        rows = manifests.filter(F.col("version") == newest).collect()
+        if rows[0]["buckets"] != self.buckets:
+            raise ValueError(f"table at {self.path} has {rows[0]['buckets']} buckets, not {self.buckets}")
+        return Head(newest, {r["bucket"]: r["data_version"] for r in rows if r["bucket"] != _COMMIT_ROW})
+
+    def last_batch(self, writer: str) -> int | None:
+        """Highest batch number the writer has committed."""
+        manifests = self._manifests()
+        if manifests is None:
+            return None
+        return manifests.filter(F.col("writer") == writer).agg(F.max("batch").alias("b")).first()["b"]
+
+    def read(self, head: Head | None = None, only: Sequence[int] | None = None) -> DataFrame:
+        """Rows in force, of all buckets or of some."""
+        head = head or self.head()
+        wanted = head.places if only is None else {b: v for b, v in head.places.items() if b in set(only)}
+        if not wanted:
+            return self.spark.createDataFrame([], self.schema)
+        folders = [f"{self.path}/data/version={v}/{BUCKET}={b}" for b, v in sorted(wanted.items())]
+        return self.spark.read.schema(self.schema).parquet(*folders)
+
+    def touched(self, rows: DataFrame) -> list[int]:
+        """Buckets the rows fall into; at most ``buckets`` numbers come to the driver."""
+        return [r[BUCKET] for r in rows.select(self.bucket_of().alias(BUCKET)).distinct().collect()]
+
+    def commit(
+        self,
+        rows: DataFrame,
+        touched: Sequence[int],
+        head: Head,
+        writer: str = "",
+        batch: int | None = None,
+    ) -> Head:
+        """Puts ``rows`` in the place of everything in the touched buckets."""
+        version = head.version + 1
+        folder = f"{self.path}/data/version={version}"
+        stored = rows.select(*self.schema.fieldNames()).withColumn(BUCKET, self.bucket_of())
+        # both overwrites clear what a failed try of this same commit may have left
+        stored.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
+        filled = {r[BUCKET] for r in self.spark.read.schema(f"{BUCKET} int").parquet(folder).distinct().collect()}
+        places = {b: v for b, v in head.places.items() if b not in set(touched)}
+        places |= dict.fromkeys(filled, version)
+        entries = [(b, v, self.buckets, writer, batch) for b, v in places.items()]
+        entries.append((_COMMIT_ROW, version, self.buckets, writer, batch))
+        manifest = self.spark.createDataFrame(entries, _ROW).coalesce(1)
+        manifest.write.mode("overwrite").parquet(f"{self.path}/manifest/version={version}")
+        return Head(version, places)
+
+    def _manifests(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(_MANIFEST).parquet(f"{self.path}/manifest")
+        except AnalysisException as missing:
+            if missing.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
