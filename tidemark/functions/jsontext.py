@@ -22,26 +22,41 @@ def is_blank(text: str | Column) -> Column:
 
 
 def bracketed(text: str) -> Column:
-    """The line as first element of a two-element array, parsed. See :func:`whole_value`."""
+    """The line as first element of a two-element array, parsed to a variant."""
     return F.try_parse_json(F.concat(F.lit("["), F.col(text), F.lit(f',"{_END}"]')))
 
 
-def whole_value(parsed: str | Column) -> Column:
-    """The line's JSON value out of :func:`bracketed`, null unless the line is exactly one value."""
+def is_whole(parsed: str | Column) -> Column:
+    """True where the line behind :func:`bracketed` is exactly one JSON value."""
     p = F.col(parsed) if isinstance(parsed, str) else parsed
-    complete = (F.try_variant_get(p, "$[1]", "string") == _END) & F.try_variant_get(p, "$[2]", "variant").isNull()
-    return F.when(complete, F.try_variant_get(p, "$[0]", "variant"))
+    end, more = F.try_variant_get(p, "$[1]", "string"), F.try_variant_get(p, "$[2]", "string")
+    return F.coalesce((end == _END) & more.isNull(), F.lit(False))
+
+
+def in_line(parsed: str | Column, *path: str, as_type: str = "variant") -> Column:
+    """A member of the line's JSON value by its path, null if absent or of another type.
+
+    Reading typed members straight off the parsed line spares a copy of what surrounds them.
+    """
+    p = F.col(parsed) if isinstance(parsed, str) else parsed
+    return F.try_variant_get(p, "$[0]" + _steps(path), as_type)
+
+
+def line_has(parsed: str, name: str) -> Column:
+    """Whether the line is an object with this member, whatever its value."""
+    is_object = in_line(parsed, name, as_type="struct<>").isNotNull()
+    return F.when(is_object, F.lit(True)).otherwise(in_line(parsed, name).isNotNull())
 
 
 def member(doc: str | Column, *path: str, as_type: str = "variant") -> Column:
     """A member of a variant object by its path, null if it is absent or of another type."""
     d = F.col(doc) if isinstance(doc, str) else doc
-    return F.try_variant_get(d, "$" + "".join(f'["{p}"]' for p in path), as_type)
+    return F.try_variant_get(d, "$" + _steps(path), as_type)
 
 
-def member_names(doc: Column) -> Column:
-    """Sorted member names of a variant object, null for anything else."""
-    return F.array_sort(F.json_object_keys(F.to_json(doc)))
+def member_count(doc: str | Column) -> Column:
+    """Number of members of a variant object, null for anything else."""
+    return F.size(member(doc, as_type="map<string,variant>"))
 
 
 def absent(value: Column) -> Column:
@@ -52,3 +67,7 @@ def absent(value: Column) -> Column:
 def json_bytes(value: Column) -> Column:
     """A struct as UTF-8 JSON bytes, the form keys and values have on a topic."""
     return F.encode(F.to_json(value), "UTF-8")
+
+
+def _steps(path: tuple[str, ...]) -> str:
+    return "".join(f'["{p}"]' for p in path)

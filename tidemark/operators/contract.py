@@ -9,12 +9,12 @@ expressions.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.jsontext import absent
+
 _SCALARS: dict[type, tuple[str, ...]] = {
     T.StringType: ("STRING",),
     T.DoubleType: ("DOUBLE", "FLOAT", "BIGINT", "DECIMAL"),
@@ -37,79 +37,106 @@ _AVRO_SCALARS = {
 # ---------------------------------------------------------------- validation
 
 
-def violations(image: str | Column, schema: T.StructType) -> Column:
-    """``array<string>`` of ``path:missing``, ``path:null`` and ``path:type``; empty if valid.
+_SEPARATOR = "\n"
+
 
-    Every schema field is required and not null. Further fields are allowed.
+def with_violations(rows: DataFrame, image: str, schema: T.StructType, name: str = "violations") -> DataFrame:
+    """Adds ``array<string>`` of ``path:missing``, ``path:null`` and ``path:type``, empty if valid.
+
+    Every schema field is required and not null. Further fields are allowed. Below an
+    array a path is reported once, whatever the number of elements it concerns. Without
+    an image the result is null.
+
+    The kind of a value says everything at once: null for an absent field, VOID for JSON
+    null, else its type. Kinds get columns of their own, so that each is worked out once.
     """
-    doc = F.col(image) if isinstance(image, str) else image
-    return F.array_compact(F.array(*_fields(lambda test: test(doc), schema, "")))
+    kinds: list[Column] = []
+    joined = F.concat_ws(_SEPARATOR, *_object_faults(F.col(image), schema, "", kinds))
+    looked_up = rows.select("*", *[k.alias(f"_kind_{i}") for i, k in enumerate(kinds)])
+    looked_up = looked_up.withColumn("_faults", F.when(~absent(F.col(image)), joined))
+    return looked_up.select(
+        *rows.columns,
+        F.when(F.col("_faults") == "", F.array().cast("array<string>"))
+        .otherwise(F.split("_faults", _SEPARATOR))
+        .alias(name),
+    )
 
 
-def _fields(some: Callable, schema: T.StructType, prefix: str) -> list[Column]:
-    """Tests of all fields of one object.
+def _object_faults(parent: Column, schema: T.StructType, prefix: str, kinds: list[Column] | None) -> list[Column]:
+    """One test per field of an object and below; a test is null or the violation's text.
 
-    ``some(test)`` says whether the test holds for the object, or, below an array, for any
-    of its elements.
+    With ``kinds`` the kind of a value is registered there and read back by column name;
+    below an array there are no such columns and it is used in place.
     """
     found = []
     for f in schema.fields:
         path = f"{prefix}{f.name}"
-        step = f'$["{f.name}"]'
-
-        def at(test, step=step):
-            return some(lambda parent: test(F.try_variant_get(parent, step, "variant")))
-
-        found += [
-            F.when(at(lambda v: v.isNull()), F.lit(f"{path}:missing")),
-            F.when(at(_is_null), F.lit(f"{path}:null")),
-            F.when(at(lambda v, t=f.dataType: _mistyped(v, t)), F.lit(f"{path}:type")),
-        ]
+        value = F.try_variant_get(parent, f'$["{f.name}"]', "variant")
+        seen = F.schema_of_variant(value)
+        if kinds is not None:
+            kinds.append(seen)
+            seen = F.col(f"_kind_{len(kinds) - 1}")
+        found.append(_verdict(seen, f.dataType, path))
         if isinstance(f.dataType, T.StructType):
-            found += _fields(lambda test, at=at: at(lambda v: _is_object(v) & test(v)), f.dataType, f"{path}.")
+            inside = _object_faults(value, f.dataType, f"{path}.", kinds)
+            found += [F.when(seen.startswith("OBJECT"), test) for test in inside]
         elif isinstance(f.dataType, T.ArrayType):
-            found += _elements(at, f.dataType.elementType, path)
+            found.append(_array_faults(value, f.dataType.elementType, path))
     return found
 
 
-def _elements(at: Callable, element: T.DataType, path: str) -> list[Column]:
-    def any_element(test):
-        return at(lambda v: F.coalesce(F.exists(F.try_variant_get(v, "$", "array<variant>"), test), F.lit(False)))
-
-    found = [
-        F.when(any_element(_is_null), F.lit(f"{path}[]:null")),
-        F.when(any_element(lambda v: _mistyped(v, element)), F.lit(f"{path}[]:type")),
-    ]
-    if isinstance(element, T.StructType):
-        found += _fields(lambda test: any_element(lambda v: _is_object(v) & test(v)), element, f"{path}.")
-    elif isinstance(element, T.ArrayType):
-        found += _elements(any_element, element.elementType, f"{path}[]")
-    return found
+def _array_faults(value: Column, element: T.DataType, path: str) -> Column:
+    """Violations of all elements as one text; null if there are none or it is no array."""
 
+    def faults_of(v: Column) -> Column:
+        seen = F.schema_of_variant(v)
+        tests = [_verdict(seen, element, f"{path}[]")]
+        if isinstance(element, T.StructType):
+            inside = _object_faults(v, element, f"{path}.", None)
+            tests += [F.when(seen.startswith("OBJECT"), test) for test in inside]
+        elif isinstance(element, T.ArrayType):
+            tests.append(_array_faults(v, element.elementType, f"{path}[]"))
+        faults = F.concat_ws(_SEPARATOR, *tests)
+        exact = _exact_kind(element)
+        return faults if exact is None else F.when(seen == exact, "").otherwise(faults)
 
-def _is_null(v: Column) -> Column:
-    return F.coalesce(F.is_variant_null(v), F.lit(False))
+    per_element = F.array_distinct(F.transform(F.try_variant_get(value, "$", "array<variant>"), faults_of))
+    # an array without fault leaves at most one empty text; only others are taken apart
+    each_fault = F.array_distinct(F.split(F.array_join(F.array_remove(per_element, ""), _SEPARATOR), _SEPARATOR))
+    return F.when(F.size(F.array_remove(per_element, "")) > 0, F.array_join(each_fault, _SEPARATOR))
 
 
-def _kind(type_text: Column) -> Column:
-    """``BIGINT``, ``DECIMAL``, ``ARRAY`` .. without precision or element types."""
-    return F.substring_index(F.substring_index(type_text, "<", 1), "(", 1)
+def _exact_kind(t: T.DataType) -> str | None:
+    """The only kind text a valid value can have if it has no further fields, if there is one."""
+    if isinstance(t, T.StructType):
+        inner = {f.name: _exact_kind(f.dataType) for f in t.fields}
+        if None in inner.values() or not all(n.isidentifier() for n in inner):
+            return None
+        return "OBJECT<" + ", ".join(f"{n}: {inner[n]}" for n in sorted(inner)) + ">"
+    names = _SCALARS.get(type(t), ())
+    return names[0] if len(names) == 1 else None
 
 
-def _is_object(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+def _verdict(seen: Column, wanted: T.DataType, path: str) -> Column:
+    return (
+        F.when(seen.isNull(), f"{path}:missing").when(seen == "VOID", f"{path}:null").when(~_fits(seen, wanted), f"{path}:type")
+    )
 
 
-def _mistyped(v: Column, wanted: T.DataType) -> Column:
-    """True for a present, non-null value of another type."""
-    seen = F.schema_of_variant(v)
+def _fits(seen: Column, wanted: T.DataType) -> Column:
     if isinstance(wanted, T.StructType):
-        fits = seen.startswith("OBJECT")
-    elif isinstance(wanted, T.ArrayType):
-        fits = seen.startswith("ARRAY")
-    else:
-        fits = _kind(seen).isin(*_SCALARS[type(wanted)])
-    return F.coalesce((seen != "VOID") & ~fits, F.lit(False))
+        return seen.startswith("OBJECT")
+    if isinstance(wanted, T.ArrayType):
+        return seen.startswith("ARRAY")
+    names = _SCALARS[type(wanted)]
+    fits = seen.isin(*names)
+    # a decimal's type text carries its precision
+    return fits | seen.startswith("DECIMAL") if "DECIMAL" in names else fits
+
+
+def _kind(type_text: Column) -> Column:
+    """``BIGINT``, ``DECIMAL``, ``ARRAY`` .. without precision or element types."""
+    return F.substring_index(F.substring_index(type_text, "<", 1), "(", 1)
 
 
 # ---------------------------------------------------------------- schema text
@@ -246,12 +273,11 @@ def drift(spark: SparkSession, images: DataFrame, schema: T.StructType, image: s
     """
     seen = (
         images.lateralJoin(spark.tvf.variant_explode(F.col(image).outer()))
-        .select(F.col("key").alias("field"), F.schema_of_variant("value").alias("_type"), "value")
+        .select(F.col("key").alias("field"), F.schema_of_variant("value").alias("_type"))
         .filter(F.col("field").isNotNull())
     )
     checks = [
-        F.when((F.col("field") == f.name) & (_is_null(F.col("value")) | _mistyped(F.col("value"), f.dataType)), "type_changed")
-        .when(F.col("field") == f.name, "ok")
+        F.when(F.col("field") == f.name, F.when(_fits(F.col("_type"), f.dataType), "ok").otherwise("type_changed"))
         for f in schema.fields
     ]
     # nested types can spell out differently in every row, the outer kind is what is counted

@@ -1,13 +1,15 @@
 """Feed lines and topic messages: parse once, name the fault, route, pick the row image.
 
-A line is parsed a single time into a variant; presence tests, type tests and the row
-image are all read from it. Nothing is dropped: every input row leaves with a ``reason``,
+A line is parsed a single time into a variant; presence tests, type tests and the row image
+are all read from it. Nothing is dropped: every input row leaves with a ``reason``,
 ``ok`` or the first fault that applies.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,22 +28,11 @@ REASONS = (
 )
 
 
-def parse(lines: DataFrame, text: str = "line", binary: bool = False) -> DataFrame:
-    """Adds ``_text`` and ``_event``, the line as a variant (null unless it is one JSON value)."""
-    if binary:
-        raw = lines.withColumn("_text", J.decoded(text))
-        utf8 = F.col(text).isNull() | F.col("_text").isNotNull()
-    else:
-        raw = lines.withColumn("_text", F.col(text))
-        utf8 = F.col(text).isNull() | F.is_valid_utf8(text)
-    raw = raw.withColumn("_utf8", utf8)
-    return raw.withColumn("_parsed", J.bracketed("_text")).withColumn("_event", J.whole_value("_parsed")).drop("_parsed")
-
-
 def classify_envelope(lines: DataFrame, text: str = "line", binary: bool = False) -> DataFrame:
     """Envelope-level ``reason`` only: blank, bad bytes, no JSON, no ``key``/``value``, or ok."""
-    parsed = parse(lines, text, binary)
-    return parsed.withColumn("reason", F.coalesce(*_envelope_faults(), F.lit(OK))).drop("_utf8")
+    has_both = J.line_has("_parsed", "key") & J.line_has("_parsed", "value")
+    reason = F.coalesce(*_envelope_faults(has_both), F.lit(OK)).alias("reason")
+    return _settled(_parsed(lines, text, binary).select(*lines.columns, reason), ["reason"])
 
 
 def classify(
@@ -57,51 +48,62 @@ def classify(
     event the next steps need: ``key_text``, ``op``, ``ts_ms``, ``ts_us``, ``ts_ns`` and
     ``image`` (variant of the row image the operation stands for).
     """
-    parsed = parse(lines, text, binary)
-    value = lambda *path, as_type="variant": J.member("_event", "value", *path, as_type=as_type)
-    parts = parsed.select(
+    read = lambda *path, as_type="variant": J.in_line("_parsed", "value", *path, as_type=as_type)
+    parts = _parsed(lines, text, binary).select(
         "*",
-        J.member("_event", "key").alias("_key"),
-        normal_op(value("op", as_type="string")).alias("op"),
-        *[value(unit, as_type="bigint").alias(f"_{unit}") for unit in ("ts_ms", "ts_us", "ts_ns")],
+        J.in_line("_parsed", "key").alias("_key"),
+        normal_op(read("op", as_type="string")).alias("op"),
+        *[read(unit, as_type="bigint").alias(f"_{unit}") for unit in ("ts_ms", "ts_us", "ts_ns")],
     )
     parts = parts.select(
         "*",
-        image_of("op").alias("image"),
+        # the row a change is about: what it leaves behind, or what a delete took away
+        F.when(F.col("op") == DELETE, read("before")).otherwise(read("after")).alias("image"),
         F.col("_ts_ms").alias("ts_ms"),
         F.coalesce("_ts_us", F.try_multiply("_ts_ms", F.lit(1000))).alias("ts_us"),
     )
-    parts = parts.select(
-        "*",
-        F.coalesce("_ts_ns", F.try_multiply("ts_us", F.lit(1000))).alias("ts_ns"),
-        F.when(~J.absent(F.col("image")), contract.violations("image", row_schema)).alias("violations"),
-    )
+    parts = parts.withColumn("ts_ns", F.coalesce("_ts_ns", F.try_multiply("ts_us", F.lit(1000))))
+    parts = contract.with_violations(parts, "image", row_schema)
+    has_value = F.when(F.col("op").isNotNull(), F.lit(True)).otherwise(J.line_has("_parsed", "value"))
     faults = [
-        *_envelope_faults(),
+        *_envelope_faults(F.col("_key").isNotNull() & has_value),
         _fault("null_key", _null_key("_key", keys)),
-        _fault("key_mismatch", ~J.member_names(F.col("_key")).eqNullSafe(F.array(*[F.lit(k) for k in sorted(keys)]))),
+        _fault("key_mismatch", _other_key("_key", keys)),
         _fault("unknown_op", F.col("op").isNull()),
         _fault("null_image", J.absent(F.col("image"))),
         _fault("null_order", F.col("ts_ms").isNull() | F.col("ts_ns").isNull()),
         _fault("schema_violation", F.size("violations") > 0),
     ]
-    return parts.select(
+    found = ["reason", "violations", "key_text", "op", "ts_ms", "ts_us", "ts_ns", "image"]
+    classified = parts.select(
         *lines.columns,
         F.coalesce(*faults, F.lit(OK)).alias("reason"),
-        "violations",
         F.when(~J.absent(F.col("_key")), F.to_json("_key")).alias("key_text"),
-        "op",
-        "ts_ms",
-        "ts_us",
-        "ts_ns",
-        "image",
+        *[c for c in found if c not in ("reason", "key_text")],
     )
+    return _settled(classified, found)
 
 
-def image_of(op: str) -> Column:
-    """The row a change is about: ``after``, or ``before`` for a delete."""
-    before, after = J.member("_event", "value", "before"), J.member("_event", "value", "after")
-    return F.when(F.col(op) == DELETE, before).otherwise(after)
+def _parsed(lines: DataFrame, text: str, binary: bool) -> DataFrame:
+    """Adds ``_text``, ``_utf8`` and the parsed line."""
+    if binary:
+        raw = lines.withColumn("_text", J.decoded(text))
+        utf8 = F.col(text).isNull() | F.col("_text").isNotNull()
+    else:
+        raw = lines.withColumn("_text", F.col(text))
+        utf8 = F.col(text).isNull() | F.is_valid_utf8(text)
+    return raw.withColumn("_utf8", utf8).withColumn("_parsed", J.bracketed("_text"))
+
+
+def _settled(rows: DataFrame, computed: Sequence[str]) -> DataFrame:
+    """The same rows, with the ``computed`` columns as output of a one-row generator.
+
+    A filter on a computed column is otherwise pushed below the projections that lead to
+    it and evaluates parsing and checks anew for every place they occur in. It stops at a
+    generator, while filters on input columns still reach the scan.
+    """
+    kept = [c for c in rows.columns if c not in computed]
+    return rows.select(*kept, F.inline(F.array(F.struct(*computed))))
 
 
 def valid(classified: DataFrame) -> DataFrame:
@@ -142,12 +144,11 @@ def error_counts(messages: DataFrame, error: str = "error", end_of_partition: st
     )
 
 
-def _envelope_faults() -> list[Column]:
-    has_both = J.member("_event", "key").isNotNull() & J.member("_event", "value").isNotNull()
+def _envelope_faults(has_both: Column) -> list[Column]:
     return [
         _fault(BLANK, F.col("_utf8") & F.coalesce(J.is_blank("_text"), F.lit(True))),
         _fault("bad_utf8", ~F.col("_utf8")),
-        _fault("malformed_json", F.col("_event").isNull()),
+        _fault("malformed_json", ~J.is_whole("_parsed")),
         _fault("missing_envelope", ~has_both),
     ]
 
@@ -157,9 +158,12 @@ def _fault(reason: str, condition: Column) -> Column:
 
 
 def _null_key(key: str, keys: Sequence[str]) -> Column:
-    nulls = [F.is_variant_null(F.col(key))]
-    nulls += [F.coalesce(F.is_variant_null(J.member(key, k)), F.lit(False)) for k in keys]
-    any_null = nulls[0]
-    for n in nulls[1:]:
-        any_null = any_null | n
-    return any_null
+    """The key, or one of its columns, is JSON null."""
+    nulls = [F.is_variant_null(F.col(key)), *[F.is_variant_null(J.member(key, k)) for k in keys]]
+    return reduce(or_, [F.coalesce(n, F.lit(False)) for n in nulls])
+
+
+def _other_key(key: str, keys: Sequence[str]) -> Column:
+    """The key does not name exactly the configured columns."""
+    missing = reduce(or_, [J.member(key, k, as_type="string").isNull() for k in keys])
+    return missing | ~J.member_count(key).eqNullSafe(F.lit(len(keys)))

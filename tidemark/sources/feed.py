@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.jsontext import bracketed, member, whole_value
+from tidemark.functions.jsontext import bracketed, in_line
 from tidemark.operators.watermark import changed_since
 
 
@@ -27,8 +27,7 @@ def lines_since(lines: DataFrame, mark_ms: int) -> DataFrame:
 
     Lines without a readable event time are kept: they have to reach the quarantine.
     """
-    event = whole_value(bracketed("line"))
-    time = F.coalesce(member(event, "value", "ts_ms", as_type="bigint"), F.lit(mark_ms))
+    time = F.coalesce(in_line(bracketed("line"), "value", "ts_ms", as_type="bigint"), F.lit(mark_ms))
     return changed_since(lines, time, mark_ms)
 
 
