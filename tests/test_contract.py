@@ -1,0 +1,127 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.config import SAMPLE_ROW_SCHEMA
+from tidemark.operators import contract
+
+GOOD = {
+    "id": "0001", "type": "donut", "name": "Cake", "ppu": 0.55,
+    "batters": {"batter": [{"id": "1", "type": "a"}, {"id": "2", "type": "b"}]},
+    "topping": [{"id": "5", "type": "x"}],
+}
+
+
+def changed(**fields):
+    return {k: v for k, v in {**GOOD, **fields}.items() if v != "gone"}
+
+
+CASES = [
+    (GOOD, []),
+    (changed(topping=[]), []),
+    (changed(ppu=1), []),
+    (changed(ppu=1e300), []),
+    (changed(more=1), []),
+    (changed(topping=[{"id": "5", "type": "x", "more": 1}]), []),
+    (changed(id=7), ["id:type"]),
+    (changed(name="gone"), ["name:missing"]),
+    (changed(name=None), ["name:null"]),
+    (changed(ppu="a lot"), ["ppu:type"]),
+    (changed(ppu=True), ["ppu:type"]),
+    (changed(batters=[]), ["batters:type"]),
+    (changed(batters=None), ["batters:null"]),
+    (changed(batters={}), ["batters.batter:missing"]),
+    (changed(batters={"batter": {}}), ["batters.batter:type"]),
+    (changed(batters={"batter": [{"id": "1", "type": "a"}, {"id": 2}]}), ["batters.batter.id:type", "batters.batter.type:missing"]),
+    (changed(topping=[{"id": "c"}]), ["topping.type:missing"]),
+    (changed(topping=[{"id": "c"}, {"id": "d"}, {"id": "e", "type": None}]), ["topping.type:missing", "topping.type:null"]),
+    (changed(topping=["c"]), ["topping[]:type"]),
+    (changed(topping=[None]), ["topping[]:null"]),
+    (changed(topping="c"), ["topping:type"]),
+    (changed(id=7, topping=[{"id": "c"}]), ["id:type", "topping.type:missing"]),
+]
+
+
+def test_violations(spark):
+    df = spark.createDataFrame([(i, json.dumps(doc)) for i, (doc, _) in enumerate(CASES)], "n int, j string")
+    rows = contract.with_violations(df.withColumn("image", F.parse_json("j")), "image", SAMPLE_ROW_SCHEMA).collect()
+    got = {r["n"]: sorted(r["violations"]) for r in rows}
+    assert got == {i: want for i, (_, want) in enumerate(CASES)}
+
+
+def test_arrays_of_scalars_and_of_arrays(spark):
+    schema = T.StructType().add("tags", T.ArrayType(T.StringType())).add("grid", T.ArrayType(T.ArrayType(T.LongType())))
+    docs = [
+        ({"tags": ["a"], "grid": [[1], []]}, []),
+        ({"tags": ["a", 1, None], "grid": [[1, "x"], 2]}, ["grid[]:type", "grid[][]:type", "tags[]:null", "tags[]:type"]),
+    ]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, (d, _) in enumerate(docs)], "n int, j string")
+    rows = contract.with_violations(df.withColumn("image", F.parse_json("j")), "image", schema).orderBy("n").collect()
+    assert [sorted(r["violations"]) for r in rows] == [want for _, want in docs]
+
+
+def test_no_image_no_verdict(spark):
+    df = spark.createDataFrame([("null",), (None,)], "j string").withColumn("image", F.try_parse_json("j"))
+    assert [r["violations"] for r in contract.with_violations(df, "image", SAMPLE_ROW_SCHEMA).collect()] == [None, None]
+
+
+def test_avro_text_round_trip():
+    text = contract.avro_of_struct("Row", SAMPLE_ROW_SCHEMA)
+    assert contract.struct_of_avro(text) == SAMPLE_ROW_SCHEMA
+
+
+def test_dotted_avro_name_means_nesting():
+    record = {"type": "record", "name": "R", "fields": [
+        {"name": "id", "type": "string"},
+        {"name": "a.b", "type": {"type": "array", "items": {"type": "record", "name": "b", "fields": [{"name": "x", "type": "long"}]}}},
+    ]}
+    inner = T.ArrayType(T.StructType().add("x", "long"))
+    assert contract.struct_of_avro(json.dumps(record)) == T.StructType().add("id", "string").add("a", T.StructType().add("b", inner))
+    with pytest.raises(ValueError, match="bytes"):
+        contract.struct_of_avro('{"type":"record","name":"R","fields":[{"name":"x","type":"bytes"}]}')
+
+
+HISTORY = [("a", 1, "s1", True), ("a", 2, "s2", False), ("a", 3, "s3", False), ("b", 1, "t1", True)]
+
+
+def as_rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_history(spark):
+    h = spark.createDataFrame(HISTORY, contract.HISTORY_SCHEMA)
+    assert as_rows(contract.latest(h)) == [("a", 3, "s3")]
+    new = spark.createDataFrame([("a", "s3"), ("b", "t1"), ("c", "u1")], "subject string, schema_json string")
+    # equal to the latest: nothing; equal to a retired one only: a new version; new subject: version 1
+    assert as_rows(contract.register(h, new)) == sorted([*HISTORY, ("b", 2, "t1", False), ("c", 1, "u1", False)])
+    replaced = contract.replace(h, spark.createDataFrame([("a", "s3")], "subject string, schema_json string"))
+    assert as_rows(replaced) == [("a", 1, "s1", True), ("a", 2, "s2", True), ("a", 3, "s3", True), ("a", 4, "s3", False), ("b", 1, "t1", True)]
+    assert as_rows(contract.latest(replaced)) == [("a", 4, "s3")]
+
+
+def test_a_subject_named_twice_fails(spark):
+    h = spark.createDataFrame(HISTORY, contract.HISTORY_SCHEMA)
+    twice = spark.createDataFrame([("c", "u1"), ("c", "u2")], "subject string, schema_json string")
+    with pytest.raises(Exception, match="subject named twice: c"):
+        contract.register(h, twice).collect()
+
+
+def test_schema_in_force(spark):
+    text = contract.avro_of_struct("Row", SAMPLE_ROW_SCHEMA)
+    h = spark.createDataFrame([("t-value", 1, "{}", True), ("t-value", 2, text, False)], contract.HISTORY_SCHEMA)
+    assert contract.latest_schema(h, "t-value") == SAMPLE_ROW_SCHEMA
+    with pytest.raises(LookupError):
+        contract.latest_schema(h, "other")
+
+
+def test_drift(spark):
+    docs = [GOOD, changed(ppu="x"), changed(name="gone"), changed(more=1)]
+    df = spark.createDataFrame([(json.dumps(d),) for d in docs], "j string").withColumn("image", F.parse_json("j"))
+    got = {(r["field"], r["observed_type"]): (r["n"], r["status"]) for r in contract.drift(spark, df, T.StructType([*SAMPLE_ROW_SCHEMA.fields, T.StructField("z", T.StringType())])).collect()}
+    assert got["ppu", "DECIMAL"] == (3, "ok") and got["ppu", "STRING"] == (1, "type_changed")
+    assert got["name", "STRING"] == (3, "ok") and got["more", "BIGINT"] == (1, "new_field")
+    assert got["z", "none"] == (0, "missing_field") and got["batters", "OBJECT"] == (4, "ok")

@@ -107,4 +107,6 @@ def _writer(rows: DataFrame, fmt: str):
 
 def _reader(reader, fmt: str):
     reader = reader.format(fmt)
-    return reader.options(**_CSV) if fmt == "csv" else reader
+    # an unquoted empty field is null and a quoted one an empty text; with the default
+    # null marker, which is empty too, both would read as null
+    return reader.options(**_CSV, nullValue="\u0000") if fmt == "csv" else reader
