@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -271,11 +271,10 @@ def dlq_put(spark, d):
 
 @query
 def dlq_retry_split(spark, d):
-    current = _letters_by_record(spark, d)
-    sides = deadletter.retriable(current).withColumn("side", F.lit("retry")).unionByName(
-        deadletter.stale(current).withColumn("side", F.lit("stale"))
+    side = F.when(F.col("retriable"), "retry").otherwise("stale").alias("side")
+    return _letters_by_record(spark, d).groupBy(side, "reason").agg(
+        F.count("*").alias("n"), F.sum("attempts").alias("attempts")
     )
-    return sides.groupBy("side", "reason").agg(F.count("*").alias("n"), F.sum("attempts").alias("attempts"))
 
 
 @query
@@ -424,28 +423,27 @@ def _raw_events(spark, d) -> tuple[str, T.StructType]:
 def _letters_by_record(spark, d) -> DataFrame:
     """Faulty lines, and good ones from the time the broker was down, by record key."""
     rows = _classified(spark, d)
-    seen = F.col("ts").cast("timestamp")
+    lost = (F.col("reason") == envelope.OK) & (F.col("ts") >= X.moment(X.BROKER_DOWN))
+    letters = rows.filter(lost | ~F.col("reason").isin(envelope.OK, envelope.BLANK))
     key = deadletter.record_key("line", "key_text")
-    lost = envelope.valid(rows).filter(F.col("ts") >= X.moment(X.BROKER_DOWN))
-    log = deadletter.puts(envelope.quarantined(rows), "line", key, "reason", seen).unionByName(
-        deadletter.puts(lost, "line", key, F.lit(envelope.UNDELIVERED), seen)
-    )
+    log = deadletter.puts(letters, "line", key, _undelivered_if_ok(), F.col("ts").cast("timestamp"))
     return deadletter.state(log, X.FEED.max_attempts)
 
 
 def _stored_letters(spark, d) -> SnapshotTable:
     """The same by message, checked for their envelope only, in a store."""
-    rows = envelope.classify_envelope(X.lines(spark, d, faults=True))
-    seen = F.col("ts").cast("timestamp")
+    rows = envelope.classify_envelope(X.lines(spark, d, faults=True)).filter(F.col("reason") != envelope.BLANK)
     key = deadletter.message_key("line")
-    log = deadletter.puts(envelope.quarantined(rows), "line", key, "reason", seen).unionByName(
-        deadletter.puts(envelope.valid(rows), "line", key, F.lit(envelope.UNDELIVERED), seen)
-    )
+    log = deadletter.puts(rows, "line", key, _undelivered_if_ok(), F.col("ts").cast("timestamp"))
     letters = deadletters.store(spark, fresh_dir(spark, "letters"))
     deadletters.put(letters, log, X.FEED.max_attempts)
     return letters
 
 
+def _undelivered_if_ok() -> Column:
+    return F.when(F.col("reason") == envelope.OK, envelope.UNDELIVERED).otherwise(F.col("reason"))
+
+
 def _letter_counts(letters: DataFrame) -> DataFrame:
     return letters.groupBy("reason").agg(F.count("*").alias("n"), F.sum("attempts").alias("attempts"))
 

@@ -97,13 +97,13 @@ def test_landing_restarts_after_a_failure(spark, folder, monkeypatch, when):
 
     write, failures = rawzone.write, [ConnectionError("executor lost")]
 
-    def dying(rows, path, fmt, batch):
+    def dying(rows, path, fmt, batch, **kw):
         if when == "after":
-            write(rows, path, fmt, batch)
+            write(rows, path, fmt, batch, **kw)
         if batch.endswith("-1") and failures:
             raise failures.pop()
         if when == "before":
-            write(rows, path, fmt, batch)
+            write(rows, path, fmt, batch, **kw)
 
     monkeypatch.setattr(rawzone, "write", dying)
 
@@ -121,6 +121,7 @@ def test_landing_restarts_after_a_failure(spark, folder, monkeypatch, when):
 
 
 def test_duplicates_in_a_stream(spark, folder):
+    # not at the epoch itself: there the stream's first watermark would call every row late
     rows = [(k, t, s) for k in "ab" for t in range(5) for s in range(2)]
     df = spark.createDataFrame(rows * 3, "id string, t int, seq int").withColumn("at", F.timestamp_seconds(F.col("t") + 1_700_000_000))
     df.repartition(6).write.parquet(f"{folder}/in")

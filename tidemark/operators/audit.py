@@ -37,15 +37,20 @@ def observe_intake(classified: DataFrame, mark: str | None = None) -> tuple[Data
 
 def merge_counts(target: DataFrame, net: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows a net merge inserts, updates, deletes, and deletes of absent keys it ignores."""
-    present = target.select(*keys).join(net.select(*keys), list(keys), "left_semi").withColumn("_present", F.lit(True))
-    joined = net.select(*keys, "op").join(present, list(keys), "left_outer")
-    is_delete, is_present = F.col("op") == DELETE, F.col("_present").isNotNull()
+    changed = net.select(*keys, "op")
+    matched = target.select(*keys).join(changed, list(keys)).select("op", F.lit(0).alias("_all"), F.lit(1).alias("_hit"))
+    seen = changed.select("op", F.lit(1).alias("_all"), F.lit(0).alias("_hit")).unionByName(matched)
+    is_delete = F.col("op") == DELETE
+
+    def total(condition: Column, column: str) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col(column))), F.lit(0))
+
     return _as_rows(
-        joined.agg(
-            F.count_if(~is_delete & ~is_present).alias("inserted"),
-            F.count_if(~is_delete & is_present).alias("updated"),
-            F.count_if(is_delete & is_present).alias("deleted"),
-            F.count_if(is_delete & ~is_present).alias("ignored"),
+        seen.agg(
+            (total(~is_delete, "_all") - total(~is_delete, "_hit")).alias("inserted"),
+            total(~is_delete, "_hit").alias("updated"),
+            total(is_delete, "_hit").alias("deleted"),
+            (total(is_delete, "_all") - total(is_delete, "_hit")).alias("ignored"),
         )
     )
 

@@ -288,9 +288,12 @@ def drift(spark: SparkSession, images: DataFrame, schema: T.StructType, image: s
         .agg(F.count("*").alias("n"))
         .select("field", "observed_type", "n", "status")
     )
-    registered = spark.createDataFrame([(f.name,) for f in schema.fields], "field string")
-    unseen = registered.join(counted.select("field").distinct(), "field", "left_anti").select(
-        "field", F.lit("none").alias("observed_type"), F.lit(0).cast("bigint").alias("n"),
-        F.lit("missing_field").alias("status"),
+    registered = spark.createDataFrame(
+        [(f.name, "none", 0, "missing_field") for f in schema.fields],
+        "field string, observed_type string, n bigint, status string",
     )
-    return counted.unionByName(unseen)
+    # per field at most one entry for each kind of value there is
+    entry = F.struct("observed_type", "n", "status")
+    per_field = counted.unionByName(registered).groupBy("field").agg(F.collect_list(entry).alias("_all"))
+    found = F.filter("_all", lambda e: e["n"] > 0)
+    return per_field.select("field", F.inline(F.when(F.size(found) > 0, found).otherwise(F.col("_all"))))

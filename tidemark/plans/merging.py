@@ -39,25 +39,23 @@ def apply_changes(
 ) -> Head:
     """One commit with all changes. A batch the writer has already committed is skipped.
 
-    Net mode stores the changes reduced to one row per key first: Spark then knows their
-    exact size when it plans the joins with the target, and only the buckets they fall
-    into are read and rewritten.
+    The changes are stored first, reduced to the last one per key, or per key and kind in
+    phased mode. Spark then knows their exact size when it plans the joins with the
+    target, and only the buckets they fall into are read and rewritten.
     """
     head = table.head()
     if batch is not None:
         done = table.last_batch(writer)
         if done is not None and batch <= done:
             return head
-    reduced = latest(changes, table.keys, order) if mode == NET else changes
+    if mode not in (NET, PHASED):
+        raise ValueError(f"unknown merge mode {mode!r}")
+    reduced = latest(changes, table.keys if mode == NET else [*table.keys, "op"], order)
     staged = _staged(reduced.select(*table.schema.fieldNames()))
     touched = table.touched(staged)
     state = table.read(head, touched)
-    if mode == NET:
-        merged = merge.fold(state, staged, table.keys, order)
-    elif mode == PHASED:
-        merged = merge.phased(state, staged, table.keys, order)
-    else:
-        raise ValueError(f"unknown merge mode {mode!r}")
+    step = merge.fold if mode == NET else merge.phased
+    merged = step(state, staged, table.keys, order)
     return table.commit(merged, touched, head, writer, batch)
 
 

@@ -18,15 +18,20 @@ DAY = "ingest_date"
 BATCH = "ingest_batch"
 
 
-def write(rows: DataFrame, path: str, fmt: str = "parquet", batch: str | None = None) -> None:
+def write(
+    rows: DataFrame, path: str, fmt: str = "parquet", batch: str | None = None, many_days: bool = True
+) -> None:
     """Adds rows to the zone; ``rows`` has the column ``ingest_date``.
 
     Rows go to a folder of their batch inside each day. A batch that is repeated under its
     name replaces what its first try left; without a name it is always an addition.
-    Rebalancing by day gives every day whole files, and Spark splits a day that is too big
-    for one task.
+    A backfill of ``many_days`` is rebalanced by day, so that not every task writes a file
+    for every day; Spark splits a day that is too big for one task. Rows of a single day
+    are written from where they are, without a shuffle.
     """
-    tagged = _encoded(rows, fmt).withColumn(BATCH, F.lit(batch or uuid.uuid4().hex)).hint("rebalance", DAY)
+    tagged = _encoded(rows, fmt).withColumn(BATCH, F.lit(batch or uuid.uuid4().hex))
+    if many_days:
+        tagged = tagged.hint("rebalance", DAY)
     (
         _writer(tagged, fmt)
         .mode("overwrite")

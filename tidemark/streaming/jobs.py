@@ -52,12 +52,13 @@ def start_landing(
     """
     writer = f"{cfg.feed}-landing"
 
-    def batch(rows: DataFrame, number: int) -> None:
-        checked = envelope.classify(rows, cfg.keys, cfg.row_schema, text="value", binary=True).persist(
+    def batch(arrived: DataFrame, number: int) -> None:
+        checked = envelope.classify(arrived, cfg.keys, cfg.row_schema, text="value", binary=True).persist(
             StorageLevel.MEMORY_AND_DISK
         )
         try:
-            rawzone.write(landing.flat_rows(checked, cfg), raw_path, cfg.raw_format, f"{writer}-{number}")
+            rows = landing.flat_rows(checked, cfg)
+            rawzone.write(rows, raw_path, cfg.raw_format, f"{writer}-{number}", many_days=False)
             bad = envelope.quarantined(checked).withColumn("raw", _text_of("value"))
             log = deadletter.puts(bad, "raw", deadletter.message_key("raw"), "reason")
             deadletters.put(dead, log, cfg.max_attempts, writer, number)
