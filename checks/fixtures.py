@@ -79,6 +79,7 @@ LINE_CUT = "1999-01-01 00:00:00"
 
 def line_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = line_changes(spark, sf_dir).filter(F.col("l_shipdate") < moment(LINE_CUT))
+    before = before.select(*dict.fromkeys([*PART_ROW, *PART_ORDER]))
     return latest(before, PART_KEYS, PART_ORDER).filter(F.col("op") != "D").select(*PART_ROW)
 
 

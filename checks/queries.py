@@ -61,7 +61,7 @@ def merge_delete(spark, d):
 
 @query
 def merge_counts(spark, d):
-    net = changes.latest(X.batch(spark, d), X.KEYS, X.ORDER)
+    net = changes.latest(X.batch(spark, d).select(*X.KEYS, "op", *X.ORDER), X.KEYS, X.ORDER)
     return audit.merge_counts(X.target(spark, d), net, X.KEYS)
 
 
@@ -70,7 +70,8 @@ def merge_counts(spark, d):
 
 @query
 def net_changes(spark, d):
-    return changes.latest(X.changelog(spark, d), X.KEYS, X.ORDER).select("user_id", "op", F.col("seq").alias("event_id"))
+    log = X.changelog(spark, d).select(*X.KEYS, "op", *X.ORDER)
+    return changes.latest(log, X.KEYS, X.ORDER).select("user_id", "op", F.col("seq").alias("event_id"))
 
 
 @query

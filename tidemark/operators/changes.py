@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 INSERT, UPDATE, DELETE = "I", "U", "D"
@@ -24,12 +24,13 @@ def normal_op(op: str | Column) -> Column:
 def latest(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last change of every key, whole rows.
 
-    ``row_number() = 1`` lets Spark cut every key to one row per map task before the
-    shuffle, so a key with a third of all changes costs one row per task.
+    The aggregate combines before its shuffle: a key with a third of all changes leaves
+    one row per map task. It sorts by key only and holds one row per key, which measures
+    faster than ranking every key's rows. All columns of ``changes`` are carried along,
+    so select the ones needed first.
     """
-    newest_first = [F.col(c).desc_nulls_last() for c in order]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first))
-    return changes.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+    row = F.struct(*[F.col(f"`{c}`") for c in changes.columns])
+    return changes.groupBy(*keys).agg(F.max_by(row, F.struct(*order)).alias("_row")).select("_row.*")
 
 
 def split_by_op(changes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

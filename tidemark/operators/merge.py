@@ -58,8 +58,9 @@ def net(target: DataFrame, changes: DataFrame, keys: Sequence[str], order: Seque
     pre-aggregates them; the payload is read and shuffled once.
     """
     kept = target.join(_distinct_keys(changes, keys), list(keys), "left_anti")
-    live = latest(changes, keys, order).filter(F.col("op") != DELETE)
-    return kept.unionByName(live.select(*target.columns))
+    needed = changes.select(*dict.fromkeys([*target.columns, "op", *order]))
+    last = latest(needed, keys, order).filter(F.col("op") != DELETE)
+    return kept.unionByName(last.select(*target.columns))
 
 
 def phased(target: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -98,14 +99,14 @@ def per_kind(changes: DataFrame, keys: Sequence[str], order: Sequence[str], payl
     )
 
 
-def fold(state: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """State after ``changes``, where state keeps the last change of every key.
+def fold(state: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """State after a batch, where state keeps the last change of every key.
 
     Deletes stay as rows with ``op = 'D'``, so a change older than what the state holds
     is recognised and ignored. That makes folding independent of batch order and safe to
-    repeat. ``changes`` has the columns of ``state``.
+    repeat. ``batch`` has the columns of ``state`` and one row per key (``latest``); it is
+    read three times, so it should come from storage.
     """
-    batch = latest(changes, keys, order)
     narrow = batch.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in order])
     kept = (
         state.join(narrow, list(keys), "left_outer")
