@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tidemark.config import FeedConfig
 from tidemark.functions import clock
 from tidemark.operators.changes import latest
+from tidemark.session import spread
 
 KEYS, ORDER = ["user_id"], ["ts", "seq"]
 ROW = ["user_id", "event_type", "value", "props"]
@@ -128,7 +129,8 @@ def lines(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
         F.lit('{"key":'), key, F.lit(',"'), body, F.lit('":{"op":"'), code, F.lit('",'), time,
         F.lit('"'), side, F.lit('":{"id":'), image_id, v, extra, F.lit("}}}"),
     )
-    return table(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    return spread(events).select(
         "event_id",
         "ts",
         F.when(_every(17), F.substring(line, 1, 20)).when(_every(19), "").otherwise(line).alias("line"),
@@ -171,7 +173,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             lambda part, i: F.struct(i.cast("string").alias("id"), part.alias("type")),
         )
 
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         F.lpad(F.col("doc_id").cast("string"), 8, "0").alias("id"),
         F.col("lang").alias("type"),
         F.col("source").alias("name"),
@@ -184,7 +186,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def deep_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents, two array levels deep: lines that hold words."""
     words = lambda line: F.transform(F.split(line, " "), lambda w: F.struct(w.alias("word")))
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         F.lpad(F.col("doc_id").cast("string"), 8, "0").alias("id"),
         F.struct("lang", F.struct("source", "n_chars").alias("origin")).alias("meta"),
         F.transform(

@@ -263,6 +263,10 @@ select id, lang as meta_lang, source as meta_origin_source, n_chars as meta_orig
        array_to_string(range(0, len(lines)), ',') as lines_ids, array_to_string(lines, ',') as words
 from docs""")
 
+oracle("json_document_scan", f"""
+with {DOCS}
+select id, lang as type, source as name, text, len(words)::bigint as n_words from docs""")
+
 oracle("raw_csv_roundtrip", f"""
 with {DOCS}
 select id, lang as type, n_chars / 4.0::double as ppu, text as words,

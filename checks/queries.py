@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import fixtures as X
+from tidemark.config import SAMPLE_ROW_SCHEMA
 from tidemark.functions import clock
 from tidemark.operators import audit, changes, contract, deadletter, envelope, flatten, merge, watermark
 from tidemark.plans import deadletters, intake, landing, merging
 from tidemark.session import fresh_dir
-from tidemark.sources import rawzone, topic
+from tidemark.sources import feed, rawzone, topic
 from tidemark.sources.snapshot import SnapshotTable
 from tidemark.streaming import jobs, progress
 
@@ -178,6 +179,17 @@ def flatten_generic(spark, d):
     )
 
 
+@query
+def json_document_scan(spark, d):
+    """Nested documents through JSON files and the registered schema."""
+    docs = X.documents(spark, d)
+    path = fresh_dir(spark, "documents")
+    docs.write.json(path)
+    back = feed.read_documents(spark, path, SAMPLE_ROW_SCHEMA, multi_line=False)
+    return back.select("id", "type", "name", F.array_join("topping.type", "\n").alias("text"),
+                       F.size("batters.batter").cast("bigint").alias("n_words"))
+
+
 # ---------------------------------------------------------------- topic, time, raw zone
 
 
@@ -226,7 +238,7 @@ def raw_day_scan(spark, d):
 def raw_csv_roundtrip(spark, d):
     flat = flatten.flatten(X.documents(spark, d))
     path = fresh_dir(spark, "raw-csv")
-    rawzone.write(flat.withColumn(rawzone.DAY, F.to_date(F.lit("2024-01-15"))), path, "csv")
+    rawzone.write(flat.withColumn(rawzone.DAY, F.to_date(F.lit("2024-01-15"))), path, "csv", many_days=False)
     back = rawzone.read(spark, path, flat.schema, "csv")
     return back.select(
         "id", "type", "ppu",

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import datetime
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.config import FeedConfig
-from tidemark.operators import deadletter
+from tidemark.operators import contract, deadletter
 from tidemark.plans import deadletters, intake
 from tidemark.sources import control, topic
 from test_envelope import CASES, FLAT, event
@@ -111,9 +112,30 @@ def test_failover_then_replay(spark, folder):
 
     deadletters.purge(dead, f"{folder}/alerts")
     assert dead.read().count() == 0
+    version = dead.head().version
+    assert deadletters.purge(dead, f"{folder}/alerts").version == version, "nothing stale, nothing to do"
     assert [(r["reason"], r["n"]) for r in spark.read.parquet(f"{folder}/alerts").collect()] == [("malformed_json", 1)]
 
 
+def test_faulty_lines_also_go_to_the_dead_letter_topic(spark, folder):
+    cfg = FeedConfig(feed="f", row_schema=FLAT, dead_letter_topic="dlq")
+    send = lambda name: lambda m: topic.publish(m, cfg, f"{folder}/{name}")
+    dead = deadletters.store(spark, f"{folder}/dead", buckets=1)
+    for text in ("{", '{"monkey":1}'):
+        intake.deliver(cfg, lines(spark, event(), text), dead, send("topic"), publish_dead=send("dlq"))
+    sent = spark.read.schema(topic.MESSAGE_SCHEMA).parquet(f"{folder}/dlq")
+    got = {(r["topic"], json.loads(bytes(r["value"]))["raw"], json.loads(bytes(r["value"]))["reason"]) for r in sent.collect()}
+    assert got == {("dlq", "{", "malformed_json"), ("dlq", '{"monkey":1}', "missing_envelope")}
+    assert spark.read.schema(topic.MESSAGE_SCHEMA).parquet(f"{folder}/topic").count() == 2, "both publishes stay"
+
+
+def test_settings_take_the_registered_schema(spark):
+    cfg = FeedConfig(feed="f", topic="t")
+    history = [("t-value", 1, contract.avro_of_struct("Row", FLAT), False)]
+    resolved = intake.resolve(cfg, spark.createDataFrame(history, contract.HISTORY_SCHEMA))
+    assert resolved.row_schema == FLAT and resolved.topic == "t"
+
+
 def test_attempts_run_out(spark, folder):
     dead = deadletters.store(spark, f"{folder}/dead", buckets=1)
     intake.deliver(CFG, lines(spark, event()), dead, down)
@@ -134,7 +156,7 @@ def test_kafka_options(spark):
     cfg = FeedConfig(feed="f", topic="t", bootstrap_servers="broker:9092")
     assert cfg.read_options()["subscribe"] == "t" and cfg.read_options()["startingOffsets"] == "earliest"
     write = cfg.write_options()
-    assert write["topic"] == "t" and write["kafka.enable.idempotence"] == "true"
+    assert write["kafka.bootstrap.servers"] == "broker:9092" and write["kafka.enable.idempotence"] == "true"
     assert write["kafka.max.in.flight.requests.per.connection"] == "1" and cfg.subject == "t-value"
     with pytest.raises(ValueError):
         FeedConfig(feed="f").read_options()

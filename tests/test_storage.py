@@ -104,14 +104,11 @@ def test_commits_rewrite_only_the_buckets_they_touch(spark, folder):
 def test_a_commit_that_dies_before_its_manifest_does_not_count(spark, folder, monkeypatch):
     table = SnapshotTable(spark, folder, CHANGE, ["id"], buckets=4)
     merging.apply_changes(table, change_rows(spark, ("1", "a", "I", 1)), ["ts"])
-    createDataFrame = type(spark).createDataFrame
 
-    def lost(self, data, schema=None, **kw):
-        if isinstance(schema, str) and schema.startswith("bucket int"):
-            raise ConnectionError("driver lost")
-        return createDataFrame(self, data, schema, **kw)
+    def lost(self, *args):
+        raise ConnectionError("driver lost")
 
-    monkeypatch.setattr(type(spark), "createDataFrame", lost)
+    monkeypatch.setattr(SnapshotTable, "_manifest_of", lost)
     with pytest.raises(ConnectionError):
         merging.apply_changes(table, change_rows(spark, ("1", "b", "U", 2), ("2", "c", "I", 2)), ["ts"])
     monkeypatch.undo()
@@ -161,6 +158,36 @@ def test_merge_job_reads_yesterday(spark, folder):
     assert values(table) == {"0001": "b", "b": "b"}
 
 
+def test_nothing_to_merge_commits_nothing(spark, folder):
+    table = SnapshotTable(spark, folder, CHANGE, ["id"], buckets=2)
+    assert merging.apply_changes(table, change_rows(spark), ["ts"]).version == 0
+    merging.apply_changes(table, change_rows(spark, ("1", "a", "I", 1)), ["ts"])
+    assert merging.apply_changes(table, change_rows(spark), ["ts"], writer="w", batch=3).version == 1
+    assert values(table) == {"1": "a"}
+
+
+class FakeSession:
+    """A session without the shared folder setting."""
+
+    def __init__(self, master):
+        self.conf = {}
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": master})()
+
+
+def test_own_folder_only_on_a_local_master():
+    local = FakeSession("local[2]")
+    assert session.shared_dir(local) == session.shared_dir(local)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(FakeSession("yarn"))
+
+
+def test_spread_only_widens_narrow_scans(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert session.spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == cores
+    wide = spark.range(0, 100, 1, 2 * cores)
+    assert session.spread(wide) is wide
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert session.fresh_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/"))
 

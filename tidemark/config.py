@@ -70,8 +70,8 @@ class FeedConfig:
         }
 
     def write_options(self) -> dict[str, str]:
-        """Options of a Kafka sink: ordered, idempotent publishing."""
-        return {"kafka.bootstrap.servers": self._servers(), "topic": self.topic, **self.kafka_options}
+        """Options of a Kafka sink: ordered, idempotent publishing. Messages name their topic."""
+        return {"kafka.bootstrap.servers": self._servers(), **self.kafka_options}
 
     def _servers(self) -> str:
         if self.bootstrap_servers is None:

@@ -52,8 +52,11 @@ def purge(table: SnapshotTable, alert_path: str) -> Head:
     """Writes the alerts for stale items, then removes exactly those items."""
     head = table.head()
     current = table.read(head)
+    touched = table.touched(deadletter.stale(current))
+    if not touched:
+        return head
     deadletter.alerts(current).coalesce(1).write.mode("append").parquet(alert_path)
-    return table.commit(deadletter.purge(current), list(head.places), head)
+    return table.commit(deadletter.purge(table.read(head, touched)), touched, head)
 
 
 def replay(

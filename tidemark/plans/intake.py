@@ -3,18 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import FeedConfig
-from tidemark.operators import audit, deadletter, envelope, watermark
+from tidemark.operators import audit, contract, deadletter, envelope, watermark
 from tidemark.plans import deadletters
 from tidemark.sources import control, feed
 from tidemark.sources.snapshot import SnapshotTable
-from tidemark.sources.topic import encode_lines
+from tidemark.sources.topic import encode_letters, encode_lines
+
+
+def resolve(cfg: FeedConfig, history: DataFrame) -> FeedConfig:
+    """The feed's settings with the row schema registered for it, looked up once per start."""
+    return replace(cfg, row_schema=contract.latest_schema(history, cfg.subject))
 
 
 @dataclass(frozen=True)
@@ -51,11 +56,13 @@ def deliver(
     publish: Callable[[DataFrame], None],
     writer: str = "",
     batch: int | None = None,
+    publish_dead: Callable[[DataFrame], None] | None = None,
 ) -> IntakeResult:
     """Checks the lines once, publishes the good ones and dead-letters the others.
 
     If publishing fails, the good lines of this batch go to the dead letters too, marked
-    for retry; nothing is lost.
+    for retry; nothing is lost. With ``publish_dead`` the faulty lines also go to the
+    dead-letter topic.
     """
     classified = envelope.classify(lines, cfg.keys, cfg.row_schema)
     observed, counts = audit.observe_intake(classified, "ts_ms")
@@ -69,6 +76,8 @@ def deliver(
             delivered = False
         key = deadletter.message_key("line")
         log = deadletter.puts(envelope.quarantined(checked), "line", key, "reason")
+        if publish_dead is not None:
+            publish_dead(encode_letters(log, cfg))
         if not delivered:
             log = log.unionByName(deadletter.puts(good, "line", key, F.lit(envelope.UNDELIVERED)))
         deadletters.put(dead, log, cfg.max_attempts, writer, batch)

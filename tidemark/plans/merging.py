@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import merge
 from tidemark.operators.changes import latest
-from tidemark.session import fresh_dir
 from tidemark.sources import rawzone
 from tidemark.sources.snapshot import Head, SnapshotTable
 
@@ -51,16 +50,17 @@ def apply_changes(
     if mode not in (NET, PHASED):
         raise ValueError(f"unknown merge mode {mode!r}")
     reduced = latest(changes, table.keys if mode == NET else [*table.keys, "op"], order)
-    staged = _staged(reduced.select(*table.schema.fieldNames()))
+    staged = _staged(reduced.select(*table.schema.fieldNames()), f"{table.path}/staged/version={head.version + 1}")
     touched = table.touched(staged)
+    if not touched:
+        return head
     state = table.read(head, touched)
     step = merge.fold if mode == NET else merge.phased
     merged = step(state, staged, table.keys, order)
     return table.commit(merged, touched, head, writer, batch)
 
 
-def _staged(rows: DataFrame) -> DataFrame:
-    spark = rows.sparkSession
-    folder = fresh_dir(spark, "staged")
-    rows.write.parquet(folder)
-    return spark.read.schema(rows.schema).parquet(folder)
+def _staged(rows: DataFrame, folder: str) -> DataFrame:
+    """Rows written to the table's folder and read back; a repeated commit replaces them."""
+    rows.write.mode("overwrite").parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)

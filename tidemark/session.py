@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -44,6 +45,16 @@ def get_session(app: str, input_bytes: int | None = None, **conf: str) -> SparkS
     return spark
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deals the rows of a scan out to all cores if it has fewer tasks than there are cores.
+
+    For costly work per row on input that cannot be split, such as one compressed feed
+    file. A scan of many files or row groups has tasks enough and stays as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by the cluster.
 
@@ -52,11 +63,15 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(_CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder every executor can reach")
-    own = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set(_CHECKPOINT_DIR, own)
-    return own
+    return _own_dir(context.applicationId)
+
+
+@cache
+def _own_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"tidemark-{application}-")
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:

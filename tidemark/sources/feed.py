@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.jsontext import bracketed, in_line
 from tidemark.operators.watermark import changed_since
+from tidemark.session import spread
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """All lines of the feed files as column ``line``."""
-    return spark.read.text(path).withColumnRenamed("value", "line")
+    return spread(spark.read.text(path).withColumnRenamed("value", "line"))
 
 
 def stream_lines(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:

@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from pyspark.sql import types as T
 
 BUCKET = "bucket"
 _MANIFEST = "version bigint, bucket int, data_version bigint, buckets int, writer string, batch bigint"
-_ROW = "bucket int, data_version bigint, buckets int, writer string, batch bigint"
+_ROW = {"bucket": pa.int32(), "data_version": pa.int64(), "buckets": pa.int32(), "writer": pa.string(), "batch": pa.int64()}
 # Stands in the manifest for the commit itself, so that it has a row even without data.
 _COMMIT_ROW = -1
 
@@ -93,12 +94,16 @@ class SnapshotTable:
         filled = {r[BUCKET] for r in self.spark.read.schema(f"{BUCKET} int").parquet(folder).distinct().collect()}
         places = {b: v for b, v in head.places.items() if b not in set(touched)}
         places |= dict.fromkeys(filled, version)
-        entries = [(b, v, self.buckets, writer, batch) for b, v in places.items()]
-        entries.append((_COMMIT_ROW, version, self.buckets, writer, batch))
-        manifest = self.spark.createDataFrame(entries, _ROW).coalesce(1)
+        manifest = self.spark.createDataFrame(self._manifest_of(places, version, writer, batch)).coalesce(1)
         manifest.write.mode("overwrite").parquet(f"{self.path}/manifest/version={version}")
         return Head(version, places)
 
+    def _manifest_of(self, places: dict[int, int], version: int, writer: str, batch: int | None) -> pa.Table:
+        listed = {**places, _COMMIT_ROW: version}
+        n = len(listed)
+        columns = [list(listed), list(listed.values()), [self.buckets] * n, [writer] * n, [batch] * n]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, _ROW.values(), strict=True)], names=list(_ROW))
+
     def _manifests(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(_MANIFEST).parquet(f"{self.path}/manifest")

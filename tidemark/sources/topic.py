@@ -6,6 +6,8 @@ a folder of message-shaped rows ``(key, value, topic, partition, timestamp)``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,17 +43,29 @@ def encode_lines(valid: DataFrame, cfg: FeedConfig, text: str = "line") -> DataF
     )
 
 
-def publish(messages: DataFrame, cfg: FeedConfig, folder: str | None = None, batch: str = "0") -> None:
-    """Appends messages to the topic.
+def encode_letters(letters: DataFrame, cfg: FeedConfig) -> DataFrame:
+    """Dead-letter puts as messages of the dead-letter topic: item key, and raw text with its reason."""
+    value = F.to_json(F.struct("raw", "reason", "attempts"))
+    key_bytes = F.encode("dlq_key", "UTF-8")
+    return letters.select(
+        key_bytes.alias("key"),
+        F.encode(value, "UTF-8").alias("value"),
+        F.lit(cfg.dead_letter_topic).alias("topic"),
+        F.pmod(F.xxhash64(key_bytes), F.lit(cfg.topic_partitions)).cast("int").alias("partition"),
+    )
+
+
+def publish(messages: DataFrame, cfg: FeedConfig, folder: str | None = None, batch: str | None = None) -> None:
+    """Appends messages to the topic they name.
 
-    In a folder topic every batch owns its sub-folder and replaces it when it is repeated,
-    so a retried batch leaves no second copy.
+    In a folder topic every batch owns a sub-folder. A batch that is repeated under its
+    name replaces it and so leaves no second copy; without a name it is an addition.
     """
     if folder is None:
-        messages.select("key", "value").write.format("kafka").options(**cfg.write_options()).save()
+        messages.select("key", "value", "topic").write.format("kafka").options(**cfg.write_options()).save()
         return
     stamped = messages.withColumn("timestamp", F.current_timestamp())
-    stamped.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
+    stamped.write.mode("overwrite").parquet(f"{folder}/batch={batch or uuid.uuid4().hex}")
 
 
 def subscribe(spark: SparkSession, cfg: FeedConfig, folder: str | None = None, max_files: int | None = None) -> DataFrame:
