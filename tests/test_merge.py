@@ -162,10 +162,10 @@ def test_null_keys_match_nothing(spark):
 
 def test_merge_condition_names_every_key(spark):
     text = str(merge.match_condition(["a", "b"]))
-    for part in ("old_data.a", "new_events.a", "old_data.b", "new_events.b"):
+    for part in ("target.a", "source.a", "target.b", "source.b"):
         assert part in text
-    left = spark.createDataFrame([(1, 1), (1, 2)], "a int, b int").alias("old_data")
-    right = spark.createDataFrame([(1, 2)], "a int, b int").alias("new_events")
+    left = spark.createDataFrame([(1, 1), (1, 2)], "a int, b int").alias("target")
+    right = spark.createDataFrame([(1, 2)], "a int, b int").alias("source")
     assert left.join(right, merge.match_condition(["a", "b"])).count() == 1
 
 

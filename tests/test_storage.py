@@ -12,7 +12,7 @@ from tidemark import session
 from tidemark.operators import watermark
 from tidemark.plans import merging
 from tidemark.sources import control, rawzone
-from tidemark.sources.snapshot import SnapshotTable
+from tidemark.sources.snapshot import ConcurrentCommit, SnapshotTable
 
 SCHEMA = (
     T.StructType().add("id", "string").add("note", "string").add("ids", T.ArrayType(T.StringType()))
@@ -95,7 +95,7 @@ def test_commits_rewrite_only_the_buckets_they_touch(spark, folder):
     assert table.head().version == 0 and table.read().count() == 0
     first = merging.apply_changes(table, change_rows(spark, *[(str(i), "a", "I", 1) for i in range(40)]), ["ts"])
     second = merging.apply_changes(table, change_rows(spark, ("3", "b", "U", 2), ("99", None, "D", 2)), ["ts"])
-    moved = {b for b, v in second.places.items() if v == 2}
+    moved = {b for b, p in second.places.items() if p != first.places.get(b)}
     assert first.version == 1 and second.version == 2 and 1 <= len(moved) <= 2
     assert values(table) == {**{str(i): "a" for i in range(40)}, "3": "b"}
     assert table.read(first).count() == 40, "an older head still reads its own state"
@@ -117,6 +117,18 @@ def test_a_commit_that_dies_before_its_manifest_does_not_count(spark, folder, mo
     assert values(table) == {"1": "b"}
 
 
+def test_a_commit_that_comes_second_fails_and_can_be_repeated(spark, folder):
+    table = SnapshotTable(spark, folder, CHANGE, ["id"], buckets=4)
+    stale = table.head()
+    merging.apply_changes(table, change_rows(spark, ("1", "a", "I", 1)), ["ts"])
+    rows = change_rows(spark, ("2", "b", "I", 1))
+    with pytest.raises(ConcurrentCommit):
+        table.commit(rows, table.touched(rows), stale)
+    assert values(table) == {"1": "a"}
+    merging.apply_changes(table, rows, ["ts"])
+    assert values(table) == {"1": "a", "2": "b"}
+
+
 def test_a_committed_batch_is_skipped(spark, folder):
     table = SnapshotTable(spark, folder, CHANGE, ["id"], buckets=4)
     apply = lambda n, *rows: merging.apply_changes(table, change_rows(spark, *rows), ["ts"], writer="w", batch=n)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.changes import DELETE, INSERT, UPDATE, latest
 
 
-def match_condition(keys: Sequence[str], target: str = "old_data", source: str = "new_events") -> Column:
+def match_condition(keys: Sequence[str], target: str = "target", source: str = "source") -> Column:
     """``target.k = source.k`` for every key column, joined by AND."""
     return reduce(and_, [F.col(f"{target}.{k}") == F.col(f"{source}.{k}") for k in keys])
 
@@ -129,10 +129,10 @@ def merge_into_table(changes: DataFrame, table: str, keys: Sequence[str], order:
 
     The source columns besides ``op`` must be those of the table.
     """
-    source = latest(changes, keys, order).alias("new_events")
+    source = latest(changes, keys, order).alias("source")
     name = table.split(".")[-1]
-    deleted = F.col("new_events.op") == DELETE
-    columns = {c: F.col(f"new_events.{c}") for c in changes.columns if c != "op"}
+    deleted = F.col("source.op") == DELETE
+    columns = {c: F.col(f"source.{c}") for c in changes.columns if c != "op"}
     (
         source.mergeInto(table, match_condition(keys, name))
         .whenMatched(deleted).delete()

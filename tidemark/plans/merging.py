@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,7 +51,7 @@ def apply_changes(
     if mode not in (NET, PHASED):
         raise ValueError(f"unknown merge mode {mode!r}")
     reduced = latest(changes, table.keys if mode == NET else [*table.keys, "op"], order)
-    staged = _staged(reduced.select(*table.schema.fieldNames()), f"{table.path}/staged/version={head.version + 1}")
+    staged = _staged(reduced.select(*table.schema.fieldNames()), f"{table.path}/staged/{uuid.uuid4().hex}")
     touched = table.touched(staged)
     if not touched:
         return head
@@ -61,6 +62,6 @@ def apply_changes(
 
 
 def _staged(rows: DataFrame, folder: str) -> DataFrame:
-    """Rows written to the table's folder and read back; a repeated commit replaces them."""
-    rows.write.mode("overwrite").parquet(folder)
+    """Rows written to a folder and read back."""
+    rows.write.parquet(folder)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)

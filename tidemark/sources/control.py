@@ -18,6 +18,12 @@ def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> Data
     return spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options).load()
 
 
+def write_jdbc(control: DataFrame, url: str, table: str, **options: str) -> None:
+    """Replaces the rows of the control table in a database, keeping its definition."""
+    writer = control.write.format("jdbc").mode("overwrite").option("truncate", "true")
+    writer.option("url", url).option("dbtable", table).options(**options).save()
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The newest version, empty for a new folder."""
     version = last_version(spark, path)

@@ -1,10 +1,12 @@
 """The target as a bucketed snapshot table in plain Parquet folders.
 
-For storage without a table format. Rows lie in ``data/version=<n>/bucket=<b>``, where the
-bucket is a hash of the key. A commit writes new folders for the buckets it changes and,
-last, one small manifest file that says which version of which bucket is in force. Readers
-follow the newest manifest, so they see a commit whole or not at all, and a commit that
-dies half-way leaves nothing behind that counts. One job at a time may write to a table.
+For storage without a table format. A commit writes the buckets it changes, by key hash,
+to ``data/<commit>/bucket=<b>`` and, last, one small manifest file that says which commit
+holds which bucket. Readers follow the newest manifest, so they see a commit whole or not
+at all, and a commit that dies half-way leaves nothing behind that counts.
+
+One job at a time may write to a table. A commit that finds that another came first fails
+instead of overwriting it; the batch can then be run again.
 
 The number of buckets is fixed for the life of a table; choose it so that one bucket is a
 task's worth of data or a few.
@@ -12,6 +14,7 @@ task's worth of data or a few.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -22,18 +25,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BUCKET = "bucket"
-_MANIFEST = "version bigint, bucket int, data_version bigint, buckets int, writer string, batch bigint"
-_ROW = {"bucket": pa.int32(), "data_version": pa.int64(), "buckets": pa.int32(), "writer": pa.string(), "batch": pa.int64()}
+_MANIFEST = "version bigint, bucket int, place string, buckets int, writer string, batch bigint"
+_ROW = {"bucket": pa.int32(), "place": pa.string(), "buckets": pa.int32(), "writer": pa.string(), "batch": pa.int64()}
 # Stands in the manifest for the commit itself, so that it has a row even without data.
 _COMMIT_ROW = -1
 
 
+class ConcurrentCommit(RuntimeError):
+    """Another job has committed since this one read the table."""
+
+
 @dataclass(frozen=True)
 class Head:
-    """What is in force: version number and the data version of every non-empty bucket."""
+    """What is in force: version number and, for every non-empty bucket, the commit holding it."""
 
     version: int
-    places: dict[int, int]
+    places: dict[int, str]
 
 
 class SnapshotTable:
@@ -55,7 +62,7 @@ class SnapshotTable:
         rows = manifests.filter(F.col("version") == newest).collect()
         if rows[0]["buckets"] != self.buckets:
             raise ValueError(f"table at {self.path} has {rows[0]['buckets']} buckets, not {self.buckets}")
-        return Head(newest, {r["bucket"]: r["data_version"] for r in rows if r["bucket"] != _COMMIT_ROW})
+        return Head(newest, {r["bucket"]: r["place"] for r in rows if r["bucket"] != _COMMIT_ROW})
 
     def last_batch(self, writer: str) -> int | None:
         """Highest batch number the writer has committed."""
@@ -67,10 +74,10 @@ class SnapshotTable:
     def read(self, head: Head | None = None, only: Sequence[int] | None = None) -> DataFrame:
         """Rows in force, of all buckets or of some."""
         head = head or self.head()
-        wanted = head.places if only is None else {b: v for b, v in head.places.items() if b in set(only)}
+        wanted = head.places if only is None else {b: p for b, p in head.places.items() if b in set(only)}
         if not wanted:
             return self.spark.createDataFrame([], self.schema)
-        folders = [f"{self.path}/data/version={v}/{BUCKET}={b}" for b, v in sorted(wanted.items())]
+        folders = [f"{self.path}/data/{p}/{BUCKET}={b}" for b, p in sorted(wanted.items())]
         return self.spark.read.schema(self.schema).parquet(*folders)
 
     def touched(self, rows: DataFrame) -> list[int]:
@@ -86,20 +93,23 @@ class SnapshotTable:
         batch: int | None = None,
     ) -> Head:
         """Puts ``rows`` in the place of everything in the touched buckets."""
-        version = head.version + 1
-        folder = f"{self.path}/data/version={version}"
+        place = uuid.uuid4().hex
+        folder = f"{self.path}/data/{place}"
         stored = rows.select(*self.schema.fieldNames()).withColumn(BUCKET, self.bucket_of())
-        # both overwrites clear what a failed try of this same commit may have left
-        stored.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
+        stored.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(folder)
         filled = {r[BUCKET] for r in self.spark.read.schema(f"{BUCKET} int").parquet(folder).distinct().collect()}
-        places = {b: v for b, v in head.places.items() if b not in set(touched)}
-        places |= dict.fromkeys(filled, version)
-        manifest = self.spark.createDataFrame(self._manifest_of(places, version, writer, batch)).coalesce(1)
+        places = {b: p for b, p in head.places.items() if b not in set(touched)}
+        places |= dict.fromkeys(filled, place)
+        version = head.version + 1
+        manifest = self.spark.createDataFrame(self._manifest_of(places, place, writer, batch)).coalesce(1)
+        if self.head().version != head.version:
+            raise ConcurrentCommit(f"{self.path} is beyond version {head.version}")
+        # overwrite clears what a failed try may have left in the manifest's folder
         manifest.write.mode("overwrite").parquet(f"{self.path}/manifest/version={version}")
         return Head(version, places)
 
-    def _manifest_of(self, places: dict[int, int], version: int, writer: str, batch: int | None) -> pa.Table:
-        listed = {**places, _COMMIT_ROW: version}
+    def _manifest_of(self, places: dict[int, str], place: str, writer: str, batch: int | None) -> pa.Table:
+        listed = {**places, _COMMIT_ROW: place}
         n = len(listed)
         columns = [list(listed), list(listed.values()), [self.buckets] * n, [writer] * n, [batch] * n]
         return pa.table([pa.array(c, t) for c, t in zip(columns, _ROW.values(), strict=True)], names=list(_ROW))
