@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -408,8 +409,9 @@ def stream_merge(spark, d):
     raw, table, state = (fresh_dir(spark, label) for label in ("raw", "target", "checkpoint"))
     files = _write_in_files(log, "seq", raw)
     stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", _third(files)).parquet(raw)
-    target = SnapshotTable(spark, table, log.schema, X.KEYS)
-    jobs.start_merge(stream, X.FEED, target, state, drain=True, order=X.ORDER).awaitTermination()
+    target = SnapshotTable(spark, table, log.schema, X.KEYS, order=X.ORDER)
+    cfg = replace(X.FEED, max_pieces=2)
+    jobs.start_merge(stream, cfg, target, state, drain=True).awaitTermination()
     return merge.live(target.read(), X.ORDER)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -155,6 +156,49 @@ def test_phased_mode_can_empty_a_bucket(spark, folder):
     assert table.read().count() == 0 and table.head().version == 2
 
 
+def test_layers_read_like_rewritten_buckets(spark, folder):
+    """Random batches, out of order and repeated, laid over a table, merged into it, or both in turn."""
+    rnd = random.Random(5)
+    history = [(str(rnd.randrange(20)), f"v{t}", rnd.choice("IUD"), t) for t in range(120)]
+    last = {}
+    for i, v, op, t in history:
+        last[i] = (v, op)
+    expected = {i: v for i, (v, op) in last.items() if op != "D"}
+    rnd.shuffle(history)
+    batches = [history[i::4] for i in range(4)]
+    layered, mixed = (SnapshotTable(spark, f"{folder}/{n}", CHANGE, ["id"], 4, ["ts"]) for n in "ab")
+    for n, part in enumerate([*batches, batches[1]]):
+        merging.add_changes(layered, change_rows(spark, *part))
+        if n % 2:
+            merging.apply_changes(mixed, change_rows(spark, *part), ["ts"])
+        else:
+            merging.add_changes(mixed, change_rows(spark, *part))
+    assert max(len(p) for p in layered.head().places.values()) == 5
+    assert values(layered) == values(mixed) == expected
+    merging.compact(layered, 5)
+    assert layered.head().version == 5, "no bucket has more pieces than that"
+    merging.compact(layered)
+    assert layered.head().layered() == [] and values(layered) == expected
+    assert layered.read().count() == 20, "one row per key, deletes included"
+
+
+def test_layers_count_a_batch_once_and_need_an_order(spark, folder):
+    table = SnapshotTable(spark, folder, CHANGE, ["id"], 2, ["ts"])
+    for _ in range(2):
+        merging.add_changes(table, change_rows(spark, ("1", "a", "I", 1)), "w", 0)
+    assert table.head().version == 1
+    assert merging.add_changes(table, change_rows(spark), "w", 1).version == 1
+    with pytest.raises(ValueError, match="order"):
+        merging.add_changes(SnapshotTable(spark, folder, CHANGE, ["id"], 2), change_rows(spark, ("1", "a", "I", 1)))
+
+
+def test_phased_mode_does_not_take_remembered_deletes_for_rows(spark, folder):
+    table = SnapshotTable(spark, folder, CHANGE, ["id"], buckets=1)
+    merging.apply_changes(table, change_rows(spark, ("1", None, "D", 1), ("2", "a", "I", 1)), ["ts"])
+    merging.apply_changes(table, change_rows(spark, ("1", "b", "I", 2), ("2", "c", "U", 2)), ["ts"], mode=merging.PHASED)
+    assert values(table) == {"1": "b", "2": "c"}
+
+
 def test_bucket_number_is_fixed(spark, folder):
     merging.apply_changes(SnapshotTable(spark, folder, CHANGE, ["id"], buckets=4), change_rows(spark, ("1", "a", "I", 1)), ["ts"])
     with pytest.raises(ValueError, match="4 buckets"):

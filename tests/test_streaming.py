@@ -16,7 +16,7 @@ from tidemark.streaming import jobs, progress
 from test_deadletter import down
 from test_envelope import FLAT
 
-CFG = FeedConfig(feed="f", row_schema=FLAT, topic="t")
+CFG = FeedConfig(feed="f", row_schema=FLAT, topic="t", max_pieces=2)
 
 
 def history(n=120, seed=11):
@@ -52,7 +52,7 @@ def pipeline(spark, folder, publish=None):
     sent = topic.subscribe(spark, CFG, f"{folder}/topic", max_files=2)
     jobs.start_landing(sent, CFG, f"{folder}/raw", dead, f"{folder}/c2", drain=True).awaitTermination()
     schema = landing.raw_schema(spark, CFG)
-    table = SnapshotTable(spark, f"{folder}/target", schema, CFG.keys, buckets=2)
+    table = SnapshotTable(spark, f"{folder}/target", schema, CFG.keys, buckets=2, order=CFG.order)
     raw = rawzone.stream(spark, f"{folder}/raw", schema, max_files=2).drop(rawzone.DAY)
     jobs.start_merge(raw, CFG, table, f"{folder}/c3", drain=True).awaitTermination()
     return dead, table

@@ -33,7 +33,8 @@ class FeedConfig:
     """Everything a job needs to know about one feed.
 
     ``keys`` name the merge key columns of the row image, ``order`` the columns that
-    put two changes of one key in chronological order.
+    put two changes of one key in chronological order. ``max_pieces`` is how many pieces a
+    bucket of the target may have before the streaming merge rewrites it as one.
     """
 
     feed: str
@@ -48,6 +49,7 @@ class FeedConfig:
     trigger_seconds: int = 3
     max_attempts: int = 5
     topic_partitions: int = 4
+    max_pieces: int = 8
     kafka_options: dict[str, str] = field(default_factory=lambda: dict(KAFKA_DEFAULTS))
 
     @property

@@ -6,9 +6,10 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators import merge
-from tidemark.operators.changes import latest
+from tidemark.operators.changes import DELETE, latest
 from tidemark.sources import rawzone
 from tidemark.sources.snapshot import Head, SnapshotTable
 
@@ -44,23 +45,51 @@ def apply_changes(
     target, and only the buckets they fall into are read and rewritten.
     """
     head = table.head()
-    if batch is not None:
-        done = table.last_batch(writer)
-        if done is not None and batch <= done:
-            return head
     if mode not in (NET, PHASED):
         raise ValueError(f"unknown merge mode {mode!r}")
+    if _is_done(table, writer, batch):
+        return head
     reduced = latest(changes, table.keys if mode == NET else [*table.keys, "op"], order)
     staged = _staged(reduced.select(*table.schema.fieldNames()), f"{table.path}/staged/{uuid.uuid4().hex}")
     touched = table.touched(staged)
     if not touched:
         return head
     state = table.read(head, touched)
-    step = merge.fold if mode == NET else merge.phased
-    merged = step(state, staged, table.keys, order)
+    if mode == NET:
+        merged = merge.fold(state, staged, table.keys, order)
+    else:
+        # remembered deletes are no rows of the target
+        merged = merge.phased(state.filter(F.col("op") != DELETE), staged, table.keys, order)
     return table.commit(merged, touched, head, writer, batch)
 
 
+def add_changes(table: SnapshotTable, changes: DataFrame, writer: str = "", batch: int | None = None) -> Head:
+    """One commit that lays the net changes over the table without reading it.
+
+    Every key's last change wins when the table is read, so the result is that of
+    ``apply_changes`` in net mode. What a commit costs depends on the batch alone.
+    """
+    head = table.head()
+    if _is_done(table, writer, batch):
+        return head
+    rows = changes.select(*table.schema.fieldNames())
+    return table.add_layer(latest(rows, table.keys, table.order), head, writer, batch)
+
+
+def compact(table: SnapshotTable, max_pieces: int = 1) -> Head:
+    """Rewrites the buckets that have more pieces than that, each as one."""
+    head = table.head()
+    buckets = head.layered(max_pieces)
+    if not buckets:
+        return head
+    return table.commit(table.read(head, buckets), buckets, head)
+
+
+def _is_done(table: SnapshotTable, writer: str, batch: int | None) -> bool:
+    done = None if batch is None else table.last_batch(writer)
+    return done is not None and batch <= done
+
+
 def _staged(rows: DataFrame, folder: str) -> DataFrame:
     """Rows written to a folder and read back."""
     rows.write.parquet(folder)

@@ -3,7 +3,8 @@
 For storage without a table format. A commit writes the buckets it changes, by key hash,
 to ``data/<commit>/bucket=<b>`` and, last, one small manifest file that says which commit
 holds which bucket. Readers follow the newest manifest, so they see a commit whole or not
-at all, and a commit that dies half-way leaves nothing behind that counts.
+at all, and a commit that dies half-way leaves nothing behind that counts. A commit either
+replaces its buckets or, for frequent small batches, adds a layer to them.
 
 One job at a time may write to a table. A commit that finds that another came first fails
 instead of overwriting it; the batch can then be run again.
@@ -24,9 +25,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.changes import latest
+
 BUCKET = "bucket"
 _MANIFEST = "version bigint, bucket int, place string, buckets int, writer string, batch bigint"
-_ROW = {"bucket": pa.int32(), "place": pa.string(), "buckets": pa.int32(), "writer": pa.string(), "batch": pa.int64()}
+_ROW = pa.schema(
+    {"bucket": pa.int32(), "place": pa.string(), "buckets": pa.int32(), "writer": pa.string(), "batch": pa.int64()}
+)
 # Stands in the manifest for the commit itself, so that it has a row even without data.
 _COMMIT_ROW = -1
 
@@ -37,19 +42,39 @@ class ConcurrentCommit(RuntimeError):
 
 @dataclass(frozen=True)
 class Head:
-    """What is in force: version number and, for every non-empty bucket, the commit holding it."""
+    """What is in force: version number and, for every non-empty bucket, the commits holding it."""
 
     version: int
-    places: dict[int, str]
+    places: dict[int, tuple[str, ...]]
+
+    def layered(self, more_than: int = 1) -> list[int]:
+        """Buckets in more than so many pieces."""
+        return [b for b, pieces in self.places.items() if len(pieces) > more_than]
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], buckets: int = 16):
+    """Rows keyed by ``keys``; with ``order`` commits may also add layers.
+
+    A layer holds the newest change of some keys on top of what a bucket has, and costs no
+    more than the changes themselves. Reading takes the last row per key of the buckets
+    that have layers; rewriting such a bucket leaves it without.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        keys: Sequence[str],
+        buckets: int = 16,
+        order: Sequence[str] = (),
+    ):
         self.spark = spark
         self.path = path
         self.schema = schema
         self.keys = list(keys)
         self.buckets = buckets
+        self.order = list(order)
 
     def bucket_of(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
@@ -62,7 +87,11 @@ class SnapshotTable:
         rows = manifests.filter(F.col("version") == newest).collect()
         if rows[0]["buckets"] != self.buckets:
             raise ValueError(f"table at {self.path} has {rows[0]['buckets']} buckets, not {self.buckets}")
-        return Head(newest, {r["bucket"]: r["place"] for r in rows if r["bucket"] != _COMMIT_ROW})
+        places: dict[int, tuple[str, ...]] = {}
+        for r in rows:
+            if r["bucket"] != _COMMIT_ROW:
+                places[r["bucket"]] = (*places.get(r["bucket"], ()), r["place"])
+        return Head(newest, places)
 
     def last_batch(self, writer: str) -> int | None:
         """Highest batch number the writer has committed."""
@@ -75,9 +104,16 @@ class SnapshotTable:
         """Rows in force, of all buckets or of some."""
         head = head or self.head()
         wanted = head.places if only is None else {b: p for b, p in head.places.items() if b in set(only)}
-        if not wanted:
+        whole = self._folders({b: p for b, p in wanted.items() if len(p) == 1})
+        pieces = self._folders({b: p for b, p in wanted.items() if len(p) > 1})
+        return self._load(whole).unionByName(latest(self._load(pieces), self.keys, self.order)) if pieces else self._load(whole)
+
+    def _folders(self, places: dict[int, tuple[str, ...]]) -> list[str]:
+        return [f"{self.path}/data/{p}/{BUCKET}={b}" for b, pieces in sorted(places.items()) for p in pieces]
+
+    def _load(self, folders: list[str]) -> DataFrame:
+        if not folders:
             return self.spark.createDataFrame([], self.schema)
-        folders = [f"{self.path}/data/{p}/{BUCKET}={b}" for b, p in sorted(wanted.items())]
         return self.spark.read.schema(self.schema).parquet(*folders)
 
     def touched(self, rows: DataFrame) -> list[int]:
@@ -85,21 +121,38 @@ class SnapshotTable:
         return [r[BUCKET] for r in rows.select(self.bucket_of().alias(BUCKET)).distinct().collect()]
 
     def commit(
-        self,
-        rows: DataFrame,
-        touched: Sequence[int],
-        head: Head,
-        writer: str = "",
-        batch: int | None = None,
+        self, rows: DataFrame, touched: Sequence[int], head: Head, writer: str = "", batch: int | None = None
     ) -> Head:
         """Puts ``rows`` in the place of everything in the touched buckets."""
+        place, filled = self._store(rows)
+        places = {b: p for b, p in head.places.items() if b not in set(touched)}
+        places |= dict.fromkeys(filled, (place,))
+        return self._publish(places, place, head, writer, batch)
+
+    def add_layer(self, changes: DataFrame, head: Head, writer: str = "", batch: int | None = None) -> Head:
+        """Puts ``changes``, one row per key, on top of the buckets they fall into."""
+        if not self.order:
+            raise ValueError("layers need the columns that order changes")
+        place, filled = self._store(changes)
+        if not filled:
+            return head
+        places = dict(head.places)
+        for b in filled:
+            places[b] = (*places.get(b, ()), place)
+        return self._publish(places, place, head, writer, batch)
+
+    def _store(self, rows: DataFrame) -> tuple[str, list[int]]:
+        """Writes rows by bucket; returns the name of the place and the buckets in it."""
         place = uuid.uuid4().hex
         folder = f"{self.path}/data/{place}"
         stored = rows.select(*self.schema.fieldNames()).withColumn(BUCKET, self.bucket_of())
         stored.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(folder)
-        filled = {r[BUCKET] for r in self.spark.read.schema(f"{BUCKET} int").parquet(folder).distinct().collect()}
-        places = {b: p for b, p in head.places.items() if b not in set(touched)}
-        places |= dict.fromkeys(filled, place)
+        found = self.spark.read.schema(f"{BUCKET} int").parquet(folder).distinct()
+        return place, [r[BUCKET] for r in found.collect()]
+
+    def _publish(
+        self, places: dict[int, tuple[str, ...]], place: str, head: Head, writer: str, batch: int | None
+    ) -> Head:
         version = head.version + 1
         manifest = self.spark.createDataFrame(self._manifest_of(places, place, writer, batch)).coalesce(1)
         if self.head().version != head.version:
@@ -108,11 +161,12 @@ class SnapshotTable:
         manifest.write.mode("overwrite").parquet(f"{self.path}/manifest/version={version}")
         return Head(version, places)
 
-    def _manifest_of(self, places: dict[int, str], place: str, writer: str, batch: int | None) -> pa.Table:
-        listed = {**places, _COMMIT_ROW: place}
-        n = len(listed)
-        columns = [list(listed), list(listed.values()), [self.buckets] * n, [writer] * n, [batch] * n]
-        return pa.table([pa.array(c, t) for c, t in zip(columns, _ROW.values(), strict=True)], names=list(_ROW))
+    def _manifest_of(
+        self, places: dict[int, tuple[str, ...]], place: str, writer: str, batch: int | None
+    ) -> pa.Table:
+        listed = [(b, p) for b, pieces in places.items() for p in pieces] + [(_COMMIT_ROW, place)]
+        rows = [{"bucket": b, "place": p, "buckets": self.buckets, "writer": writer, "batch": batch} for b, p in listed]
+        return pa.Table.from_pylist(rows, schema=_ROW)
 
     def _manifests(self) -> DataFrame | None:
         try:

@@ -7,7 +7,7 @@ changes nothing.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -74,12 +74,17 @@ def start_merge(
     table: SnapshotTable,
     checkpoint: str,
     drain: bool = False,
-    order: Sequence[str] | None = None,
 ) -> StreamingQuery:
-    """Raw changes into the target table, one commit per micro-batch."""
+    """Raw changes into the target table, one commit per micro-batch.
+
+    A micro-batch becomes a layer on the buckets it falls into, which costs as much as the
+    batch and nothing for the rest of the target. A bucket with more than
+    ``cfg.max_pieces`` pieces is rewritten as one.
+    """
 
     def batch(rows: DataFrame, number: int) -> None:
-        merging.apply_changes(table, rows, order or cfg.order, writer=f"{cfg.feed}-merge", batch=number)
+        merging.add_changes(table, rows, f"{cfg.feed}-merge", number)
+        merging.compact(table, cfg.max_pieces)
 
     return start(changes, batch, cfg, checkpoint, drain)
 
