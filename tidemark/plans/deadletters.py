@@ -73,9 +73,8 @@ def replay(
     """
     head = table.head()
     tried = deadletter.retriable(table.read(head)).select("dlq_key", "raw")
-    checked = envelope.classify(tried, keys or cfg.keys, row_schema or cfg.row_schema, text="raw").persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
+    classified = envelope.classify(tried, keys or cfg.keys, row_schema or cfg.row_schema, text="raw")
+    checked = classified.select("dlq_key", "raw", "reason", "key_text").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         delivered = True
         try:

@@ -64,9 +64,9 @@ def deliver(
     for retry; nothing is lost. With ``publish_dead`` the faulty lines also go to the
     dead-letter topic.
     """
-    classified = envelope.classify(lines, cfg.keys, cfg.row_schema)
+    classified = envelope.classify(lines.select("line"), cfg.keys, cfg.row_schema)
     observed, counts = audit.observe_intake(classified, "ts_ms")
-    checked = observed.persist(StorageLevel.MEMORY_AND_DISK)
+    checked = observed.select("line", "reason", "key_text").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good = envelope.valid(checked)
         delivered = True

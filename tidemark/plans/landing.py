@@ -2,21 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import FeedConfig
-from tidemark.operators.envelope import image_rows
+from tidemark.operators.envelope import OK, valid
 from tidemark.operators.flatten import flatten
 from tidemark.sources import rawzone
 
 
-def flat_rows(classified: DataFrame, cfg: FeedConfig) -> DataFrame:
-    """Flat raw rows of the valid events; ``classified`` carries ``ingest_date``."""
-    return flatten(image_rows(classified, cfg.row_schema, carry=[rawzone.DAY]))
+_ORDER = ("op", "ts_ms", "ts_us", "ts_ns")
+
+
+def outcome(classified: DataFrame, cfg: FeedConfig, raw: Column) -> DataFrame:
+    """What both sinks need of a classified event and no more, so that it is cheap to keep.
+
+    A good event is its typed row image, a faulty one its raw text.
+    """
+    good = F.col("reason") == OK
+    row = F.try_variant_get("image", "$", cfg.row_schema.simpleString())
+    return classified.select(
+        rawzone.DAY, "reason", F.when(~good, raw).alias("raw"), F.when(good, row).alias("_row"), *_ORDER
+    )
+
+
+def flat_rows(outcomes: DataFrame) -> DataFrame:
+    """Flat raw rows of the good events."""
+    return flatten(valid(outcomes).select(rawzone.DAY, "_row.*", *_ORDER))
 
 
 def raw_schema(spark: SparkSession, cfg: FeedConfig) -> T.StructType:
     """Schema of the raw rows of a feed, without the day."""
-    order = T.StructType().add("op", "string").add("ts_ms", "long").add("ts_us", "long").add("ts_ns", "long")
+    types = ("string", "long", "long", "long")
+    order = T.StructType()
+    for name, kind in zip(_ORDER, types, strict=True):
+        order.add(name, kind)
     return flatten(spark.createDataFrame([], T.StructType([*cfg.row_schema.fields, *order.fields]))).schema

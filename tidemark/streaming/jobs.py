@@ -53,19 +53,19 @@ def start_landing(
     writer = f"{cfg.feed}-landing"
 
     def batch(arrived: DataFrame, number: int) -> None:
-        checked = envelope.classify(arrived, cfg.keys, cfg.row_schema, text="value", binary=True).persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
+        classified = envelope.classify(arrived, cfg.keys, cfg.row_schema, text="value", binary=True)
+        outcomes = landing.outcome(classified, cfg, _text_of("value")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            rows = landing.flat_rows(checked, cfg)
+            rows = landing.flat_rows(outcomes)
             rawzone.write(rows, raw_path, cfg.raw_format, f"{writer}-{number}", many_days=False)
-            bad = envelope.quarantined(checked).withColumn("raw", _text_of("value"))
+            bad = envelope.quarantined(outcomes)
             log = deadletter.puts(bad, "raw", deadletter.message_key("raw"), "reason")
             deadletters.put(dead, log, cfg.max_attempts, writer, number)
         finally:
-            checked.unpersist()
+            outcomes.unpersist()
 
-    return start(messages.withColumn(rawzone.DAY, F.current_date()), batch, cfg, checkpoint, drain)
+    dated = messages.select("value", F.current_date().alias(rawzone.DAY))
+    return start(dated, batch, cfg, checkpoint, drain)
 
 
 def start_merge(
