@@ -210,4 +210,15 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
     assert net.filter("key = 'hot'").collect()[0]["ts"] == n - 3
     assert net.count() == n - n // 3 + 1
     plan = net._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("partial_max_by") == 1 and plan.count("Exchange") == 1
+    assert plan.count("partial_max(struct") == 1 and plan.count("Exchange") == 1
+
+
+def test_rows_of_one_instant_and_columns_that_cannot_be_compared(spark):
+    b = spark.createDataFrame([(0, "k", v, "U", 1, 1) for v in ("a", "c", "b")], CHANGE)
+    for n in (1, 3):
+        assert changes.latest(b.repartition(n), KEYS, ORDER).first()["v"] == "c"
+    maps = b.withColumn("m", F.create_map("v", "seq")).withColumn("seq", F.ascii("v").cast("bigint"))
+    row = changes.latest(maps, KEYS, ORDER).collect()
+    assert len(row) == 1 and row[0]["m"] == {"c": 1} and changes.latest(maps, KEYS, ORDER).columns == maps.columns
+    # an order that names a key column
+    assert changes.latest(b, KEYS, ["id", "ts", "seq"]).columns == b.columns

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 INSERT, UPDATE, DELETE = "I", "U", "D"
 OPS = (INSERT, UPDATE, DELETE)
@@ -25,12 +26,38 @@ def latest(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     """The last change of every key, whole rows.
 
     The aggregate combines before its shuffle: a key with a third of all changes leaves
-    one row per map task. It sorts by key only and holds one row per key, which measures
-    faster than ranking every key's rows. All columns of ``changes`` are carried along,
-    so select the ones needed first.
+    one row per map task. It sorts by key only and holds one row per key, where ranking
+    would sort every key's rows. All columns of ``changes`` are carried along, so select
+    the ones needed first.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in changes.columns])
-    return changes.groupBy(*keys).agg(F.max_by(row, F.struct(*order)).alias("_row")).select("_row.*")
+    time = [c for c in order if c not in keys]
+    payload = [c for c in changes.columns if c not in keys]
+    last = changes.groupBy(*keys).agg(newest(changes.schema, payload, time).alias("_row"))
+    return last.select(*[F.col(f"`{c}`") if c in keys else F.col("_row")[c].alias(c) for c in changes.columns])
+
+
+def newest(schema: T.StructType, columns: Sequence[str], order: Sequence[str], where: Column | None = None) -> Column:
+    """Aggregate: the newest row as a struct of ``columns`` and ``order``, of rows that hold ``where``.
+
+    As the greatest struct with the order columns in front, each column travels once, and
+    of two rows of the same instant it is always the same one that wins. Maps and variants
+    cannot be compared; rows with such columns are picked by their order columns alone.
+    """
+    fields = list(dict.fromkeys([*order, *columns]))
+    row, time = F.struct(*[F.col(f"`{c}`") for c in fields]), F.struct(*order)
+    if where is not None:
+        row, time = F.when(where, row), F.when(where, time)
+    if all(_is_comparable(schema[c].dataType) for c in fields):
+        return F.max(row)
+    return F.max_by(row, time)
+
+
+def _is_comparable(t: T.DataType) -> bool:
+    if isinstance(t, T.StructType):
+        return all(_is_comparable(f.dataType) for f in t.fields)
+    if isinstance(t, T.ArrayType):
+        return _is_comparable(t.elementType)
+    return not isinstance(t, T.MapType | T.VariantType)
 
 
 def split_by_op(changes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

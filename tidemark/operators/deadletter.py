@@ -60,12 +60,12 @@ def _by_item(log: DataFrame, max_attempts: int) -> DataFrame:
     return (
         log.groupBy("dlq_key")
         .agg(
-            F.max_by(F.struct("raw", "reason"), F.struct("seen_at", "reason", "raw")).alias("_last"),
+            F.max(F.struct("seen_at", "reason", "raw")).alias("_last"),
             F.sum("attempts").cast("int").alias("attempts"),
             F.min("first_seen").alias("first_seen"),
-            F.max("seen_at").alias("last_seen"),
         )
-        .select("dlq_key", "_last.*", "attempts", "first_seen", "last_seen")
+        .select("dlq_key", "_last.*", "attempts", "first_seen")
+        .withColumnRenamed("seen_at", "last_seen")
         .withColumn("retriable", _retriable(max_attempts))
         .select(*STATE_COLUMNS)
     )

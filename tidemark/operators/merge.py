@@ -15,7 +15,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.changes import DELETE, INSERT, UPDATE, latest
+from tidemark.operators.changes import DELETE, INSERT, UPDATE, latest, newest
 
 
 def match_condition(keys: Sequence[str], target: str = "target", source: str = "source") -> Column:
@@ -81,17 +81,13 @@ def phased(target: DataFrame, changes: DataFrame, keys: Sequence[str], order: Se
         *[F.when(replaced, F.col("_update")[c]).otherwise(F.col(c)).alias(c) if c in rest else F.col(c) for c in payload]
     )
     born = folded.filter("_insert is not null and not _deleted").join(target.select(*keys), list(keys), "left_anti")
-    return surviving.unionByName(born.select(F.coalesce("_update", "_insert").alias("_row")).select("_row.*"))
+    row = F.coalesce("_update", "_insert")
+    return surviving.unionByName(born.select(*[row[c].alias(c) for c in payload]))
 
 
 def per_kind(changes: DataFrame, keys: Sequence[str], order: Sequence[str], payload: Sequence[str]) -> DataFrame:
     """One row per key: last insert row, last update row, and whether a delete occurs."""
-    row, when = F.struct(*payload), F.struct(*order)
-
-    def last_of(kind: str) -> Column:
-        of_kind = F.col("op") == kind
-        return F.max_by(F.when(of_kind, row), F.when(of_kind, when))
-
+    last_of = lambda kind: newest(changes.schema, payload, order, F.col("op") == kind)
     return changes.groupBy(*keys).agg(
         last_of(INSERT).alias("_insert"),
         last_of(UPDATE).alias("_update"),

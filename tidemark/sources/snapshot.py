@@ -80,11 +80,10 @@ class SnapshotTable:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
     def head(self) -> Head:
-        manifests = self._manifests()
-        newest = None if manifests is None else manifests.agg(F.max("version").alias("v")).first()["v"]
-        if newest is None:
+        newest = self._newest_version()
+        if newest == 0:
             return Head(0, {})
-        rows = manifests.filter(F.col("version") == newest).collect()
+        rows = self._manifests().filter(F.col("version") == newest).collect()
         if rows[0]["buckets"] != self.buckets:
             raise ValueError(f"table at {self.path} has {rows[0]['buckets']} buckets, not {self.buckets}")
         places: dict[int, tuple[str, ...]] = {}
@@ -155,7 +154,7 @@ class SnapshotTable:
     ) -> Head:
         version = head.version + 1
         manifest = self.spark.createDataFrame(self._manifest_of(places, place, writer, batch)).coalesce(1)
-        if self.head().version != head.version:
+        if self._newest_version() != head.version:
             raise ConcurrentCommit(f"{self.path} is beyond version {head.version}")
         # overwrite clears what a failed try may have left in the manifest's folder
         manifest.write.mode("overwrite").parquet(f"{self.path}/manifest/version={version}")
@@ -168,6 +167,11 @@ class SnapshotTable:
         rows = [{"bucket": b, "place": p, "buckets": self.buckets, "writer": writer, "batch": batch} for b, p in listed]
         return pa.Table.from_pylist(rows, schema=_ROW)
 
+    def _newest_version(self) -> int:
+        manifests = self._manifests()
+        newest = None if manifests is None else manifests.agg(F.max("version").alias("v")).first()["v"]
+        return newest or 0
+
     def _manifests(self) -> DataFrame | None:
         try:
             return self.spark.read.schema(_MANIFEST).parquet(f"{self.path}/manifest")
