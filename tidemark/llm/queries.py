@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality
+from tidemark.llm import mixing, packing, pii, quality, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_url_filters": urls.op4,
+    "op5_packing": packing.op5,
+    "op8_pii": pii.op8,
+    "op9_mixing": mixing.op9,
     "op10_quality_rules": quality.op10,
 }
 
