@@ -128,6 +128,34 @@ def sliding_min(values: np.ndarray, w: int) -> np.ndarray:
     return at
 
 
+def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """Batches cut where ``key`` changes and joined where it does not: one per value."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = batch.column(key)
+        if batch.num_rows > 1:
+            edges = np.flatnonzero(pc.not_equal(values.slice(1), values.slice(0, len(values) - 1)).to_numpy(zero_copy_only=False)) + 1
+        else:
+            edges = np.zeros(0, np.int64)
+        cuts = [0, *edges.tolist(), batch.num_rows]
+        if held and held[0].column(key)[0] != values[0]:
+            yield _one_batch(held)
+            held = []
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if a:
+                yield _one_batch(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield _one_batch(held)
+
+
+def _one_batch(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.concat_batches(parts)
+
+
 @dataclass
 class Words:
     """Words of a piece: ids into ``vocab``, and where each document's words begin and end."""
@@ -163,8 +191,3 @@ def split(texts: pa.Array) -> Words:
     ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     return Words(ids, kept[offsets], coded.dictionary)
 
-
-def hex_digests(chunks: Iterable[bytes]) -> list[str]:
-    from hashlib import sha256
-
-    return [sha256(x).hexdigest() for x in chunks]
