@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, packing, pii, quality, urls
+from tidemark.llm import mixing, near, packing, pii, quality, substring, suffixes, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": substring.op1,
+    "op2_toxicity": toxicity.op2,
+    "op3_minhash_near_dedup": near.op3,
     "op4_url_filters": urls.op4,
     "op5_packing": packing.op5,
+    "op6_suffix_dedup": suffixes.op6,
     "op8_pii": pii.op8,
     "op9_mixing": mixing.op9,
     "op10_quality_rules": quality.op10,
