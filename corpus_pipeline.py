@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality
+from tidemark.llm import mixing, near, packing, pii, quality
 from tidemark.llm.frames import Scratch
 
 STAGES = [
     ("quality rules", quality.stage),
+    ("near-dedup", near.stage),
+    ("personal data", pii.stage),
+    ("mixing", mixing.stage),
+    ("packing", packing.stage),
 ]
 
 # The stages are fitted models and searches that SQL does not express; they are tested by brute force.

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, near, packing, pii, quality, substring, suffixes, toxicity, urls
+from tidemark.llm import embeddings, mixing, near, packing, pii, quality, substring, suffixes, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": substring.op1,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filters": urls.op4,
     "op5_packing": packing.op5,
     "op6_suffix_dedup": suffixes.op6,
+    "op7_embedding_near_dedup": embeddings.op7,
     "op8_pii": pii.op8,
     "op9_mixing": mixing.op9,
     "op10_quality_rules": quality.op10,
