@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embeddings, mixing, near, packing, pii, quality, substring, suffixes, toxicity, urls
+from tidemark.llm import embeddings, mixing, near, packing, pii, quality, sql, substring, suffixes, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": substring.op1,
@@ -21,4 +21,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": quality.op10,
 }
 
-ORACLES: dict[str, str] = {}
+# the others are fitted models, packings and samples: they are tested by brute force and on held-out rows
+ORACLES: dict[str, str] = {
+    "op1_substring_dedup": sql.SUBSTRING,
+    "op3_minhash_near_dedup": sql.NEAR,
+    "op4_url_filters": sql.urls(
+        urls.ORDER, urls.MIN_COUNT, urls.PRIOR, urls.ALPHABET, urls.BINS, urls.SPAN, urls.RULES
+    ),
+    "op6_suffix_dedup": sql.SUFFIXES,
+    "op7_embedding_near_dedup": sql.EMBEDDINGS,
+}

@@ -121,7 +121,7 @@ def raw_scores(texts: DataFrame, model: DataFrame) -> DataFrame:
 def fit(texts: DataFrame, scratch: Scratch) -> Model:
     """texts: distinct (text, accepted), the latter null where no rule decides."""
     known = texts.filter("accepted is not null and text <> ''")
-    held = F.pmod(F.crc32(F.encode("text", "UTF-8")), F.lit(5)) == 0
+    held = F.conv(F.substring(F.md5(F.encode("text", "UTF-8")), 1, 6), 16, 10).cast("long") % 5 == 0
     counts = scratch.table(gram_counts(known.filter(~held)), "counts")
     have = counts.filter("n = 1").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).first()
     if not (have["a"] and have["b"]):
@@ -155,7 +155,9 @@ def judge(pages: DataFrame, rules=RULES, url: str = "url", into: str = "filter")
     parsed = parsed.withColumn(key, F.concat(F.col(made)["host"], F.col(made)["path"]))
     rule = matching_rule(F.col(made)["host"], F.col(made)["path"], rules)
     texts = parsed.select(F.col(key).alias("text"), (rule["verdict"] == "allow").alias("accepted")).groupBy("text")
-    texts = scratch.table(texts.agg(F.min("accepted").alias("accepted")), "texts")
+    # cut into n-grams text by text: small files, but many tasks
+    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = scratch.table(texts.agg(F.min("accepted").alias("accepted")).repartition(parts, "text"), "texts")
     model = fit(texts, scratch)
     if model.grams is None:
         scores = texts.filter("accepted is null").select("text", F.lit(0.0).alias("z"))
