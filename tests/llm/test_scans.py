@@ -1,0 +1,339 @@
+"""Quality rules, toxicity, personal data, packing and mixing."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import brute
+from tidemark.llm import learn, mixing, packing, pii, quality, toxicity
+from tidemark.llm import words as W
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return brute.documents(spark).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def real(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def _by_id(rows):
+    return {r.doc_id: r for r in rows}
+
+
+# quality rules
+
+
+def _rules(text):
+    own = brute.words(text)
+    text = text or ""
+    lines = [x for x in text.split("\n") if brute.words(x)]
+    repeated = brute.repeated_words(own)
+    return (
+        len(own),
+        sum(map(len, own)),
+        sum(c in "#*$%&|<>" for c in text),
+        len(lines) - len(set(lines)),
+        repeated,
+        len(own) < 20 or 100 * repeated > 30 * len(own),
+    )
+
+
+def test_quality_counts(spark, docs):
+    noise = [(100 + k, t) for k, t in enumerate(["a#b $$ |<>\nx\n \nx\nx \n\x0b\nx", "k " * 8, "k " * 7, "\n\n", "é ß " * 30, "x y\n" * 50])]
+    both = docs.unionByName(brute.documents(spark, noise))
+    model = quality.Model(np.append(np.zeros(1 << quality.BITS), 3.0), 1.0, 0.0)
+    for r in quality.judge(both, model, "q").collect():
+        q = r["q"]
+        assert (q.n_words, q.word_chars, q.n_symbols, q.n_dup_lines, q.n_repeat_words, q.base_failed) == _rules(r.text), r.doc_id
+        assert q.kept == (not q.base_failed) and r["kept"] == "x"
+
+
+def test_quality_learns(spark, real):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    train = labels.filter(F.col("doc_id") % 2 == 0)
+    out = quality.judge(real, quality.fit(real, train), "q").select("doc_id", "q.quality", "q.base_failed").join(labels.withColumnRenamed("quality", "y"), "doc_id")
+    held = out.filter("doc_id % 2 = 1 and not base_failed").collect()
+    assert sum((r.quality >= 0.5) == (r.y == 1) for r in held) >= 0.97 * len(held)
+    clean = [r for r in held if r.y == 1]
+    assert sum(r.quality >= 0.5 for r in clean) >= 0.99 * len(clean)
+
+
+def test_quality_scores_agree_with_features():
+    texts = pa.array([t or "" for _, t in brute.texts()])
+    own = W.split(texts)
+    weights = np.random.default_rng(1).normal(size=(1 << quality.BITS) + 1)
+    rows = [weights[-1] + float((weights[c] * v).sum()) for c, v in quality.features(own)]
+    assert np.allclose(rows, quality.logits(own, weights), atol=1e-4)
+
+
+def test_quality_without_labels_keeps_what_the_rules_keep(spark, docs):
+    labels = spark.createDataFrame([(1, None), (2, 1), (3, 0), (3, 1), (None, 0)], "doc_id long, quality int")
+    out = quality.judge(docs, quality.fit(docs, labels), "q").select("q.*").collect()
+    assert all(r.kept == (not r.base_failed) for r in out)
+    assert quality.judge(docs.limit(0), quality.fit(docs.limit(0), labels), "q").count() == 0
+
+
+def test_quality_stage(spark, docs):
+    out = quality.stage(spark, docs, SF)
+    assert out.columns == docs.columns
+    assert {r.doc_id for r in out.collect()} <= {i for i, t in brute.texts() if t and not _rules(t)[-1]}
+
+
+# toxicity
+
+
+def test_marginals_are_those_of_the_whole_chain():
+    rng = np.random.default_rng(0)
+    unary, offsets, chain = rng.normal(size=700) * 2, np.array([0, 0, 3, 300, 301, 700, 700]), rng.normal(size=6)
+    step = np.exp(chain[2:].reshape(2, 2))
+    for size in (1, 16, 1000):
+        got = toxicity.marginals(unary, offsets, chain, size)
+        for a, b in zip(offsets[:-1], offsets[1:], strict=True):
+            if a == b:
+                continue
+            emit = np.stack([np.ones(b - a), np.exp(unary[a:b])], axis=1)
+            ahead, behind = np.zeros((b - a, 2)), np.ones((b - a, 2))
+            ahead[0] = np.exp(chain[:2]) * emit[0]
+            for t in range(1, b - a):
+                ahead[t] = (ahead[t - 1] @ step) * emit[t]
+                ahead[t] /= ahead[t].sum()
+            for t in range(b - a - 2, -1, -1):
+                behind[t] = step @ (emit[t + 1] * behind[t + 1])
+                behind[t] /= behind[t].sum()
+            joint = ahead * behind
+            assert np.allclose(joint[:, 1] / joint.sum(axis=1), got[a:b])
+
+
+def test_toxicity_on_held_out_rows(spark):
+    out = toxicity.op2(spark, "/root/testdata/sf0.1").select("doc_id", "held_out", "score", "predicted", "spans")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    rows = out.join(labels, "doc_id").filter("held_out and toxic is not null").collect()
+    toxic, clean = [r for r in rows if r.toxic == 1], [r for r in rows if r.toxic == 0]
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in out.limit(2000).collect())
+    # a twelfth of the toxic labels is noise: nothing in the text shows it
+    assert sum(r.predicted for r in toxic) >= 0.85 * len(toxic)
+    assert sum(r.predicted for r in clean) <= 0.01 * len(clean)
+    assert sum(bool(r.spans) for r in toxic) >= 0.85 * len(toxic)
+
+
+def test_toxic_spans_are_the_words(spark):
+    # three words are toxic, in one family by their beginning
+    rnd = random.Random(2)
+    rows, labels = [], []
+    for k in range(400):
+        own = [brute.prose(1000 + k * 50 + j, 1) for j in range(40)]
+        if k % 4 == 0:
+            for _ in range(3):
+                own[rnd.randrange(40)] = rnd.choice(["zzqworda", "zzqwordb", "zzqwordc"])
+        rows.append((k, " ".join(own)))
+        labels.append((k, int(k % 4 == 0)))
+    docs = brute.documents(spark, rows)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    probe = brute.documents(spark, [(1, "Some good words, ZZQWORDA! and zzqwordnew here"), (2, "all is fine"), (3, None), (4, "")])
+    got = {r.doc_id: r["t"] for r in toxicity.score(probe, model, "t").collect()}
+    text = "Some good words, ZZQWORDA! and zzqwordnew here"
+    spans = [text[int(a) : int(b)] for a, b in (s.split(":") for s in got[1].spans.split(","))]
+    assert spans == ["ZZQWORDA!", "zzqwordnew"]
+    assert got[1].score > got[2].score and got[2].spans == got[3].spans == got[4].spans == ""
+    assert got[3].score == got[4].score <= got[2].score + 1e-9
+
+
+def test_toxicity_without_labels(spark, docs):
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    out = toxicity.score(docs, toxicity.fit(docs, none), "t")
+    assert out.select("t.score", "t.predicted").distinct().collect() == [(0.0, 0)]
+    assert toxicity.score(docs.limit(0), None, "t").count() == 0
+
+
+def test_lbfgs_and_calibration():
+    x = learn.lbfgs(lambda v: (float(((v - 3) ** 2).sum() + v[0] ** 4), 2 * (v - 3) + np.array([4 * v[0] ** 3, 0])), np.zeros(2))
+    assert abs(x[1] - 3) < 1e-3 and abs(4 * x[0] ** 3 + 2 * (x[0] - 3)) < 1e-2
+    z = np.random.default_rng(0).normal(size=4000)
+    y = (np.random.default_rng(1).random(4000) < learn.sigmoid(2 * z - 1)).astype(float)
+    a, b = learn.calibrate(z, y)
+    assert abs(a - 2) < 0.2 and abs(b + 1) < 0.15
+
+
+# personal data
+
+
+def _base(spans):
+    return [s for s in spans if s[0] in pii.BASE]
+
+
+@pytest.mark.parametrize("alphabet", ["a1@.+- :/9Z5_%()", "0123456789 -.", "+0123456789 ().-", "a@.-1"])
+def test_personal_data_is_that_of_the_patterns(alphabet):
+    rnd = random.Random(alphabet)
+    for _ in range(8000):
+        text = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 60)))
+        assert _base(pii.find(text)) == brute.personal(text), text
+
+
+def test_personal_data_cases():
+    assert pii.find("") == []
+    assert pii.find("ünï a.b@c.de x") == [("email", 4, 12)]
+    assert [k for k, *_ in pii.find('see https://me:pw@host.org/x and token = "04dbebab91ab85687d33"')] == ["url", "email", "account"]
+    assert pii.find("the tokens of http://example.org/path are few") == []
+    long = "9" * 200_000 + "." * 100_000 + "@" * 1000 + " 4111 1111 1111 1111"
+    assert pii.find(long)[-1][0] == "card"
+    text = "mail a@b.cc, call +49 30 1234567 now"
+    assert pii.mask(text, pii.find(text)) == "mail <EMAIL>, call <PHONE> now"
+
+
+def test_personal_data_query_and_stage(spark, real, docs):
+    out = pii.detect(real.select("doc_id", "text"), "p").select("doc_id", "text", "p.*").collect()
+    for r in out:
+        base = brute.personal(r.text)
+        listed = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(s[0] == k for s in base) for k in pii.BASE)
+    masked = pii.stage(spark, real, "")
+    assert masked.schema == real.schema
+    for r in masked.collect():
+        assert not brute.personal(r.text) and r.n_chars == len(r.text)
+    same = pii.stage(spark, docs, "")
+    assert same.columns == docs.columns
+    assert sorted(map(repr, same.collect())) == sorted(map(repr, docs.collect()))
+    assert pii.detect(docs.limit(0), "p").count() == 0
+
+
+# packing
+
+
+def _tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(packing.default_path())
+
+
+def test_word_ids_are_those_of_the_whole_text():
+    tokenizer, encoder = _tokenizer(), packing.WordEncoder(packing.default_path())
+    rnd = random.Random(5)
+    alphabet = "aAbZ éÉ̌J.,!?;:'sST09\n\t\x0b\x01<|>-_   \x85ǅİıΣß한日́‍#&"
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 25))) for _ in range(6000)]
+    texts += ["<|endoftext|> a<|startoftext|>b <|STARTOFTEXT|>", "it's 'S foo's. we'Re,", "\x01", "a\x01 b", ""]
+    for part in (texts[:3000], texts[3000:]):
+        ids, offsets = encoder.encode(pa.array(part))
+        for k, text in enumerate(part):
+            assert tokenizer.encode(text, add_special_tokens=False).ids == ids[offsets[k] : offsets[k + 1]].tolist(), text
+
+
+def _check_packing(rows, texts, limits):
+    """texts: (id, text) of the packed documents; equal documents may have any of the equal rows."""
+    tokenizer, sequences, documents = _tokenizer(), defaultdict(list), defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append(r)
+        documents[r.doc_id].append(r)
+    expected = defaultdict(list)
+    for i, text in texts:
+        expected[i].append(tokenizer.encode(text or "", add_special_tokens=False).ids + [1])
+    assert set(documents) == set(expected)
+    for i, wholes in expected.items():
+        assert sum(r.length for r in documents[i]) == sum(map(len, wholes))
+        if len(wholes) == 1:
+            at = 0
+            for r in sorted(documents[i], key=lambda r: r.start):
+                ids = np.array(wholes[0][at : at + r.length], "<u4").tobytes()
+                assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(wholes[0]), zlib.crc32(ids))
+                at += r.length
+    padding = 0
+    for own in sequences.values():
+        at = 0
+        for r in sorted(own, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= limits[0] and len(own) <= limits[1]
+        padding += limits[0] - at if at & (at - 1) else 0
+    return padding
+
+
+def test_packing(spark, docs):
+    rows = packing.pack(docs, packing.default_path()).collect()
+    assert _check_packing(rows, brute.texts(), (2048, 256)) == 0
+    assert packing.pack(docs.limit(0), packing.default_path()).count() == 0
+
+
+def test_packing_under_three_limits(spark, real, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK", 64)
+    some = real.limit(200).select("doc_id", "text")
+    rows = packing.pack(some, packing.default_path(), limit=512, max_segments=3, max_loss=300, with_ids=True).collect()
+    assert _check_packing(rows, [(r.doc_id, r.text) for r in some.collect()], (512, 3)) == 0
+    loss = defaultdict(int)
+    for r in rows:
+        loss[r.sequence_id] += r.length
+        assert zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
+    assert max(loss.values()) <= 300
+
+
+def test_items_with_masked_loss():
+    rng = np.random.default_rng(0)
+    items = [packing.Item(k, 0, np.arange(n, dtype=np.uint32), n, rng.random(n) < 0.5) for k, n in enumerate(rng.integers(1, 900, 60).tolist())]
+    done, rest = packing.fill(items, (1024, 8, 400), True)
+    assert not rest and sum(len(x.ids) for s in done for x in s) == sum(len(x.ids) for x in items)
+    for s in done:
+        assert len(s) <= 8 and sum(len(x.ids) for x in s) <= 1024 and sum(int(x.loss.sum()) for x in s) <= 400
+
+
+# mixing
+
+
+def _raked(cells, targets):
+    """cells: {(a, b): tokens}; classical iterative proportional fitting."""
+    weight = dict(cells)
+    for _ in range(200):
+        for d, target in enumerate(targets):
+            total = defaultdict(float)
+            for key, w in weight.items():
+                total[key[d]] += w
+            weight = {key: w * target[key[d]] / total[key[d]] if total[key[d]] else 0.0 for key, w in weight.items()}
+    return weight
+
+
+def test_raking(spark):
+    cells = {("a", "x"): 100, ("a", "y"): 50, ("b", "x"): 10, ("b", "y"): 400, ("c", "x"): 5, ("c", "y"): 5}
+    targets = [{"a": 0.5, "b": 0.3, "c": 0.2}, {"x": 0.4, "y": 0.6}]
+    df = spark.createDataFrame([(*k, v) for k, v in cells.items()], "source string, lang string, tokens long")
+    out = mixing.rake(df, ("source", "lang"), {"source": targets[0], "lang": targets[1]}, sweeps=20)
+    expected = _raked(cells, targets)
+    total = sum(expected.values())
+    got = {(r.source, r.lang): r.weight for r in out.collect()}
+    scale = sum(got.values())
+    assert all(abs(got[k] / scale - expected[k] / total) < 1e-4 for k in cells)
+
+
+def test_mixing_follows_the_targets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = mixing.mix(docs, {"lang": {"en": 0.4, "de": 0.3, "fr": 0.3}}, into="m").select("lang", "source", "m.*")
+    sums = rows.groupBy("lang").agg(F.sum(F.col("probability") * F.col("n_tokens")).alias("w"), F.sum(F.when(F.col("kept"), F.col("n_tokens")).otherwise(0)).alias("got"))
+    found = {r.lang: r for r in sums.collect()}
+    total, got = sum(r.w for r in found.values()), sum(r.got for r in found.values())
+    for lang, share in {"en": 0.4, "de": 0.3, "fr": 0.3, "es": 0.0}.items():
+        assert abs(found[lang].w / total - share) < 1e-3
+        assert abs(found[lang].got / got - share) < 0.06
+    assert rows.agg(F.max("probability")).first()[0] == pytest.approx(1.0)
+
+
+def test_mixing_edges(spark, docs):
+    out = mixing.mix(docs, into="m")
+    rows = out.collect()
+    assert len(rows) == len(brute.texts()) and out.columns == [*docs.columns, "m"]
+    for r in rows:
+        assert r["m"].n_tokens == len(brute.words(r.text)) and 0 <= r["m"].probability <= 1
+    again = {(r.doc_id, r.text): r["m"] for r in mixing.mix(docs.repartition(7), into="m").collect()}
+    assert all(again[r.doc_id, r.text].kept == r["m"].kept for r in rows)
+    assert mixing.mix(docs.limit(0), into="m").count() == 0
+    assert mixing.stage(spark, docs, "").columns == docs.columns
