@@ -1,0 +1,113 @@
+"""URL filters: parsing, rules, and what the models learn."""
+
+from __future__ import annotations
+
+import math
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import urls
+
+URLS = [
+    "http://A.B.Com/x?q#f",
+    "https://example.com/en/a",
+    "https://www.EXAMPLE.com/en/a?b=/c",
+    "http://example.com",
+    "http://example.com?x=/en/",
+    "ftp://net/es/1",
+    "x://sub.net/fr/#/es/",
+    "mailto:someone",
+    "://",
+    "a://b://c/d",
+    "http://comx.org/com/",
+    "",
+    None,
+    "http://ünï.net/fr/ß",
+    "http://example.com/" + "long/" * 4000,
+]
+
+
+def _parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest).group()
+    path = re.match(r"[^?#]*", rest[len(host) :]).group()
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in host), path
+
+
+def _rule(host, path):
+    fits = [(h + p, v) for h, p, v in urls.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(fits, key=lambda f: len(f[0])) if fits else (None, None)
+
+
+def test_parsing_and_rules(spark):
+    pages = spark.createDataFrame([(k, u, "x", "y") for k, u in enumerate(URLS + URLS[:3])], "page_id long, url string, score string, parsed string")
+    out = urls.judge(pages)
+    assert out.columns == ["page_id", "url", "score", "parsed", "filter"]
+    rows = out.collect()
+    assert len(rows) == len(URLS) + 3
+    for r in rows:
+        host, path = _parts(r.url)
+        rule, verdict = _rule(host, path)
+        assert (r["filter"].host, r["filter"].path, r["filter"].rule) == (host, path, rule), r.url
+        assert r["filter"].verdict == (verdict or r["filter"].verdict) and r["filter"].verdict in ("allow", "block")
+
+
+def test_empty_and_unlabelled_tables(spark):
+    none = spark.createDataFrame([], "page_id long, url string")
+    assert urls.judge(none).count() == 0
+    free = spark.createDataFrame([(1, "http://a.org/"), (2, None)], "page_id long, url string")
+    assert {r["filter"].verdict for r in urls.judge(free).collect()} == {"allow"}
+
+
+def _model(counts):
+    """delta of each n-gram, by recursion over the shorter ones."""
+    total = [sum(v[c] for g, v in counts.items() if len(g) == 1) for c in (0, 1)]
+    contexts = Counter()
+    for g, v in counts.items():
+        for c in (0, 1):
+            contexts[g[:-1], c] += v[c] if len(g) > 1 else 0
+
+    def chance(g, c):
+        if len(g) == 1:
+            return (counts[g][c] + urls.PRIOR / urls.ALPHABET) / (total[c] + urls.PRIOR)
+        return (counts[g][c] + urls.PRIOR * chance(g[1:], c)) / (contexts[g[:-1], c] + urls.PRIOR)
+
+    def ratio(g):
+        return math.log(chance(g, 0) / chance(g, 1))
+
+    return {g: ratio(g) - (ratio(g[1:]) if len(g) > 1 else 0.0) for g in counts}
+
+
+def test_model_is_the_interpolated_one(spark):
+    texts = [(f"a{k % 7}.com/p{k % 3}", True) for k in range(60)] + [(f"b{k % 5}.net/q{k % 4}", False) for k in range(40)]
+    counts: dict[str, list[int]] = {}
+    for text, accepted in texts:
+        s = urls.START + text + urls.END
+        for i in range(1, len(s)):
+            for n in range(1, min(urls.ORDER, i + 1) + 1):
+                counts.setdefault(s[i - n + 1 : i + 1], [0, 0])[not accepted] += 1
+    counts = {g: v for g, v in counts.items() if sum(v) >= urls.MIN_COUNT}
+    df = urls.gram_counts(spark.createDataFrame(texts, "text string, accepted boolean"))
+    assert {r.gram: [r.a, r.b] for r in df.collect()} == counts
+    got = {r.gram: r.delta for r in urls.differences(df).collect()}
+    assert got == pytest.approx(_model(counts), abs=1e-9)
+
+
+def test_the_ratio_learns_the_rules(spark):
+    """Undecided urls that look like blocked ones are blocked, those like allowed ones pass."""
+    rows = [f"http://h{k}.{'com' if k % 2 else 'net'}/{'xx' if k % 2 else 'fr'}/{k}" for k in range(400)]
+    probe = [f"http://z{k}.org/{'xx' if k % 2 else 'fr'}/{k}" for k in range(40)]
+    out = urls.judge(spark.createDataFrame(list(enumerate(rows + probe)), "page_id long, url string"))
+    got = {r.url: r["filter"].verdict for r in out.filter(F.col("filter.rule").isNull()).collect()}
+    right = sum(got[u] == ("allow" if "/xx/" in u else "block") for u in probe)
+    assert right >= 36
+
+
+def test_no_python_in_the_plan(spark, capsys):
+    urls.op4(spark, "/root/testdata/sf0.001").explain()
+    assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
