@@ -12,10 +12,13 @@ from pyspark.sql import types as T
 from tidemark.config import FeedConfig
 from tidemark.functions import clock
 from tidemark.operators.changes import latest
-from tidemark.session import spread
 
 KEYS, ORDER = ["user_id"], ["ts", "seq"]
 ROW = ["user_id", "event_type", "value", "props"]
+# a key that many batches leave alone: with it every cell of the merges' truth table is filled
+SLOT_KEYS = ["user_id", "slot"]
+SLOT_ROW = ["user_id", "slot", "event_type", "value", "props"]
+SLOTS = 16
 
 # Row contract of the events feed.
 LINE_SCHEMA = T.StructType().add("id", "string").add("v", "double")
@@ -32,6 +35,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows of a small table that is one row group, over all cores: for costly work per row."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def moment(text: str) -> Column:
     """A literal the Parquet scan can push a filter on."""
     return F.to_timestamp_ntz(F.lit(text))
@@ -50,19 +58,24 @@ def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(*ROW, op.alias("op"), "ts", F.col("event_id").alias("seq"))
 
 
+def slot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same events as changes of a user's slots."""
+    return changelog(spark, sf_dir).withColumn("slot", F.col("seq") % SLOTS).select(*SLOT_ROW, "op", "ts", "seq")
+
+
 def batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Changes from the cut on."""
-    return changelog(spark, sf_dir).filter(F.col("ts") >= moment(CUT))
+    """Changes of slots from the cut on."""
+    return slot_changes(spark, sf_dir).filter(F.col("ts") >= moment(CUT))
 
 
 def target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The users as they are just before the cut."""
-    before = changelog(spark, sf_dir).filter(F.col("ts") < moment(CUT))
-    return latest(before, KEYS, ORDER).filter(F.col("op") != "D").select(*ROW)
+    """The slots as they are just before the cut."""
+    before = slot_changes(spark, sf_dir).filter(F.col("ts") < moment(CUT))
+    return latest(before, SLOT_KEYS, ORDER).filter(F.col("op") != "D").select(*SLOT_ROW)
 
 
 def latest_per_kind(spark: SparkSession, sf_dir: str, op: str) -> DataFrame:
-    return latest(batch(spark, sf_dir).filter(F.col("op") == op), KEYS, ORDER)
+    return latest(batch(spark, sf_dir).filter(F.col("op") == op), SLOT_KEYS, ORDER)
 
 
 # ---------------------------------------------------------------- changes of order lines
@@ -95,10 +108,10 @@ def _every(n: int) -> Column:
     return F.col("event_id") % n == 0
 
 
-def lines(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
+def lines(spark: SparkSession, sf_dir: str, faults: bool = False, cut: bool = True) -> DataFrame:
     """One feed line per event: ``event_id, ts, line``.
 
-    Always: cut-off lines, blank lines and lines without ``value``, by ``event_id``. With
+    Always: lines without ``value``, and with ``cut`` also cut-off and blank ones, by ``event_id``. With
     ``faults`` also the faults a key, an operation, an image or a row contract can have.
     """
     ids = F.col("user_id").cast("string")
@@ -130,10 +143,10 @@ def lines(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
         F.lit('"'), side, F.lit('":{"id":'), image_id, v, extra, F.lit("}}}"),
     )
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    return spread(events).select(
+    return dealt(events).select(
         "event_id",
         "ts",
-        F.when(_every(17), F.substring(line, 1, 20)).when(_every(19), "").otherwise(line).alias("line"),
+        (F.when(_every(17), F.substring(line, 1, 20)).when(_every(19), "").otherwise(line) if cut else line).alias("line"),
     )
 
 
@@ -145,6 +158,25 @@ def line_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def faulty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The faulty lines as topic messages: key and value on their own, some without a key, some not UTF-8.
+
+    Cut-off and blank lines have a value of that kind; a line without ``value`` has none.
+    """
+    whole = lines(spark, sf_dir, faults=True, cut=False)
+    key, value = F.get_json_object("line", "$.key"), F.get_json_object("line", "$.value")
+    raw = F.when(_every(17), F.substring(value, 1, 20)).when(_every(19), "").otherwise(value)
+    raw = F.encode(raw, "UTF-8")
+    return whole.select(
+        F.when(~_every(73) & ~_every(19), F.encode(key, "UTF-8")).alias("key"),
+        F.when(_every(67), F.concat(F.unhex(F.lit("FFFE")), F.coalesce(raw, F.lit(b"")))).otherwise(raw).alias("value"),
+        F.lit("events").alias("topic"),
+        (F.col("event_id") % 4).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as messages of a topic with four partitions.
 
@@ -173,7 +205,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             lambda part, i: F.struct(i.cast("string").alias("id"), part.alias("type")),
         )
 
-    return spread(table(spark, sf_dir, "documents")).select(
+    return dealt(table(spark, sf_dir, "documents")).select(
         F.lpad(F.col("doc_id").cast("string"), 8, "0").alias("id"),
         F.col("lang").alias("type"),
         F.col("source").alias("name"),
@@ -186,7 +218,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def deep_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents, two array levels deep: lines that hold words."""
     words = lambda line: F.transform(F.split(line, " "), lambda w: F.struct(w.alias("word")))
-    return spread(table(spark, sf_dir, "documents")).select(
+    return dealt(table(spark, sf_dir, "documents")).select(
         F.lpad(F.col("doc_id").cast("string"), 8, "0").alias("id"),
         F.struct("lang", F.struct("source", "n_chars").alias("origin")).alias("meta"),
         F.transform(

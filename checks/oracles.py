@@ -16,17 +16,20 @@ cl as (select user_id, event_type, value, props,
               ts, event_id as seq
        from events)"""
 
-MERGE = CL + """,
-tgt as (select user_id, event_type, value, props from
-        (select *, row_number() over (partition by user_id order by ts desc, seq desc) rn
-         from cl where ts < timestamp '2024-01-15 00:00:00') x where rn = 1 and op <> 'D'),
-batch as (select * from cl where ts >= timestamp '2024-01-15 00:00:00'),
+SLOTS = CL + """,
+sl as (select user_id, seq % 16 as slot, user_id || '/' || (seq % 16) as k, event_type, value, props, op, ts, seq from cl)"""
+
+MERGE = SLOTS + """,
+tgt as (select user_id, slot, k, event_type, value, props from
+        (select *, row_number() over (partition by k order by ts desc, seq desc) rn
+         from sl where ts < timestamp '2024-01-15 00:00:00') x where rn = 1 and op <> 'D'),
+batch as (select * from sl where ts >= timestamp '2024-01-15 00:00:00'),
 net as (select * from (select *, row_number() over
-        (partition by user_id order by ts desc, seq desc) rn from batch) x where rn = 1),
+        (partition by k order by ts desc, seq desc) rn from batch) x where rn = 1),
 lk as (select * from (select *, row_number() over
-       (partition by user_id, op order by ts desc, seq desc) rn from batch) x where rn = 1)"""
+       (partition by k, op order by ts desc, seq desc) rn from batch) x where rn = 1)"""
 
-ROW = "user_id, event_type, value, props"
+ROW = "user_id, slot, event_type, value, props"
 
 # Faults of the feed lines by event number, first match wins.
 LINES = """
@@ -75,17 +78,16 @@ puts as (select coalesce(key_text, sha256(line)) as dlq_key, line, reason, ts fr
          union all
          select key_text, line, 'undelivered', ts from judged
          where reason = 'ok' and ts >= timestamp '2024-01-20 00:00:00'),
-letters as (select dlq_key, arg_max(reason, ts) as reason, count(*) as attempts, min(ts) as first_seen
+letters as (select dlq_key, arg_max(reason, ts) as reason, count(*) as puts, min(ts) as first_seen
             from puts group by dlq_key),
-sided as (select *, case when reason = 'undelivered' and attempts < 5 then 'retry' else 'stale' end as side
-          from letters)"""
+sided as (select *, case when reason = 'undelivered' then 'retry' else 'stale' end as side from letters)"""
 
 STORED = LINES + """,
-stored as (select line, count(*) as attempts, max(event_id) as event_id,
+stored as (select line, count(*) as puts, max(event_id) as event_id,
                   arg_max(case when outer_reason = 'ok' then 'undelivered' else outer_reason end, ts) as stored_reason,
                   arg_max(reason, ts) as checked_reason
            from judged where outer_reason <> 'blank' group by line),
-kept as (select *, stored_reason = 'undelivered' and attempts < 5 as retriable from stored)"""
+kept as (select *, stored_reason = 'undelivered' as retriable from stored)"""
 
 DOCS = """
 docs as (select lpad(doc_id::varchar, 8, '0') as id, lang, source, n_chars, text,
@@ -112,20 +114,16 @@ def oracle(name: str, sql: str) -> None:
 
 oracle("merge_net", f"""
 with {MERGE}
-select coalesce(n.user_id, t.user_id) as user_id,
-       case when n.user_id is null then t.event_type else n.event_type end as event_type,
-       case when n.user_id is null then t.value else n.value end as value,
-       case when n.user_id is null then t.props else n.props end as props
-from tgt t full outer join net n on t.user_id = n.user_id
-where n.user_id is null or n.op <> 'D'""")
+select {ROW} from tgt where k not in (select k from net)
+union all select {ROW} from net where op <> 'D'""")
 
 oracle("merge_phased", f"""
 with {MERGE},
-t1 as (select {ROW} from tgt union all
-       select {ROW} from lk where op = 'I' and user_id not in (select user_id from tgt)),
-t2 as (select {ROW} from t1 where user_id not in (select user_id from lk where op = 'U') union all
-       select {ROW} from lk where op = 'U' and user_id in (select user_id from t1))
-select {ROW} from t2 where user_id not in (select user_id from lk where op = 'D')""")
+t1 as (select {ROW}, k from tgt union all
+       select {ROW}, k from lk where op = 'I' and k not in (select k from tgt)),
+t2 as (select {ROW}, k from t1 where k not in (select k from lk where op = 'U') union all
+       select {ROW}, k from lk where op = 'U' and k in (select k from t1))
+select {ROW} from t2 where k not in (select k from lk where op = 'D')""")
 
 oracle("merge_composite_key", """
 with c as (select *, case l_returnflag when 'N' then 'I' when 'R' then 'D' else 'U' end as op from lineitem),
@@ -142,20 +140,33 @@ select l_orderkey, l_linenumber, l_quantity, l_extendedprice from net where op <
 oracle("merge_insert", f"""
 with {MERGE}
 select {ROW} from tgt union all
-select {ROW} from lk where op = 'I' and user_id not in (select user_id from tgt)""")
+select {ROW} from lk where op = 'I' and k not in (select k from tgt)""")
 
 oracle("merge_update", f"""
 with {MERGE}
-select {ROW} from tgt where user_id not in (select user_id from lk where op = 'U') union all
-select {ROW} from lk where op = 'U' and user_id in (select user_id from tgt)""")
+select {ROW} from tgt where k not in (select k from lk where op = 'U') union all
+select {ROW} from lk where op = 'U' and k in (select k from tgt)""")
 
 oracle("merge_delete", f"""
 with {MERGE}
-select {ROW} from tgt where user_id not in (select user_id from lk where op = 'D')""")
+select {ROW} from tgt where k not in (select k from lk where op = 'D')""")
+
+_SLOTS_LIVE = f"""
+with {SLOTS}
+select {ROW} from (select *, row_number() over (partition by k order by ts desc, seq desc) as rn from sl) x
+where rn = 1 and op <> 'D'"""
+oracle("merge_day", _SLOTS_LIVE)
+oracle("stream_merge", _SLOTS_LIVE)
+
+oracle("merge_ties", f"""
+with {SLOTS},
+last as (select *, row_number() over (partition by k order by date_trunc('hour', ts) desc, event_type desc, value desc,
+                                      props desc, op desc, seq desc) as rn from sl)
+select {ROW}, seq, how from last, (select unnest(['once', 'batches']) as how) where rn = 1 and op <> 'D'""")
 
 oracle("merge_counts", f"""
 with {MERGE},
-j as (select op, user_id in (select user_id from tgt) as present from net),
+j as (select op, k in (select k from tgt) as present from net),
 c as (select count(*) filter (op <> 'D' and not present) as inserted,
              count(*) filter (op <> 'D' and present) as updated,
              count(*) filter (op = 'D' and present) as deleted,
@@ -180,11 +191,10 @@ oracle("dedupe_events", "select distinct event_id from events")
 
 _LIVE = f"""
 with {CL}
-select {ROW} from
+select user_id, event_type, value, props from
 (select *, row_number() over (partition by user_id order by ts desc, seq desc) as rn from cl) x
 where rn = 1 and op <> 'D'"""
 oracle("replay_guard", _LIVE)
-oracle("stream_merge", _LIVE)
 
 # ---------------------------------------------------------------- envelope and contract
 
@@ -298,8 +308,7 @@ oracle("incremental_scan", """
 select event_id, epoch_us(ts) as ts_us from events where ts >= timestamp '2024-01-15 00:00:00'""")
 
 oracle("watermark_lookup", """
-select event_type as feed_name, max(epoch_us(ts)) as last_upd from events
-where ts < timestamp '2024-01-15 00:00:00' group by 1""")
+select event_type as feed_name, max(epoch_us(ts)) as last_upd from events group by 1""")
 
 oracle("watermark_advance", """
 select event_type as feed_name,
@@ -311,12 +320,12 @@ from events group by 1""")
 oracle("dlq_put", f"""
 with {LINES},
 puts as (select coalesce(key_text, sha256(line)) as dlq_key, * from judged where reason not in ('ok', 'blank'))
-select dlq_key, arg_max(line, ts) as raw, arg_max(reason, ts) as reason, count(*) as attempts
+select dlq_key, arg_max(line, ts) as raw, arg_max(reason, ts) as reason, count(*) as puts
 from puts group by dlq_key""")
 
 oracle("dlq_retry_split", f"""
 with {LETTERS}
-select side, reason, count(*) as n, sum(attempts)::bigint as attempts from sided group by side, reason""")
+select side, reason, count(*) as n, sum(puts)::bigint as puts from sided group by side, reason""")
 
 oracle("dlq_alerts", f"""
 with {LETTERS}
@@ -324,26 +333,35 @@ select reason, count(*) as n, min(epoch_us(first_seen)) as oldest_us from sided
 
 oracle("dlq_purge", f"""
 with {STORED}
-select stored_reason as reason, count(*) as n, sum(attempts)::bigint as attempts
+select stored_reason as reason, count(*) as n, 0::bigint as attempts, sum(puts)::bigint as puts
 from kept where retriable group by 1""")
 
 oracle("dlq_replay", f"""
 with {STORED},
 after as (select case when not retriable then stored_reason when checked_reason = 'ok' then 'delivered'
                       else checked_reason end as reason,
-                 case when not retriable then attempts when checked_reason = 'ok' then 1 else attempts + 1 end as attempts
+                 case when retriable then 1 else 0 end as attempts,
+                 case when retriable and checked_reason = 'ok' then 1 else puts end as puts
           from kept)
-select reason, count(*) as n, sum(attempts)::bigint as attempts from after group by reason""")
+select reason, count(*) as n, sum(attempts)::bigint as attempts, sum(puts)::bigint as puts from after group by reason""")
 
 oracle("dlq_failover", f"""
 with {LINES},
-put as (select line, count(*) as attempts,
+put as (select line, count(*) as puts,
                arg_max(case when reason = 'ok' then 'undelivered' else reason end, event_id) as reason
         from judged where reason <> 'blank' group by line)
-select reason, case when reason = 'undelivered' and attempts < 5 then 'true' else 'false' end as retriable,
-       count(*) as n, sum(attempts)::bigint as attempts
+select reason, case when reason = 'undelivered' then 'true' else 'false' end as retriable,
+       count(*) as n, sum(puts)::bigint as puts
 from put group by 1, 2""")
 
+oracle("dlq_outage", f"""
+with {LINES} select uid as id, us as ts_us, 1::bigint as n from judged where reason = 'ok'""")
+
+oracle("intake_run", f"""
+with {LINES},
+good as (select case event_id % 2 when 0 then 'even' else 'odd' end as feed_name, uid, us, ms from judged where reason = 'ok')
+select feed_name, uid as id, us as ts_us, 1::bigint as n, max(ms) over (partition by feed_name) as last_upd from good""")
+
 # ---------------------------------------------------------------- schema history
 
 oracle("registry_latest", f"""
@@ -379,4 +397,11 @@ select user_id % 4 as partition, count(*) as n, max(event_id) as max_offset from
 
 oracle("stream_raw_ingest", f"""
 with {LINES}
-select uid as id, value as v, op, us as ts_us from judged where reason = 'ok' and event_id % 67 <> 0""")
+select uid as id, value as v, op, us as ts_us, event_id as msg_offset from judged
+where reason = 'ok' and event_id % 67 <> 0 and event_id % 73 <> 0""")
+
+oracle("registry_stored", f"""
+with {HISTORY},
+first as (select subject, 1::bigint as version, schema_json, subject like 'part%' as retired from fresh)
+select subject, version, schema_json, retired::varchar as retired, case when retired then 'retired' end as what from first
+union all select subject, 2, '{{"v":99}}', 'false', 'added' from first where retired""")

@@ -14,9 +14,10 @@ from tidemark.config import SAMPLE_ROW_SCHEMA
 from tidemark.functions import clock
 from tidemark.operators import audit, changes, contract, deadletter, envelope, flatten, merge, watermark
 from tidemark.plans import deadletters, intake, landing, merging
+from tidemark.plans.deadletters import Letters
+from tidemark.plans.merging import Target
 from tidemark.session import fresh_dir
-from tidemark.sources import feed, rawzone, topic
-from tidemark.sources.snapshot import SnapshotTable
+from tidemark.sources import control, feed, rawzone, registry, topic
 from tidemark.streaming import jobs, progress
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,12 +34,12 @@ def query(fn: Query) -> Query:
 
 @query
 def merge_net(spark, d):
-    return merge.net(X.target(spark, d), X.batch(spark, d), X.KEYS, X.ORDER)
+    return merge.net(X.target(spark, d), X.batch(spark, d), X.SLOT_KEYS, X.ORDER)
 
 
 @query
 def merge_phased(spark, d):
-    return merge.phased(X.target(spark, d), X.batch(spark, d), X.KEYS, X.ORDER)
+    return merge.phased(X.target(spark, d), X.batch(spark, d), X.SLOT_KEYS, X.ORDER)
 
 
 @query
@@ -48,23 +49,50 @@ def merge_composite_key(spark, d):
 
 @query
 def merge_insert(spark, d):
-    return merge.merge_insert(X.target(spark, d), X.latest_per_kind(spark, d, "I"), X.KEYS)
+    return merge.merge_insert(X.target(spark, d), X.latest_per_kind(spark, d, "I"), X.SLOT_KEYS)
 
 
 @query
 def merge_update(spark, d):
-    return merge.merge_update(X.target(spark, d), X.latest_per_kind(spark, d, "U"), X.KEYS)
+    return merge.merge_update(X.target(spark, d), X.latest_per_kind(spark, d, "U"), X.SLOT_KEYS)
 
 
 @query
 def merge_delete(spark, d):
-    return merge.merge_delete(X.target(spark, d), X.latest_per_kind(spark, d, "D"), X.KEYS)
+    return merge.merge_delete(X.target(spark, d), X.latest_per_kind(spark, d, "D"), X.SLOT_KEYS)
 
 
 @query
 def merge_counts(spark, d):
-    net = changes.latest(X.batch(spark, d).select(*X.KEYS, "op", *X.ORDER), X.KEYS, X.ORDER)
-    return audit.merge_counts(X.target(spark, d), net, X.KEYS)
+    net = changes.latest(X.batch(spark, d).select(*X.SLOT_KEYS, "op", *X.ORDER), X.SLOT_KEYS, X.ORDER)
+    return audit.merge_counts(X.target(spark, d), net, X.SLOT_KEYS)
+
+
+@query
+def merge_day(spark, d):
+    """The daily job: what was before the cut, then the raw folder of a day, then all later changes."""
+    log = X.slot_changes(spark, d)
+    raw = fresh_dir(spark, "raw")
+    rawzone.write(log.withColumn(rawzone.DAY, F.to_date("ts")), raw)
+    target = _slots_target(spark, log)
+    merging.merge_changes(target, log.filter(F.col("ts") < X.moment(X.CUT)), "2024-01-15")
+    for _ in range(2):  # a run that is repeated changes nothing
+        merging.merge_day(target, raw, "2024-01-16")
+    merging.merge_changes(target, log.filter(F.col("ts") >= X.moment("2024-01-16 00:00:00")), "2024-02-01")
+    return target.rows()
+
+
+@query
+def merge_ties(spark, d):
+    """Changes of one hour count as simultaneous: at once, and in batches that come out of order."""
+    log = X.slot_changes(spark, d).withColumn("ts", F.date_trunc("hour", F.col("ts").cast("timestamp")))
+    log = log.select(*X.SLOT_ROW, "op", "ts", "seq")
+    target = Target(spark, fresh_dir(spark, "ties"), log.schema, tuple(X.SLOT_KEYS), ("ts",))
+    for part in (2, 0, 1, 2):
+        target.add(log.filter(F.col("seq") % 3 == part), f"part-{part}")
+    stepwise = merge.live(target.state(), ["ts"]).withColumn("how", F.lit("batches"))
+    at_once = merge.live(changes.latest(log, X.SLOT_KEYS, ["ts"]), ["ts"]).withColumn("how", F.lit("once"))
+    return at_once.unionByName(stepwise)
 
 
 # ---------------------------------------------------------------- change sets
@@ -101,10 +129,10 @@ def replay_guard(spark, d):
     late = log.filter(F.col("ts") >= X.moment(X.BROKER_DOWN))
     middle = log.filter((F.col("ts") >= X.moment(X.CUT)) & (F.col("ts") < X.moment(X.BROKER_DOWN)))
     early = log.filter(F.col("ts") < X.moment(X.CUT))
-    target = SnapshotTable(spark, fresh_dir(spark, "guard"), log.schema, X.KEYS)
-    for part in (late, early, middle, late):
-        merging.apply_changes(target, part, X.ORDER)
-    return merge.live(target.read(), X.ORDER)
+    target = Target(spark, fresh_dir(spark, "guard"), log.schema, tuple(X.KEYS), tuple(X.ORDER))
+    for name, part in (("late", late), ("early", early), ("middle", middle), ("late", late)):
+        target.add(part, name)
+    return target.rows()
 
 
 # ---------------------------------------------------------------- envelope and contract
@@ -256,7 +284,15 @@ def incremental_scan(spark, d):
 
 @query
 def watermark_lookup(spark, d):
-    return watermark.marks(_control(spark, d))
+    """Marks of a stored control table that every day of events has added to."""
+    path = fresh_dir(spark, "control")
+    events = X.table(spark, d, "events")
+    daily = events.groupBy(F.col("event_type").alias("feed_name"), F.to_date("ts").alias("day")).agg(
+        F.max(clock.micros("ts")).alias("last_upd")
+    )
+    for parity in (1, 0):
+        control.append(daily.filter(F.day("day") % 2 == parity).select("feed_name", "last_upd"), path)
+    return watermark.marks(control.read(spark, path))
 
 
 @query
@@ -278,16 +314,14 @@ def dlq_put(spark, d):
     """All faulty lines, put under their record key where the line has one."""
     bad = envelope.quarantined(_classified(spark, d))
     log = deadletter.puts(bad, "line", deadletter.record_key("line", "key_text"), "reason", F.col("ts").cast("timestamp"))
-    return deadletter.state(log, X.FEED.max_attempts).select(
-        "dlq_key", "raw", "reason", F.col("attempts").cast("bigint").alias("attempts")
-    )
+    return deadletter.state(log).select("dlq_key", "raw", "reason", "puts")
 
 
 @query
 def dlq_retry_split(spark, d):
     side = F.when(F.col("retriable"), "retry").otherwise("stale").alias("side")
     return _letters_by_record(spark, d).groupBy(side, "reason").agg(
-        F.count("*").alias("n"), F.sum("attempts").alias("attempts")
+        F.count("*").alias("n"), F.sum("puts").alias("puts")
     )
 
 
@@ -310,25 +344,63 @@ def dlq_replay(spark, d):
     out = fresh_dir(spark, "replayed")
     deadletters.replay(letters, X.FEED, lambda m: topic.publish(m, X.FEED, out))
     sent = spark.read.schema(topic.MESSAGE_SCHEMA).parquet(out).select(
-        F.lit("delivered").alias("reason"), F.lit(1).alias("attempts")
+        F.lit("delivered").alias("reason"), F.lit(1).alias("attempts"), F.lit(1).cast("bigint").alias("puts")
     )
-    return _letter_counts(letters.read().select("reason", "attempts").unionByName(sent))
+    return _letter_counts(letters.read().select("reason", "attempts", "puts").unionByName(sent))
 
 
 @query
 def dlq_failover(spark, d):
     """The topic is down: the good lines of the batch become retriable dead letters."""
-
-    def down(messages: DataFrame) -> None:
-        raise ConnectionError("topic is not available")
-
-    letters = deadletters.store(spark, fresh_dir(spark, "letters"))
-    intake.deliver(X.FEED, X.lines(spark, d, faults=True), letters, down)
+    letters = Letters(spark, fresh_dir(spark, "letters"))
+    intake.deliver(X.FEED, _with_values(spark, d), letters, _down)
     return letters.read().groupBy("reason", F.col("retriable").cast("string").alias("retriable")).agg(
-        F.count("*").alias("n"), F.sum("attempts").alias("attempts")
+        F.count("*").alias("n"), F.sum("puts").alias("puts")
     )
 
 
+@query
+def dlq_outage(spark, d):
+    """A long outage: many polls, a batch that is run again, a purge and a failed replay; then everything goes out."""
+    letters, out = Letters(spark, fresh_dir(spark, "letters")), fresh_dir(spark, "topic")
+    lines = _with_values(spark, d)
+    for poll in ("poll-1", "poll-2", "poll-3", "poll-3"):
+        intake.deliver(X.FEED, lines, letters, _down, poll)
+    deadletters.purge(letters, fresh_dir(spark, "alerts"))
+    deadletters.replay(letters, X.FEED, _down)
+    letters.compact()
+    deadletters.replay(letters, X.FEED, lambda m: topic.publish(m, X.FEED, out))
+    deadletters.replay(letters, X.FEED, lambda m: topic.publish(m, X.FEED, out))
+    return _published(spark, out)
+
+
+@query
+def intake_run(spark, d):
+    """Two feeds in turns over one control table: fetched up to the cut, then from their marks on, then once more."""
+    path, out, letters = fresh_dir(spark, "control"), fresh_dir(spark, "topic"), Letters(spark, fresh_dir(spark, "letters"))
+    lines = X.lines(spark, d, faults=True)
+    feeds = {name: replace(X.FEED, feed=name, topic=name) for name in ("even", "odd")}
+
+    def fetch(name: str, rows: DataFrame, meanwhile=None) -> None:
+        own = rows.filter(F.col("event_id") % 2 == (0 if name == "even" else 1))
+
+        def publish(messages: DataFrame) -> None:
+            topic.publish(messages, feeds[name], f"{out}/{name}")
+            if meanwhile is not None:
+                meanwhile()
+
+        intake.run(spark, feeds[name], own, path, letters, publish)
+
+    before = lines.filter(F.col("ts") < X.moment(X.CUT))
+    fetch("even", before, lambda: fetch("odd", before))
+    for rows in (lines, lines):
+        fetch("even", rows)
+        fetch("odd", rows)
+    marks = watermark.marks(control.read(spark, path))
+    sent = [_published(spark, f"{out}/{name}").withColumn("feed_name", F.lit(name)) for name in feeds]
+    return sent[0].unionByName(sent[1]).join(marks, "feed_name")
+
+
 # ---------------------------------------------------------------- schema history
 
 
@@ -375,7 +447,9 @@ def commit_progress(spark, d):
 
     try:
         attempt()
-    except Exception:  # noqa: BLE001 - the failure above, as Spark reports it
+    except Exception as failure:  # noqa: BLE001 - as Spark reports it
+        if "executor lost" not in str(failure):
+            raise
         attempt()
     return progress.committed(spark.read.schema(sent.schema).parquet(out)).withColumn(
         "partition", F.col("partition").cast("bigint")
@@ -387,32 +461,36 @@ def stream_raw_ingest(spark, d):
     """Messages with all faults through topic, checks and flatten into the raw zone."""
     cfg = X.FEED
     source, raw, letters, state = (fresh_dir(spark, label) for label in ("topic", "raw", "letters", "checkpoint"))
-    sent = X.line_bytes(spark, d).select(
-        F.lit(b"").alias("key"),
-        F.col("line").alias("value"),
-        F.lit(cfg.topic).alias("topic"),
-        (F.col("event_id") % cfg.topic_partitions).cast("int").alias("partition"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
-        "event_id",
-    )
-    files = _write_in_files(sent, "event_id", source, drop=True)
+    files = _write_in_files(X.faulty_messages(spark, d), "offset", source)
     stream = topic.subscribe(spark, cfg, source, max_files=_third(files))
-    dead = deadletters.store(spark, letters)
-    jobs.start_landing(stream, cfg, raw, dead, state, drain=True).awaitTermination()
-    return rawzone.read(spark, raw, landing.raw_schema(spark, cfg)).select("id", "v", "op", "ts_us")
+    jobs.start_landing(stream, cfg, raw, Letters(spark, letters), state, drain=True).awaitTermination()
+    return rawzone.read(spark, raw, landing.raw_schema(spark, cfg)).select("id", "v", "op", "ts_us", "msg_offset")
 
 
 @query
 def stream_merge(spark, d):
-    """The raw zone as a stream of out-of-order files, merged batch by batch."""
-    log = X.changelog(spark, d)
-    raw, table, state = (fresh_dir(spark, label) for label in ("raw", "target", "checkpoint"))
+    """The raw zone as a stream of out-of-order files, appended batch by batch, with a daily rewrite."""
+    log = X.slot_changes(spark, d)
+    raw, state = fresh_dir(spark, "raw"), fresh_dir(spark, "checkpoint")
     files = _write_in_files(log, "seq", raw)
+    target = _slots_target(spark, log)
+    merging.merge_changes(target, log.filter(F.col("ts") < X.moment(X.CUT)), "2024-01-15")
     stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", _third(files)).parquet(raw)
-    target = SnapshotTable(spark, table, log.schema, X.KEYS, order=X.ORDER)
-    cfg = replace(X.FEED, max_pieces=2)
-    jobs.start_merge(stream, cfg, target, state, drain=True).awaitTermination()
-    return merge.live(target.read(), X.ORDER)
+    jobs.start_merge(stream, X.FEED, target, state, drain=True).awaitTermination()
+    merging.compact(target, "2024-02-01")
+    return target.rows()
+
+
+@query
+def registry_stored(spark, d):
+    """The stored history: registered, registered again, superseded for every part; with what was retired."""
+    path = fresh_dir(spark, "registry")
+    registry.register(spark, path, X.new_schemas(spark, d))
+    registry.register(spark, path, X.new_schemas(spark, d))
+    parts = X.new_schemas(spark, d).filter(F.col("subject").startswith("part"))
+    added, retired = registry.replace(spark, path, parts.withColumn("schema_json", F.lit('{"v":99}')))
+    done = added.withColumn("what", F.lit("added")).unionByName(retired.withColumn("what", F.lit("retired")))
+    return _versions(registry.read(spark, path)).join(done.select("subject", F.col("version").cast("bigint").alias("version"), "what"), ["subject", "version"], "left")
 
 
 # ---------------------------------------------------------------- shared parts
@@ -435,23 +513,42 @@ def _raw_events(spark, d) -> tuple[str, T.StructType]:
     return path, log.schema
 
 
+def _slots_target(spark, log: DataFrame) -> Target:
+    return Target(spark, fresh_dir(spark, "target"), log.schema, tuple(X.SLOT_KEYS), tuple(X.ORDER))
+
+
+def _with_values(spark, d) -> DataFrame:
+    return envelope.classify(X.lines(spark, d, faults=True), X.FEED.keys, X.LINE_SCHEMA, with_value=True)
+
+
+def _down(messages: DataFrame) -> None:
+    raise ConnectionError("topic is not available")
+
+
+def _published(spark, folder: str) -> DataFrame:
+    """What consumers find on a folder topic: key, event time, and how often."""
+    sent = spark.read.schema(topic.MESSAGE_SCHEMA).parquet(folder)
+    field = lambda c, path: F.get_json_object(F.col(c).cast("string"), path)
+    return sent.groupBy(field("key", "$.id").alias("id"), field("value", "$.ts_us").cast("bigint").alias("ts_us")).agg(
+        F.count("*").alias("n")
+    )
+
+
 def _letters_by_record(spark, d) -> DataFrame:
     """Faulty lines, and good ones from the time the broker was down, by record key."""
     rows = _classified(spark, d)
     lost = (F.col("reason") == envelope.OK) & (F.col("ts") >= X.moment(X.BROKER_DOWN))
     letters = rows.filter(lost | ~F.col("reason").isin(envelope.OK, envelope.BLANK))
     key = deadletter.record_key("line", "key_text")
-    log = deadletter.puts(letters, "line", key, _undelivered_if_ok(), F.col("ts").cast("timestamp"))
-    return deadletter.state(log, X.FEED.max_attempts)
+    return deadletter.state(deadletter.puts(letters, "line", key, _undelivered_if_ok(), F.col("ts").cast("timestamp")))
 
 
-def _stored_letters(spark, d) -> SnapshotTable:
+def _stored_letters(spark, d) -> Letters:
     """The same by message, checked for their envelope only, in a store."""
     rows = envelope.classify_envelope(X.lines(spark, d, faults=True)).filter(F.col("reason") != envelope.BLANK)
     key = deadletter.message_key("line")
-    log = deadletter.puts(rows, "line", key, _undelivered_if_ok(), F.col("ts").cast("timestamp"))
-    letters = deadletters.store(spark, fresh_dir(spark, "letters"))
-    deadletters.put(letters, log, X.FEED.max_attempts)
+    letters = Letters(spark, fresh_dir(spark, "letters"))
+    letters.put(deadletter.puts(rows, "line", key, _undelivered_if_ok(), F.col("ts").cast("timestamp")))
     return letters
 
 
@@ -460,7 +557,9 @@ def _undelivered_if_ok() -> Column:
 
 
 def _letter_counts(letters: DataFrame) -> DataFrame:
-    return letters.groupBy("reason").agg(F.count("*").alias("n"), F.sum("attempts").alias("attempts"))
+    return letters.groupBy("reason").agg(
+        F.count("*").alias("n"), F.sum("attempts").cast("bigint").alias("attempts"), F.sum("puts").alias("puts")
+    )
 
 
 def _versions(rows: DataFrame) -> DataFrame:
@@ -468,12 +567,13 @@ def _versions(rows: DataFrame) -> DataFrame:
     return rows.select(*text).withColumn("version", F.col("version").cast("bigint"))
 
 
-def _write_in_files(rows: DataFrame, spread: str, folder: str, drop: bool = False) -> int:
-    """Writes rows in at least six files, each with rows from all times; returns how many."""
-    files = max(6, rows.rdd.getNumPartitions())
-    out = rows.repartition(files, spread)
-    (out.drop(spread) if drop else out).write.parquet(folder)
-    return files
+_FILES = 6
+
+
+def _write_in_files(rows: DataFrame, key: str, folder: str) -> int:
+    """Writes rows in six files, each with rows from all times; returns how many."""
+    rows.repartition(_FILES, key).write.parquet(folder)
+    return _FILES
 
 
 def _third(files: int) -> int:

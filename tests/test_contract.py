@@ -8,9 +8,10 @@ from pyspark.sql import types as T
 
 from tidemark.config import SAMPLE_ROW_SCHEMA
 from tidemark.operators import contract
+from tidemark.sources import registry
 
 GOOD = {
-    "id": "0001", "type": "donut", "name": "Cake", "ppu": 0.55,
+    "id": "0042", "type": "bicycle", "name": "Harbour", "ppu": 731.25,
     "batters": {"batter": [{"id": "1", "type": "a"}, {"id": "2", "type": "b"}]},
     "topping": [{"id": "5", "type": "x"}],
 }
@@ -64,6 +65,25 @@ def test_arrays_of_scalars_and_of_arrays(spark):
     assert [sorted(r["violations"]) for r in rows] == [want for _, want in docs]
 
 
+def test_whole_numbers_have_a_range(spark):
+    schema = T.StructType().add("n", "integer").add("l", T.ArrayType(T.StructType().add("m", "integer")))
+    docs = [({"n": 3, "l": [{"m": -(2**31)}]}, []), ({"n": 3_000_000_000, "l": []}, ["n:type"]), ({"n": 0, "l": [{"m": 2**31}]}, ["l.m:type"])]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, (d, _) in enumerate(docs)], "n int, j string")
+    rows = contract.with_violations(df.withColumn("image", F.parse_json("j")), "image", schema).orderBy("n").collect()
+    assert [r["violations"] for r in rows] == [want for _, want in docs]
+
+
+def test_stored_history(spark, folder):
+    new = lambda *rows: spark.createDataFrame(list(rows), "subject string, schema_json string")
+    added = registry.register(spark, folder, new(("a", "s1"), ("b", "t1"))).collect()
+    assert {(r["subject"], r["version"]) for r in added} == {("a", 1), ("b", 1)} and len({r["id"] for r in added}) == 2
+    assert registry.register(spark, folder, new(("a", "s1"))).count() == 0
+    fresh, retired = registry.replace(spark, folder, new(("a", "s2")))
+    assert [(r["subject"], r["version"]) for r in fresh.collect()] == [("a", 2)]
+    assert [(r["subject"], r["version"], r["id"]) for r in retired.collect()] == [("a", 1, next(r["id"] for r in added if r["subject"] == "a"))]
+    assert as_rows(registry.read(spark, folder)) == [("a", 1, "s1", True), ("a", 2, "s2", False), ("b", 1, "t1", False)]
+
+
 def test_no_image_no_verdict(spark):
     df = spark.createDataFrame([("null",), (None,)], "j string").withColumn("image", F.try_parse_json("j"))
     assert [r["violations"] for r in contract.with_violations(df, "image", SAMPLE_ROW_SCHEMA).collect()] == [None, None]

@@ -59,6 +59,7 @@ CASES = [
     (event(image='{"id":"1","v":"text"}'), "schema_violation"),
     (event(image='{"id":"1","v":{"a":1}}'), "schema_violation"),
     (event(image="[1]"), "schema_violation"),
+    (event(key='{"id":"2"}'), "key_mismatch"),
 ]
 
 
@@ -136,34 +137,73 @@ def test_counts_add_up(spark):
     assert n["published"] == sum(r == "ok" for _, r in CASES)
 
 
-def test_observed_counts(spark):
-    df = spark.createDataFrame([(line,) for line, _ in CASES], "line string")
-    observed, counts = audit.observe_intake(envelope.classify(df, ["id"], FLAT), "ts_ms")
-    observed.write.format("noop").mode("overwrite").save()
-    assert counts.get["read"] == len(CASES) and counts.get["mark"] == 5
-
-
-SAMPLE_IMAGE = {
-    "id": "0001",
-    "type": "donut",
-    "name": "Cake",
-    "ppu": 0.55,
-    "batters": {"batter": [{"id": "1001", "type": "Regular"}, {"id": "1004", "type": "Devil's Food"}]},
-    "topping": [{"id": "5001", "type": "None"}, {"id": "5002", "type": "Glazed"}],
+# a bicycle in the shape of the registered row
+BICYCLE = {
+    "id": "0042",
+    "type": "bicycle",
+    "name": "Harbour",
+    "ppu": 731.25,
+    "batters": {"batter": [{"id": "w-26", "type": "Front wheel"}, {"id": "w-28", "type": "Rear wheel, rider's side"}]},
+    "topping": [{"id": "bell", "type": "Brass"}, {"id": "rack", "type": "Steel"}],
 }
 
 
 def test_pretty_printed_documents(spark, folder):
     """Indented JSON over many lines, several documents in one file as an array."""
-    spark.createDataFrame([(json.dumps([SAMPLE_IMAGE, {**SAMPLE_IMAGE, "id": "0002", "name": 'a "b"\n'}], indent=2),)], "value string") \
+    spark.createDataFrame([(json.dumps([BICYCLE, {**BICYCLE, "id": "0043", "name": 'a "b"\n'}], indent=2),)], "value string") \
         .coalesce(1).write.text(folder)
     rows = feed.read_documents(spark, folder, SAMPLE_ROW_SCHEMA).orderBy("id").collect()
-    assert [r["id"] for r in rows] == ["0001", "0002"]
-    assert rows[1]["name"] == 'a "b"\n' and rows[0]["batters"]["batter"][1]["type"] == "Devil's Food"
+    assert [r["id"] for r in rows] == ["0042", "0043"]
+    assert rows[1]["name"] == 'a "b"\n' and rows[0]["batters"]["batter"][1]["type"] == "Rear wheel, rider's side"
+
+
+MESSAGES = [
+    ('{"id":"1"}', '{"op":"u","ts_ms":5,"before":null,"after":{"id":"1","v":1.5}}', "ok"),
+    (' {"id":"1"} ', ' {"op":"d","ts_ms":5,"before":{"id":"1","v":2},"after":null} ', "ok"),
+    (None, '{"op":"u","ts_ms":5,"after":{"id":"1","v":1.5}}', "missing_envelope"),
+    ("", '{"op":"u","ts_ms":5,"after":{"id":"1","v":1.5}}', "missing_envelope"),
+    ('{"id":"1"}', None, "missing_envelope"),
+    ('{"id":"1"}', "5", "missing_envelope"),
+    (None, None, "blank"),
+    (" ", "\t", "blank"),
+    ('{"id":"1"}', '{"op":"u"', "malformed_json"),
+    ('{"id":"1"}', '{"op":"u"},{"a":1}', "malformed_json"),
+    ('[{"id":"1"}', '{"op":"u"}]', "malformed_json"),
+    ('{"id":"1"}', '{"op":"u","op":"u"}', "malformed_json"),
+    (b"\xff", '{"op":"u"}', "bad_utf8"),
+    ('{"id":"1"}', b"\xff\xfe", "bad_utf8"),
+    ("null", '{"op":"u","ts_ms":5,"after":{"id":"1","v":1.5}}', "null_key"),
+    ('{"id":"2"}', '{"op":"u","ts_ms":5,"after":{"id":"1","v":1.5}}', "key_mismatch"),
+    ('{"uid":"1"}', '{"op":"u","ts_ms":5,"after":{"id":"1","v":1.5}}', "key_mismatch"),
+    ('{"id":"1"}', '{"op":"x","ts_ms":5,"after":{"id":"1","v":1.5}}', "unknown_op"),
+    ('{"id":"1"}', '{"op":"u","ts_ms":5,"after":{"id":"1"}}', "schema_violation"),
+]
+
+
+def test_messages(spark):
+    raw = lambda x: x.encode() if isinstance(x, str) else x
+    df = spark.createDataFrame([(n, raw(k), raw(v)) for n, (k, v, _) in enumerate(MESSAGES)], "n int, key binary, value binary")
+    got = {r["n"]: r["reason"] for r in envelope.classify_messages(df, ["id"], FLAT).collect()}
+    assert [got[n] for n in range(len(MESSAGES))] == [want for *_, want in MESSAGES]
+
+
+def test_value_text_is_the_value_part(spark):
+    df = spark.createDataFrame([(event(),), ("{",)], "line string")
+    rows = envelope.classify(df, ["id"], FLAT, with_value=True).collect()
+    assert json.loads(rows[0]["value_text"]) == json.loads(event())["value"] and rows[1]["value_text"] is None
+
+
+def test_row_names_that_need_quotes(spark):
+    schema = T.StructType().add("the id", "string").add("a.b", T.StructType().add("x-y", "long")).add("l", T.ArrayType(T.StructType().add("`", "string")))
+    image = {"the id": "1", "a.b": {"x-y": 3}, "l": [{"`": "t"}]}
+    line = json.dumps({"key": {"the id": "1"}, "value": {"op": "i", "ts_ms": 1, "after": image}})
+    df = spark.createDataFrame([(line,)], "line string")
+    row = envelope.image_rows(envelope.classify(df, ["the id"], schema), schema).first()
+    assert row["the id"] == "1" and row["a.b"]["x-y"] == 3 and row["l"][0]["`"] == "t"
 
 
 @pytest.mark.parametrize("mark,want", [(0, {"a", "b", "c", "bad"}), (6, {"b", "c", "bad"}), (100, {"bad"})])
 def test_lines_since_keeps_what_it_cannot_read(spark, mark, want):
     lines = {"a": event(time='"ts_ms":5,'), "b": event(time='"ts_ms":6,'), "c": event(time='"ts_ms":99,'), "bad": "{"}
     df = spark.createDataFrame(list(lines.items()), "n string, line string")
-    assert {r["n"] for r in feed.lines_since(df, mark).collect()} == want
+    assert {r["n"] for r in feed.classified_since(envelope.classify(df, ["id"], FLAT), mark).collect()} == want

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from pyspark.sql import types as T
 
 from tidemark.config import SAMPLE_ROW_SCHEMA
@@ -15,19 +16,30 @@ def read(spark, schema, *docs):
 
 def test_sample_shape(spark):
     doc = {
-        "id": "0001", "type": "donut", "name": "popcorn", "ppu": 0.55,
-        "batters": {"batter": [{"id": "1001", "type": "Regular"}, {"id": "1001", "type": None}]},
-        "topping": [{"id": "5002", "type": "Glazed"}, {"id": "5001", "type": "None"}],
+        "id": "0042", "type": "bicycle", "name": "Harbour", "ppu": 731.25,
+        "batters": {"batter": [{"id": "w-26", "type": "Front wheel"}, {"id": "w-26", "type": None}]},
+        "topping": [{"id": "rack", "type": "Steel"}, {"id": "bell", "type": "Brass"}],
     }
-    flat = flatten(read(spark, SAMPLE_ROW_SCHEMA, doc, {"id": "0002", "topping": []}))
+    flat = flatten(read(spark, SAMPLE_ROW_SCHEMA, doc, {"id": "0043", "topping": []}))
     assert flat.columns == ["id", "type", "name", "ppu", "batters_ids", "batters_types", "topping_ids", "topping_types"]
     assert dict(flat.dtypes)["topping_types"] == "array<string>"
     first, second = flat.collect()
-    assert first["batters_ids"] == ["1001", "1001"] and first["batters_types"] == ["Regular", None]
-    assert first["topping_ids"] == ["5002", "5001"]
+    assert first["batters_ids"] == ["w-26", "w-26"] and first["batters_types"] == ["Front wheel", None]
+    assert first["topping_ids"] == ["rack", "bell"]
     assert second["batters_ids"] is None and second["topping_ids"] == []
 
 
+def test_names_are_unique(spark, folder):
+    schema = T.StructType.fromDDL("a_b string, a struct<b: string, B_2: string>, x array<struct<y: int>>, x_ys int, c_d struct<e: int>, c struct<d_e: int>")
+    flat = flatten(spark.createDataFrame([], schema))
+    assert flat.columns == ["a_b", "a_b_2", "a_B_2_2", "x_y", "x_ys", "c_d_e", "c_d_e_2"]
+    flat.write.parquet(folder)
+    with pytest.raises(ValueError, match="called"):
+        flatten(spark.createDataFrame([], schema), rename={"a.b": "x_ys"})
+    with pytest.raises(ValueError, match="called"):
+        flatten(spark.createDataFrame([], schema), rename={"a.b": "n", "c.d_e": "N"})
+
+
 def test_nested_structs_deep_arrays_and_clashes(spark):
     schema = T.StructType.fromDDL(
         "m struct<a: int, n: struct<a: int>>, tags array<string>, "

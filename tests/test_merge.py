@@ -222,3 +222,30 @@ def test_rows_of_one_instant_and_columns_that_cannot_be_compared(spark):
     assert len(row) == 1 and row[0]["m"] == {"c": 1} and changes.latest(maps, KEYS, ORDER).columns == maps.columns
     # an order that names a key column
     assert changes.latest(b, KEYS, ["id", "ts", "seq"]).columns == b.columns
+
+
+@pytest.mark.parametrize("maps", [False, True])
+def test_ties_end_the_same_whatever_the_batches(spark, maps):
+    """Equal order values: the rest of the row decides, in one batch and over several, in any order."""
+    rows = [(0, k, v, op, 1, 1) for k in "abc" for v, op in (("x", "U"), ("z", "I"), ("y", "D"), (None, "U"))]
+    b = spark.createDataFrame(rows, CHANGE)
+    if maps:
+        b = b.withColumn("m", F.create_map(F.lit("k"), F.coalesce("v", F.lit("-"))))
+    once = {(r["id"]): r["v"] for r in changes.latest(b, KEYS, ORDER).collect()}
+    for order in ([0, 1, 2, 3], [3, 2, 1, 0], [2, 0, 3, 1, 2]):
+        state = b.limit(0)
+        for n in order:
+            v = rows[n][2]
+            part = b.filter(F.col("v").eqNullSafe(F.lit(v)))
+            state = merge.fold(state, changes.latest(part, KEYS, ORDER), KEYS, ORDER)
+            state = spark.createDataFrame(state.collect(), state.schema)
+        assert {r["id"]: r["v"] for r in state.collect()} == once == {k: "z" for k in "abc"}
+
+
+def test_names_that_need_quotes(spark):
+    t = spark.createDataFrame([("1", "old")], "`the id` string, `a.b` string")
+    b = spark.createDataFrame([("1", "new", "U", 1), ("2", "x", "I", 1)], "`the id` string, `a.b` string, op string, `t-s` long")
+    for how in (merge.net, merge.phased):
+        assert {tuple(r) for r in how(t, b, ["the id"], ["t-s"]).collect()} == {("1", "new"), ("2", "x")}
+    state = changes.latest(b, ["the id"], ["t-s"])
+    assert merge.fold(state, state, ["the id"], ["t-s"]).count() == 2

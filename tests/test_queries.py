@@ -5,10 +5,12 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from checks import compare
 from checks import fixtures as X
+from checks.oracles import ORACLES
 from checks.queries import QUERIES
 from tidemark.operators import changes, merge
 
@@ -26,16 +28,19 @@ def test_same_as_sql(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES) and set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):
     df = contract.entry(spark)
-    assert df.columns == ["user_id", "event_type", "value", "props"] and df.count() > 0
+    assert df.columns == X.SLOT_ROW and df.count() > 0
 
 
 # queries that start jobs of their own when called; their operators are covered by the others
-_JOBS = {"replay_guard", "dlq_purge", "dlq_replay", "dlq_failover", "commit_progress", "stream_raw_ingest", "stream_merge"}
+_JOBS = {
+    "replay_guard", "dlq_purge", "dlq_replay", "dlq_failover", "dlq_outage", "intake_run", "merge_day", "registry_stored",
+    "commit_progress", "stream_raw_ingest", "stream_merge",
+}
 
 
 def plan_of(df) -> str:
@@ -50,17 +55,49 @@ def test_plan_stays_in_the_jvm_and_joins_on_keys(spark, name):
 
 
 def test_net_merge_reads_key_columns_only_for_the_removal(spark):
-    schemas = re.findall(r"ReadSchema: (\S+)", plan_of(merge.net(X.target(spark, DIR), X.batch(spark, DIR), X.KEYS, X.ORDER)))
-    assert "struct<ts:timestamp_ntz,user_id:bigint>" in schemas and len(schemas) == 3
+    schemas = re.findall(r"ReadSchema: (\S+)", plan_of(merge.net(X.target(spark, DIR), X.batch(spark, DIR), X.SLOT_KEYS, X.ORDER)))
+    assert "struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in schemas and len(schemas) == 3
 
 
 def test_time_filters_reach_the_scan(spark):
-    for name in ("incremental_scan", "merge_net", "watermark_lookup"):
+    for name in ("incremental_scan", "merge_net", "merge_phased"):
         assert "PushedFilters: [IsNotNull(ts), " in plan_of(QUERIES[name](spark, DIR))
 
 
-def test_day_scan_is_a_partition_filter(spark):
-    assert re.search(r"PartitionFilters: \[isnotnull\(ingest_date", plan_of(QUERIES["raw_day_scan"](spark, DIR)))
+def test_day_scan_lists_one_folder(spark):
+    files = QUERIES["raw_day_scan"](spark, DIR).inputFiles()
+    assert files and all("ingest_date=2024-01-15/" in f for f in files)
+
+
+def test_phased_merge_reads_each_side_once(spark):
+    plan = plan_of(QUERIES["merge_phased"](spark, DIR))
+    assert plan.count("FileScan parquet") == 2 and plan.count("SortMergeJoin") + plan.count("ShuffledHashJoin") == 1
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_every_cell_of_the_truth_table_occurs(spark, sf):
+    """Target there or not, and every set of operations, none included: else a broken merge could pass."""
+    d = f"/root/testdata/sf{sf}"
+    ops = X.batch(spark, d).groupBy(*X.SLOT_KEYS).agg(F.array_join(F.array_sort(F.collect_set("op")), "").alias("ops"))
+    target = X.target(spark, d).select(*X.SLOT_KEYS, F.lit(True).alias("there"))
+    cells = target.join(ops, X.SLOT_KEYS, "full").select(F.coalesce("there", F.lit(False)).alias("t"), F.coalesce("ops", F.lit("")).alias("o"))
+    found = {(r.t, r.o) for r in cells.distinct().collect()}
+    sets = ["D", "I", "U", "DI", "DU", "IU", "DIU"]
+    assert found == {(t, o) for t in (True, False) for o in sets} | {(True, "")}
+
+
+BROKEN = {
+    "merge_net": ("net", lambda t, c, k, o: changes.latest(c, k, o).filter("op <> 'D'").select(*t.columns)),
+    "merge_phased": ("phased", lambda t, c, k, o: t.limit(0)),
+    "merge_delete": ("merge_delete", lambda t, c, k: t.limit(0)),
+    "merge_update": ("merge_update", lambda t, c, k: t.join(c.select(*k), k, "left_semi")),
+}
+
+
+@pytest.mark.parametrize("name", list(BROKEN))
+def test_a_broken_merge_does_not_pass(spark, con, monkeypatch, name):
+    monkeypatch.setattr(merge, *BROKEN[name])
+    assert compare.difference(spark, con, name, DIR) is not None
 
 
 def test_net_changes_shuffle_once(spark):
@@ -71,7 +108,7 @@ def test_a_small_batch_leaves_the_target_where_it_is(spark, folder):
     """The target is not shuffled when the staged changes are below Spark's broadcast limit."""
     X.target(spark, DIR).write.parquet(f"{folder}/t")
     X.batch(spark, DIR).write.parquet(f"{folder}/b")
-    plan = plan_of(merge.net(spark.read.parquet(f"{folder}/t"), spark.read.parquet(f"{folder}/b"), X.KEYS, X.ORDER))
+    plan = plan_of(merge.net(spark.read.parquet(f"{folder}/t"), spark.read.parquet(f"{folder}/b"), X.SLOT_KEYS, X.ORDER))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 

@@ -1,4 +1,4 @@
-"""Raw zone, control table and snapshot table."""
+"""Raw zone, control table, batches and the target."""
 
 from __future__ import annotations
 
@@ -12,8 +12,7 @@ from pyspark.sql import types as T
 from tidemark import session
 from tidemark.operators import watermark
 from tidemark.plans import merging
-from tidemark.sources import control, rawzone
-from tidemark.sources.snapshot import ConcurrentCommit, SnapshotTable
+from tidemark.sources import batches, control, rawzone
 
 SCHEMA = (
     T.StructType().add("id", "string").add("note", "string").add("ids", T.ArrayType(T.StringType()))
@@ -52,32 +51,44 @@ def test_batches_add_up_and_a_repeated_batch_does_not(spark, folder):
     assert counts == {"2024-01-15": 2 * len(NASTY), "2024-01-16": len(NASTY)}
 
 
-def test_previous_day_is_pruned_to_its_folder(spark, folder):
+def test_previous_day_is_read_by_its_folder(spark, folder):
     df = spark.createDataFrame(NASTY, SCHEMA)
     for day in ("2024-02-28", "2024-02-29", "2024-03-01"):
         rawzone.write(on_day(df, day), folder)
     day = rawzone.read_day(spark, folder, SCHEMA, run_date="2024-03-01")
     assert {r["ingest_date"] for r in day.collect()} == {datetime.date(2024, 2, 29)}
-    plan = day._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(ingest_date" in plan
-    today = rawzone.read_day(spark, folder, SCHEMA)._jdf.queryExecution().optimizedPlan().toString()
-    assert "ingest_date" in today
+    assert all("ingest_date=2024-02-29/" in f for f in day.inputFiles())
+    none = rawzone.read_day(spark, folder, SCHEMA, run_date="2024-03-09")
+    assert none.count() == 0 and none.columns == day.columns
+    assert rawzone.read_day(spark, folder, SCHEMA).count() == 0
 
 
-def test_control_table_never_goes_back(spark, folder):
+def test_marks_never_go_back_and_feeds_do_not_meet(spark, folder):
     assert control.read(spark, folder).count() == 0
     assert watermark.mark_of(control.read(spark, folder), "f") == 0
 
     def fetch(*seen):
-        marks = spark.createDataFrame(list(seen), watermark.CONTROL_SCHEMA)
-        control.write(watermark.advance(control.read(spark, folder), marks), folder)
-        return {r["feed_name"]: r["last_upd"] for r in control.read(spark, folder).collect()}
+        control.append(spark.createDataFrame(list(seen), watermark.CONTROL_SCHEMA), folder)
+        return {r["feed_name"]: r["last_upd"] for r in watermark.marks(control.read(spark, folder)).collect()}
 
     assert fetch(("f", 10), ("f", 12), ("g", 5)) == {"f": 12, "g": 5}
     assert fetch() == {"f": 12, "g": 5}
     assert fetch(("f", 11), ("g", None)) == {"f": 12, "g": 5}
     assert fetch(("f", 13)) == {"f": 13, "g": 5}
-    assert control.last_version(spark, folder) == 4
+
+
+def test_batches(spark, folder):
+    df = spark.createDataFrame([(1,), (2,)], "x int")
+    assert batches.read(spark, folder, "x int").count() == 0 and batches.names(spark, folder) == []
+    assert batches.latest_name(spark, folder) is None
+    batches.append(df, folder, "b")
+    batches.append(df, folder, "b")
+    batches.append(df, folder, "a")
+    assert batches.read(spark, folder, "x int").count() == 4 and batches.names(spark, folder) == ["a", "b"]
+    assert batches.latest_name(spark, folder) == "b" and batches.latest_name(spark, folder, before="b") == "a"
+    kept = batches.read(spark, folder, "x int").distinct()
+    batches.rewrite(kept, folder, ["a", "b"])
+    assert sorted(r["x"] for r in batches.read(spark, folder, "x int").collect()) == [1, 2]
 
 
 CHANGE = T.StructType().add("id", "string").add("v", "string").add("op", "string").add("ts", "long")
@@ -87,77 +98,42 @@ def change_rows(spark, *rows):
     return spark.createDataFrame(list(rows), CHANGE)
 
 
-def values(table):
-    return {r["id"]: r["v"] for r in table.read().filter("op <> 'D'").collect()}
+def target_in(spark, path, order=("ts",)):
+    return merging.Target(spark, path, CHANGE, ("id",), order)
+
+
+def values(target):
+    return {r["id"]: r["v"] for r in target.rows().collect()}
 
 
-def test_commits_rewrite_only_the_buckets_they_touch(spark, folder):
-    table = SnapshotTable(spark, folder, CHANGE, ["id"], buckets=8)
-    assert table.head().version == 0 and table.read().count() == 0
-    first = merging.apply_changes(table, change_rows(spark, *[(str(i), "a", "I", 1) for i in range(40)]), ["ts"])
-    second = merging.apply_changes(table, change_rows(spark, ("3", "b", "U", 2), ("99", None, "D", 2)), ["ts"])
-    moved = {b for b, p in second.places.items() if p != first.places.get(b)}
-    assert first.version == 1 and second.version == 2 and 1 <= len(moved) <= 2
-    assert values(table) == {**{str(i): "a" for i in range(40)}, "3": "b"}
-    assert table.read(first).count() == 40, "an older head still reads its own state"
+def test_snapshots_follow_one_another(spark, folder):
+    target = target_in(spark, folder)
+    merging.merge_changes(target, change_rows(spark, *[(str(i), "a", "I", 1) for i in range(5)]), "2024-01-01")
+    for _ in range(2):  # a repeated run does the same again
+        merging.merge_changes(target, change_rows(spark, ("3", "b", "U", 2), ("9", None, "D", 2), ("4", None, "D", 2)), "2024-01-02")
+    assert values(target) == {"0": "a", "1": "a", "2": "a", "3": "b"}
+    merging.merge_changes(target, change_rows(spark, ("4", "old", "U", 1)), "2024-01-03")
+    assert values(target) == {"0": "a", "1": "a", "2": "a", "3": "b"}, "an old change does not bring a key back"
+    merging.merge_changes(target, change_rows(spark, ("0", "z", "U", 9)), "2024-01-04", keep_deletes_us=5)
+    assert target.state().filter("op = 'D'").count() == 0 and values(target)["0"] == "z"
 
 
-def test_a_commit_that_dies_before_its_manifest_does_not_count(spark, folder, monkeypatch):
-    table = SnapshotTable(spark, folder, CHANGE, ["id"], buckets=4)
-    merging.apply_changes(table, change_rows(spark, ("1", "a", "I", 1)), ["ts"])
+def test_a_run_that_dies_leaves_the_snapshot_before(spark, folder, monkeypatch):
+    target = target_in(spark, folder)
+    merging.merge_changes(target, change_rows(spark, ("1", "a", "I", 1)), "2024-01-01")
 
-    def lost(self, *args):
+    def lost(*args):
         raise ConnectionError("driver lost")
 
-    monkeypatch.setattr(SnapshotTable, "_manifest_of", lost)
+    monkeypatch.setattr(merging.Target, "store", lost)
     with pytest.raises(ConnectionError):
-        merging.apply_changes(table, change_rows(spark, ("1", "b", "U", 2), ("2", "c", "I", 2)), ["ts"])
+        merging.merge_changes(target, change_rows(spark, ("1", "b", "U", 2)), "2024-01-02")
     monkeypatch.undo()
-    assert values(table) == {"1": "a"}
-    merging.apply_changes(table, change_rows(spark, ("1", "b", "U", 2)), ["ts"])
-    assert values(table) == {"1": "b"}
-
-
-def test_a_commit_that_comes_second_fails_and_can_be_repeated(spark, folder):
-    table = SnapshotTable(spark, folder, CHANGE, ["id"], buckets=4)
-    stale = table.head()
-    merging.apply_changes(table, change_rows(spark, ("1", "a", "I", 1)), ["ts"])
-    rows = change_rows(spark, ("2", "b", "I", 1))
-    with pytest.raises(ConcurrentCommit):
-        table.commit(rows, table.touched(rows), stale)
-    assert values(table) == {"1": "a"}
-    merging.apply_changes(table, rows, ["ts"])
-    assert values(table) == {"1": "a", "2": "b"}
-
-
-def test_a_committed_batch_is_skipped(spark, folder):
-    table = SnapshotTable(spark, folder, CHANGE, ["id"], buckets=4)
-    apply = lambda n, *rows: merging.apply_changes(table, change_rows(spark, *rows), ["ts"], writer="w", batch=n)
-    apply(0, ("1", "a", "I", 1))
-    apply(1, ("1", "b", "U", 2))
-    assert apply(1, ("1", "other", "U", 3)).version == 2
-    assert values(table) == {"1": "b"} and table.last_batch("w") == 1 and table.last_batch("x") is None
-
-
-def test_old_change_after_delete_stays_deleted(spark, folder):
-    table = SnapshotTable(spark, folder, CHANGE, ["id"], buckets=4)
-    merging.apply_changes(table, change_rows(spark, ("1", None, "D", 9)), ["ts"])
-    merging.apply_changes(table, change_rows(spark, ("1", "old", "U", 5)), ["ts"])
-    assert values(table) == {}
-    merging.apply_changes(table, change_rows(spark, ("1", "new", "I", 10)), ["ts"])
-    assert values(table) == {"1": "new"}
-
-
-def test_phased_mode_can_empty_a_bucket(spark, folder):
-    table = SnapshotTable(spark, folder, CHANGE, ["id"], buckets=1)
-    merging.apply_changes(table, change_rows(spark, ("1", "a", "I", 1)), ["ts"], mode=merging.PHASED)
-    assert values(table) == {"1": "a"}
-    merging.apply_changes(table, change_rows(spark, ("1", None, "D", 2), ("1", "b", "I", 3)), ["ts"], mode=merging.PHASED)
-    assert table.read().count() == 0 and table.head().version == 2
-
-
-def test_layers_read_like_rewritten_buckets(spark, folder):
-    """Random batches, out of order and repeated, laid over a table, merged into it, or both in turn."""
+    assert values(target) == {"1": "a"}
+
+
+def test_batches_of_a_stream_read_like_one_merge(spark, folder):
+    """Random batches, out of order and repeated, with a rewrite in between."""
     rnd = random.Random(5)
     history = [(str(rnd.randrange(20)), f"v{t}", rnd.choice("IUD"), t) for t in range(120)]
     last = {}
@@ -165,61 +141,37 @@ def test_layers_read_like_rewritten_buckets(spark, folder):
         last[i] = (v, op)
     expected = {i: v for i, (v, op) in last.items() if op != "D"}
     rnd.shuffle(history)
-    batches = [history[i::4] for i in range(4)]
-    layered, mixed = (SnapshotTable(spark, f"{folder}/{n}", CHANGE, ["id"], 4, ["ts"]) for n in "ab")
-    for n, part in enumerate([*batches, batches[1]]):
-        merging.add_changes(layered, change_rows(spark, *part))
-        if n % 2:
-            merging.apply_changes(mixed, change_rows(spark, *part), ["ts"])
-        else:
-            merging.add_changes(mixed, change_rows(spark, *part))
-    assert max(len(p) for p in layered.head().places.values()) == 5
-    assert values(layered) == values(mixed) == expected
-    merging.compact(layered, 5)
-    assert layered.head().version == 5, "no bucket has more pieces than that"
-    merging.compact(layered)
-    assert layered.head().layered() == [] and values(layered) == expected
-    assert layered.read().count() == 20, "one row per key, deletes included"
-
-
-def test_layers_count_a_batch_once_and_need_an_order(spark, folder):
-    table = SnapshotTable(spark, folder, CHANGE, ["id"], 2, ["ts"])
-    for _ in range(2):
-        merging.add_changes(table, change_rows(spark, ("1", "a", "I", 1)), "w", 0)
-    assert table.head().version == 1
-    assert merging.add_changes(table, change_rows(spark), "w", 1).version == 1
-    with pytest.raises(ValueError, match="order"):
-        merging.add_changes(SnapshotTable(spark, folder, CHANGE, ["id"], 2), change_rows(spark, ("1", "a", "I", 1)))
-
-
-def test_phased_mode_does_not_take_remembered_deletes_for_rows(spark, folder):
-    table = SnapshotTable(spark, folder, CHANGE, ["id"], buckets=1)
-    merging.apply_changes(table, change_rows(spark, ("1", None, "D", 1), ("2", "a", "I", 1)), ["ts"])
-    merging.apply_changes(table, change_rows(spark, ("1", "b", "I", 2), ("2", "c", "U", 2)), ["ts"], mode=merging.PHASED)
-    assert values(table) == {"1": "b", "2": "c"}
-
-
-def test_bucket_number_is_fixed(spark, folder):
-    merging.apply_changes(SnapshotTable(spark, folder, CHANGE, ["id"], buckets=4), change_rows(spark, ("1", "a", "I", 1)), ["ts"])
-    with pytest.raises(ValueError, match="4 buckets"):
-        SnapshotTable(spark, folder, CHANGE, ["id"], buckets=8).head()
+    target = target_in(spark, folder)
+    for n in (0, 1, 2, 1, 3):
+        target.add(change_rows(spark, *history[n::4]), f"batch-{n}")
+        if n == 2:
+            merging.compact(target, "2024-01-01")
+            assert target.changes().count() == 0
+    assert values(target) == expected and target.state().count() == 20
+    merging.compact(target, "2024-01-02")
+    assert values(target) == expected
+    with pytest.raises(ValueError, match="already"):
+        merging.compact(target, "2024-01-02")
+
+
+def test_phased_mode_remembers_deletes(spark, folder):
+    target = target_in(spark, folder)
+    merging.merge_changes(target, change_rows(spark, ("1", None, "D", 5), ("2", "a", "I", 1)), "2024-01-01")
+    merging.merge_changes(target, change_rows(spark, ("2", None, "D", 6), ("3", "c", "I", 6)), "2024-01-02", merging.PHASED)
+    assert values(target) == {"3": "c"}
+    merging.merge_changes(target, change_rows(spark, ("1", "old", "U", 4), ("2", "old", "U", 2)), "2024-01-03")
+    assert values(target) == {"3": "c"}
+    with pytest.raises(ValueError, match="unknown"):
+        merging.merge_changes(target, change_rows(spark), "2024-01-04", "other")
 
 
 def test_merge_job_reads_yesterday(spark, folder):
-    raw, path = f"{folder}/raw", f"{folder}/target"
+    raw = f"{folder}/raw"
     for day, v in (("2024-01-14", "a"), ("2024-01-15", "b"), ("2024-01-16", "c")):
         rawzone.write(on_day(change_rows(spark, ("0001", v, "U", 1), (v, v, "I", 1)), day), raw)
-    table = SnapshotTable(spark, path, CHANGE, ["id"], buckets=4)
-    merging.merge_day(spark, table, raw, ["ts"], run_date="2024-01-16")
-    assert values(table) == {"0001": "b", "b": "b"}
-
-
-def test_nothing_to_merge_commits_nothing(spark, folder):
-    table = SnapshotTable(spark, folder, CHANGE, ["id"], buckets=2)
-    assert merging.apply_changes(table, change_rows(spark), ["ts"]).version == 0
-    merging.apply_changes(table, change_rows(spark, ("1", "a", "I", 1)), ["ts"])
-    assert merging.apply_changes(table, change_rows(spark), ["ts"], writer="w", batch=3).version == 1
-    assert values(table) == {"1": "a"}
+    target = target_in(spark, f"{folder}/target")
+    merging.merge_day(target, raw, "2024-01-16")
+    assert values(target) == {"0001": "b", "b": "b"}
 
 
 class FakeSession:
@@ -237,13 +189,6 @@ def test_own_folder_only_on_a_local_master():
         session.shared_dir(FakeSession("yarn"))
 
 
-def test_spread_only_widens_narrow_scans(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert session.spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 100, 1, 2 * cores)
-    assert session.spread(wide) is wide
-
-
 def test_shared_folder_comes_from_the_session(spark):
     assert session.fresh_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/"))
 

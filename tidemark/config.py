@@ -33,23 +33,24 @@ class FeedConfig:
     """Everything a job needs to know about one feed.
 
     ``keys`` name the merge key columns of the row image, ``order`` the columns that
-    put two changes of one key in chronological order. ``max_pieces`` is how many pieces a
-    bucket of the target may have before the streaming merge rewrites it as one.
+    put two changes of one key in chronological order: the event's time, and within an instant its
+    place in the topic, where a key has one partition. ``alert_after`` is how many replays of an item are
+    cause for an alert; ``max_offsets`` bounds a micro-batch.
     """
 
     feed: str
     row_schema: T.StructType = field(default_factory=lambda: SAMPLE_ROW_SCHEMA)
     keys: tuple[str, ...] = ("id",)
-    order: tuple[str, ...] = ("ts_us", "ts_ns")
+    order: tuple[str, ...] = ("ts_us", "ts_ns", "msg_offset")
     topic: str = "changes"
     dead_letter_topic: str | None = None
     bootstrap_servers: str | None = None
     starting_offsets: str = "earliest"
     raw_format: str = "parquet"
     trigger_seconds: int = 3
-    max_attempts: int = 5
+    alert_after: int = 5
+    max_offsets: int = 10_000_000
     topic_partitions: int = 4
-    max_pieces: int = 8
     kafka_options: dict[str, str] = field(default_factory=lambda: dict(KAFKA_DEFAULTS))
 
     @property
@@ -68,6 +69,7 @@ class FeedConfig:
             "kafka.security.protocol": self.kafka_options["kafka.security.protocol"],
             "subscribe": self.topic,
             "startingOffsets": self.starting_offsets,
+            "maxOffsetsPerTrigger": str(self.max_offsets),
         }
 
     def write_options(self) -> dict[str, str]:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Appended to every line before parsing. The parser stops after the first complete
-# value, so only a line that is one whole JSON value leaves this mark in second place.
+# Appended to every text before parsing. The parser stops after the first complete
+# value, so only texts that are one whole JSON value each leave this mark in the place behind them.
 _END = "~end~"
 
 
@@ -21,25 +21,26 @@ def is_blank(text: str | Column) -> Column:
     return F.length(F.btrim(c, F.lit(" \t\r\n"))) == 0
 
 
-def bracketed(text: str) -> Column:
-    """The line as first element of a two-element array, parsed to a variant."""
-    return F.try_parse_json(F.concat(F.lit("["), F.col(text), F.lit(f',"{_END}"]')))
+def bracketed(*texts: str) -> Column:
+    """One text, or several side by side, as elements of an array that is parsed to a variant."""
+    parts = [part for t in texts for part in (F.col(t), F.lit(","))]
+    return F.try_parse_json(F.concat(F.lit("["), *parts, F.lit(f'"{_END}"]')))
 
 
-def is_whole(parsed: str | Column) -> Column:
-    """True where the line behind :func:`bracketed` is exactly one JSON value."""
+def is_whole(parsed: str | Column, texts: int = 1) -> Column:
+    """True where every text behind :func:`bracketed` is exactly one JSON value."""
     p = F.col(parsed) if isinstance(parsed, str) else parsed
-    end, more = F.try_variant_get(p, "$[1]", "string"), F.try_variant_get(p, "$[2]", "string")
+    end, more = F.try_variant_get(p, f"$[{texts}]", "string"), F.try_variant_get(p, f"$[{texts + 1}]", "string")
     return F.coalesce((end == _END) & more.isNull(), F.lit(False))
 
 
-def in_line(parsed: str | Column, *path: str, as_type: str = "variant") -> Column:
-    """A member of the line's JSON value by its path, null if absent or of another type.
+def in_line(parsed: str | Column, *path: str, as_type: str = "variant", root: str = "$[0]") -> Column:
+    """A member of a parsed text by its path, null if absent or of another type.
 
     Reading typed members straight off the parsed line spares a copy of what surrounds them.
     """
     p = F.col(parsed) if isinstance(parsed, str) else parsed
-    return F.try_variant_get(p, "$[0]" + _steps(path), as_type)
+    return F.try_variant_get(p, root + _steps(path), as_type)
 
 
 def line_has(parsed: str, name: str) -> Column:

@@ -6,7 +6,7 @@ that order changes in time.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,24 +32,42 @@ def latest(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     """
     time = [c for c in order if c not in keys]
     payload = [c for c in changes.columns if c not in keys]
-    last = changes.groupBy(*keys).agg(newest(changes.schema, payload, time).alias("_row"))
+    last = changes.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(newest(changes.schema, payload, time).alias("_row"))
     return last.select(*[F.col(f"`{c}`") if c in keys else F.col("_row")[c].alias(c) for c in changes.columns])
 
 
 def newest(schema: T.StructType, columns: Sequence[str], order: Sequence[str], where: Column | None = None) -> Column:
     """Aggregate: the newest row as a struct of ``columns`` and ``order``, of rows that hold ``where``.
 
-    As the greatest struct with the order columns in front, each column travels once, and
-    of two rows of the same instant it is always the same one that wins. Maps and variants
-    cannot be compared; rows with such columns are picked by their order columns alone.
+    Newest is the greatest in the order columns, then in the other columns, so that of two rows of the
+    same instant it is always the same one that wins (:func:`position`). Where all columns can be
+    compared the row is its own position and travels once.
     """
     fields = list(dict.fromkeys([*order, *columns]))
-    row, time = F.struct(*[F.col(f"`{c}`") for c in fields]), F.struct(*order)
+    row, place = F.struct(*[F.col(f"`{c}`") for c in fields]), position(schema, fields)
     if where is not None:
-        row, time = F.when(where, row), F.when(where, time)
+        row, place = F.when(where, row), F.when(where, place)
     if all(_is_comparable(schema[c].dataType) for c in fields):
         return F.max(row)
-    return F.max_by(row, time)
+    return F.max_by(row, place)
+
+
+def position(schema: T.StructType, fields: Sequence[str], name: Callable[[str], str] = lambda c: c) -> Column:
+    """What puts two changes of a key in order: ``fields`` one after the other.
+
+    Maps and variants have no order of their own; their JSON text stands for them. ``name`` says under
+    which column name a field is found.
+    """
+    return F.struct(*[_comparable(F.col(f"`{name(c)}`"), schema[c].dataType).alias(c) for c in fields])
+
+
+def _comparable(value: Column, t: T.DataType) -> Column:
+    if _is_comparable(t):
+        return value
+    if isinstance(t, T.MapType):
+        # entries by key: maps that are equal have equal text
+        return F.to_json(F.array_sort(F.map_entries(value))) if _is_comparable(t.valueType) else F.to_json(value)
+    return F.to_json(value) if isinstance(t, T.VariantType) else F.to_json(F.struct(value.alias("v")))
 
 
 def _is_comparable(t: T.DataType) -> bool:

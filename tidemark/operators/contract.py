@@ -76,7 +76,7 @@ def _object_faults(parent: Column, schema: T.StructType, prefix: str, kinds: lis
         if kinds is not None:
             kinds.append(seen)
             seen = F.col(f"_kind_{len(kinds) - 1}")
-        found.append(_verdict(seen, f.dataType, path))
+        found.append(_verdict(seen, value, f.dataType, path))
         if isinstance(f.dataType, T.StructType):
             inside = _object_faults(value, f.dataType, f"{path}.", kinds)
             found += [F.when(seen.startswith("OBJECT"), test) for test in inside]
@@ -90,7 +90,7 @@ def _array_faults(value: Column, element: T.DataType, path: str) -> Column:
 
     def faults_of(v: Column) -> Column:
         seen = F.schema_of_variant(v)
-        tests = [_verdict(seen, element, f"{path}[]")]
+        tests = [_verdict(seen, v, element, f"{path}[]")]
         if isinstance(element, T.StructType):
             inside = _object_faults(v, element, f"{path}.", None)
             tests += [F.when(seen.startswith("OBJECT"), test) for test in inside]
@@ -113,14 +113,18 @@ def _exact_kind(t: T.DataType) -> str | None:
         if None in inner.values() or not all(n.isidentifier() for n in inner):
             return None
         return "OBJECT<" + ", ".join(f"{n}: {inner[n]}" for n in sorted(inner)) + ">"
+    if isinstance(t, T.IntegerType):
+        return None  # the kind does not tell the range
     names = _SCALARS.get(type(t), ())
     return names[0] if len(names) == 1 else None
 
 
-def _verdict(seen: Column, wanted: T.DataType, path: str) -> Column:
-    return (
-        F.when(seen.isNull(), f"{path}:missing").when(seen == "VOID", f"{path}:null").when(~_fits(seen, wanted), f"{path}:type")
-    )
+def _verdict(seen: Column, value: Column, wanted: T.DataType, path: str) -> Column:
+    found = F.when(seen.isNull(), f"{path}:missing").when(seen == "VOID", f"{path}:null").when(~_fits(seen, wanted), f"{path}:type")
+    if isinstance(wanted, T.IntegerType | T.LongType):
+        # whole numbers of any length are read as far as they fit
+        found = found.when(F.try_variant_get(value, "$", wanted.simpleString()).isNull(), f"{path}:type")
+    return found
 
 
 def _fits(seen: Column, wanted: T.DataType) -> Column:
@@ -227,7 +231,7 @@ def register(history: DataFrame, new: DataFrame) -> DataFrame:
     A schema equal to the subject's latest one adds no version. ``new`` names a subject
     once; a second row for it fails the job instead of winning by chance.
     """
-    return history.unionByName(_next_versions(history, new, keep_equal=False))
+    return history.unionByName(next_versions(history, new, keep_equal=False))
 
 
 def replace(history: DataFrame, new: DataFrame) -> DataFrame:
@@ -239,10 +243,11 @@ def replace(history: DataFrame, new: DataFrame) -> DataFrame:
     marked = history.join(replaced, "subject", "left_outer").select(
         "subject", "version", "schema_json", (F.col("retired") | F.col("_replaced").isNotNull()).alias("retired")
     )
-    return marked.unionByName(_next_versions(history, new, keep_equal=True))
+    return marked.unionByName(next_versions(history, new, keep_equal=True))
 
 
-def _next_versions(history: DataFrame, new: DataFrame, keep_equal: bool) -> DataFrame:
+def next_versions(history: DataFrame, new: DataFrame, keep_equal: bool) -> DataFrame:
+    """The rows that ``new`` adds to the history."""
     current = history.groupBy("subject").agg(
         F.max("version").alias("_last"),
         F.max_by("schema_json", F.when(~F.col("retired"), F.col("version"))).alias("_in_force"),

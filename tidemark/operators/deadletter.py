@@ -1,7 +1,9 @@
 """Dead letters: keyed put, retry and stale split, alerts, replay, purge.
 
-The store is a log of puts ``(dlq_key, raw, reason, attempts, seen_at)``. Its state has
-one row per ``dlq_key``: the last put wins, attempts add up.
+The store is a log of entries ``(dlq_key, raw, reason, attempts, puts, seen_at)``; what it says together is one row
+per ``dlq_key``: the last entry wins. An entry is a put, the outcome of a replay, or a purge; the last two may
+close an item. ``attempts`` counts replays, ``puts`` how often the item came in. Undelivered items stay
+retriable for as long as it takes; how often they were tried is a matter for alerts.
 """
 
 from __future__ import annotations
@@ -11,8 +13,10 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.envelope import UNDELIVERED
 
-PUT_SCHEMA = "dlq_key string, raw string, reason string, attempts int, seen_at timestamp"
-STATE_COLUMNS = ("dlq_key", "raw", "reason", "retriable", "attempts", "first_seen", "last_seen")
+LOG_SCHEMA = "dlq_key string, raw string, reason string, attempts int, puts bigint, seen_at timestamp, first_seen timestamp"
+STATE_COLUMNS = ("dlq_key", "raw", "reason", "retriable", "attempts", "puts", "first_seen", "last_seen")
+# reasons that close an item
+DELIVERED, PURGED = "delivered", "purged"
 
 
 def record_key(raw: str | Column, key_text: str | Column | None = None) -> Column:
@@ -32,85 +36,81 @@ def message_key(raw: str | Column) -> Column:
 
 
 def puts(rows: DataFrame, raw: str, key: Column, reason: str | Column, seen_at: Column | None = None) -> DataFrame:
-    """Put log entries of quarantined or undelivered rows."""
+    """Log entries of quarantined or undelivered rows."""
+    now = F.current_timestamp() if seen_at is None else seen_at
     return rows.select(
         key.alias("dlq_key"),
         F.col(raw).alias("raw"),
         (F.col(reason) if isinstance(reason, str) else reason).alias("reason"),
-        F.lit(1).alias("attempts"),
-        (F.current_timestamp() if seen_at is None else seen_at).alias("seen_at"),
+        F.lit(0).alias("attempts"),
+        F.lit(1).cast("bigint").alias("puts"),
+        now.alias("seen_at"),
+        now.alias("first_seen"),
     )
 
 
-def state(log: DataFrame, max_attempts: int) -> DataFrame:
-    """One row per item of the put log."""
-    return _by_item(log.withColumn("first_seen", F.col("seen_at")), max_attempts)
+def combined(log: DataFrame) -> DataFrame:
+    """The log with one entry per item, closed items included.
 
-
-def put(current: DataFrame, log: DataFrame, max_attempts: int) -> DataFrame:
-    """State after more puts; the old state enters the same aggregate as one put per item."""
-    old = current.withColumn("seen_at", F.col("last_seen")).select(
-        "dlq_key", "raw", "reason", "attempts", "seen_at", "first_seen"
-    )
-    return _by_item(old.unionByName(log.withColumn("first_seen", F.col("seen_at"))), max_attempts)
-
-
-def _by_item(log: DataFrame, max_attempts: int) -> DataFrame:
-    """Aggregates before its shuffle, so a text that repeats without end costs one row per task."""
+    Aggregates before its shuffle, so a text that repeats without end costs one row per task. Of
+    entries of one instant an outcome comes after a put, by its attempts.
+    """
+    last = F.max(F.struct("seen_at", "attempts", "reason", "raw")).alias("_last")
     return (
         log.groupBy("dlq_key")
-        .agg(
-            F.max(F.struct("seen_at", "reason", "raw")).alias("_last"),
-            F.sum("attempts").cast("int").alias("attempts"),
-            F.min("first_seen").alias("first_seen"),
-        )
-        .select("dlq_key", "_last.*", "attempts", "first_seen")
-        .withColumnRenamed("seen_at", "last_seen")
-        .withColumn("retriable", _retriable(max_attempts))
-        .select(*STATE_COLUMNS)
+        .agg(last, F.max("attempts").alias("attempts"), F.sum("puts").alias("puts"), F.min("first_seen").alias("first_seen"))
+        .select("dlq_key", "_last.raw", "_last.reason", "attempts", "puts", "_last.seen_at", "first_seen")
     )
 
 
+def state(log: DataFrame) -> DataFrame:
+    """One row per open item."""
+    items = combined(log).filter(~F.col("reason").isin(DELIVERED, PURGED))
+    retry = F.col("reason") == UNDELIVERED
+    return items.withColumnRenamed("seen_at", "last_seen").withColumn("retriable", retry).select(*STATE_COLUMNS)
+
+
 def retriable(current: DataFrame) -> DataFrame:
     return current.filter("retriable")
 
 
 def stale(current: DataFrame) -> DataFrame:
+    """Items that can never succeed as they are: the checks refuse them."""
     return current.filter("not retriable")
 
 
-def alerts(current: DataFrame) -> DataFrame:
-    """What the owning teams are told: stale items per reason, with the oldest one's time."""
-    return stale(current).groupBy("reason").agg(F.count("*").alias("n"), F.min("first_seen").alias("oldest"))
-
+def alerts(current: DataFrame, alert_after: int | None = None) -> DataFrame:
+    """What the owning teams are told, per reason, with the oldest item's time.
 
-def purge(current: DataFrame) -> DataFrame:
-    """State without its stale items. Staleness is a property of the row, so no join is needed."""
-    return retriable(current)
+    Stale items; with ``alert_after`` also those that were replayed that often and are still undelivered.
+    """
+    told = ~F.col("retriable")
+    if alert_after is not None:
+        told = told | (F.col("attempts") >= alert_after)
+    return current.filter(told).groupBy("reason").agg(F.count("*").alias("n"), F.min("first_seen").alias("oldest"))
 
 
-def remove(current: DataFrame, items: DataFrame) -> DataFrame:
-    """State without the given items, e.g. those an alert was raised for, or delivered ones."""
-    return current.join(items.select("dlq_key").distinct(), "dlq_key", "left_anti")
+def purges(current: DataFrame, now: Column | None = None) -> DataFrame:
+    """Entries that close the stale items; undelivered ones are never purged."""
+    return _entries(stale(current), F.lit(PURGED), F.col("attempts"), now)
 
 
-def settle(current: DataFrame, outcome: DataFrame, max_attempts: int, now: Column | None = None) -> DataFrame:
-    """State after a replay; ``outcome`` holds ``(dlq_key, reason)`` of every item tried.
+def outcomes(tried: DataFrame, now: Column | None = None) -> DataFrame:
+    """Entries after a replay; ``tried`` are items with ``_reason``, null where delivered.
 
-    ``reason`` null means delivered: the item leaves. Otherwise it stays with one more
-    attempt and the reason found this time. Items not tried stay as they are.
+    A delivered item is closed. Another one keeps its text, with one more attempt and the reason found.
     """
-    tried = outcome.select("dlq_key", F.col("reason").alias("_reason"), F.lit(True).alias("_tried"))
-    joined = current.join(tried, "dlq_key", "left_outer").filter("_tried is null or _reason is not null")
-    was_tried = F.col("_tried").isNotNull()
-    return (
-        joined.withColumn("reason", F.when(was_tried, F.col("_reason")).otherwise(F.col("reason")))
-        .withColumn("attempts", F.when(was_tried, F.col("attempts") + 1).otherwise(F.col("attempts")))
-        .withColumn("last_seen", F.when(was_tried, F.current_timestamp() if now is None else now).otherwise(F.col("last_seen")))
-        .withColumn("retriable", _retriable(max_attempts))
-        .select(*STATE_COLUMNS)
+    return _entries(tried, F.coalesce("_reason", F.lit(DELIVERED)), F.col("attempts") + 1, now)
+
+
+def _entries(items: DataFrame, reason: Column, attempts: Column, now: Column | None) -> DataFrame:
+    return items.select(
+        "dlq_key",
+        "raw",
+        reason.alias("reason"),
+        attempts.cast("int").alias("attempts"),
+        F.lit(0).cast("bigint").alias("puts"),
+        # never before the entry it answers
+        F.greatest(F.current_timestamp() if now is None else now, F.col("last_seen")).alias("seen_at"),
+        "first_seen",
     )
-
-
-def _retriable(max_attempts: int) -> Column:
-    return (F.col("reason") == UNDELIVERED) & (F.col("attempts") < max_attempts)

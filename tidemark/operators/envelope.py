@@ -41,17 +41,50 @@ def classify(
     row_schema: T.StructType,
     text: str = "line",
     binary: bool = False,
+    with_value: bool = False,
 ) -> DataFrame:
-    """Full classification against key columns and row contract.
+    """Full classification of feed lines against key columns and row contract.
 
     Keeps the input columns and adds ``reason``, ``violations`` and the parts of the
     event the next steps need: ``key_text``, ``op``, ``ts_ms``, ``ts_us``, ``ts_ns`` and
-    ``image`` (variant of the row image the operation stands for).
+    ``image`` (variant of the row image the operation stands for); ``with_value`` also
+    ``value_text``, the JSON of the event's value part.
     """
-    read = lambda *path, as_type="variant": J.in_line("_parsed", "value", *path, as_type=as_type)
-    parts = _parsed(lines, text, binary).select(
+    has_value = F.when(F.col("op").isNotNull(), F.lit(True)).otherwise(J.line_has("_parsed", "value"))
+    has_both = F.col("_key").isNotNull() & has_value
+    parsed = _parsed(lines, text, binary)
+    return _classified(parsed, lines.columns, keys, row_schema, '$[0]["key"]', '$[0]["value"]', has_both, 1, with_value)
+
+
+def classify_messages(
+    messages: DataFrame, keys: Sequence[str], row_schema: T.StructType, key: str = "key", value: str = "value"
+) -> DataFrame:
+    """The same for topic messages, whose key and value are JSON bytes of their own.
+
+    A message without a key or without a value has no envelope.
+    """
+    k, v = J.decoded(key), J.decoded(value)
+    utf8 = (F.col(key).isNull() | F.col("_k").isNotNull()) & (F.col(value).isNull() | F.col("_v").isNotNull())
+    blank = lambda c: F.coalesce(J.is_blank(c), F.lit(True))
+    raw = messages.withColumns({"_k": k, "_v": v})
+    raw = raw.withColumns({"_utf8": utf8, "_bare": blank("_k") | blank("_v")})
+    # blank where both are: such a message says nothing
+    raw = raw.withColumn("_text", F.when(blank("_k") & blank("_v"), "").otherwise(F.lit("{}")))
+    # a side that is missing is null, which has no envelope
+    raw = raw.withColumns({"_k": F.when(blank("_k"), "null").otherwise(F.col("_k")), "_v": F.when(blank("_v"), "null").otherwise(F.col("_v"))})
+    parsed = raw.withColumn("_parsed", J.bracketed("_k", "_v"))
+    has_both = ~F.col("_bare") & (J.in_line("_parsed", as_type="struct<>", root="$[1]").isNotNull())
+    return _classified(parsed, messages.columns, keys, row_schema, "$[0]", "$[1]", has_both, 2)
+
+
+def _classified(
+    parsed: DataFrame, columns: Sequence[str], keys: Sequence[str], row_schema: T.StructType, key_root: str, value_root: str,
+    has_both: Column, texts: int, with_value: bool = False,
+) -> DataFrame:
+    read = lambda *path, as_type="variant": J.in_line("_parsed", *path, as_type=as_type, root=value_root)
+    parts = parsed.select(
         "*",
-        J.in_line("_parsed", "key").alias("_key"),
+        J.in_line("_parsed", root=key_root).alias("_key"),
         normal_op(read("op", as_type="string")).alias("op"),
         *[read(unit, as_type="bigint").alias(f"_{unit}") for unit in ("ts_ms", "ts_us", "ts_ns")],
     )
@@ -64,22 +97,24 @@ def classify(
     )
     parts = parts.withColumn("ts_ns", F.coalesce("_ts_ns", F.try_multiply("ts_us", F.lit(1000))))
     parts = contract.with_violations(parts, "image", row_schema)
-    has_value = F.when(F.col("op").isNotNull(), F.lit(True)).otherwise(J.line_has("_parsed", "value"))
     faults = [
-        *_envelope_faults(F.col("_key").isNotNull() & has_value),
+        *_envelope_faults(has_both, texts),
         _fault("null_key", _null_key("_key", keys)),
         _fault("key_mismatch", _other_key("_key", keys)),
         _fault("unknown_op", F.col("op").isNull()),
         _fault("null_image", J.absent(F.col("image"))),
         _fault("null_order", F.col("ts_ms").isNull() | F.col("ts_ns").isNull()),
         _fault("schema_violation", F.size("violations") > 0),
+        # only now the image's own key is known to be there and of its type
+        _fault("key_mismatch", _another_row("_key", "image", keys)),
     ]
-    found = ["reason", "violations", "key_text", "op", "ts_ms", "ts_us", "ts_ns", "image"]
+    found = ["reason", "violations", "key_text", *["value_text"] * with_value, "op", "ts_ms", "ts_us", "ts_ns", "image"]
     classified = parts.select(
-        *lines.columns,
+        *columns,
         F.coalesce(*faults, F.lit(OK)).alias("reason"),
         F.when(~J.absent(F.col("_key")), F.to_json("_key")).alias("key_text"),
-        *[c for c in found if c not in ("reason", "key_text")],
+        *[F.to_json(read()).alias("value_text")] * with_value,
+        *[c for c in found if c not in ("reason", "key_text", "value_text")],
     )
     return _settled(classified, found)
 
@@ -115,9 +150,21 @@ def quarantined(classified: DataFrame) -> DataFrame:
     return classified.filter(~F.col("reason").isin(OK, BLANK))
 
 
+def typed(schema: T.StructType) -> str:
+    """The schema as type text, with names quoted."""
+    return _type_text(schema)
+
+
+def _type_text(t: T.DataType) -> str:
+    if isinstance(t, T.StructType):
+        inside = [f"`{f.name.replace('`', '``')}`:{_type_text(f.dataType)}" for f in t.fields]
+        return f"struct<{','.join(inside)}>"
+    return f"array<{_type_text(t.elementType)}>" if isinstance(t, T.ArrayType) else t.simpleString()
+
+
 def image_rows(classified: DataFrame, row_schema: T.StructType, carry: Sequence[str] = ()) -> DataFrame:
     """Typed row images of valid events with ``op`` and event time, plus ``carry`` columns."""
-    rows = valid(classified).withColumn("_row", F.try_variant_get("image", "$", row_schema.simpleString()))
+    rows = valid(classified).withColumn("_row", F.try_variant_get("image", "$", typed(row_schema)))
     return rows.select(*carry, "_row.*", "op", "ts_ms", "ts_us", "ts_ns")
 
 
@@ -144,11 +191,11 @@ def error_counts(messages: DataFrame, error: str = "error", end_of_partition: st
     )
 
 
-def _envelope_faults(has_both: Column) -> list[Column]:
+def _envelope_faults(has_both: Column, texts: int = 1) -> list[Column]:
     return [
         _fault(BLANK, F.col("_utf8") & F.coalesce(J.is_blank("_text"), F.lit(True))),
         _fault("bad_utf8", ~F.col("_utf8")),
-        _fault("malformed_json", ~J.is_whole("_parsed")),
+        _fault("malformed_json", ~J.is_whole("_parsed", texts)),
         _fault("missing_envelope", ~has_both),
     ]
 
@@ -167,3 +214,9 @@ def _other_key(key: str, keys: Sequence[str]) -> Column:
     """The key does not name exactly the configured columns."""
     missing = reduce(or_, [J.member(key, k, as_type="string").isNull() for k in keys])
     return missing | ~J.member_count(key).eqNullSafe(F.lit(len(keys)))
+
+
+def _another_row(key: str, image: str, keys: Sequence[str]) -> Column:
+    """The key names another row than the image."""
+    differ = [~J.member(key, k, as_type="string").eqNullSafe(J.member(image, k, as_type="string")) for k in keys]
+    return reduce(or_, differ)

@@ -1,8 +1,9 @@
-"""Dead-letter jobs on a snapshot table keyed by ``dlq_key``."""
+"""Dead-letter jobs on an append-only log."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -11,87 +12,76 @@ from pyspark.sql import types as T
 
 from tidemark.config import FeedConfig
 from tidemark.operators import deadletter, envelope
-from tidemark.session import fresh_dir
-from tidemark.sources.snapshot import Head, SnapshotTable
+from tidemark.sources import batches
 from tidemark.sources.topic import encode_lines
 
-STATE_SCHEMA = (
-    T.StructType()
-    .add("dlq_key", "string")
-    .add("raw", "string")
-    .add("reason", "string")
-    .add("retriable", "boolean")
-    .add("attempts", "integer")
-    .add("first_seen", "timestamp")
-    .add("last_seen", "timestamp")
-)
-
-
-def store(spark: SparkSession, path: str, buckets: int = 8) -> SnapshotTable:
-    return SnapshotTable(spark, path, STATE_SCHEMA, ["dlq_key"], buckets)
-
-
-def put(table: SnapshotTable, log: DataFrame, max_attempts: int, writer: str = "", batch: int | None = None) -> Head:
-    """Upserts put-log rows. A batch the writer has already put is not counted twice."""
-    head = table.head()
-    done = None if batch is None else table.last_batch(writer)
-    if done is not None and batch <= done:
-        return head
-    kept = log.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        touched = table.touched(kept)
-        if not touched:
-            return head
-        merged = deadletter.put(table.read(head, touched), kept, max_attempts)
-        return table.commit(merged, touched, head, writer, batch)
-    finally:
-        kept.unpersist()
 
+@dataclass(frozen=True)
+class Letters:
+    """A dead-letter log in a folder. Reading folds it; a put costs what it adds."""
+
+    spark: SparkSession
+    path: str
+
+    def log(self) -> DataFrame:
+        return batches.read(self.spark, self.path, deadletter.LOG_SCHEMA)
+
+    def read(self) -> DataFrame:
+        """The open items."""
+        return deadletter.state(self.log())
 
-def purge(table: SnapshotTable, alert_path: str) -> Head:
-    """Writes the alerts for stale items, then removes exactly those items."""
-    head = table.head()
-    current = table.read(head)
-    touched = table.touched(deadletter.stale(current))
-    if not touched:
-        return head
-    deadletter.alerts(current).coalesce(1).write.mode("append").parquet(alert_path)
-    return table.commit(deadletter.purge(table.read(head, touched)), touched, head)
+    def put(self, entries: DataFrame, batch: str | None = None) -> None:
+        """Adds entries, combined per item first. A batch put again replaces its first try."""
+        batches.append(deadletter.combined(entries), self.path, batch)
+
+    def compact(self) -> None:
+        """Scheduled: the log with one entry per open item."""
+        old = batches.names(self.spark, self.path)
+        if len(old) > 1:
+            closed = F.col("reason").isin(deadletter.DELIVERED, deadletter.PURGED)
+            batches.rewrite(deadletter.combined(self.log()).filter(~closed), self.path, old)
+
+
+def purge(letters: Letters, alert_path: str, alert_after: int | None = None) -> None:
+    """Writes the alerts, then closes the stale items."""
+    current = letters.read().persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        told = deadletter.alerts(current, alert_after)
+        if told.take(1):
+            told.coalesce(1).write.mode("append").parquet(alert_path)
+        if deadletter.stale(current).take(1):
+            letters.put(deadletter.purges(current))
+    finally:
+        current.unpersist()
 
 
 def replay(
-    table: SnapshotTable,
+    letters: Letters,
     cfg: FeedConfig,
     publish: Callable[[DataFrame], None],
     row_schema: T.StructType | None = None,
     keys: Sequence[str] | None = None,
-) -> Head:
+) -> None:
     """Tries all retriable items again: full checks first, then one publish.
 
     Delivered items leave. Items that fail a check now stay with that reason and are no
-    longer retriable; if publishing fails all valid ones stay with one more attempt.
+    longer retriable; if publishing fails all valid ones stay with one more attempt. The items tried are kept until
+    their outcome is in the log, and the outcome has the text it was found for.
     """
-    head = table.head()
-    tried = deadletter.retriable(table.read(head)).select("dlq_key", "raw")
-    classified = envelope.classify(tried, keys or cfg.keys, row_schema or cfg.row_schema, text="raw")
-    checked = classified.select("dlq_key", "raw", "reason", "key_text").persist(StorageLevel.MEMORY_AND_DISK)
+    tried = deadletter.retriable(letters.read()).drop("reason")
+    classified = envelope.classify(tried, keys or cfg.keys, row_schema or cfg.row_schema, text="raw", with_value=True)
+    checked = classified.select(*tried.columns, F.col("reason").alias("_found"), "key_text", "value_text")
+    checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if not checked.take(1):
+            return
         delivered = True
         try:
-            publish(encode_lines(envelope.valid(checked), cfg, text="raw"))
+            publish(encode_lines(checked.filter(F.col("_found") == envelope.OK), cfg))
         except Exception:  # noqa: BLE001 - whatever the sink raises, the items are kept
             delivered = False
-        ok_reason = F.lit(None).cast("string") if delivered else F.lit(envelope.UNDELIVERED)
-        outcome = checked.select(
-            "dlq_key", F.when(F.col("reason") != envelope.OK, F.col("reason")).otherwise(ok_reason).alias("reason")
-        )
-        # the outcome of a publish is a fact: store it, so that it is not worked out again
-        folder = fresh_dir(table.spark, "outcome")
-        outcome.write.parquet(folder)
+        good = F.lit(None).cast("string") if delivered else F.lit(envelope.UNDELIVERED)
+        reason = F.when(F.col("_found") != envelope.OK, F.col("_found")).otherwise(good)
+        letters.put(deadletter.outcomes(checked.withColumn("_reason", reason)))
     finally:
         checked.unpersist()
-    settled = table.spark.read.schema("dlq_key string, reason string").parquet(folder)
-    touched = table.touched(settled)
-    if not touched:
-        return head
-    return table.commit(deadletter.settle(table.read(head, touched), settled, cfg.max_attempts), touched, head)

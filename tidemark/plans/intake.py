@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
@@ -10,10 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import FeedConfig
-from tidemark.operators import audit, contract, deadletter, envelope, watermark
-from tidemark.plans import deadletters
+from tidemark.operators import audit, changes, contract, deadletter, envelope, watermark
+from tidemark.plans.deadletters import Letters
 from tidemark.sources import control, feed
-from tidemark.sources.snapshot import SnapshotTable
 from tidemark.sources.topic import encode_letters, encode_lines
 
 
@@ -37,36 +37,51 @@ def run(
     cfg: FeedConfig,
     lines: DataFrame,
     control_path: str,
-    dead: SnapshotTable,
+    dead: Letters,
     publish: Callable[[DataFrame], None],
 ) -> IntakeResult:
-    """One fetch: everything since the mark, and the mark moves once both sinks are done."""
-    marks = control.read(spark, control_path)
-    since = feed.lines_since(lines, watermark.mark_of(marks, cfg.feed))
-    result = deliver(cfg, since, dead, publish)
-    seen = spark.createDataFrame([(cfg.feed, result.mark)], watermark.CONTROL_SCHEMA).filter("last_upd is not null")
-    control.write(watermark.advance(marks, seen), control_path)
+    """One fetch: everything since the mark, and the mark moves once both sinks are done.
+
+    The bound is inclusive. Lines of the mark's instant that an earlier fetch has taken are known by their
+    digests and left out, and a line that is there twice goes out once.
+    """
+    mark = watermark.mark_of(control.read(spark, control_path), cfg.feed)
+    classified = envelope.classify(lines.select("line"), cfg.keys, cfg.row_schema, with_value=True)
+    since = feed.classified_since(classified, mark).withColumn("digest", deadletter.message_key("line"))
+    own = (F.col("feed_name") == cfg.feed) & (F.col("last_upd") == mark)
+    taken = control.read_seen(spark, control_path).filter(own).select("digest").distinct()
+    fresh = changes.dedupe(since, ["digest"]).join(taken, "digest", "left_anti")
+    kept = fresh.select("line", "reason", "key_text", "value_text", "ts_ms", "digest").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        result = deliver(cfg, kept, dead, publish)
+        if result.mark is not None:
+            # first the digests: without the mark they do no harm
+            at_mark = kept.filter((F.col("reason") == envelope.OK) & (F.col("ts_ms") == result.mark))
+            seen = at_mark.select(F.lit(cfg.feed).alias("feed_name"), F.col("ts_ms").alias("last_upd"), "digest")
+            control.append_seen(seen, control_path)
+            control.append(spark.createDataFrame([(cfg.feed, result.mark)], watermark.CONTROL_SCHEMA), control_path)
+    finally:
+        kept.unpersist()
     return result
 
 
 def deliver(
     cfg: FeedConfig,
-    lines: DataFrame,
-    dead: SnapshotTable,
+    classified: DataFrame,
+    dead: Letters,
     publish: Callable[[DataFrame], None],
-    writer: str = "",
-    batch: int | None = None,
+    batch: str | None = None,
     publish_dead: Callable[[DataFrame], None] | None = None,
 ) -> IntakeResult:
-    """Checks the lines once, publishes the good ones and dead-letters the others.
+    """Publishes the good lines of classified ones and dead-letters the others.
 
     If publishing fails, the good lines of this batch go to the dead letters too, marked
     for retry; nothing is lost. With ``publish_dead`` the faulty lines also go to the
-    dead-letter topic.
+    dead-letter topic. A batch that is run again under its name replaces what its first try put, refused and
+    undelivered lines each for themselves: those that go out the second time are undelivered no more.
     """
-    classified = envelope.classify(lines.select("line"), cfg.keys, cfg.row_schema)
-    observed, counts = audit.observe_intake(classified, "ts_ms")
-    checked = observed.select("line", "reason", "key_text").persist(StorageLevel.MEMORY_AND_DISK)
+    name = batch or uuid.uuid4().hex
+    checked = classified.select("line", "reason", "key_text", "value_text", "ts_ms").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good = envelope.valid(checked)
         delivered = True
@@ -75,13 +90,14 @@ def deliver(
         except Exception:  # noqa: BLE001 - whatever the sink raises, the batch is kept
             delivered = False
         key = deadletter.message_key("line")
-        log = deadletter.puts(envelope.quarantined(checked), "line", key, "reason")
+        refused = deadletter.puts(envelope.quarantined(checked), "line", key, "reason")
         if publish_dead is not None:
-            publish_dead(encode_letters(log, cfg))
-        if not delivered:
-            log = log.unionByName(deadletter.puts(good, "line", key, F.lit(envelope.UNDELIVERED)))
-        deadletters.put(dead, log, cfg.max_attempts, writer, batch)
-        found = counts.get
+            publish_dead(encode_letters(refused, cfg))
+        dead.put(refused, f"{name}-refused")
+        lost = good if not delivered else good.limit(0)
+        dead.put(deadletter.puts(lost, "line", key, F.lit(envelope.UNDELIVERED)), f"{name}-undelivered")
+        counts = {r["metric"]: r["n"] for r in audit.intake_counts(checked).collect()}  # four rows
+        mark = good.agg(F.max("ts_ms").alias("t")).first()["t"]
     finally:
         checked.unpersist()
-    return IntakeResult(**found, delivered=delivered)
+    return IntakeResult(**counts, mark=mark, delivered=delivered)

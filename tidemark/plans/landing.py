@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import FeedConfig
-from tidemark.operators.envelope import OK, valid
+from tidemark.operators.envelope import OK, typed, valid
 from tidemark.operators.flatten import flatten
 from tidemark.sources import rawzone
 
 
-_ORDER = ("op", "ts_ms", "ts_us", "ts_ns")
+# what a raw row has besides its fields: the operation, the event's time, and its place in the topic
+_ORDER = {"op": "string", "ts_ms": "bigint", "ts_us": "bigint", "ts_ns": "bigint", "msg_partition": "int", "msg_offset": "bigint"}
 
 
 def outcome(classified: DataFrame, cfg: FeedConfig, raw: Column) -> DataFrame:
@@ -21,7 +22,7 @@ def outcome(classified: DataFrame, cfg: FeedConfig, raw: Column) -> DataFrame:
     A good event is its typed row image, a faulty one its raw text.
     """
     good = F.col("reason") == OK
-    row = F.try_variant_get("image", "$", cfg.row_schema.simpleString())
+    row = F.try_variant_get("image", "$", typed(cfg.row_schema))
     return classified.select(
         rawzone.DAY, "reason", F.when(~good, raw).alias("raw"), F.when(good, row).alias("_row"), *_ORDER
     )
@@ -34,8 +35,7 @@ def flat_rows(outcomes: DataFrame) -> DataFrame:
 
 def raw_schema(spark: SparkSession, cfg: FeedConfig) -> T.StructType:
     """Schema of the raw rows of a feed, without the day."""
-    types = ("string", "long", "long", "long")
-    order = T.StructType()
-    for name, kind in zip(_ORDER, types, strict=True):
-        order.add(name, kind)
+    if clash := {f.name.lower() for f in cfg.row_schema.fields} & set(_ORDER):
+        raise ValueError(f"the row has fields with names of the raw zone: {sorted(clash)}")
+    order = T._parse_datatype_string(", ".join(f"{name} {kind}" for name, kind in _ORDER.items()))
     return flatten(spark.createDataFrame([], T.StructType([*cfg.row_schema.fields, *order.fields]))).schema

@@ -1,96 +1,117 @@
-"""Merge job: one day, or one micro-batch, of raw changes into the target table."""
+"""Merge jobs: a day, or a stream, of raw changes into the target.
+
+The target is plain Parquet. A daily job writes the whole state as the snapshot of its day, from the snapshot before;
+run again it does the same again. A stream appends the net changes of each micro-batch and costs as much
+as these; who reads the target folds them over the newest snapshot, and the daily job takes them in. Catalogs with
+row-level operations take ``merge.merge_into_table`` instead.
+
+State and changes have the columns of the raw rows. A deleted key stays as a row with ``op = 'D'``, so that an older
+change cannot bring it back, until ``keep_deletes_us`` of event time have passed.
+"""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators import merge
 from tidemark.operators.changes import DELETE, latest
-from tidemark.sources import rawzone
-from tidemark.sources.snapshot import Head, SnapshotTable
+from tidemark.sources import batches, rawzone
 
 NET, PHASED = "net", "phased"
 
 
-def merge_day(
-    spark: SparkSession,
-    table: SnapshotTable,
-    raw_path: str,
-    order: Sequence[str],
-    run_date: str | None = None,
-    fmt: str = "parquet",
-    mode: str = NET,
-) -> Head:
-    """Merges yesterday's raw folder. ``table.schema`` is the schema of the raw rows."""
-    day = rawzone.read_day(spark, raw_path, table.schema, run_date, fmt).drop(rawzone.DAY)
-    return apply_changes(table, day, order, mode)
-
-
-def apply_changes(
-    table: SnapshotTable,
-    changes: DataFrame,
-    order: Sequence[str],
-    mode: str = NET,
-    writer: str = "",
-    batch: int | None = None,
-) -> Head:
-    """One commit with all changes. A batch the writer has already committed is skipped.
+@dataclass(frozen=True)
+class Target:
+    """Snapshots by day and the changes since, in one folder."""
 
-    The changes are stored first, reduced to the last one per key, or per key and kind in
-    phased mode. Spark then knows their exact size when it plans the joins with the
-    target, and only the buckets they fall into are read and rewritten.
-    """
-    head = table.head()
-    if mode not in (NET, PHASED):
-        raise ValueError(f"unknown merge mode {mode!r}")
-    if _is_done(table, writer, batch):
-        return head
-    reduced = latest(changes, table.keys if mode == NET else [*table.keys, "op"], order)
-    staged = _staged(reduced.select(*table.schema.fieldNames()), f"{table.path}/staged/{uuid.uuid4().hex}")
-    touched = table.touched(staged)
-    if not touched:
-        return head
-    state = table.read(head, touched)
-    if mode == NET:
-        merged = merge.fold(state, staged, table.keys, order)
-    else:
-        # remembered deletes are no rows of the target
-        merged = merge.phased(state.filter(F.col("op") != DELETE), staged, table.keys, order)
-    return table.commit(merged, touched, head, writer, batch)
-
-
-def add_changes(table: SnapshotTable, changes: DataFrame, writer: str = "", batch: int | None = None) -> Head:
-    """One commit that lays the net changes over the table without reading it.
-
-    Every key's last change wins when the table is read, so the result is that of
-    ``apply_changes`` in net mode. What a commit costs depends on the batch alone.
-    """
-    head = table.head()
-    if _is_done(table, writer, batch):
-        return head
-    rows = changes.select(*table.schema.fieldNames())
-    return table.add_layer(latest(rows, table.keys, table.order), head, writer, batch)
+    spark: SparkSession
+    path: str
+    schema: T.StructType
+    keys: tuple[str, ...]
+    order: tuple[str, ...]
+
+    def snapshot(self, before: str | None = None) -> DataFrame:
+        """The newest snapshot, or the newest of a day before the one given; none for a new target."""
+        name = batches.latest_name(self.spark, f"{self.path}/snapshots", before)
+        if name is None:
+            return self.spark.createDataFrame([], self.schema)
+        return batches.exact(self.spark, f"{self.path}/snapshots", name, self.schema)
 
+    def changes(self) -> DataFrame:
+        return batches.read(self.spark, f"{self.path}/changes", self.schema)
 
-def compact(table: SnapshotTable, max_pieces: int = 1) -> Head:
-    """Rewrites the buckets that have more pieces than that, each as one."""
-    head = table.head()
-    buckets = head.layered(max_pieces)
-    if not buckets:
-        return head
-    return table.commit(table.read(head, buckets), buckets, head)
+    def state(self) -> DataFrame:
+        """The last change of every key, deletes included."""
+        return latest(self.snapshot().unionByName(self.changes()), self.keys, self.order)
 
+    def rows(self) -> DataFrame:
+        """The rows that exist."""
+        return merge.live(self.state(), self.order)
 
-def _is_done(table: SnapshotTable, writer: str, batch: int | None) -> bool:
-    done = None if batch is None else table.last_batch(writer)
-    return done is not None and batch <= done
+    def add(self, changes: DataFrame, batch: str) -> None:
+        """Appends the net changes of a micro-batch; run again it replaces them."""
+        net = latest(changes.select(*self.schema.fieldNames()), self.keys, self.order)
+        batches.append(net, f"{self.path}/changes", batch)
 
+    def store(self, state: DataFrame, day: str) -> None:
+        batches.append(state.select(*self.schema.fieldNames()), f"{self.path}/snapshots", day)
 
-def _staged(rows: DataFrame, folder: str) -> DataFrame:
-    """Rows written to a folder and read back."""
-    rows.write.parquet(folder)
-    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+def merge_day(
+    target: Target, raw_path: str, run_date: str, fmt: str = "parquet", mode: str = NET, keep_deletes_us: int | None = None
+) -> None:
+    """Merges the raw folder of the day before the run and stores the snapshot of the run's day."""
+    day = rawzone.read_day(target.spark, raw_path, target.schema, run_date, fmt).drop(rawzone.DAY)
+    merge_changes(target, day, run_date, mode, keep_deletes_us)
+
+
+def merge_changes(
+    target: Target, changes: DataFrame, day: str, mode: str = NET, keep_deletes_us: int | None = None
+) -> None:
+    """Merges changes into the snapshot before ``day`` and stores the result as that of ``day``.
+
+    The changes are stored first, reduced to the last one per key, or per key and kind in
+    phased mode. Spark then knows their exact size when it plans the join: small ones are broadcast, and the
+    state is read and written where it is.
+    """
+    if mode not in (NET, PHASED):
+        raise ValueError(f"unknown merge mode {mode!r}")
+    keys, order = target.keys, target.order
+    reduced = latest(changes.select(*target.schema.fieldNames()), keys if mode == NET else [*keys, "op"], order)
+    staging = f"{target.path}/staged"
+    batches.append(reduced, staging, day)
+    staged = batches.exact(target.spark, staging, day, target.schema)
+    state = target.snapshot(before=day)
+    merged = merge.fold(state, staged, keys, order) if mode == NET else _phased(state, staged, keys, order)
+    if keep_deletes_us is not None:
+        newest = F.lit(staged.agg(F.max(order[0]).alias("t")).first()["t"])
+        old = F.coalesce(F.col(order[0]) < newest - keep_deletes_us, F.lit(False))
+        merged = merged.filter(~((F.col("op") == DELETE) & old))
+    target.store(merged, day)
+
+
+def compact(target: Target, day: str) -> None:
+    """Daily, for a stream: a new snapshot takes in the changes there are, which then go."""
+    folder = f"{target.path}/changes"
+    taken = batches.names(target.spark, folder)
+    last = batches.latest_name(target.spark, f"{target.path}/snapshots")
+    if last is not None and last >= day:
+        raise ValueError(f"there is a snapshot of {last} already")
+    if not taken:
+        return
+    changes = target.changes().select(*target.schema.fieldNames())
+    state = target.snapshot()
+    target.store(merge.fold(state, latest(changes, target.keys, target.order), target.keys, target.order), day)
+    batches.rewrite(target.spark.createDataFrame([], target.schema), folder, taken)
+
+
+def _phased(state: DataFrame, staged: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Three merges on the rows that exist; deletes stay remembered for keys that do not."""
+    rows = merge.phased(state.filter(F.col("op") != DELETE), staged, keys, order)
+    deletes = latest(state.unionByName(staged).filter(F.col("op") == DELETE), keys, order)
+    return rows.unionByName(deletes.join(rows.select(*keys), list(keys), "left_anti").select(*rows.columns))

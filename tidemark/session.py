@@ -45,16 +45,6 @@ def get_session(app: str, input_bytes: int | None = None, **conf: str) -> SparkS
     return spark
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deals the rows of a scan out to all cores if it has fewer tasks than there are cores.
-
-    For costly work per row on input that cannot be split, such as one compressed feed
-    file. A scan of many files or row groups has tasks enough and stays as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by the cluster.
 

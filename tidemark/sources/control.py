@@ -1,51 +1,47 @@
-"""The control table with one high-water mark per feed.
+"""The control table with the high-water marks of all feeds.
 
-Its home is a JDBC database or a folder. A folder keeps every version in a sub-folder of
-its own, and the newest complete one counts.
+A fetch adds a row ``(feed_name, last_upd)``; the mark of a feed is its largest row. Nothing is read in
+order to be written back, so feeds that are fetched at the same time cannot lose each other's marks. Its home is a
+JDBC database or a folder.
+
+Beside the marks a folder keeps the digests of the lines of a mark's instant: the next fetch reads these
+lines again and leaves them out.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.operators.watermark import CONTROL_SCHEMA
+from tidemark.sources import batches
+
+SEEN_SCHEMA = "feed_name string, last_upd bigint, digest string"
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
-    """The control table in a database; credentials come in through ``options``."""
+    """The control rows in a database; credentials come in through ``options``."""
     return spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options).load()
 
 
-def write_jdbc(control: DataFrame, url: str, table: str, **options: str) -> None:
-    """Replaces the rows of the control table in a database, keeping its definition."""
-    writer = control.write.format("jdbc").mode("overwrite").option("truncate", "true")
-    writer.option("url", url).option("dbtable", table).options(**options).save()
+def append_jdbc(seen: DataFrame, url: str, table: str, **options: str) -> None:
+    """Adds control rows in a database."""
+    seen.write.format("jdbc").mode("append").option("url", url).option("dbtable", table).options(**options).save()
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version, empty for a new folder."""
-    version = last_version(spark, path)
-    if version is None:
-        return spark.createDataFrame([], CONTROL_SCHEMA)
-    return spark.read.schema(CONTROL_SCHEMA).parquet(f"{path}/version={version}")
-
-
-def write(control: DataFrame, path: str) -> int:
-    """Stores a new version. One row per feed, so one file."""
-    last = last_version(control.sparkSession, path)
-    version = 1 if last is None else last + 1
-    control.coalesce(1).write.mode("overwrite").parquet(f"{path}/version={version}")
-    return version
-
-
-def last_version(spark: SparkSession, path: str) -> int | None:
-    """Number of the newest version of a versioned folder, None if there is none."""
-    try:
-        stored = spark.read.schema("version bigint").parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    return stored.agg(F.max("version").alias("v")).first()["v"]
+    """All control rows, none for a new folder."""
+    return batches.read(spark, f"{path}/marks", CONTROL_SCHEMA)
+
+
+def append(seen: DataFrame, path: str, batch: str | None = None) -> None:
+    """Adds control rows: one per feed, so one file."""
+    batches.append(seen.coalesce(1), f"{path}/marks", batch)
+
+
+def read_seen(spark: SparkSession, path: str) -> DataFrame:
+    return batches.read(spark, f"{path}/seen", SEEN_SCHEMA)
+
+
+def append_seen(seen: DataFrame, path: str, batch: str | None = None) -> None:
+    """Adds digests of lines that were fetched at their feed's mark."""
+    batches.append(seen, f"{path}/seen", batch)

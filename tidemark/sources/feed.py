@@ -5,14 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.jsontext import bracketed, in_line
 from tidemark.operators.watermark import changed_since
-from tidemark.session import spread
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """All lines of the feed files as column ``line``."""
-    return spread(spark.read.text(path).withColumnRenamed("value", "line"))
+    return spark.read.text(path).withColumnRenamed("value", "line")
 
 
 def stream_lines(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -23,15 +21,19 @@ def stream_lines(spark: SparkSession, path: str, max_files: int | None = None) -
     return reader.text(path).withColumnRenamed("value", "line")
 
 
-def lines_since(lines: DataFrame, mark_ms: int) -> DataFrame:
-    """Lines whose event time is at or after the mark.
+def classified_since(classified: DataFrame, mark_ms: int) -> DataFrame:
+    """Classified lines whose event time is at or after the mark.
 
-    Lines without a readable event time are kept: they have to reach the quarantine.
+    Lines without a readable event time are kept: they have to reach the quarantine. The time is that
+    of the classification, so a line is parsed once.
     """
-    time = F.coalesce(in_line(bracketed("line"), "value", "ts_ms", as_type="bigint"), F.lit(mark_ms))
-    return changed_since(lines, time, mark_ms)
+    return changed_since(classified, F.coalesce("ts_ms", F.lit(mark_ms)), mark_ms)
 
 
 def read_documents(spark: SparkSession, path: str, schema, multi_line: bool = True) -> DataFrame:
-    """JSON documents with a given schema, pretty-printed ones included."""
+    """JSON documents with a given schema, pretty-printed ones included.
+
+    A pretty-printed file cannot be split: it is one task, so whoever writes such files has to bound
+    their size (``maxRecordsPerFile``).
+    """
     return spark.read.schema(schema).option("multiLine", multi_line).option("escape", '"').json(path)

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions import clock
 from tidemark.functions.clock import previous_day
 
 DAY = "ingest_date"
@@ -48,8 +50,16 @@ def read(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parqu
 
 
 def read_day(spark: SparkSession, path: str, schema: T.StructType, run_date: str | None = None, fmt: str = "parquet") -> DataFrame:
-    """The day before the run. A filter on the folder column, so other days are not listed as input."""
-    return read(spark, path, schema, fmt).filter(F.col(DAY) == previous_day(run_date))
+    """The day before the run, by its folder: no other day is listed. A day without folder is empty."""
+    day = spark.range(1).select(clock.day_label(previous_day(run_date)).alias("d")).first()["d"]
+    reader = _reader(spark.read, fmt).option("basePath", path)
+    try:
+        stored = reader.schema(_stored(schema, fmt)).load(f"{path}/{DAY}={day}")
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(DAY, T.DateType())]))
+        raise
+    return _decoded(stored, schema, fmt)
 
 
 def stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", max_files: int | None = None) -> DataFrame:
@@ -72,15 +82,15 @@ def _encoded(rows: DataFrame, fmt: str) -> DataFrame:
     if fmt != "csv":
         return rows
     return rows.select(
-        *[F.to_json(f.name).alias(f.name) if _is_nested(f.dataType) else F.col(f.name) for f in rows.schema.fields]
+        *[F.to_json(F.col(f"`{f.name}`")).alias(f.name) if _is_nested(f.dataType) else F.col(f"`{f.name}`") for f in rows.schema.fields]
     )
 
 
 def _decoded(stored: DataFrame, schema: T.StructType, fmt: str) -> DataFrame:
     def column(f: T.StructField) -> Column:
         if fmt == "csv" and _is_nested(f.dataType):
-            return F.from_json(f.name, f.dataType.simpleString()).alias(f.name)
-        return F.col(f.name)
+            return F.from_json(F.col(f"`{f.name}`"), f.dataType).alias(f.name)
+        return F.col(f"`{f.name}`")
 
     return stored.select(*[column(f) for f in schema.fields], DAY)
 
@@ -95,6 +105,8 @@ def _stored(schema: T.StructType, fmt: str) -> T.StructType:
 
 # Text may hold quotes, line breaks, backslashes and blanks at its ends: fields are quoted, a
 # quote inside is doubled, a field may span lines, and nothing is trimmed.
+# A field that spans lines keeps a file from being split: a file is one task, so its rows are bounded.
+_MAX_CSV_ROWS = 200_000
 _CSV = {
     "header": "true",
     "quote": '"',
@@ -107,7 +119,7 @@ _CSV = {
 
 def _writer(rows: DataFrame, fmt: str):
     writer = rows.write.format(fmt)
-    return writer.options(**_CSV) if fmt == "csv" else writer
+    return writer.options(**_CSV, maxRecordsPerFile=_MAX_CSV_ROWS) if fmt == "csv" else writer
 
 
 def _reader(reader, fmt: str):

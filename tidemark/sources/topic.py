@@ -1,20 +1,20 @@
 """The keyed topic between producer and consumers.
 
 With Spark's Kafka connector on the class path the functions use it. Without it a topic is
-a folder of message-shaped rows ``(key, value, topic, partition, timestamp)``.
+a folder of message-shaped rows ``(key, value, topic, partition, offset, timestamp)``.
+A message's key is the JSON of the event's key, its value that of the event's value part.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import FeedConfig
 from tidemark.functions.jsontext import json_bytes
+from tidemark.sources import batches
 
-MESSAGE_SCHEMA = "key binary, value binary, topic string, partition int, timestamp timestamp"
+MESSAGE_SCHEMA = "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
 
 
 def encode(events: DataFrame, topic: str, partitions: int, key: str = "key", value: str = "value") -> DataFrame:
@@ -22,57 +22,52 @@ def encode(events: DataFrame, topic: str, partitions: int, key: str = "key", val
 
     Key and value become UTF-8 JSON bytes. A key always goes to the same partition.
     """
-    key_bytes = json_bytes(F.col(key))
-    return events.select(
-        *[c for c in events.columns if c not in (key, value)],
-        key_bytes.alias("key"),
-        json_bytes(F.col(value)).alias("value"),
-        F.lit(topic).alias("topic"),
-        F.pmod(F.xxhash64(key_bytes), F.lit(partitions)).cast("int").alias("partition"),
-    )
+    rest = [c for c in events.columns if c not in (key, value)]
+    return _messages(events, rest, json_bytes(F.col(key)), json_bytes(F.col(value)), topic, partitions)
+
 
+def encode_lines(valid: DataFrame, cfg: FeedConfig, key_text: str = "key_text", value_text: str = "value_text") -> DataFrame:
+    """Valid classified lines as messages."""
+    key, value = F.encode(key_text, "UTF-8"), F.encode(value_text, "UTF-8")
+    return _messages(valid, [], key, value, cfg.topic, cfg.topic_partitions)
 
-def encode_lines(valid: DataFrame, cfg: FeedConfig, text: str = "line") -> DataFrame:
-    """Valid feed lines as messages; the value is the whole event, as it came."""
-    key_bytes = F.encode("key_text", "UTF-8")
-    return valid.select(
-        key_bytes.alias("key"),
-        F.encode(text, "UTF-8").alias("value"),
-        F.lit(cfg.topic).alias("topic"),
-        F.pmod(F.xxhash64(key_bytes), F.lit(cfg.topic_partitions)).cast("int").alias("partition"),
+
+def _messages(rows: DataFrame, rest: list[str], key: Column, value: Column, topic: str, partitions: int) -> DataFrame:
+    return rows.select(
+        *rest,
+        key.alias("key"),
+        value.alias("value"),
+        F.lit(topic).alias("topic"),
+        F.pmod(F.xxhash64(key), F.lit(partitions)).cast("int").alias("partition"),
     )
 
 
 def encode_letters(letters: DataFrame, cfg: FeedConfig) -> DataFrame:
     """Dead-letter puts as messages of the dead-letter topic: item key, and raw text with its reason."""
     value = F.to_json(F.struct("raw", "reason", "attempts"))
-    key_bytes = F.encode("dlq_key", "UTF-8")
-    return letters.select(
-        key_bytes.alias("key"),
-        F.encode(value, "UTF-8").alias("value"),
-        F.lit(cfg.dead_letter_topic).alias("topic"),
-        F.pmod(F.xxhash64(key_bytes), F.lit(cfg.topic_partitions)).cast("int").alias("partition"),
-    )
+    key, value = F.encode("dlq_key", "UTF-8"), F.encode(value, "UTF-8")
+    return _messages(letters, [], key, value, cfg.dead_letter_topic, cfg.topic_partitions)
 
 
 def publish(messages: DataFrame, cfg: FeedConfig, folder: str | None = None, batch: str | None = None) -> None:
     """Appends messages to the topic they name.
 
     In a folder topic every batch owns a sub-folder. A batch that is repeated under its
-    name replaces it and so leaves no second copy; without a name it is an addition.
+    name replaces it and so leaves no second copy; without a name it is an addition. Offsets grow
+    within a batch there.
     """
     if folder is None:
         messages.select("key", "value", "topic").write.format("kafka").options(**cfg.write_options()).save()
         return
-    stamped = messages.withColumn("timestamp", F.current_timestamp())
-    stamped.write.mode("overwrite").parquet(f"{folder}/batch={batch or uuid.uuid4().hex}")
+    stamped = messages.withColumns({"offset": F.monotonically_increasing_id(), "timestamp": F.current_timestamp()})
+    batches.append(stamped, folder, batch)
 
 
 def subscribe(spark: SparkSession, cfg: FeedConfig, folder: str | None = None, max_files: int | None = None) -> DataFrame:
     """The topic as a stream, from its first message on."""
     if folder is None:
         return spark.readStream.format("kafka").options(**cfg.read_options()).load()
-    reader = spark.readStream.schema(MESSAGE_SCHEMA + ", batch string")
+    reader = spark.readStream.schema(f"{MESSAGE_SCHEMA}, {batches.BATCH} string")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(folder).drop("batch")
+    return reader.parquet(folder).drop(batches.BATCH)

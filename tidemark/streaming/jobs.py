@@ -1,8 +1,8 @@
 """The pipeline as Structured Streaming queries.
 
 Offsets are committed by the checkpoint after ``foreachBatch`` returns. A failed batch is
-run again under its old number, and every sink here knows batch numbers, so a repeat
-changes nothing.
+run again under its old number, and every sink here names its batches by that number, so a repeat
+replaces what the first try left. What a batch costs does not depend on what the sinks hold.
 """
 
 from __future__ import annotations
@@ -10,21 +10,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.config import FeedConfig
 from tidemark.operators import deadletter, envelope
-from tidemark.plans import deadletters, intake, landing, merging
+from tidemark.plans import intake, landing
+from tidemark.plans.deadletters import Letters
+from tidemark.plans.merging import Target
 from tidemark.sources import rawzone
-from tidemark.sources.snapshot import SnapshotTable
 
 
 def start_intake(
     lines: DataFrame,
     cfg: FeedConfig,
-    dead: SnapshotTable,
+    dead: Letters,
     publish: Callable[[DataFrame, int], None],
     checkpoint: str,
     drain: bool = False,
@@ -32,7 +33,8 @@ def start_intake(
     """Feed lines to the topic, faulty or undelivered ones to the dead letters."""
 
     def batch(rows: DataFrame, number: int) -> None:
-        intake.deliver(cfg, rows, dead, lambda m: publish(m, number), f"{cfg.feed}-intake", number)
+        classified = envelope.classify(rows.select("line"), cfg.keys, cfg.row_schema, with_value=True)
+        intake.deliver(cfg, classified, dead, lambda m: publish(m, number), f"{cfg.feed}-intake-{number}")
 
     return start(lines, batch, cfg, checkpoint, drain)
 
@@ -41,52 +43,38 @@ def start_landing(
     messages: DataFrame,
     cfg: FeedConfig,
     raw_path: str,
-    dead: SnapshotTable,
+    dead: Letters,
     checkpoint: str,
     drain: bool = False,
 ) -> StreamingQuery:
     """Topic messages to the raw zone of the day they are read, faulty ones to the dead letters.
 
-    The date is part of the streaming plan and so comes from the batch's own log entry: a
-    batch repeated after midnight still lands in its first day.
+    A message is its key and its value; a key that names another row than the image is a fault. Its
+    place in the topic goes with the raw row. The date is part of the streaming plan and so comes from the batch's
+    own log entry: a batch repeated after midnight still lands in its first day.
     """
     writer = f"{cfg.feed}-landing"
 
     def batch(arrived: DataFrame, number: int) -> None:
-        classified = envelope.classify(arrived, cfg.keys, cfg.row_schema, text="value", binary=True)
-        outcomes = landing.outcome(classified, cfg, _text_of("value")).persist(StorageLevel.MEMORY_AND_DISK)
+        classified = envelope.classify_messages(arrived, cfg.keys, cfg.row_schema)
+        outcomes = landing.outcome(classified, cfg, event_text("key", "value")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             rows = landing.flat_rows(outcomes)
             rawzone.write(rows, raw_path, cfg.raw_format, f"{writer}-{number}", many_days=False)
             bad = envelope.quarantined(outcomes)
-            log = deadletter.puts(bad, "raw", deadletter.message_key("raw"), "reason")
-            deadletters.put(dead, log, cfg.max_attempts, writer, number)
+            dead.put(deadletter.puts(bad, "raw", deadletter.message_key("raw"), "reason"), f"{writer}-{number}")
         finally:
             outcomes.unpersist()
 
-    dated = messages.select("value", F.current_date().alias(rawzone.DAY))
+    dated = messages.select(
+        "key", "value", F.col("partition").alias("msg_partition"), F.col("offset").alias("msg_offset"), F.current_date().alias(rawzone.DAY)
+    )
     return start(dated, batch, cfg, checkpoint, drain)
 
 
-def start_merge(
-    changes: DataFrame,
-    cfg: FeedConfig,
-    table: SnapshotTable,
-    checkpoint: str,
-    drain: bool = False,
-) -> StreamingQuery:
-    """Raw changes into the target table, one commit per micro-batch.
-
-    A micro-batch becomes a layer on the buckets it falls into, which costs as much as the
-    batch and nothing for the rest of the target. A bucket with more than
-    ``cfg.max_pieces`` pieces is rewritten as one.
-    """
-
-    def batch(rows: DataFrame, number: int) -> None:
-        merging.add_changes(table, rows, f"{cfg.feed}-merge", number)
-        merging.compact(table, cfg.max_pieces)
-
-    return start(changes, batch, cfg, checkpoint, drain)
+def start_merge(changes: DataFrame, cfg: FeedConfig, target: Target, checkpoint: str, drain: bool = False) -> StreamingQuery:
+    """Raw changes into the target: the net changes of each micro-batch are appended."""
+    return start(changes, lambda rows, number: target.add(rows, f"{cfg.feed}-merge-{number}"), cfg, checkpoint, drain)
 
 
 def start(
@@ -103,7 +91,12 @@ def start(
     return writer.trigger(processingTime=f"{cfg.trigger_seconds} seconds").start()
 
 
-def _text_of(raw: str):
-    """Readable text of a bytes column; bytes that are not UTF-8 are kept as hex."""
+def event_text(key: str, value: str) -> Column:
+    """A message as the feed line it would be, which is the form dead letters are replayed in."""
+    return F.concat(F.lit('{"key":'), _text_of(key), F.lit(',"value":'), _text_of(value), F.lit("}"))
+
+
+def _text_of(raw: str) -> Column:
+    """Readable text of a bytes column, ``null`` for none; bytes that are not UTF-8 are kept as hex."""
     text = F.col(raw).cast("string")
-    return F.when(F.is_valid_utf8(text), text).otherwise(F.hex(raw))
+    return F.coalesce(F.when(F.is_valid_utf8(text), text).otherwise(F.hex(raw)), F.lit("null"))
