@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -60,10 +61,21 @@ class Scratch:
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}-{len(self.paths)}"
+        schema = df.schema
         df.write.parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
+        del df
         self.paths[name] = path
-        return out
+        self.release()
+        return self.spark.read.schema(schema).parquet(path)
+
+    def release(self) -> None:
+        """Lets Spark delete the shuffle files of steps that are done: it does so when their plans are collected.
+
+        The scheduler lets go of a job's plan when the next one starts, so there is a small one first.
+        """
+        self.spark.range(1).count()
+        gc.collect()
+        self.spark._jvm.System.gc()
 
     def drop(self, *names: str) -> None:
         """Deletes tables of this object that nothing will read again."""

@@ -24,6 +24,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,8 +32,8 @@ from tidemark.llm import words as W
 from tidemark.llm.frames import Scratch, row_key
 
 WINDOW = 20
-GRAM = 5
-CROWD = 2000
+GRAM = 7
+CROWD = 20_000  # strings of one minimiser that one task sorts: some 4 MB
 _PIECE = 3 << 20
 
 
@@ -53,25 +54,15 @@ def super_kmers(words: W.Words, k: int = WINDOW, m: int = GRAM) -> tuple[np.ndar
     return document, first - words.offsets[document], counts, grams[least[heads]].view(np.int64)
 
 
-def places(docs: DataFrame, k: int = WINDOW) -> DataFrame:
-    """(mini, id, h, pos, n) of each super-k-mer of rows (id, h, text)."""
+def minimisers(docs: DataFrame) -> DataFrame:
+    """(mini, id) of each super-k-mer of rows (id, h, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in W.pieces(batches, limit=_PIECE):
-            document, pos, n, mini = super_kmers(W.split(W.text_column(piece)), k)
-            who = pa.array(document)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(mini),
-                    piece.column("id").take(who),
-                    piece.column("h").take(who),
-                    pa.array(pos.astype(np.int32)),
-                    pa.array(n.astype(np.int32)),
-                ],
-                ["mini", "id", "h", "pos", "n"],
-            )
+            document, _, _, mini = super_kmers(W.split(W.text_column(piece)))
+            yield pa.RecordBatch.from_arrays([pa.array(mini), piece.column("id").take(pa.array(document))], ["mini", "id"])
 
-    return docs.mapInArrow(run, "mini long, id long, h long, pos int, n int")
+    return docs.mapInArrow(run, "mini long, id long")
 
 
 def _digest(words: list[bytes]) -> str:
@@ -103,8 +94,26 @@ def settle_untouched(joined: DataFrame) -> DataFrame:
                 ["id", "h", "n_words", "sha", "text", "shared"],
             )
 
-    shared = joined.schema["shared"].dataType.simpleString()
-    return joined.mapInArrow(run, f"id long, h long, n_words long, sha string, text string, shared {shared}")
+    return joined.mapInArrow(run, "id long, h long, n_words long, sha string, text string, shared array<long>")
+
+
+def _shared_super_kmers(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The super-k-mers of a piece whose minimisers are in their document's ``shared``."""
+    document, pos, n, mini = super_kmers(W.split(W.text_column(piece)))
+    keep = np.isin(pair_keys(document, mini), shared_keys(piece))
+    return document[keep], pos[keep], n[keep], mini[keep]
+
+
+def pair_keys(document: np.ndarray, mini: np.ndarray) -> np.ndarray:
+    """A number for each pair; pairs that clash by chance only make a candidate more."""
+    return W.mix64(mini.view(np.uint64) ^ W.mix64(document))
+
+
+def shared_keys(piece: pa.RecordBatch) -> np.ndarray:
+    """The pairs that the documents of a piece have in ``shared``."""
+    lists = piece.column("shared")
+    owner = np.repeat(np.arange(piece.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    return pair_keys(owner, lists.flatten().to_numpy(zero_copy_only=False))
 
 
 def strings(touched: DataFrame, k: int = WINDOW) -> DataFrame:
@@ -112,26 +121,25 @@ def strings(touched: DataFrame, k: int = WINDOW) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in W.pieces(batches, limit=_PIECE):
-            mini, string, ids, hashes, at = [], [], [], [], []
-            texts = W.text_column(piece).cast(pa.binary())
+            document, pos, n, mini = _shared_super_kmers(piece)
+            texts, string = W.text_column(piece).cast(pa.binary()), []
+            heads = np.searchsorted(document, np.arange(piece.num_rows + 1)).tolist()
             for i in range(piece.num_rows):
+                if heads[i] == heads[i + 1]:
+                    continue
                 own = texts[i].as_py().split()
                 plain = b" ".join(own)
-                ends = np.cumsum([len(w) + 1 for w in own]).tolist()
-                for x in piece.column("shared")[i].as_py():
-                    pos = x["pos"]
-                    mini.append(x["mini"])
-                    at.append(pos)
-                    string.append(plain[(ends[pos - 1] if pos else 0) : ends[pos + x["n"] + k - 2] - 1])
-                ids += [piece.column("id")[i].as_py()] * (len(at) - len(ids))
-                hashes += [piece.column("h")[i].as_py()] * (len(at) - len(hashes))
+                ends = [0, *np.cumsum([len(w) + 1 for w in own]).tolist()]
+                here = slice(heads[i], heads[i + 1])
+                string += [plain[ends[p] : ends[p + m + k - 1] - 1] for p, m in zip(pos[here].tolist(), n[here].tolist(), strict=True)]
+            who = pa.array(document)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(mini, pa.int64()),
+                    pa.array(mini),
                     pa.array(string, pa.binary()),
-                    pa.array(ids, pa.int64()),
-                    pa.array(hashes, pa.int64()),
-                    pa.array(at, pa.int32()),
+                    piece.column("id").take(who),
+                    piece.column("h").take(who),
+                    pa.array(pos.astype(np.int32)),
                 ],
                 ["mini", "string", "id", "h", "pos"],
             )
@@ -139,6 +147,21 @@ def strings(touched: DataFrame, k: int = WINDOW) -> DataFrame:
     return touched.mapInArrow(run, "mini long, string binary, id long, h long, pos int")
 
 
+def shared_places(touched: DataFrame) -> DataFrame:
+    """(id, h, pos, n) of the same super-k-mers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in W.pieces(batches, limit=_PIECE):
+            document, pos, n, _ = _shared_super_kmers(piece)
+            who = pa.array(document)
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("id").take(who), piece.column("h").take(who), pa.array(pos.astype(np.int32)), pa.array(n.astype(np.int32))],
+                ["id", "h", "pos", "n"],
+            )
+
+    return touched.mapInArrow(run, "id long, h long, pos int, n int")
+
+
 def windows_of(string: bytes, k: int = WINDOW) -> list[bytes]:
     own = string.split(b" ")
     ends = np.cumsum([len(w) + 1 for w in own]).tolist()
@@ -229,10 +252,11 @@ def dedup(docs: DataFrame) -> DataFrame:
     """(id, n_words, n_removed, sha) of every row of docs (doc_id, text); see the module's text."""
     scratch = Scratch(docs.sparkSession, "substring")
     rows = docs.select(row_key().alias("k"), "text").select("k.id", "k.h", "text")
-    spots = places(rows)
+    spots = minimisers(rows)
     often = spots.groupBy("mini").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("mini")
-    shared = spots.join(often, "mini").groupBy("id", "h").agg(F.collect_set(F.struct("mini", "pos", "n")).alias("shared"))
-    joined = scratch.table(settle_untouched(rows.join(shared, ["id", "h"], "left")), "joined")
+    # by id alone: documents of one id see each other's minimisers, and keep those that are their own
+    shared = spots.join(often, "mini").groupBy("id").agg(F.collect_set("mini").alias("shared"))
+    joined = scratch.table(settle_untouched(rows.join(shared, "id", "left")), "joined")
     touched = joined.filter("shared is not null")
 
     place = F.struct("id", "h", "pos")
@@ -246,7 +270,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     calm = calm.repartition(parts, "mini").sortWithinPartitions("mini")
     gone = calm.mapInArrow(repeats_in_buckets, INTERVAL)
     gone = gone.unionByName(repeats_in_crowds(found.join(crowds, "mini", "left_semi")))
-    each = touched.select("id", "h", F.explode("shared").alias("s")).select("id", "h", "s.pos", "s.n").distinct()
+    each = shared_places(touched.select("id", "h", "text", "shared"))
     later = each.join(found.select("id", "h", "pos"), ["id", "h", "pos"], "left_anti")
     gone = gone.unionByName(later.select("id", "h", F.col("pos").alias("start"), (F.col("n") + WINDOW - 1).alias("length")))
     gone = gone.groupBy("id", "h").agg(F.collect_list(F.struct("start", "length")).alias("gone"))
