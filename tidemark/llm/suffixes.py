@@ -32,11 +32,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
 from tidemark.llm.frames import Scratch, row_key
+from tidemark.llm.substring import pair_keys, shared_keys
 
 WINDOW = 400
 HALF = 200
 GRAM = 64
-CROWD = 1000
+CROWD = 20_000  # strings of one anchor that one task sorts: some 10 MB
 LEVELS = WINDOW // 8
 _PIECE = 3 << 20
 _SEGMENT = 2 << 20
@@ -71,35 +72,31 @@ def minima(data: np.ndarray, width: int, m: int = GRAM) -> tuple[np.ndarray, np.
     return np.concatenate(places), np.concatenate(hashes)
 
 
-def places(docs: DataFrame) -> DataFrame:
-    """(mini, id, h, pos, n): runs of half windows with one minimiser, of rows (id, h, text) with a whole window."""
+def half_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, first byte in all texts, windows, minimiser) of the runs of half windows, in texts with a whole one."""
+    counts = np.where(np.diff(offsets) >= WINDOW, np.diff(offsets) - HALF + 1, 0)
+    starts = W.ragged(offsets[:-1], counts)
+    none = np.zeros(0, np.int64)
+    if not len(starts):
+        return none, none, none, none
+    least, hashes = minima(data, HALF)
+    least, hashes = least[starts], hashes[starts]
+    new = np.ones(len(starts), bool)
+    new[1:] = (least[1:] != least[:-1]) | (starts[1:] != starts[:-1] + 1)
+    heads = np.flatnonzero(new)
+    first = starts[heads]
+    return np.searchsorted(offsets, first, "right") - 1, first, np.diff(np.append(heads, len(starts))), hashes[heads]
+
+
+def minimisers(docs: DataFrame) -> DataFrame:
+    """(mini, id) of each run of half windows of rows (id, h, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in W.pieces(batches, limit=_PIECE):
-            data, offsets = W.raw_bytes(W.text_column(piece))
-            counts = np.where(np.diff(offsets) >= WINDOW, np.diff(offsets) - HALF + 1, 0)
-            starts = W.ragged(offsets[:-1], counts)
-            if not len(starts):
-                continue
-            least, hashes = minima(data, HALF)
-            least, hashes = least[starts], hashes[starts]
-            new = np.ones(len(starts), bool)
-            new[1:] = (least[1:] != least[:-1]) | (starts[1:] != starts[:-1] + 1)
-            heads = np.flatnonzero(new)
-            document = np.searchsorted(offsets, starts[heads], "right") - 1
-            who = pa.array(document)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(hashes[heads]),
-                    piece.column("id").take(who),
-                    piece.column("h").take(who),
-                    pa.array(starts[heads] - offsets[document]),
-                    pa.array(np.diff(np.append(heads, len(starts))).astype(np.int32)),
-                ],
-                ["mini", "id", "h", "pos", "n"],
-            )
+            document, _, _, mini = half_runs(*W.raw_bytes(W.text_column(piece)))
+            yield pa.RecordBatch.from_arrays([pa.array(mini), piece.column("id").take(pa.array(document))], ["mini", "id"])
 
-    return docs.mapInArrow(run, "mini long, id long, h long, pos long, n int")
+    return docs.mapInArrow(run, "mini long, id long")
 
 
 def settle_untouched(joined: DataFrame) -> DataFrame:
@@ -124,18 +121,20 @@ def settle_untouched(joined: DataFrame) -> DataFrame:
                 ["id", "h", "n_bytes", "sha", "text", "shared"],
             )
 
-    return joined.mapInArrow(
-        run, "id long, h long, n_bytes long, sha string, text string, shared array<struct<pos:long,n:int>>"
-    )
+    return joined.mapInArrow(run, "id long, h long, n_bytes long, sha string, text string, shared array<long>")
 
 
-def possible(size: int, pos: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Which windows of a text of ``size`` bytes have both halves among the shared runs."""
-    edges = np.zeros(size - HALF + 2, np.int64)
-    np.add.at(edges, pos, 1)
-    np.add.at(edges, pos + n, -1)
+def possible(data: np.ndarray, offsets: np.ndarray, piece: pa.RecordBatch) -> np.ndarray:
+    """Whether both halves of the window that starts at each byte have a minimiser that their document shares."""
+    document, first, n, mini = half_runs(data, offsets)
+    keep = np.isin(pair_keys(document, mini), shared_keys(piece))
+    edges = np.zeros(len(data) + 1, np.int64)
+    np.add.at(edges, first[keep], 1)
+    np.add.at(edges, first[keep] + n[keep], -1)
     shared = np.cumsum(edges)[:-1] > 0
-    return shared[: size - WINDOW + 1] & shared[HALF : HALF + size - WINDOW + 1]
+    out = np.zeros(len(data), bool)
+    out[: len(data) - HALF] = shared[: len(data) - HALF] & shared[HALF:]
+    return out
 
 
 def strings(touched: DataFrame) -> DataFrame:
@@ -147,10 +146,10 @@ def strings(touched: DataFrame) -> DataFrame:
             least, _ = minima(data, WINDOW)
             out: list[tuple] = []
             ids, hashes = piece.column("id").to_pylist(), piece.column("h").to_pylist()
+            candidate = possible(data, offsets, piece)
             for i in range(piece.num_rows):
                 a, size = int(offsets[i]), int(offsets[i + 1] - offsets[i])
-                shared = piece.column("shared")[i].values
-                here = np.flatnonzero(possible(size, shared.field("pos").to_numpy(), shared.field("n").to_numpy()))
+                here = np.flatnonzero(candidate[a : a + max(0, size - WINDOW + 1)])
                 if not len(here):
                     continue
                 anchor = least[a + here]
@@ -173,22 +172,35 @@ def strings(touched: DataFrame) -> DataFrame:
 
 
 def equal_windows(texts: list[bytes], anchors: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(window starts in all texts laid end to end, whether each is equal to another one of its owner).
+    """(first window of each text in the result, whether each window is equal to another one of its owner).
 
-    Multikey quicksort: segments of suffixes that agree so far are split by their next eight bytes.
+    Equal windows have their anchor at the same distance, so a large batch is worked through by distance.
     """
     sizes = np.array([len(t) for t in texts], np.int64)
-    base = np.cumsum(sizes) - sizes
+    base, many = np.cumsum(sizes) - sizes, sizes - WINDOW + 1
+    ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(many)])
     data = np.frombuffer(b"".join(texts) + b"\0" * 8, np.uint8)
+    equal = np.zeros(int(ends[-1]), bool)
+    rounds = max(1, -(-len(equal) // _BATCH_WINDOWS))
+    for k in range(min(rounds, WINDOW)):
+        low, high = k * WINDOW // rounds, (k + 1) * WINDOW // rounds
+        first = np.clip(anchors - high + 1, 0, many)
+        count = np.clip(anchors - low + 1, 0, many) - first
+        starts = W.ragged(base + first, count)
+        key = np.repeat(owners, count) * WINDOW + np.repeat(anchors + base, count) - starts
+        equal[W.ragged(ends[:-1] + first, count)] = _equal_suffixes(data, starts, key)
+    return ends, equal
+
+
+def _equal_suffixes(data: np.ndarray, starts: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Which of the 400-byte strings at ``starts`` are equal to another one of their key.
+
+    Multikey quicksort: segments of suffixes that agree so far are split by their next eight bytes.
+    """
     chars = np.ndarray(len(data) - 7, np.uint64, buffer=data, strides=(1,))
-    many = sizes - WINDOW + 1
-    starts = W.ragged(base, many)
-    # equal windows have their anchor at the same distance: the first segments
-    distance = np.repeat(anchors + base, many) - starts
-    first = np.repeat(owners, many) * WINDOW + distance
-    index = np.argsort(first, kind="stable")
-    key = first[index]
-    index, head = _segments(index, np.concatenate([np.ones(1, bool), key[1:] != key[:-1]]))
+    index = np.argsort(key, kind="stable")
+    ordered = key[index]
+    index, head = _segments(index, np.concatenate([np.ones(min(1, len(index)), bool), ordered[1:] != ordered[:-1]]))
     for level in range(LEVELS):
         if not len(index):
             break
@@ -206,7 +218,7 @@ def equal_windows(texts: list[bytes], anchors: np.ndarray, owners: np.ndarray) -
         index, head = _segments(index, new)
     equal = np.zeros(len(starts), bool)
     equal[index] = True
-    return starts, equal
+    return equal
 
 
 def _segments(index: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -241,17 +253,12 @@ def repeats_in_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     def out() -> pa.RecordBatch:
         owners = np.repeat(np.arange(len(held)), [r.num_rows for r in held])
         rows = pa.concat_batches(held)
-        texts = rows.column("string").to_pylist()
-        starts, equal = equal_windows(texts, rows.column("at").to_numpy(), owners)
-        sizes = np.array([len(t) for t in texts], np.int64)
-        base = np.cumsum(sizes) - sizes
-        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes - WINDOW + 1)])
+        ends, equal = equal_windows(rows.column("string").to_pylist(), rows.column("at").to_numpy().astype(np.int64), owners)
         once, pos = rows.column("times").to_numpy() == 1, rows.column("pos").to_numpy()
         ids, hashes, found = rows.column("id").to_pylist(), rows.column("h").to_pylist(), []
         hit = np.flatnonzero(once & (W.sums(equal, ends) > 0))
         for i in hit:
-            own = slice(ends[i], ends[i + 1])
-            found.append(starts[own][equal[own]] - base[i] + pos[i])
+            found.append(np.flatnonzero(equal[ends[i] : ends[i + 1]]) + pos[i])
         held.clear()
         return _intervals([ids[i] for i in hit], [hashes[i] for i in hit], found)
 
@@ -328,10 +335,11 @@ def dedup(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffixes")
     rows = docs.select(row_key().alias("k"), "text").select("k.id", "k.h", "text")
-    spots = places(rows)
+    spots = minimisers(rows)
     often = spots.groupBy("mini").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("mini")
-    shared = spots.join(often, "mini").groupBy("id", "h").agg(F.collect_set(F.struct("pos", "n")).alias("shared"))
-    joined = scratch.table(settle_untouched(rows.join(shared, ["id", "h"], "left")), "joined")
+    # by id alone: documents of one id see each other's minimisers, and keep those that are their own
+    shared = spots.join(often, "mini").groupBy("id").agg(F.collect_set("mini").alias("shared"))
+    joined = scratch.table(settle_untouched(rows.join(shared, "id", "left")), "joined")
     touched = joined.filter("shared is not null")
 
     packed = strings(touched.select("id", "h", "text", "shared").dropDuplicates(["id", "h"]))
