@@ -21,9 +21,11 @@ import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -33,42 +35,96 @@ LIMIT = 2048
 MAX_SEGMENTS = 256
 END_ID = 1
 BLOCK = 2048
-_CACHE_IDS = 2_000_000
+_CACHE_IDS = 3_000_000
+_CLOSING = ",.!?;:\"')]}>#*$%&|-_"
+_PIECE = 12 << 20
 COLUMNS = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 class WordEncoder:
-    """Ids of whole texts, from the ids of their words; keeps those of the words it has seen."""
+    """Ids of whole texts, from the ids of their words; keeps those of the words it has seen.
+
+    A word's closing marks are looked up apart, and plain ASCII words in lower case, as the tokenizer
+    parts and lowers them itself: this leaves fewer different words. New words go to the tokenizer many at a time,
+    with a mark between them.
+    """
+
+    mark = "\x01"
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        (self.mark_id,) = self.tokenizer.encode(self.mark, add_special_tokens=False).ids
         self.forget()
 
     def forget(self) -> None:
         self.slots: dict[str, int] = {}
         self.starts, self.pool = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
+    def learn(self, new: list[str]) -> None:
+        """Adds the ids of new words."""
+        plain = [w for w in new if self.mark not in w]
+        odd = [w for w in new if self.mark in w]
+        parts = []
+        for i in range(0, len(plain), 1000):
+            text = f" {self.mark} ".join([*plain[i : i + 1000], ""])
+            parts.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32))
+        ids = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+        ends = np.flatnonzero(ids == self.mark_id)
+        lengths = np.diff(ends, prepend=-1) - 1
+        if len(lengths) != len(plain):
+            raise RuntimeError("the tokenizer does not keep words apart")
+        more = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in odd]
+        ids = np.concatenate([self.pool, ids[ids != self.mark_id], *(np.array(x, np.uint32) for x in more)])
+        lengths = np.concatenate([lengths, np.array([len(x) for x in more], np.int64)])
+        first = len(self.slots)
+        self.slots.update(zip([*plain, *odd], range(first, first + len(new)), strict=True))
+        self.pool, self.starts = ids, np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+
+    def slots_of(self, vocab: pa.Array) -> np.ndarray:
+        """The slot of each entry, learned where it is new; call ``forget`` before, not between."""
+        coded = vocab.dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        slot = np.fromiter(map(self.slots.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            self.learn([words[i] for i in new])
+            slot[new] = np.fromiter(map(self.slots.__getitem__, [words[i] for i in new]), np.int64, len(new))
+        return slot[coded.indices.to_numpy(zero_copy_only=False)]
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets); texts without nulls."""
         words = W.split(texts)
-        vocab = words.vocab.to_pylist()
         if len(self.pool) > _CACHE_IDS:
             self.forget()
-        new = [w for w in vocab if w not in self.slots]
-        if new:
-            found = [x.ids for x in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            self.slots.update(zip(new, range(len(self.slots), len(self.slots) + len(new)), strict=True))
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            self.pool = np.concatenate([self.pool, np.array([i for x in found for i in x], np.uint32)])
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-        slot = np.fromiter(map(self.slots.__getitem__, vocab), np.int64, len(vocab))[words.ids]
-        lengths = self.starts[slot + 1] - self.starts[slot]
-        ends = np.zeros(len(slot) + 1, np.int64)
+        body = pc.utf8_rtrim(words.vocab, characters=_CLOSING)
+        # only letters part from what follows whatever it is: else the word stays whole, and so with the one letter
+        # whose lower case ends in a mark
+        parts = pc.and_(pc.utf8_is_alpha(body), pc.invert(pc.match_substring(body, "\u0130")))
+        body = pc.if_else(parts, body, words.vocab)
+        tail = pc.binary_length(words.vocab).to_numpy() - pc.binary_length(body).to_numpy()
+        data, offsets = words.vocab_bytes()
+        text, some = data.tobytes(), tail > 0
+        ends = offsets[1:][some]
+        closing = pa.array([text[a:b] for a, b in zip((ends - tail[some]).tolist(), ends.tolist(), strict=True)], pa.binary())
+        lower = pc.and_(pc.string_is_ascii(body), pc.invert(pc.match_substring(body, "<|")))
+        body = pc.if_else(lower, pc.ascii_lower(body), body)
+        slot = self.slots_of(pa.concat_arrays([body, closing.cast(pa.string())]))
+        first = slot[: len(words.vocab)]
+        second = np.full(len(first), -1, np.int64)
+        second[some] = slot[len(first) :]
+        # a word is one or two runs of the pool
+        counts = 1 + some[words.ids]
+        at = np.cumsum(counts) - counts
+        runs = np.empty(int(counts.sum()), np.int64)
+        runs[at] = first[words.ids]
+        runs[at[counts == 2] + 1] = second[words.ids[counts == 2]]
+        lengths = self.starts[runs + 1] - self.starts[runs]
+        ends = np.zeros(len(runs) + 1, np.int64)
         np.cumsum(lengths, out=ends[1:])
-        return self.pool[W.ragged(self.starts[slot], lengths)], ends[words.offsets]
+        return self.pool[W.ragged(self.starts[runs], lengths)], ends[np.append(at, len(runs))[words.offsets]]
 
 
 def encode_documents(texts: pa.Array, encoder: WordEncoder, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
@@ -104,7 +160,7 @@ class Item:
             Item(self.doc, self.start + n, self.ids[n:], self.doc_tokens, b),
         )
 
-    def fitting(self, left: np.ndarray) -> int:
+    def fitting(self, left: list[int]) -> int:
         """How many of its first ids fit what is left."""
         n = int(min(len(self.ids), left[0])) if left[1] > 0 else 0
         if self.loss is None:
@@ -114,54 +170,45 @@ class Item:
 
 def fill(items: list[Item], limits: tuple[int, int, int], last: bool) -> tuple[list[list[Item]], list[Item]]:
     """(closed sequences, items left over); with ``last`` nothing is left over."""
-    limit = np.array(limits, np.float64)
-    size = 2 * len(items) + 64
-    demand, alive = np.zeros((size, 3)), np.zeros(size, bool)
-    pool: list[Item | None] = [None] * size
-    for i, item in enumerate(items):
-        pool[i], demand[i], alive[i] = item, item.demand(), True
-    weight = 1.0 / (limit * limit)
-    done, free = [], len(items)
-    waiting = float(demand[:, 0].sum())
-    while alive.any() and (last or waiting >= limits[0]):
-        left, taken = limit.copy(), []
-        while left.min() > 0 and alive.any():
-            here = np.flatnonzero(alive)
-            score = demand[here] @ (left * weight)
-            fits = (demand[here] <= left).all(axis=1)
-            best = int(here[np.argmax(np.where(fits, score, -1.0))]) if fits.any() else int(here[np.argmax(score)])
+    pool: list[Item | None] = list(items)
+    # one row per limit; what is placed has an endless demand
+    demand = np.array([x.demand() for x in items], np.float64).reshape(-1, 3).T.copy()
+    weight = [1.0 / (x * x) for x in limits]
+    done, waiting, alive = [], int(demand[0].sum()), len(items)
+    while alive and (last or waiting >= limits[0]):
+        left, taken = list(limits), []
+        while min(left) > 0 and alive:
+            score = sum(d * (x * w) for d, x, w in zip(demand, left, weight, strict=True))
+            fits = (demand[0] <= left[0]) & (demand[1] <= left[1]) & (demand[2] <= left[2])
+            best = int(np.argmax(np.where(fits, score, -1.0)))
+            if not fits[best]:
+                best = int(np.argmax(np.where(score < np.inf, score, -1.0)))
             item = pool[best]
             n = item.fitting(left)
             if n == 0:
                 break
             piece, rest = item.cut(n)
             taken.append(piece)
-            left -= piece.demand()
+            left = [x - y for x, y in zip(left, piece.demand(), strict=True)]
             waiting -= n
             if rest is None:
-                alive[best] = False
+                pool[best], demand[:, best], alive = None, np.inf, alive - 1
             else:
-                pool[best], demand[best] = rest, rest.demand()
+                pool[best], demand[:, best] = rest, rest.demand()
         length = sum(len(x.ids) for x in taken)
         if length < limits[0]:  # down to a power of two, which is not padded
             over = length - (1 << (length.bit_length() - 1))
             waiting += over
             while over:
-                item = taken.pop()
-                keep = max(0, len(item.ids) - over)
-                over -= len(item.ids) - keep
-                if keep:
-                    item, rest = item.cut(keep)
+                rest = taken.pop()
+                if len(rest.ids) > over:
+                    item, rest = rest.cut(len(rest.ids) - over)
                     taken.append(item)
-                else:
-                    rest = item
-                if free == len(pool):
-                    pool += [None] * free
-                    demand, alive = np.vstack([demand, np.zeros((free, 3))]), np.append(alive, np.zeros(free, bool))
-                pool[free], demand[free], alive[free] = rest, rest.demand(), True
-                free += 1
+                over -= len(rest.ids)
+                pool.append(rest)
+                demand, alive = np.hstack([demand, np.array(rest.demand(), np.float64)[:, None]]), alive + 1
         done.append(taken)
-    return done, [pool[i] for i in np.flatnonzero(alive)]
+    return done, [x for x in pool if x is not None]
 
 
 def rows_of(sequence: list[Item], number: int) -> Iterator[tuple]:
@@ -207,7 +254,7 @@ def pack(
                 arrays.append(pa.array([x.astype(np.int32) for x in columns[7]], pa.list_(pa.int32())))
             return pa.RecordBatch.from_arrays(arrays, [id_col, *COLUMNS, *["ids"] * with_ids])
 
-        for piece in W.pieces(batches):
+        for piece in W.pieces(batches, limit=_PIECE):
             kind = piece.column(id_col).type
             ids, offsets = encode_documents(W.text_column(piece), encoder)
             full: list[list[Item]] = []
