@@ -250,6 +250,18 @@ seen as (select 'id' as field, case when event_id % 43 = 0 then 'BIGINT' else 'S
 select field, observed_type, count(*) as n, status from seen group by field, observed_type, status
 union all select 'note', 'none', 0, 'missing_field'""")
 
+oracle("schema_drift_nested", f"""
+with {DOCS},
+c as (select count(*) as n, sum(len(words)) as w, sum(len(lines)) as l from docs)
+select u.field, u.observed_type, cast(u.n as bigint) as n, u.status from c, lateral (values
+  ('id', 'STRING', n, 'ok'), ('type', 'STRING', n, 'ok'), ('name', 'STRING', n, 'ok'), ('batters', 'OBJECT', n, 'ok'),
+  ('topping', 'ARRAY', n, 'ok'), ('batters.batter', 'ARRAY', n, 'ok'),
+  ('batters.batter.id', 'STRING', w, 'ok'), ('batters.batter.type', 'STRING', w, 'ok'),
+  ('topping.id', 'STRING', l, 'ok'), ('topping.type', 'STRING', l, 'type_changed'), ('topping.size', 'none', 0, 'missing_field')
+) as u(field, observed_type, n, status)
+union all
+select 'ppu', 'DECIMAL', count(*), 'ok' from docs""")
+
 oracle("audit_counts", f"""
 with {LINES},
 c as (select count(*) as total, count(*) filter (reason = 'ok') as published,

@@ -183,6 +183,15 @@ def schema_drift(spark, d):
     return contract.drift(spark, _classified(spark, d).filter("image is not null"), registered)
 
 
+@query
+def schema_drift_nested(spark, d):
+    """Whole nested documents against a schema that has changed inside its arrays."""
+    part = T.StructType().add("id", "string").add("type", "long").add("size", "long")
+    registered = T.StructType([*SAMPLE_ROW_SCHEMA.fields[:-1], T.StructField("topping", T.ArrayType(part))])
+    images = X.documents(spark, d).select(F.parse_json(F.to_json(F.struct("*"))).alias("image"))
+    return contract.drift(spark, images, registered, nested=True)
+
+
 @query
 def audit_counts(spark, d):
     return audit.intake_counts(_classified(spark, d))

@@ -145,3 +145,21 @@ def test_drift(spark):
     assert got["ppu", "DECIMAL"] == (3, "ok") and got["ppu", "STRING"] == (1, "type_changed")
     assert got["name", "STRING"] == (3, "ok") and got["more", "BIGINT"] == (1, "new_field")
     assert got["z", "none"] == (0, "missing_field") and got["batters", "OBJECT"] == (4, "ok")
+
+
+def test_drift_below_the_top(spark):
+    docs = [
+        GOOD,
+        changed(batters={"batter": [{"id": "1", "type": 5}, {"id": "2", "type": "b", "more": True}]}),
+        changed(topping=[{"id": "6"}, {"id": "7"}]),
+        changed(batters=None),
+    ]
+    df = spark.createDataFrame([(json.dumps(d),) for d in docs], "j string").withColumn("image", F.parse_json("j"))
+    rows = contract.drift(spark, df, SAMPLE_ROW_SCHEMA, nested=True).collect()
+    got = {(r["field"], r["observed_type"]): (r["n"], r["status"]) for r in rows}
+    assert got["batters", "OBJECT"] == (3, "ok") and got["batters", "VOID"] == (1, "type_changed")
+    assert got["batters.batter", "ARRAY"] == (3, "ok") and got["batters.batter.id", "STRING"] == (6, "ok")
+    assert got["batters.batter.type", "STRING"] == (5, "ok") and got["batters.batter.type", "BIGINT"] == (1, "type_changed")
+    assert got["batters.batter.more", "BOOLEAN"] == (1, "new_field")
+    assert got["topping.id", "STRING"] == (5, "ok") and got["topping.type", "STRING"] == (3, "ok")
+    assert len(rows) == len(got)

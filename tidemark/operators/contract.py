@@ -9,6 +9,8 @@ expressions.
 from __future__ import annotations
 
 import json
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -270,12 +272,32 @@ def next_versions(history: DataFrame, new: DataFrame, keep_equal: bool) -> DataF
 # ---------------------------------------------------------------- drift
 
 
-def drift(spark: SparkSession, images: DataFrame, schema: T.StructType, image: str = "image") -> DataFrame:
+def drift(
+    spark: SparkSession, images: DataFrame, schema: T.StructType, image: str = "image", nested: bool = False
+) -> DataFrame:
     """Fields seen in the row images against the registered ones.
 
     One row per field and type with a count and a status: ``ok``, ``type_changed``,
-    ``new_field``, or ``missing_field`` for a registered field no image has.
+    ``new_field``, or ``missing_field`` for a registered field no image has. With ``nested`` also the
+    fields of registered structs, and of the structs in registered arrays, by their dotted path; the images are
+    read once per such field.
     """
+    if not nested:
+        return _level_drift(spark, images, schema, image)
+    levels = [_level_drift(spark, images, schema, image)]
+    for f in schema.fields:
+        inner, member = f.dataType, F.try_variant_get(image, f'$["{f.name}"]', "variant")
+        below = images.select(member.alias(image))
+        while isinstance(inner, T.ArrayType):
+            inner = inner.elementType
+            below = below.select(F.explode(F.try_variant_get(image, "$", "array<variant>")).alias(image))
+        if isinstance(inner, T.StructType):
+            deeper = drift(spark, below.filter(F.col(image).isNotNull()), inner, image, nested=True)
+            levels.append(deeper.withColumn("field", F.concat(F.lit(f"{f.name}."), "field")))
+    return reduce(DataFrame.unionByName, levels)
+
+
+def _level_drift(spark: SparkSession, images: DataFrame, schema: T.StructType, image: str) -> DataFrame:
     seen = (
         images.lateralJoin(spark.tvf.variant_explode(F.col(image).outer()))
         .select(F.col("key").alias("field"), F.schema_of_variant("value").alias("_type"))
