@@ -98,5 +98,5 @@ def test_annotate_keeps_other_columns(spark):
     assert all(r.made.n == len(r.text or "") for r in out.collect())
     with pytest.raises(ValueError, match="already"):
         annotate(df, lambda piece: [], "n long", "KEPT")
-    assert unused(df, "kept") == "_kept" and unused(df, "m") == "__m"
+    assert unused(df, "kept") == "_kept" and unused(df, "m") == "m" and unused(df, "_m") == "__m"
     assert out.select(F.sum("made.n")).first()[0] == sum(len(t or "") for _, t in brute.texts())

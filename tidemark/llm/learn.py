@@ -51,18 +51,30 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
 
 
-def logistic(
-    rows: np.ndarray, columns: np.ndarray, values: np.ndarray, y: np.ndarray, width: int, ridge: float
-) -> np.ndarray:
-    """Weights (the last is the bias) of a logistic regression on sparse rows; y is 0 or 1."""
+CHUNK = 256
+
+
+def logistic(samples: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, width: int, ridge: float) -> np.ndarray:
+    """Weights (the last is the bias) of a logistic regression on sparse rows (columns, values); y is 0 or 1.
+
+    Works through the rows in chunks, so that what it needs beside the rows stays small.
+    """
+    chunks = []
+    for a in range(0, len(samples), CHUNK):
+        part = samples[a : a + CHUNK]
+        owner = np.repeat(np.arange(len(part), dtype=np.int32), [len(c) for c, _ in part])
+        chunks.append((owner, np.concatenate([c for c, _ in part]), np.concatenate([v for _, v in part]), y[a : a + CHUNK]))
     n = len(y)
 
     def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
-        z = np.bincount(rows, values * w[columns], n) + w[-1]
-        error = sigmoid(z) - y
-        grad = np.append(np.bincount(columns, values * error[rows], width), error.sum()) / n
-        grad[:-1] += ridge * w[:-1]
-        return float((np.logaddexp(0, z) - y * z).mean() + 0.5 * ridge * w[:-1] @ w[:-1]), grad
+        value, grad = 0.5 * ridge * float(w[:-1] @ w[:-1]), np.append(ridge * w[:-1], 0.0)
+        for owner, columns, values, target in chunks:
+            z = np.bincount(owner, values * w[columns], len(target)) + w[-1]
+            error = (sigmoid(z) - target) / n
+            value += float((np.logaddexp(0, z) - target * z).sum()) / n
+            grad[:-1] += np.bincount(columns, values * error[owner], width)
+            grad[-1] += error.sum()
+        return value, grad
 
     return lbfgs(loss, np.zeros(width + 1))
 

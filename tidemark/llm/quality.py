@@ -172,14 +172,10 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, label:
     if not 0 < y.sum() < len(y):
         return Model(np.append(np.zeros(1 << BITS), 40.0), 1.0, 0.0)
     held = W.mix64(np.arange(len(rows), dtype=np.uint64)) % np.uint64(5) == 0
-    columns = [np.frombuffer(r.c, np.int32) for r in rows]
-    values = [np.frombuffer(r.v, np.float32) for r in rows]
-    owner = np.repeat(np.arange(len(rows)), [len(c) for c in columns])
-    columns, values = np.concatenate(columns), np.concatenate(values).astype(np.float64)
-    own = ~held[owner]
-    rank = np.cumsum(~held) - 1
-    weights = learn.logistic(rank[owner[own]], columns[own], values[own], y[~held], 1 << BITS, RIDGE)
-    z = np.bincount(owner, values * weights[columns], len(rows)) + weights[-1]
+    samples = [(np.frombuffer(r.c, np.int32), np.frombuffer(r.v, np.float32)) for r in rows]
+    del rows
+    weights = learn.logistic([s for s, h in zip(samples, held, strict=True) if not h], y[~held], 1 << BITS, RIDGE)
+    z = np.array([float(v @ weights[c]) for c, v in samples]) + weights[-1]
     if not 0 < y[held].sum() < held.sum():
         return Model(weights, 1.0, 0.0)
     return Model(weights, *learn.calibrate(z[held], y[held]))

@@ -301,9 +301,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, label:
     unary = W.sums(weights[columns], offsets)[words.ids]
     x = document_numbers(marginals(unary, words.offsets, chain), words.offsets)
     some = held if 0 < y[held].sum() < held.sum() else np.ones(len(y), bool)
-    n, width = int(some.sum()), x.shape[1]
-    at = np.repeat(np.arange(n), width)
-    document = learn.logistic(at, np.tile(np.arange(width), n), x[some].ravel(), y[some], width, 1e-4)
+    names = np.arange(x.shape[1])
+    document = learn.logistic([(names, row) for row in x[some]], y[some], x.shape[1], 1e-4)
     return Model(weights, chain, document)
 
 
