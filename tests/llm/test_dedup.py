@@ -101,6 +101,24 @@ def test_spanning_forest_connects_similar_members():
     assert len(pairs) == 4 and 5 not in {x for p in pairs for x in p}
 
 
+def test_bitmaps_never_rule_out_a_link():
+    rng = np.random.default_rng(6)
+    ruled_out = 0
+    for n in (5, 60, 400, 9000):
+        pool = rng.integers(0, 2**64, 2 * n, dtype=np.uint64)
+        sets = [np.unique(rng.choice(pool[: n + k], n, replace=False)) for k in range(0, n, max(1, n // 12))]
+        bits = np.stack([np.frombuffer(near.bitmap(s), np.uint8) for s in sets])
+        sizes = np.array([len(s) for s in sets])
+        for i, one in enumerate(sets):
+            may = near.may_link(bits, sizes, i, np.arange(len(sets)))
+            for j, two in enumerate(sets):
+                shared = len(np.intersect1d(one, two))
+                linked = 100 * shared >= near.PERCENT * (len(one) + len(two) - shared)
+                assert may[j] or not linked
+                ruled_out += not may[j]
+    assert ruled_out > 100
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(4)
     pool = rng.integers(0, 2**63, 3000, dtype=np.uint64)
