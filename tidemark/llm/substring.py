@@ -55,14 +55,36 @@ def super_kmers(words: W.Words, k: int = WINDOW, m: int = GRAM) -> tuple[np.ndar
 
 
 def minimisers(docs: DataFrame) -> DataFrame:
-    """(mini, id) of each super-k-mer of rows (id, h, text)."""
+    """(mini, id, times) of the super-k-mers of rows (id, h, text): one row per document and minimiser."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in W.pieces(batches, limit=_PIECE):
             document, _, _, mini = super_kmers(W.split(W.text_column(piece)))
-            yield pa.RecordBatch.from_arrays([pa.array(mini), piece.column("id").take(pa.array(document))], ["mini", "id"])
+            yield counted(document, mini, piece.column("id"))
 
-    return docs.mapInArrow(run, "mini long, id long")
+    return docs.mapInArrow(run, COUNTED)
+
+
+COUNTED = "mini long, id long, times int"
+
+
+def counted(document: np.ndarray, mini: np.ndarray, ids: pa.Array) -> pa.RecordBatch:
+    """A row per document and minimiser, with how often it occurs there: a text of repeats sends few rows."""
+    order = np.lexsort((mini, document))
+    document, mini = document[order], mini[order]
+    new = np.ones(len(mini), bool)
+    new[1:] = (mini[1:] != mini[:-1]) | (document[1:] != document[:-1])
+    heads = np.flatnonzero(new)
+    times = np.diff(np.append(heads, len(mini))).astype(np.int32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(mini[heads]), ids.take(pa.array(document[heads])), pa.array(times)], ["mini", "id", "times"]
+    )
+
+
+def shared_minimisers(spots: DataFrame) -> DataFrame:
+    """(id, shared): per id the minimisers that occur more than once anywhere."""
+    often = spots.groupBy("mini").agg(F.sum("times").alias("all")).filter("all > 1").select("mini")
+    return spots.select("mini", "id").join(often, "mini").groupBy("id").agg(F.collect_set("mini").alias("shared"))
 
 
 def _digest(words: list[bytes]) -> str:
@@ -252,10 +274,8 @@ def dedup(docs: DataFrame) -> DataFrame:
     """(id, n_words, n_removed, sha) of every row of docs (doc_id, text); see the module's text."""
     scratch = Scratch(docs.sparkSession, "substring")
     rows = docs.select(row_key().alias("k"), "text").select("k.id", "k.h", "text")
-    spots = minimisers(rows)
-    often = spots.groupBy("mini").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("mini")
     # by id alone: documents of one id see each other's minimisers, and keep those that are their own
-    shared = spots.join(often, "mini").groupBy("id").agg(F.collect_set("mini").alias("shared"))
+    shared = shared_minimisers(minimisers(rows))
     joined = scratch.table(settle_untouched(rows.join(shared, "id", "left")), "joined")
     touched = joined.filter("shared is not null")
 

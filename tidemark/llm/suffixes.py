@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
 from tidemark.llm.frames import Scratch, row_key
-from tidemark.llm.substring import pair_keys, shared_keys
+from tidemark.llm.substring import COUNTED, counted, pair_keys, shared_keys, shared_minimisers
 
 WINDOW = 400
 HALF = 200
@@ -89,14 +89,14 @@ def half_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def minimisers(docs: DataFrame) -> DataFrame:
-    """(mini, id) of each run of half windows of rows (id, h, text)."""
+    """(mini, id, times) of the runs of half windows of rows (id, h, text): one row per document and minimiser."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in W.pieces(batches, limit=_PIECE):
             document, _, _, mini = half_runs(*W.raw_bytes(W.text_column(piece)))
-            yield pa.RecordBatch.from_arrays([pa.array(mini), piece.column("id").take(pa.array(document))], ["mini", "id"])
+            yield counted(document, mini, piece.column("id"))
 
-    return docs.mapInArrow(run, "mini long, id long")
+    return docs.mapInArrow(run, COUNTED)
 
 
 def settle_untouched(joined: DataFrame) -> DataFrame:
@@ -335,10 +335,8 @@ def dedup(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffixes")
     rows = docs.select(row_key().alias("k"), "text").select("k.id", "k.h", "text")
-    spots = minimisers(rows)
-    often = spots.groupBy("mini").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("mini")
     # by id alone: documents of one id see each other's minimisers, and keep those that are their own
-    shared = spots.join(often, "mini").groupBy("id").agg(F.collect_set("mini").alias("shared"))
+    shared = shared_minimisers(minimisers(rows))
     joined = scratch.table(settle_untouched(rows.join(shared, "id", "left")), "joined")
     touched = joined.filter("shared is not null")
 
