@@ -37,7 +37,7 @@ END_ID = 1
 BLOCK = 2048
 _CACHE_IDS = 3_000_000
 _CLOSING = ",.!?;:\"')]}>#*$%&|-_"
-_PIECE = 12 << 20
+_PIECE = 8 << 20
 COLUMNS = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 6 << 20
+PIECE_BYTES = 3 << 20
 
 
 def text_column(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
