@@ -337,3 +337,30 @@ def test_mixing_edges(spark, docs):
     assert all(again[r.doc_id, r.text].kept == r["m"].kept for r in rows)
     assert mixing.mix(docs.limit(0), into="m").count() == 0
     assert mixing.stage(spark, docs, "").columns == docs.columns
+
+
+def test_a_tiny_source_takes_nothing_from_the_others(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "source", "lang")
+    tiny = [(-1, "some few words in a text of no known origin", None, "en"), (-2, "another text in a new tongue", "new", "xx")]
+    shares = []
+    for more in ([], tiny):
+        rows = mixing.mix(docs.unionByName(spark.createDataFrame(more, docs.schema)), into="m")
+        shares.append(mixing.kept_share(rows, "m").first())
+    assert all(r["m"].probability > 0.999999 for r in rows.filter("doc_id < 0").collect())
+    for r in shares:
+        assert abs(r.tokens_expected - mixing.BUDGET) < 1e-3
+        assert abs(r.tokens_kept - mixing.BUDGET) < 0.02 and abs(r.documents_kept - mixing.BUDGET) < 0.1
+
+
+def test_capped_raking(spark):
+    """Cells at 1 are put aside: the others still meet what is left of each value's part."""
+    cells = {("a", "x"): 500, ("a", "y"): 300, ("b", "x"): 100, ("b", "y"): 100, (None, "x"): 1, (None, "y"): 2}
+    df = spark.createDataFrame([(*k, v) for k, v in cells.items()], "source string, lang string, tokens long")
+    out = mixing.probabilities(df, ("source", "lang"), {"lang": {"x": 1, "y": 1}}, sweeps=30, budget=0.7).collect()
+    weight, total = {(r.source, r.lang): r.weight for r in out}, 0.7 * 1003
+    assert all(0 < r.probability <= 1 and r.weight == pytest.approx(r.tokens * r.probability) for r in out)
+    assert sum(weight.values()) == pytest.approx(total)
+    for lang in "xy":
+        assert sum(w for k, w in weight.items() if k[1] == lang) == pytest.approx(total / 2, rel=1e-3)
+    # the natural shares to the power of a half ask for more of b and null than there is
+    assert all(r.probability > 0.999 for r in out if r.source != "a")
