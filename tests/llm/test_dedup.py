@@ -91,6 +91,27 @@ def test_many_near_copies_are_one_component(spark):
     assert [r.c for r in out] == [0]
 
 
+def test_open_regions_are_compared_in_bounded_blocks(spark, monkeypatch):
+    """Each pair of different components is in a unit, once; no unit holds the region."""
+    monkeypatch.setattr(near, "BLOCK", 20)
+    part = {k: 0 if k < 120 else k // 3 for k in range(300)}  # 120 members in the largest, 60 components of three
+    region = [(b"r", k, 7, part[k], 0) for k in part] + [(b"s", k, 7, 1, 0) for k in range(50)] + [(b"t", k, 7, k, 0) for k in range(2)]
+    units = {}
+    for r in near.blocks(spark.createDataFrame(region, "region binary, id long, h long, cid long, ch long")).collect():
+        assert (r.outside or not r.one) and (r.region[:1] == b"t" or r.outside == (r.cid != 0))
+        units.setdefault(bytes(r.region), []).append(r)
+    assert {u[:1] for u in units} == {b"r", b"t"} and [len(u) for k, u in units.items() if k[:1] == b"t"] == [2]
+    assert max(map(len, units.values())) <= 4 * 20
+    pairs = [
+        (min(a.id, b.id), max(a.id, b.id))
+        for name, u in units.items() if name[:1] == b"r"
+        for a in u if a.one
+        for b in u if b.two and a.cid != b.cid and not (b.outside and b.id < a.id)
+    ]
+    assert len(pairs) == len(set(pairs))
+    assert set(pairs) == {(a, b) for a in part for b in range(a + 1, 300) if part[a] != part[b]}
+
+
 def test_spanning_forest_connects_similar_members():
     rng = np.random.default_rng(3)
     signature = rng.integers(0, 2**32, (1, near.HASHES), dtype=np.uint32).repeat(6, axis=0)

@@ -13,7 +13,8 @@ region of that tree. Candidates come from the regions:
 Candidates are confirmed on full sets. If every candidate of a region is a link, all its similar classes are
 connected already. Otherwise all pairs of the region that agree well enough and are not connected yet are
 confirmed as well, less those that cannot be links: the bits in which two sets' bitmaps differ are a lower bound
-of the members in which the sets differ. A pair at the limit of 0.85 shares no region with a chance of 1e-5.
+of the members in which the sets differ. Such a region is dealt out in blocks of about ``BLOCK`` members by parts of as
+many, so no task holds a whole region. A pair at the limit of 0.85 shares no region with a chance of 1e-5.
 
 Nulls: a null text has no words; documents without words are linked with nothing. A null id sorts first.
 Rows equal in id and text are one document. Fewer words than a shingle make one shingle.
@@ -42,6 +43,7 @@ DEPTH = 4
 DEEP = 8
 CROWD = 256
 REACH = 4
+BLOCK = 4096  # expected members on a side of what one task compares at a time
 AGREE = 42  # of HASHES; at a similarity of 0.85 fewer agree with a chance of 1e-5
 SKETCH_BYTES = HASHES // 2
 BITMAP = 4096
@@ -157,7 +159,7 @@ def agreement(one: np.ndarray, many: np.ndarray) -> np.ndarray:
     return _SAME[one[None, :] ^ many].sum(axis=1, dtype=np.int64)
 
 
-def similar(one: int, sketches: np.ndarray, sizes: np.ndarray, others: slice) -> np.ndarray:
+def similar(one: int, sketches: np.ndarray, sizes: np.ndarray, others: slice | np.ndarray) -> np.ndarray:
     """Agreement of a member with others, 0 where it or the sizes rule out a link."""
     same = agreement(sketches[one], sketches[others])
     n, m = sizes[one], sizes[others]
@@ -243,10 +245,42 @@ def may_link(bits: np.ndarray, sizes: np.ndarray, one: int, others: np.ndarray)
     return 100 * (total - apart) >= PERCENT * (total + apart)
 
 
+def blocks(left: DataFrame) -> DataFrame:
+    """What to compare of regions (region, id, h, cid, ch, ...), in units of bounded size; ``region`` names the unit.
+
+    Members outside a region's largest component are dealt into blocks, all its members into parts; a unit is a block
+    (``one``) against a part (``two``). Where one unit takes the whole region, each member is one row of it. Regions of
+    one component have no units.
+    """
+    about = left.groupBy("region", "cid", "ch").agg(F.count(F.lit(1)).alias("n"))
+    about = about.groupBy("region").agg(F.sum("n").alias("_all"), F.max(F.struct("n", "cid", "ch")).alias("_most"))
+    out = left.join(about.filter(F.col("_all") > F.col("_most.n")), "region")
+    outside = (F.col("cid") != F.col("_most.cid")) | (F.col("ch") != F.col("_most.ch"))
+    n_blocks = F.ceil((F.col("_all") - F.col("_most.n")) / F.lit(BLOCK)).cast("int")
+    n_parts = F.ceil(F.col("_all") / F.lit(BLOCK)).cast("int")
+    out = out.withColumns({"outside": outside, "_blocks": n_blocks, "_parts": n_parts})
+    out = out.withColumns(
+        {f"_{x}": F.pmod(F.xxhash64("id", "h", F.lit(x)), F.col(f"_{x}s")).cast("int") for x in ("block", "part")}
+    )
+
+    def unit(block: F.Column, part: F.Column, one: F.Column, two: F.Column) -> F.Column:
+        return F.struct(block.alias("block"), part.alias("part"), one.alias("one"), two.alias("two"))
+
+    own_block, own_part, yes, no = F.col("_block"), F.col("_part"), F.lit(True), F.lit(False)
+    as_two = F.transform(
+        F.sequence(F.lit(0), F.col("_blocks") - 1), lambda b: unit(b, own_part, F.col("outside") & (b == own_block), yes)
+    )
+    as_one = F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda p: unit(own_block, p, yes, no))
+    as_one = F.filter(as_one, lambda u: F.col("outside") & (u["part"] != own_part))
+    out = out.withColumn("_unit", F.explode(F.concat(as_two, as_one)))
+    name = F.concat("region", F.encode(F.concat_ws(":", "_unit.block", "_unit.part"), "utf-8"))
+    return out.select(name.alias("region"), *[c for c in left.columns if c != "region"], "outside", "_unit.one", "_unit.two")
+
+
 def remaining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs of each region that may be links and whose members are not connected yet.
+    """All pairs of each unit of ``blocks`` that may be links and whose members are not connected yet, as they are found.
 
-    Members of the region's largest component are only compared with the others, not among themselves.
+    A pair of two members outside the largest component is in two units and taken from one.
     """
     found: list[tuple] = []
     for run in W.runs(batches, "region"):
@@ -258,16 +292,17 @@ def remaining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [f"{i}:{h}" for i, h in zip(run.column("cid").to_pylist(), run.column("ch").to_pylist(), strict=True)],
             return_inverse=True,
         )[1]
-        most = np.bincount(parts).argmax()
-        for i in np.flatnonzero(parts != most):
-            hit = similar(int(i), sketches, sizes, slice(None))
-            hit[parts == parts[i]] = 0
-            # a pair of two members outside the largest component is taken once
-            hit[: i + 1][parts[: i + 1] != most] = 0
-            others = np.flatnonzero(hit)
+        one, two, outside = (run.column(c).to_numpy(zero_copy_only=False) for c in ("one", "two", "outside"))
+        place = np.empty(len(keys), np.int64)
+        place[sorted(range(len(keys)), key=keys.__getitem__)] = np.arange(len(keys))
+        part = np.flatnonzero(two)
+        for i in np.flatnonzero(one):
+            hit = similar(int(i), sketches, sizes, part)
+            hit[(parts[part] == parts[i]) | (outside[part] & (place[part] < place[i]))] = 0
+            others = part[np.flatnonzero(hit)]
             others = others[may_link(bits, sizes, int(i), others)]
             found += [(region, min(keys[i], keys[j]), max(keys[i], keys[j])) for j in others]
-        yield from _pair_batches(found, 20_000)
+            yield from _pair_batches(found, 20_000)
     yield from _pair_batches(found, 0)
 
 
@@ -361,7 +396,7 @@ def groups(docs: DataFrame) -> DataFrame:
         left = trees.join(open_regions, "region", "left_semi").join(so_far, ["id", "h"], "left")
         part = F.coalesce(F.col("component"), _key())
         left = left.select("region", "sketch", "id", "h", "n", part["id"].alias("cid"), part["h"].alias("ch"))
-        left = left.join(sets.select("key.id", "key.h", "bits"), ["id", "h"])
+        left = blocks(scratch.table(left, "left").join(sets.select("key.id", "key.h", "bits"), ["id", "h"]))
         left = left.repartition(parts, "region").sortWithinPartitions("region")
         more = left.mapInArrow(remaining, PAIRS).select("a", "b").distinct()
         more = more.join(checked, ["a", "b"], "left_anti")
