@@ -112,6 +112,16 @@ def test_open_regions_are_compared_in_bounded_blocks(spark, monkeypatch):
     assert set(pairs) == {(a, b) for a in part for b in range(a + 1, 300) if part[a] != part[b]}
 
 
+def test_crowded_regions_do_not_depend_on_neighbours(docs, hashes, monkeypatch):
+    """Without any candidate, the exact comparison still finds all links of crowded regions, in small blocks."""
+    monkeypatch.setattr(near, "CROWD", 1)
+    monkeypatch.setattr(near, "BLOCK", 2)
+    monkeypatch.setattr(near, "candidates", lambda batches: iter(()))
+    out = near.groups(docs).select("id", "n_shingles", F.col("component.id").alias("c"))
+    out = out.withColumns({c: F.when(F.col(c) != -(2**63), F.col(c)) for c in ("id", "c")})
+    assert _rows(out, ["id", "n_shingles", "c"]) == _expected(brute.near(brute.texts(), hashes), hashes)
+
+
 def test_spanning_forest_connects_similar_members():
     rng = np.random.default_rng(3)
     signature = rng.integers(0, 2**32, (1, near.HASHES), dtype=np.uint32).repeat(6, axis=0)

@@ -10,8 +10,8 @@ region of that tree. Candidates come from the regions:
   crowded it is: classes are paired with their next ``REACH`` neighbours in that order, which have the longest common
   prefixes, and with the region's first class. It is dealt out by range, so it may be spread over many tasks.
 
-Candidates are confirmed on full sets. If every candidate of a region is a link, all its similar classes are
-connected already. Otherwise all pairs of the region that agree well enough and are not connected yet are
+Candidates are confirmed on full sets. If every candidate of a small region is a link, all its similar classes are
+connected already; so they are in a crowded one whose classes are one component. In all other regions all pairs of the region that agree well enough and are not connected yet are
 confirmed as well, less those that cannot be links: the bits in which two sets' bitmaps differ are a lower bound
 of the members in which the sets differ. Such a region is dealt out in blocks of about ``BLOCK`` members by parts of as
 many, so no task holds a whole region. A pair at the limit of 0.85 shares no region with a chance of 1e-5.
@@ -390,6 +390,8 @@ def groups(docs: DataFrame) -> DataFrame:
     links = checked.filter("linked").select("a", "b")
 
     open_regions = first.join(checked.filter("not linked"), ["a", "b"], "left_semi").select("region").distinct()
+    # neighbours are not all similar classes of a crowded region; blocks() drops those of one component
+    open_regions = open_regions.unionByName(shared.filter(F.col("members") > CROWD).select("region")).distinct()
     open_regions = scratch.table(open_regions, "open")
     if open_regions.take(1):
         so_far = components(links, scratch, "first").select(F.col("node.id").alias("id"), F.col("node.h").alias("h"), "component")
