@@ -6,7 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embeddings, mixing, near, packing, pii, quality, sql, substring, suffixes, toxicity, urls
+from tidemark.llm import (
+    audit,
+    embeddings,
+    mixing,
+    near,
+    negatives,
+    packing,
+    pii,
+    quality,
+    sql,
+    substring,
+    suffixes,
+    tokenstore,
+    toxicity,
+    urls,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": substring.op1,
@@ -19,9 +34,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": pii.op8,
     "op9_mixing": mixing.op9,
     "op10_quality_rules": quality.op10,
+    "op11_token_ids": tokenstore.op11,
+    "op12_hard_negatives": negatives.op12,
+    "op13_filter_audit": audit.op13,
 }
 
-# the others are fitted models, packings and samples: they are tested by brute force and on held-out rows
+# the others are fitted models, token ids, packings and samples: they are tested by brute force and on held-out rows
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": sql.SUBSTRING,
     "op3_minhash_near_dedup": sql.NEAR,
@@ -30,4 +48,6 @@ ORACLES: dict[str, str] = {
     ),
     "op6_suffix_dedup": sql.SUFFIXES,
     "op7_embedding_near_dedup": sql.EMBEDDINGS,
+    "op12_hard_negatives": sql.NEGATIVES,
+    "op13_filter_audit": sql.AUDIT,
 }

@@ -165,3 +165,68 @@ select r.page_id, r.host, r.path, r.rule,
        coalesce(r.ruling, case when coalesce(s.z, 0) - t.t >= 0 then 'allow' else 'block' end) as verdict
 from ruled r left join scores s on s.text = r.text cross join threshold t
 """
+
+NEGATIVES = """
+with v as (
+  select row_number() over () as place, vec_id, embedding,
+         case when vec_id % 7 = 0 then (cast(label as bigint) + 1) % 10 else cast(label as bigint) end as label,
+         list_transform(embedding, lambda x: floor(256 * cast(x as double))) as q
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+a as (select * from v where vec_id % 100 = 0),
+scored as (
+  select a.place as a, a.vec_id as anchor_id, v.vec_id, v.place, a.label = v.label as same,
+         cast(list_dot_product(a.q, v.q) as bigint) as score
+  from a join v on a.place <> v.place and len(a.q) = len(v.q)),
+positives as (
+  select a, anchor_id, vec_id as positive_id, score as positive_score,
+         row_number() over (partition by a order by score desc, vec_id nulls first, place) as nth
+  from scored where same qualify nth <= 5)
+select p.anchor_id, p.positive_id, s.vec_id as negative_id, p.positive_score, s.score as negative_score,
+       cast(row_number() over (partition by p.a, p.nth order by s.score desc, s.vec_id nulls first, s.place) as integer) as rank
+from positives p join scored s on s.a = p.a and not s.same
+ and 30 * p.positive_score <= 100 * s.score and 100 * s.score <= 90 * p.positive_score
+qualify rank <= 10
+"""
+
+AUDIT = f"""
+with texts as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t, {_WORDS.format(text="text")} as ws from documents),
+failures as (
+  select doc_id, part,
+         (len(ws) < 200)::int as a, (100 * len(list_distinct(ws)) < 50 * len(ws))::int as b,
+         (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t))::int as c,
+         regexp_matches(t, '[#$%&*|]')::int as d,
+         coalesce(doc_id > min(doc_id) over (partition by t), false)::int as e
+  from texts),
+said as (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id),
+counts as (
+  select part, a + 2 * b + 4 * c + 8 * d + 16 * e as mask, count(*) as n,
+         count(*) filter (s.good) as good, count(*) filter (s.toxic) as toxic
+  from failures f left join said s on s.doc_id = f.doc_id group by all),
+letters as (select * from (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) as x(letter, bit)),
+orders as (
+  select p.letter || q.letter || r.letter || s.letter || t.letter as filter_order, [p.bit, q.bit, r.bit, s.bit, t.bit] as bits
+  from letters p join letters q on q.bit <> p.bit join letters r on r.bit not in (p.bit, q.bit)
+  join letters s on s.bit not in (p.bit, q.bit, r.bit) join letters t on t.bit not in (p.bit, q.bit, r.bit, s.bit)),
+steps as (
+  select filter_order, unnest(range(1, 6)) as step, bits from orders),
+placed as (
+  select filter_order, step, bits[step] as bit, coalesce(list_sum(bits[1 : step - 1]), 0) as before from steps),
+found as (
+  select part, filter_order, step, bit,
+         coalesce(sum(n) filter (mask & (before | bit) = 0), 0) as kept,
+         coalesce(sum(n) filter (mask & before = 0 and mask & bit > 0), 0) as removed,
+         coalesce(sum(n) filter (mask & before > 0 and mask & bit > 0), 0) as redundant,
+         coalesce(sum(n) filter (mask = bit), 0) as unique_fails,
+         coalesce(sum(good) filter (mask & before = 0 and mask & bit > 0), 0) as good_lost,
+         coalesce(sum(toxic) filter (mask & before = 0 and mask & bit > 0), 0) as toxic_lost
+  from (select part, mask, n, good, toxic, filter_order, step, cast(bit as bigint) as bit, cast(before as bigint) as before
+        from counts, placed)
+  group by part, filter_order, step, bit)
+select part, filter_order, cast(step as integer) as step, cast(kept as bigint) as kept, cast(removed as bigint) as removed,
+       cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails, cast(good_lost as bigint) as good_lost,
+       cast(toxic_lost as bigint) as toxic_lost, cast(sum(removed) over (partition by part, bit) as bigint) as shapley
+from found
+"""
