@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +35,16 @@ STRIDE = 1000
 FALSE_HITS = 0.01
 #: Parts are files of the store; a table of so many takes some 30 MB in memory.
 BROADCAST_PARTS = 1_000_000
+_PIECE = 6 << 20
 _SCHEMA = "part int, doc_id {kind}, start long, n_tokens long, ids array<int>"
 
 
+@cache
+def _encoder(tokenizer: str) -> packing.WordEncoder:
+    """One per worker, which keeps the words of earlier tasks, as far as the encoder keeps any."""
+    return packing.WordEncoder(tokenizer)
+
+
 def encoded(docs: DataFrame, tokenizer: str, end_id: int = packing.END_ID, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The store's rows in order: ranges of ids, sorted, each with its ids and how many of the part lie before them."""
     rows = docs.select(
@@ -50,8 +58,8 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int = packing.END_ID, id_co
     rows = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, before = packing.WordEncoder(tokenizer), TaskContext.get().partitionId(), 0
-        for piece in W.pieces(batches):
+        encoder, part, before = _encoder(tokenizer), TaskContext.get().partitionId(), 0
+        for piece in W.pieces(batches, limit=_PIECE):
             ids, offsets = packing.encode_documents(W.text_column(piece), encoder, end_id)
             arrays = [
                 pa.array(np.full(piece.num_rows, part, np.int32)),
