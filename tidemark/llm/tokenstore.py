@@ -91,6 +91,7 @@ def write(
         files.write.option("orc.create.index", "true")
         .option("orc.row.index.stride", str(stride))
         .option("orc.stripe.size", str(stripe_bytes))
+        .option("orc.rows.between.memory.checks", str(stride))
         .option("orc.bloom.filter.columns", "doc_id")
         .option("orc.bloom.filter.fpp", str(FALSE_HITS))
         .orc(f"{path}/ids")
