@@ -93,6 +93,21 @@ def dedupe(changes: DataFrame, identity: Sequence[str]) -> DataFrame:
     return changes.dropDuplicates(list(identity))
 
 
+def repeats(rows: DataFrame, digest: str, place: str) -> DataFrame:
+    """Digests that occur more than once, with the least place: ``digest`` and ``_first``.
+
+    Only digests and places are shuffled, whatever else a row holds; the result is as large as there are repeats.
+    """
+    found = rows.groupBy(digest).agg(F.min(place).alias("_first"), F.count("*").alias("_n"))
+    return found.filter("_n > 1").drop("_n")
+
+
+def without_repeats(rows: DataFrame, repeated: DataFrame, digest: str, place: str) -> DataFrame:
+    """Rows without those that :func:`repeats` found a second time."""
+    first = rows.join(repeated, digest, "left_outer")
+    return first.filter(F.col("_first").isNull() | (F.col("_first") == F.col(place))).drop("_first")
+
+
 def dedupe_stream(changes: DataFrame, identity: Sequence[str], event_time: str, delay: str) -> DataFrame:
     """Streaming form: copies that arrive within ``delay`` of event time are removed."""
     return changes.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(identity))

@@ -103,7 +103,8 @@ def fold(state: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequenc
     the last column. That makes folding independent of batch order and safe to
     repeat. ``batch`` has the columns of ``state`` and one row per key (``latest``).
 
-    One outer join: if the batch is small enough Spark broadcasts it and leaves the state where it is.
+    If the batch is small enough Spark broadcasts it and leaves the state where it is: of the state only the keys that the batch
+    has too are moved, to find those it does not have.
     """
     columns = list(state.columns)
     rest = [c for c in columns if c not in keys]
@@ -115,7 +116,8 @@ def fold(state: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequenc
     kept = joined.select(
         *[F.col(f"`{c}`") if c in keys else F.when(wins, F.col(f"`_new_{c}`")).otherwise(F.col(f"`{c}`")).alias(c) for c in columns]
     )
-    born = batch.join(state.select(*quoted(keys)), list(keys), "left_anti")
+    held = state.select(*quoted(keys)).join(_distinct_keys(batch, keys), list(keys), "left_semi")
+    born = batch.join(held, list(keys), "left_anti")
     return kept.unionByName(born.select(*quoted(columns)))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -15,6 +16,8 @@ from tidemark.operators import deadletter, envelope
 from tidemark.sources import batches
 from tidemark.sources.topic import encode_lines
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class Letters:
@@ -80,6 +83,7 @@ def replay(
             publish(encode_lines(checked.filter(F.col("_found") == envelope.OK), cfg))
         except Exception:  # noqa: BLE001 - whatever the sink raises, the items are kept
             delivered = False
+            log.warning("replay of %s is not delivered; the items stay", letters.path, exc_info=True)
         good = F.lit(None).cast("string") if delivered else F.lit(envelope.UNDELIVERED)
         reason = F.when(F.col("_found") != envelope.OK, F.col("_found")).otherwise(good)
         letters.put(deadletter.outcomes(checked.withColumn("_reason", reason)))

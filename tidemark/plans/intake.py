@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
@@ -16,6 +17,10 @@ from tidemark.plans.deadletters import Letters
 from tidemark.sources import control, feed
 from tidemark.sources.topic import encode_letters, encode_lines
 
+log = logging.getLogger(__name__)
+# how late a feed file may show up in a listing, or clocks may differ
+MARGIN_US = 10 * 60 * 1_000_000
+
 
 def resolve(cfg: FeedConfig, history: DataFrame) -> FeedConfig:
     """The feed's settings with the row schema registered for it, looked up once per start."""
@@ -30,6 +35,35 @@ class IntakeResult:
     blank: int
     mark: int | None
     delivered: bool
+    error: str | None = None
+    files: int | None = None
+
+
+def fetch(
+    spark: SparkSession,
+    cfg: FeedConfig,
+    feed_path: str,
+    control_path: str,
+    dead: Letters,
+    publish: Callable[[DataFrame], None],
+    margin_us: int = MARGIN_US,
+) -> IntakeResult:
+    """One fetch of a feed folder: reads the files that are new or have changed since the last one, no others.
+
+    The names of the new files come to the driver, which lists them anyhow. They count as taken once their lines are: a
+    fetch that dies reads them again.
+    """
+    taken = control.read_files(spark, control_path).filter(F.col("feed_name") == cfg.feed)
+    new = feed.untaken(spark, feed_path, taken, margin_us).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        paths = [r["path"] for r in new.select("path").distinct().collect()]
+        if not paths:
+            return IntakeResult(0, 0, 0, 0, None, True, files=0)
+        result = run(spark, cfg, feed.read_lines(spark, paths), control_path, dead, publish)
+        control.append_files(new.select(F.lit(cfg.feed).alias("feed_name"), *feed.FILE), control_path)
+        return replace(result, files=len(paths))
+    finally:
+        new.unpersist()
 
 
 def run(
@@ -40,31 +74,50 @@ def run(
     dead: Letters,
     publish: Callable[[DataFrame], None],
 ) -> IntakeResult:
-    """One fetch: everything since the mark, and the mark moves once both sinks are done.
+    """One fetch of lines: everything since the mark, and the mark moves once both sinks are done.
 
     The bound is inclusive. Lines of the mark's instant that an earlier fetch has taken are known by their
-    digests and left out, and a line that is there twice goes out once.
+    digests and left out, and so are lines that were refused before, which may have no time: an item that was purged
+    stays closed however often its line comes. A line that is there twice goes out once. A feed is fetched by one job at a time; a
+    fetch that is run again after it died replaces the letters of its first try.
     """
     mark = watermark.mark_of(control.read(spark, control_path), cfg.feed)
+    number = control.fetches(spark, control_path, cfg.feed)
     classified = envelope.classify(lines.select("line"), cfg.keys, cfg.row_schema, with_value=True)
     since = feed.classified_since(classified, mark).withColumn("digest", deadletter.message_key("line"))
-    own = (F.col("feed_name") == cfg.feed) & (F.col("last_upd") == mark)
-    taken = control.read_seen(spark, control_path).filter(own).select("digest").distinct()
-    fresh = changes.dedupe(since, ["digest"]).join(taken, "digest", "left_anti")
-    kept = fresh.select("line", "reason", "key_text", "value_text", "ts_ms", "digest").persist(StorageLevel.MEMORY_AND_DISK)
+    since = since.select("line", "reason", "key_text", "value_text", "ts_ms", "digest", F.monotonically_increasing_id().alias("_place"))
+    since = since.persist(StorageLevel.MEMORY_AND_DISK)
+    # small, and stored first, so that Spark knows and leaves the lines where they are
+    repeated = changes.repeats(since, "digest", "_place").persist(StorageLevel.MEMORY_AND_DISK)
+    known = _known(spark, cfg, control_path, since, mark).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        result = deliver(cfg, kept, dead, publish)
+        repeated.count(), known.count()
+        kept = changes.without_repeats(since, repeated, "digest", "_place").join(known, "digest", "left_anti")
+        result = deliver(cfg, kept, dead, publish, f"{cfg.feed}-fetch-{number}")
+        own = F.lit(cfg.feed).alias("feed_name")
+        # first the digests: without the mark they do no harm
+        refused = envelope.quarantined(kept).select(own, "digest", F.unix_micros(F.current_timestamp()).alias("seen_us"))
+        control.append_refused(refused, control_path, f"{cfg.feed}-{number}")
         if result.mark is not None:
-            # first the digests: without the mark they do no harm
             at_mark = kept.filter((F.col("reason") == envelope.OK) & (F.col("ts_ms") == result.mark))
-            seen = at_mark.select(F.lit(cfg.feed).alias("feed_name"), F.col("ts_ms").alias("last_upd"), "digest")
-            control.append_seen(seen, control_path)
+            control.append_seen(at_mark.select(own, F.col("ts_ms").alias("last_upd"), "digest"), control_path)
             control.append(spark.createDataFrame([(cfg.feed, result.mark)], watermark.CONTROL_SCHEMA), control_path)
+        control.append_fetch(spark, control_path, cfg.feed, number)
     finally:
-        kept.unpersist()
+        for stored in (known, repeated, since):
+            stored.unpersist()
     return result
 
 
+def _known(spark: SparkSession, cfg: FeedConfig, control_path: str, since: DataFrame, mark: int) -> DataFrame:
+    """Digests of this fetch that an earlier one has taken; what is remembered is scanned, not moved."""
+    own = F.col("feed_name") == cfg.feed
+    taken = control.read_seen(spark, control_path).filter(own & (F.col("last_upd") == mark)).select("digest")
+    refused = control.read_refused(spark, control_path).filter(own).select("digest")
+    again = since.filter((F.col("reason") != envelope.OK) | (F.col("ts_ms") == mark)).select("digest")
+    return taken.unionByName(refused).join(again, "digest", "left_semi").distinct()
+
+
 def deliver(
     cfg: FeedConfig,
     classified: DataFrame,
@@ -84,11 +137,12 @@ def deliver(
     checked = classified.select("line", "reason", "key_text", "value_text", "ts_ms").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good = envelope.valid(checked)
-        delivered = True
+        delivered, error = True, None
         try:
             publish(encode_lines(good, cfg))
-        except Exception:  # noqa: BLE001 - whatever the sink raises, the batch is kept
-            delivered = False
+        except Exception as e:  # noqa: BLE001 - whatever the sink raises, the batch is kept
+            delivered, error = False, f"{type(e).__name__}: {e}"
+            log.warning("batch %s of %s is not delivered and kept for a replay", name, cfg.feed, exc_info=True)
         key = deadletter.message_key("line")
         refused = deadletter.puts(envelope.quarantined(checked), "line", key, "reason")
         if publish_dead is not None:
@@ -100,4 +154,4 @@ def deliver(
         mark = good.agg(F.max("ts_ms").alias("t")).first()["t"]
     finally:
         checked.unpersist()
-    return IntakeResult(**counts, mark=mark, delivered=delivered)
+    return IntakeResult(**counts, mark=mark, delivered=delivered, error=error)

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.clock import micros
 from tidemark.operators import merge
 from tidemark.operators.changes import DELETE, latest
 from tidemark.sources import batches, rawzone
@@ -46,8 +47,15 @@ class Target:
         return batches.read(self.spark, f"{self.path}/changes", self.schema)
 
     def state(self) -> DataFrame:
-        """The last change of every key, deletes included."""
-        return latest(self.snapshot().unionByName(self.changes()), self.keys, self.order)
+        """The last change of every key, deletes included.
+
+        The changes since the snapshot are folded over it: where they are below Spark's broadcast limit, the snapshot is
+        read where it is.
+        """
+        since = latest(self.changes(), self.keys, self.order)
+        if batches.latest_name(self.spark, f"{self.path}/snapshots") is None:
+            return since
+        return merge.fold(self.snapshot(), since, self.keys, self.order)
 
     def rows(self) -> DataFrame:
         """The rows that exist."""
@@ -66,8 +74,12 @@ def merge_day(
     target: Target, raw_path: str, run_date: str, fmt: str = "parquet", mode: str = NET, keep_deletes_us: int | None = None
 ) -> None:
     """Merges the raw folder of the day before the run and stores the snapshot of the run's day."""
-    day = rawzone.read_day(target.spark, raw_path, target.schema, run_date, fmt).drop(rawzone.DAY)
-    merge_changes(target, day, run_date, mode, keep_deletes_us)
+    merge_changes(target, day_rows(target, raw_path, run_date, fmt), run_date, mode, keep_deletes_us)
+
+
+def day_rows(target, raw_path: str, run_date: str, fmt: str) -> DataFrame:
+    """The raw changes of the day before the run, in the target's columns."""
+    return rawzone.read_day(target.spark, raw_path, target.schema, run_date, fmt).drop(rawzone.DAY)
 
 
 def merge_changes(
@@ -89,12 +101,31 @@ def merge_changes(
     state = target.snapshot(before=day)
     merged = merge.fold(state, staged, keys, order) if mode == NET else _phased(state, staged, keys, order)
     if keep_deletes_us is not None:
-        newest = F.lit(staged.agg(F.max(order[0]).alias("t")).first()["t"])
-        old = F.coalesce(F.col(order[0]) < newest - keep_deletes_us, F.lit(False))
-        merged = merged.filter(~((F.col("op") == DELETE) & old))
+        merged = without_old_deletes(merged, staged, order[0], keep_deletes_us)
     target.store(merged, day)
 
 
+def without_old_deletes(state: DataFrame, staged: DataFrame, time: str, keep_us: int) -> DataFrame:
+    """State without deletes that are more than ``keep_us`` older than the newest change; ``time`` in micros or a timestamp."""
+    is_time = isinstance(state.schema[time].dataType, T.TimestampType | T.TimestampNTZType)
+    at = micros(time) if is_time else F.col(time)
+    newest = staged.agg(F.max(at).alias("t")).first()["t"]
+    if newest is None:
+        return state
+    return state.filter(~((F.col("op") == DELETE) & F.coalesce(at < F.lit(newest - keep_us), F.lit(False))))
+
+
+def expire_snapshots(target: Target, keep: int = 7) -> list[str]:
+    """Scheduled: all but the newest ``keep`` snapshots go, and the staged changes of their days; returns which."""
+    if keep < 1:
+        raise ValueError("the newest snapshot is the target")
+    old = batches.names(target.spark, f"{target.path}/snapshots")[:-keep]
+    for folder in ("snapshots", "staged"):
+        there = set(batches.names(target.spark, f"{target.path}/{folder}"))
+        batches.remove(target.spark, f"{target.path}/{folder}", [d for d in old if d in there])
+    return old
+
+
 def compact(target: Target, day: str) -> None:
     """Daily, for a stream: a new snapshot takes in the changes there are, which then go."""
     folder = f"{target.path}/changes"

@@ -45,13 +45,22 @@ def rewrite(rows: DataFrame, path: str, replaced: Sequence[str]) -> str:
     both there, and mean what the new ones mean alone.
     """
     name = append(rows, path)
-    spark = rows.sparkSession
-    for old in replaced:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{BATCH}={old}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    remove(rows.sparkSession, path, replaced)
     return name
 
 
+def remove(spark: SparkSession, path: str, replaced: Sequence[str]) -> None:
+    """Deletes batches. A reader that has listed them before fails; it is run again."""
+    for old in replaced:
+        delete(spark, f"{path}/{BATCH}={old}")
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder on whatever file system it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def _stored(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
     fields = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     try:

@@ -1,4 +1,8 @@
-"""The change feed: newline-delimited JSON, one event per line, batch or stream."""
+"""The change feed: newline-delimited JSON, one event per line, batch or stream.
+
+A batch fetch lists the files that changed since the newest one taken before, less a margin, and reads those
+it has not taken in the state they are in now.
+"""
 
 from __future__ import annotations
 
@@ -7,12 +11,37 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.watermark import changed_since
 
+FILE = ("path", "modified_us", "bytes")
+
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """All lines of the feed files as column ``line``."""
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
+def files(spark: SparkSession, path: str, after_us: int | None = None) -> DataFrame:
+    """The feed's files ``(path, modified_us, bytes)``, those modified later than a time. No content is read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if after_us is not None:
+        # the option counts in whole seconds of the session's time zone
+        bound = spark.range(1).select(F.date_format(F.timestamp_seconds(F.lit(after_us // 1_000_000 - 1)), "yyyy-MM-dd'T'HH:mm:ss"))
+        reader = reader.option("modifiedAfter", bound.first()[0])
+    return reader.load(path).select("path", F.unix_micros("modificationTime").alias("modified_us"), F.col("length").alias("bytes"))
+
+
+def untaken(spark: SparkSession, path: str, taken: DataFrame, margin_us: int) -> DataFrame:
+    """Files that are new or have changed since they were ``taken``.
+
+    Listed are files modified within ``margin_us`` of the newest one taken, or later: the margin is how late a file may
+    show up, or how far clocks may differ. Of the taken files only those of that stretch are looked at.
+    """
+    newest = taken.agg(F.max("modified_us").alias("t")).first()["t"]
+    if newest is None:
+        return files(spark, path)
+    recent = taken.filter(F.col("modified_us") >= newest - margin_us - 2_000_000).select(*FILE).distinct()
+    return files(spark, path, newest - margin_us).join(recent, list(FILE), "left_anti")
+
+
 def stream_lines(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """New feed files as they arrive; a new query starts with all files there are."""
     reader = spark.readStream
