@@ -20,6 +20,7 @@ from tidemark.operators import merge
 from tidemark.operators.changes import latest
 from tidemark.operators.merge import quoted
 from tidemark.plans import merging
+from tidemark.plans.deadletters import Letters
 from tidemark.sources import batches
 
 FOLDER = "_folder"
@@ -97,9 +98,16 @@ def merge_changes(target: FolderTarget, changes: DataFrame, day: str, keep_delet
     batches.append(version.coalesce(1), f"{path}/versions", day)
 
 
-def merge_day(target: FolderTarget, raw_path: str, run_date: str, fmt: str = "parquet", keep_deletes_us: int | None = None) -> None:
-    """Merges the raw folder of the day before the run."""
-    merge_changes(target, merging.day_rows(target, raw_path, run_date, fmt), run_date, keep_deletes_us)
+def merge_day(
+    target: FolderTarget,
+    raw_path: str,
+    run_date: str,
+    fmt: str = "parquet",
+    keep_deletes_us: int | None = None,
+    dead: Letters | None = None,
+) -> None:
+    """Merges the raw folder of the day before the run; text rows that do not fit go to ``dead``."""
+    merge_changes(target, merging.day_rows(target, raw_path, run_date, fmt, dead), run_date, keep_deletes_us)
 
 
 def expire(target: FolderTarget, keep: int = 2) -> int:

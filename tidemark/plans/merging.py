@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.clock import micros
-from tidemark.operators import merge
+from tidemark.operators import deadletter, merge
 from tidemark.operators.changes import DELETE, latest
+from tidemark.plans.deadletters import Letters
 from tidemark.sources import batches, rawzone
 
 NET, PHASED = "net", "phased"
@@ -71,15 +72,30 @@ class Target:
 
 
 def merge_day(
-    target: Target, raw_path: str, run_date: str, fmt: str = "parquet", mode: str = NET, keep_deletes_us: int | None = None
+    target: Target,
+    raw_path: str,
+    run_date: str,
+    fmt: str = "parquet",
+    mode: str = NET,
+    keep_deletes_us: int | None = None,
+    dead: Letters | None = None,
 ) -> None:
     """Merges the raw folder of the day before the run and stores the snapshot of the run's day."""
-    merge_changes(target, day_rows(target, raw_path, run_date, fmt), run_date, mode, keep_deletes_us)
+    merge_changes(target, day_rows(target, raw_path, run_date, fmt, dead), run_date, mode, keep_deletes_us)
 
 
-def day_rows(target, raw_path: str, run_date: str, fmt: str) -> DataFrame:
-    """The raw changes of the day before the run, in the target's columns."""
-    return rawzone.read_day(target.spark, raw_path, target.schema, run_date, fmt).drop(rawzone.DAY)
+def day_rows(target, raw_path: str, run_date: str, fmt: str, dead: Letters | None = None) -> DataFrame:
+    """The raw changes of the day before the run, in the target's columns.
+
+    A text row that does not fit them goes to ``dead``, under the run's day, so that a repeated run puts it once; without
+    dead letters it stops the job.
+    """
+    if dead is None:
+        return rawzone.read_day(target.spark, raw_path, target.schema, run_date, fmt).drop(rawzone.DAY)
+    rows, faulty = rawzone.split(rawzone.read_checked(target.spark, raw_path, target.schema, run_date, fmt))
+    letters = deadletter.puts(faulty, "raw", deadletter.message_key("raw"), F.lit(rawzone.MALFORMED))
+    dead.put(letters, f"raw-{run_date}")
+    return rows.drop(rawzone.DAY)
 
 
 def merge_changes(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.config import FeedConfig
-from tidemark.operators import deadletter, envelope
+from tidemark.operators import changes, deadletter, envelope
 from tidemark.plans import intake, landing
 from tidemark.plans.deadletters import Letters
 from tidemark.plans.merging import Target
@@ -46,9 +46,14 @@ def start_landing(
     dead: Letters,
     checkpoint: str,
     drain: bool = False,
+    once_within: str | None = None,
 ) -> StreamingQuery:
     """Topic messages to the raw zone of the day they are read, faulty ones to the dead letters.
 
+    With ``once_within`` a message that comes again within that much of the topic's time, key and value the same, is left out,
+    across micro-batches and restarts: publishing is at least once. The state holds the digests of that
+    stretch of time; a message that is later than the stretch is left out as well, so it has to exceed what the topic's time can lag.
+
     A message is its key and its value; a key that names another row than the image is a fault. Its
     place in the topic goes with the raw row. The date is part of the streaming plan and so comes from the batch's
     own log entry: a batch repeated after midnight still lands in its first day.
@@ -66,15 +71,18 @@ def start_landing(
         finally:
             outcomes.unpersist()
 
+    if once_within is not None:
+        digest = F.sha2(F.concat_ws("/", *[F.coalesce(F.hex(c), F.lit("null")) for c in ("key", "value")]), 256)
+        messages = changes.dedupe_stream(messages.withColumn("_digest", digest), ["_digest"], "timestamp", once_within)
     dated = messages.select(
         "key", "value", F.col("partition").alias("msg_partition"), F.col("offset").alias("msg_offset"), F.current_date().alias(rawzone.DAY)
     )
     return start(dated, batch, cfg, checkpoint, drain)
 
 
-def start_merge(changes: DataFrame, cfg: FeedConfig, target: Target, checkpoint: str, drain: bool = False) -> StreamingQuery:
+def start_merge(rows: DataFrame, cfg: FeedConfig, target: Target, checkpoint: str, drain: bool = False) -> StreamingQuery:
     """Raw changes into the target: the net changes of each micro-batch are appended."""
-    return start(changes, lambda rows, number: target.add(rows, f"{cfg.feed}-merge-{number}"), cfg, checkpoint, drain)
+    return start(rows, lambda batch, number: target.add(batch, f"{cfg.feed}-merge-{number}"), cfg, checkpoint, drain)
 
 
 def start(
