@@ -150,6 +150,18 @@ def lines(spark: SparkSession, sf_dir: str, faults: bool = False, cut: bool = Tr
     )
 
 
+def versioned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The faulty lines, from the cut on under a second schema version, which some do not name and some misname."""
+    rows = lines(spark, sf_dir, faults=True)
+    named = F.when(_every(83), "9").when(_every(7), "").when(F.col("ts") >= moment(CUT), "2").otherwise("1")
+    member = F.when(named == "", "").otherwise(F.concat(F.lit('"schema_version":'), named, F.lit(",")))
+    return rows.withColumn("line", F.replace("line", F.lit('{"op":'), F.concat(F.lit("{"), member, F.lit('"op":'))))
+
+
+# the second version asks for a field that few events have
+SECOND_SCHEMA = T.StructType([*LINE_SCHEMA.fields, T.StructField("extra", T.LongType())])
+
+
 def line_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The faulty lines as bytes, some of them not UTF-8."""
     raw = F.encode("line", "UTF-8")
@@ -263,3 +275,53 @@ def subject() -> Column:
 
 def schema_text(version: Column) -> Column:
     return F.concat(F.lit('{"v":'), version.cast("string"), F.lit("}")).alias("schema_json")
+
+
+# ---------------------------------------------------------------- raw text rows with faults
+
+
+RAW_SCHEMA = T.StructType().add("event_id", "long").add("user_id", "long").add("value", "double").add("tags", T.ArrayType(T.StringType()))
+
+
+def raw_text_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(rows of four text fields, some of another type than they should be; rows that lack two fields)."""
+    tags = F.to_json(F.array("event_type"))
+    whole = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.when(_every(13), F.concat(F.lit("u"), F.col("user_id"))).otherwise(F.col("user_id").cast("string")).alias("user_id"),
+        F.when(_every(17), "n, \"a\"").otherwise(F.col("value").cast("string")).alias("value"),
+        F.when(_every(19), F.substring(tags, 1, 3)).otherwise(tags).alias("tags"),
+    )
+    ragged = F.col("event_id") % 11 == 0
+    return whole.filter(~ragged), whole.filter(ragged).select("event_id", "user_id")
+
+
+class DiesOnce:
+    """A sink whose method does its work and then fails, the first time it is called for the second batch."""
+
+    def __init__(self, sink, method: str) -> None:
+        self._sink, self._method, self._failures = sink, method, [ConnectionError("executor lost")]
+
+    def __getattr__(self, name: str):
+        own = getattr(self._sink, name)
+        if name != self._method:
+            return own
+
+        def dying(rows: DataFrame, batch: str) -> None:
+            own(rows, batch)
+            if batch.endswith("-1") and self._failures:
+                raise self._failures.pop()
+
+        return dying
+
+
+def restarted(attempt) -> None:
+    """Runs a job that dies once, and runs it again."""
+    try:
+        attempt()
+    except Exception as failure:  # noqa: BLE001 - as Spark reports it
+        if "executor lost" not in str(failure):
+            raise
+        attempt()
+    else:
+        raise AssertionError("the planted failure did not come")

@@ -158,6 +158,15 @@ where rn = 1 and op <> 'D'"""
 oracle("merge_day", _SLOTS_LIVE)
 oracle("stream_merge", _SLOTS_LIVE)
 
+oracle("merge_folders", _SLOTS_LIVE)
+oracle("merge_restart", _SLOTS_LIVE)
+
+oracle("merge_folders_touched", f"""
+with {SLOTS},
+held as (select slot, user_id from sl where ts < timestamp '2024-01-15 00:00:00' or slot % 4 = 1 or slot = 5 group by slot, user_id)
+select slot::varchar as folder, case when slot = 5 then '2024-01-31' when slot % 4 = 1 then '2024-01-20' else '2024-01-15' end as day,
+       count(*) as n from held group by slot""")
+
 oracle("merge_ties", f"""
 with {SLOTS},
 last as (select *, row_number() over (partition by k order by date_trunc('hour', ts) desc, event_type desc, value desc,
@@ -221,6 +230,19 @@ select event_id, concat_ws(',', case when event_id % 43 = 0 then 'id:type' end,
             when event_id % 59 = 0 then 'v:type' end) as violations
 from judged where has_image""")
 
+oracle("schema_versions", f"""
+with {LINES},
+named as (select *, case when event_id % 83 = 0 then 9 when event_id % 7 = 0 then null
+                         when ts >= timestamp '2024-01-15 00:00:00' then 2 else 1 end as version from judged),
+found as (select *, concat_ws(',', case when event_id % 43 = 0 then 'id:type' end,
+            case when event_id % 47 = 0 then 'v:missing' when event_id % 53 = 0 then 'v:null' when event_id % 59 = 0 then 'v:type' end,
+            case when version = 2 and event_id % 71 <> 0 then 'extra:missing' end) as faults from named)
+select event_id,
+       case when reason not in ('ok', 'schema_violation') then reason when version = 9 then 'unknown_schema'
+            when faults <> '' then 'schema_violation' else 'ok' end as reason,
+       case when has_image and version is distinct from 9 then faults end as violations
+from found""")
+
 oracle("pk_discovery", f"""
 with {LINES}
 select case when event_id % 31 = 0 then 'uid' else 'id' end as key_cols, count(*) as n
@@ -316,6 +338,17 @@ with {CL}
 select seq as event_id, user_id, op from cl
 where ts >= timestamp '2024-01-15 00:00:00' and ts < timestamp '2024-01-16 00:00:00'""")
 
+oracle("raw_csv_quarantine", """
+select event_id, case when good then user_id end as user_id, case when good then value end as value,
+       case when good then event_type end as tags, case when good then 'ok' else 'malformed_row' end as fate,
+       case when good then 0 else 1 end::bigint as puts
+from (select *, event_id % 11 > 0 and event_id % 13 > 0 and event_id % 17 > 0 and event_id % 19 > 0 as good from events) x""")
+
+oracle("raw_compaction", """
+select strftime(ts, '%Y-%m-%d') as ingest_date, count(*) as n, sum(event_id)::bigint as seqs,
+       case strftime(ts, '%Y-%m-%d') when '2024-01-15' then 1 else 2 end::bigint as files
+from events group by 1""")
+
 oracle("incremental_scan", """
 select event_id, epoch_us(ts) as ts_us from events where ts >= timestamp '2024-01-15 00:00:00'""")
 
@@ -372,7 +405,16 @@ with {LINES} select uid as id, us as ts_us, 1::bigint as n from judged where rea
 oracle("intake_run", f"""
 with {LINES},
 good as (select case event_id % 2 when 0 then 'even' else 'odd' end as feed_name, uid, us, ms from judged where reason = 'ok')
-select feed_name, uid as id, us as ts_us, 1::bigint as n, max(ms) over (partition by feed_name) as last_upd from good""")
+select feed_name, uid as id, us as ts_us, 1::bigint as n, max(ms) over (partition by feed_name) as last_upd, letters, letters as puts
+from good join (select case event_id % 2 when 0 then 'even' else 'odd' end as feed_name, count(distinct line) as letters
+                from judged where reason not in ('ok', 'blank') group by 1) using (feed_name)""")
+
+oracle("intake_fetch", f"""
+with {LINES},
+c as (select count(*) filter (reason = 'ok') as good, count(distinct line) filter (reason not in ('ok', 'blank')) as bad from judged)
+select unnest(['files_1', 'files_2', 'files_3', 'read_2', 'read_3', 'published', 'letters', 'letters_after', 'puts']) as metric,
+       unnest([6, 0, 1, 0, (select count(distinct line) from judged where event_id % 3 = 0 and reason = 'blank'), good, bad, 0, bad])::bigint as n
+from c""")
 
 # ---------------------------------------------------------------- schema history
 
@@ -417,3 +459,18 @@ with {HISTORY},
 first as (select subject, 1::bigint as version, schema_json, subject like 'part%' as retired from fresh)
 select subject, version, schema_json, retired::varchar as retired, case when retired then 'retired' end as what from first
 union all select subject, 2, '{{"v":99}}', 'false', 'added' from first where retired""")
+
+oracle("landing_restart", f"""
+with {LINES},
+sides as (select *, event_id % 73 = 0 or event_id % 19 = 0 or event_id % 29 = 0 as no_key,
+                 case when event_id % 17 = 0 then event_id % 23 = 0 else event_id % 19 = 0 or event_id % 23 = 0 end as no_value
+          from judged),
+found as (select case when event_id % 67 <> 0 and no_key and no_value then 'blank' when event_id % 67 = 0 then 'bad_utf8'
+                      when event_id % 17 = 0 and not no_value then 'malformed_json' when no_key or no_value then 'missing_envelope'
+                      else reason end as reason from sides)
+select reason, count(*) as n from found where reason <> 'blank' group by reason""")
+
+oracle("stream_dedupe", f"""
+with {LINES}
+select uid as id, us as ts_us, 1::bigint as n from judged
+where reason = 'ok' and event_id % 67 <> 0 and event_id % 73 <> 0""")

@@ -13,7 +13,7 @@ from checks import fixtures as X
 from tidemark.config import SAMPLE_ROW_SCHEMA
 from tidemark.functions import clock
 from tidemark.operators import audit, changes, contract, deadletter, envelope, flatten, merge, watermark
-from tidemark.plans import deadletters, intake, landing, merging
+from tidemark.plans import deadletters, folders, intake, landing, merging
 from tidemark.plans.deadletters import Letters
 from tidemark.plans.merging import Target
 from tidemark.session import fresh_dir
@@ -95,6 +95,29 @@ def merge_ties(spark, d):
     return at_once.unionByName(stepwise)
 
 
+@query
+def merge_folders(spark, d):
+    """A folder per event type, which a row leaves with every change; days out of order, one of them twice, old versions expired."""
+    target, log = _folder_target(spark, d, "event_type"), X.slot_changes(spark, d)
+    late = F.col("ts") >= X.moment(X.BROKER_DOWN)
+    early = F.col("ts") < X.moment(X.CUT)
+    for day, part in (("2024-01-31", late), ("2024-02-01", early), ("2024-02-01", early), ("2024-02-02", ~late & ~early)):
+        folders.merge_changes(target, log.filter(part), day)
+    folders.expire(target, 1)
+    return target.rows()
+
+
+@query
+def merge_folders_touched(spark, d):
+    """Which version every folder is in, and how many keys it holds: the later days change some slots only."""
+    target, log = _folder_target(spark, d, "slot"), X.slot_changes(spark, d)
+    before = F.col("ts") < X.moment(X.CUT)
+    after = F.col("ts") >= X.moment(X.CUT)
+    for day, part in (("2024-01-15", before), ("2024-01-20", after & (F.col("slot") % 4 == 1)), ("2024-01-31", after & (F.col("slot") == 5))):
+        folders.merge_changes(target, log.filter(part), day)
+    return target.versions().select(F.col(folders.FOLDER).alias("folder"), "day", "n")
+
+
 # ---------------------------------------------------------------- change sets
 
 
@@ -161,6 +184,13 @@ def schema_validate(spark, d):
     return rows.select("event_id", F.array_join("violations", ",").alias("violations"))
 
 
+@query
+def schema_versions(spark, d):
+    """Events around the day a second schema version came into force, each checked against the one it names."""
+    rows = envelope.classify(X.versioned_lines(spark, d), X.FEED.keys, X.LINE_SCHEMA, versions={1: X.LINE_SCHEMA, 2: X.SECOND_SCHEMA})
+    return rows.select("event_id", "reason", F.array_join("violations", ",").alias("violations"))
+
+
 @query
 def pk_discovery(spark, d):
     return envelope.key_columns(_classified(spark, d).filter("key_text is not null"))
@@ -285,6 +315,45 @@ def raw_csv_roundtrip(spark, d):
     )
 
 
+@query
+def raw_csv_quarantine(spark, d):
+    """A day of text rows, ragged ones and ill-typed ones among them: the good ones are merged, the others are letters."""
+    raw, letters = fresh_dir(spark, "raw-csv"), Letters(spark, fresh_dir(spark, "letters"))
+    for name, rows in zip(("whole", "ragged"), X.raw_text_rows(spark, d), strict=True):
+        rawzone.write(rows.withColumn(rawzone.DAY, F.to_date(F.lit("2024-01-15"))), raw, "csv", name, many_days=False)
+    target = Target(spark, fresh_dir(spark, "target"), X.RAW_SCHEMA, ("event_id",), ())
+    for _ in range(2):  # a run that is repeated puts its letters once
+        good = merging.day_rows(target, raw, "2024-01-16", "csv", letters)
+    rows = good.select("event_id", "user_id", "value", F.array_join("tags", ",").alias("tags"), F.lit("ok").alias("fate"), F.lit(0).cast("bigint").alias("puts"))
+    text = letters.read().select(
+        F.split("raw", ",")[0].cast("bigint").alias("event_id"), F.lit(None).cast("bigint").alias("user_id"),
+        F.lit(None).cast("double").alias("value"), F.lit(None).cast("string").alias("tags"), F.col("reason").alias("fate"), "puts",
+    )
+    return rows.unionByName(text)
+
+
+@query
+def raw_compaction(spark, d):
+    """Six batches of all days; two days are compacted, one gets another batch and is compacted again; then the batches go."""
+    log, raw = X.changelog(spark, d), fresh_dir(spark, "raw")
+    days = ("2024-01-15", "2024-01-16")
+    dated = log.withColumn(rawzone.DAY, F.to_date("ts"))
+    for k in range(6):
+        rawzone.write(dated.filter(F.col("seq") % 7 == k), raw, batch=f"landing-{k}")
+    for day in days:
+        rawzone.compact(spark, raw, day, log.schema)
+    rawzone.write(dated.filter(F.col("seq") % 7 == 6), raw, batch="late")
+    rawzone.compact(spark, raw, days[0], log.schema)
+    for day in days:
+        rawzone.drop_compacted(spark, raw, day)
+    found = rawzone.read(spark, raw, log.schema).select(rawzone.DAY, "seq", F.input_file_name().alias("file"))
+    per_day = found.groupBy(rawzone.DAY).agg(F.count("*").alias("n"), F.sum("seq").alias("seqs"), F.countDistinct("file").alias("files"))
+    day = clock.day_label(rawzone.DAY)
+    # the days that are not compacted have a file or more for each batch
+    small = F.when(day.isin(*days), F.col("files")).otherwise(F.least("files", F.lit(2)))
+    return per_day.select(day.alias("ingest_date"), "n", "seqs", small.cast("bigint").alias("files"))
+
+
 @query
 def incremental_scan(spark, d):
     since = watermark.changed_since(X.table(spark, d, "events"), "ts", X.moment(X.CUT))
@@ -386,9 +455,10 @@ def dlq_outage(spark, d):
 @query
 def intake_run(spark, d):
     """Two feeds in turns over one control table: fetched up to the cut, then from their marks on, then once more."""
-    path, out, letters = fresh_dir(spark, "control"), fresh_dir(spark, "topic"), Letters(spark, fresh_dir(spark, "letters"))
+    path, out = fresh_dir(spark, "control"), fresh_dir(spark, "topic")
     lines = X.lines(spark, d, faults=True)
     feeds = {name: replace(X.FEED, feed=name, topic=name) for name in ("even", "odd")}
+    letters = {name: Letters(spark, fresh_dir(spark, "letters")) for name in feeds}
 
     def fetch(name: str, rows: DataFrame, meanwhile=None) -> None:
         own = rows.filter(F.col("event_id") % 2 == (0 if name == "even" else 1))
@@ -398,7 +468,7 @@ def intake_run(spark, d):
             if meanwhile is not None:
                 meanwhile()
 
-        intake.run(spark, feeds[name], own, path, letters, publish)
+        intake.run(spark, feeds[name], own, path, letters[name], publish)
 
     before = lines.filter(F.col("ts") < X.moment(X.CUT))
     fetch("even", before, lambda: fetch("odd", before))
@@ -407,7 +477,33 @@ def intake_run(spark, d):
         fetch("odd", rows)
     marks = watermark.marks(control.read(spark, path))
     sent = [_published(spark, f"{out}/{name}").withColumn("feed_name", F.lit(name)) for name in feeds]
-    return sent[0].unionByName(sent[1]).join(marks, "feed_name")
+    put = [
+        letters[name].read().agg(F.count("*").alias("letters"), F.sum("puts").alias("puts")).withColumn("feed_name", F.lit(name))
+        for name in feeds
+    ]
+    return sent[0].unionByName(sent[1]).join(marks, "feed_name").join(put[0].unionByName(put[1]), "feed_name")
+
+
+@query
+def intake_fetch(spark, d):
+    """A folder of feed files: fetched, fetched again unchanged, letters purged, a file with known lines added, fetched once more."""
+    feed_path, path, out = (fresh_dir(spark, label) for label in ("feed", "control", "topic"))
+    letters = Letters(spark, fresh_dir(spark, "letters"))
+    lines = X.lines(spark, d, faults=True)
+    lines.repartition(_FILES, "event_id").select("line").write.text(f"{feed_path}/first")
+
+    def fetch():
+        return intake.fetch(spark, X.FEED, feed_path, path, letters, lambda m: topic.publish(m, X.FEED, out))
+
+    results = [fetch(), fetch()]
+    open_before = letters.read().count()
+    deadletters.purge(letters, fresh_dir(spark, "alerts"))
+    lines.filter(F.col("event_id") % 3 == 0).select("line").coalesce(1).write.text(f"{feed_path}/second")
+    results.append(fetch())
+    rows = [(f"files_{k}", r.files) for k, r in enumerate(results, 1)] + [(f"read_{k}", r.read) for k, r in enumerate(results, 1) if k > 1]
+    rows += [("published", sum(r.published for r in results)), ("letters", open_before), ("letters_after", letters.read().count())]
+    rows.append(("puts", letters.log().filter(F.col("reason") != deadletter.PURGED).agg(F.sum("puts").alias("n")).first()["n"]))
+    return spark.createDataFrame(rows, "metric string, n bigint")
 
 
 # ---------------------------------------------------------------- schema history
@@ -476,6 +572,55 @@ def stream_raw_ingest(spark, d):
     return rawzone.read(spark, raw, landing.raw_schema(spark, cfg)).select("id", "v", "op", "ts_us", "msg_offset")
 
 
+@query
+def landing_restart(spark, d):
+    """As above, but the job dies in its second batch after both sinks have it, and is started again."""
+    cfg = X.FEED
+    source, raw, letters, state = (fresh_dir(spark, label) for label in ("topic", "raw", "letters", "checkpoint"))
+    files = _write_in_files(X.faulty_messages(spark, d), "offset", source)
+    dead = X.DiesOnce(Letters(spark, letters), "put")
+
+    def attempt():
+        stream = topic.subscribe(spark, cfg, source, max_files=_third(files))
+        jobs.start_landing(stream, cfg, raw, dead, state, drain=True).awaitTermination()
+
+    X.restarted(attempt)
+    landed = rawzone.read(spark, raw, landing.raw_schema(spark, cfg)).select(F.lit("ok").alias("reason"), F.lit(1).cast("bigint").alias("n"))
+    put = dead.read().select("reason", F.col("puts").alias("n"))
+    return landed.unionByName(put).groupBy("reason").agg(F.sum("n").alias("n"))
+
+
+@query
+def stream_dedupe(spark, d):
+    """A topic that brings messages again, in the same micro-batch, in a later one, and after a restart."""
+    cfg = X.FEED
+    source, raw, letters, state = (fresh_dir(spark, label) for label in ("topic", "raw", "letters", "checkpoint"))
+    sent = X.faulty_messages(spark, d)
+    again = sent.withColumn("offset", F.col("offset") + 1_000_000_000)
+    for part in (sent.filter(F.col("offset") % 2 == 0), again.filter(F.col("offset") % 4 == 0), sent.filter(F.col("offset") % 3 == 0), sent):
+        part.unionByName(part.filter(F.col("offset") % 5 == 0)).write.mode("append").parquet(f"{source}")
+        stream = topic.subscribe(spark, cfg, source, max_files=2)
+        jobs.start_landing(stream, cfg, raw, Letters(spark, letters), state, drain=True, once_within="60 days").awaitTermination()
+    rows = rawzone.read(spark, raw, landing.raw_schema(spark, cfg))
+    return rows.groupBy("id", "ts_us").agg(F.count("*").alias("n"))
+
+
+@query
+def merge_restart(spark, d):
+    """A merge that dies in its second batch after it is written, and is started again."""
+    log = X.slot_changes(spark, d)
+    raw, state = fresh_dir(spark, "raw"), fresh_dir(spark, "checkpoint")
+    files = _write_in_files(log, "seq", raw)
+    target = X.DiesOnce(_slots_target(spark, log), "add")
+
+    def attempt():
+        stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", _third(files)).parquet(raw)
+        jobs.start_merge(stream, X.FEED, target, state, drain=True).awaitTermination()
+
+    X.restarted(attempt)
+    return target.rows()
+
+
 @query
 def stream_merge(spark, d):
     """The raw zone as a stream of out-of-order files, appended batch by batch, with a daily rewrite."""
@@ -526,6 +671,10 @@ def _slots_target(spark, log: DataFrame) -> Target:
     return Target(spark, fresh_dir(spark, "target"), log.schema, tuple(X.SLOT_KEYS), tuple(X.ORDER))
 
 
+def _folder_target(spark, d, by: str) -> folders.FolderTarget:
+    return folders.FolderTarget(spark, fresh_dir(spark, "folders"), X.slot_changes(spark, d).schema, tuple(X.SLOT_KEYS), tuple(X.ORDER), by)
+
+
 def _with_values(spark, d) -> DataFrame:
     return envelope.classify(X.lines(spark, d, faults=True), X.FEED.keys, X.LINE_SCHEMA, with_value=True)
 

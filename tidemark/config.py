@@ -35,11 +35,13 @@ class FeedConfig:
     ``keys`` name the merge key columns of the row image, ``order`` the columns that
     put two changes of one key in chronological order: the event's time, and within an instant its
     place in the topic, where a key has one partition. ``alert_after`` is how many replays of an item are
-    cause for an alert; ``max_offsets`` bounds a micro-batch.
+    cause for an alert; ``max_offsets`` bounds a micro-batch. ``versions`` are the schema versions in force beside
+    ``row_schema``, which is that of the rows that land and of events that name no version.
     """
 
     feed: str
     row_schema: T.StructType = field(default_factory=lambda: SAMPLE_ROW_SCHEMA)
+    versions: dict[int, T.StructType] = field(default_factory=dict)
     keys: tuple[str, ...] = ("id",)
     order: tuple[str, ...] = ("ts_us", "ts_ns", "msg_offset")
     topic: str = "changes"

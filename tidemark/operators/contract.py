@@ -9,6 +9,7 @@ expressions.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable, Iterator, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -279,33 +280,15 @@ def drift(
 
     One row per field and type with a count and a status: ``ok``, ``type_changed``,
     ``new_field``, or ``missing_field`` for a registered field no image has. With ``nested`` also the
-    fields of registered structs, and of the structs in registered arrays, by their dotted path; the images are
-    read once per such field.
+    fields of registered structs, and of the structs in registered arrays, by their dotted path; an image gives the
+    members of all levels at once, so the images are read once.
     """
-    if not nested:
-        return _level_drift(spark, images, schema, image)
-    levels = [_level_drift(spark, images, schema, image)]
-    for f in schema.fields:
-        inner, member = f.dataType, F.try_variant_get(image, f'$["{f.name}"]', "variant")
-        below = images.select(member.alias(image))
-        while isinstance(inner, T.ArrayType):
-            inner = inner.elementType
-            below = below.select(F.explode(F.try_variant_get(image, "$", "array<variant>")).alias(image))
-        if isinstance(inner, T.StructType):
-            deeper = drift(spark, below.filter(F.col(image).isNotNull()), inner, image, nested=True)
-            levels.append(deeper.withColumn("field", F.concat(F.lit(f"{f.name}."), "field")))
-    return reduce(DataFrame.unionByName, levels)
-
-
-def _level_drift(spark: SparkSession, images: DataFrame, schema: T.StructType, image: str) -> DataFrame:
-    seen = (
-        images.lateralJoin(spark.tvf.variant_explode(F.col(image).outer()))
-        .select(F.col("key").alias("field"), F.schema_of_variant("value").alias("_type"))
-        .filter(F.col("field").isNotNull())
-    )
+    registered = dict(_registered(schema, "", nested))
+    members = _members(F.col(image), schema, "", nested)
+    seen = images.select(F.explode(members).alias("_m")).select(F.col("_m.field").alias("field"), F.col("_m.type").alias("_type"))
     checks = [
-        F.when(F.col("field") == f.name, F.when(_fits(F.col("_type"), f.dataType), "ok").otherwise("type_changed"))
-        for f in schema.fields
+        F.when(F.col("field") == path, F.when(_fits(F.col("_type"), t), "ok").otherwise("type_changed"))
+        for path, t in registered.items()
     ]
     # nested types can spell out differently in every row, the outer kind is what is counted
     kind = _kind(F.col("_type"))
@@ -315,12 +298,77 @@ def _level_drift(spark: SparkSession, images: DataFrame, schema: T.StructType, i
         .agg(F.count("*").alias("n"))
         .select("field", "observed_type", "n", "status")
     )
-    registered = spark.createDataFrame(
-        [(f.name, "none", 0, "missing_field") for f in schema.fields],
+    expected = spark.createDataFrame(
+        [(path, "none", 0, "missing_field") for path in registered],
         "field string, observed_type string, n bigint, status string",
     )
     # per field at most one entry for each kind of value there is
     entry = F.struct("observed_type", "n", "status")
-    per_field = counted.unionByName(registered).groupBy("field").agg(F.collect_list(entry).alias("_all"))
+    per_field = counted.unionByName(expected).groupBy("field").agg(F.collect_list(entry).alias("_all"))
     found = F.filter("_all", lambda e: e["n"] > 0)
     return per_field.select("field", F.inline(F.when(F.size(found) > 0, found).otherwise(F.col("_all"))))
+
+
+def _registered(schema: T.StructType, prefix: str, nested: bool) -> Iterator[tuple[str, T.DataType]]:
+    for f in schema.fields:
+        yield prefix + f.name, f.dataType
+        inner = _element(f.dataType)
+        if nested and isinstance(inner, T.StructType):
+            yield from _registered(inner, f"{prefix}{f.name}.", nested)
+
+
+def _element(t: T.DataType) -> T.DataType:
+    while isinstance(t, T.ArrayType):
+        t = t.elementType
+    return t
+
+
+def _members(value: Column, schema: T.StructType, prefix: str, nested: bool) -> Column:
+    """Path and kind of every member of an object, and of the objects below it that are registered."""
+    own = F.transform(
+        F.map_entries(F.try_variant_get(value, "$", "map<string,variant>")),
+        lambda e: F.struct(F.concat(F.lit(prefix), e["key"]).alias("field"), F.schema_of_variant(e["value"]).alias("type")),
+    )
+    parts = [own]
+    for f in schema.fields:
+        inner = _element(f.dataType)
+        if not (nested and isinstance(inner, T.StructType)):
+            continue
+        below = F.array(F.try_variant_get(value, f'$["{f.name}"]', "variant"))
+        t = f.dataType
+        while isinstance(t, T.ArrayType):
+            below = F.flatten(F.transform(below, lambda v: F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array().cast("array<variant>"))))
+            t = t.elementType
+        parts.append(F.flatten(F.transform(below, _members_of(inner, f"{prefix}{f.name}."))))
+    none = F.array().cast("array<struct<field:string,type:string>>")
+    return F.concat(*[F.coalesce(p, none) for p in parts]) if len(parts) > 1 else F.coalesce(own, none)
+
+
+def _members_of(inner: T.StructType, prefix: str) -> Callable[[Column], Column]:
+    return lambda value: _members(value, inner, prefix, nested=True)
+
+
+# ---------------------------------------------------------------- several versions in force
+
+
+def in_force(history: DataFrame, subject: str) -> dict[int, T.StructType]:
+    """All versions of a subject that are not retired, looked up once on the driver: a few rows."""
+    rows = history.filter((F.col("subject") == subject) & ~F.col("retired")).select("version", "schema_json").collect()
+    return {r["version"]: struct_of_avro(r["schema_json"]) for r in rows}
+
+
+def with_violations_by_version(
+    rows: DataFrame, image: str, schema: T.StructType, versions: Mapping[int, T.StructType], version: str, name: str = "violations"
+) -> DataFrame:
+    """As :func:`with_violations`, each row against the version it names, or ``schema`` if it names none.
+
+    A version sees only the images that name it, so a row is checked once, however many versions there are. A row that
+    names a version that is not in force has no violations: it is for the caller to refuse it.
+    """
+    checked, found = rows, []
+    for k, (number, own) in enumerate([(None, schema), *sorted(versions.items())]):
+        named = F.col(version).isNull() if number is None else F.col(version) == number
+        checked = checked.withColumn(f"_image_{k}", F.when(named, F.col(image)))
+        checked = with_violations(checked, f"_image_{k}", own, f"_found_{k}")
+        found.append(F.col(f"_found_{k}"))
+    return checked.select(*rows.columns, F.coalesce(*found).alias(name))

@@ -7,7 +7,7 @@ are all read from it. Nothing is dropped: every input row leaves with a ``reason
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -24,7 +24,7 @@ UNDELIVERED = "undelivered"
 # Every reason a line can get, in the order the tests are made.
 REASONS = (
     BLANK, "bad_utf8", "malformed_json", "missing_envelope", "null_key", "key_mismatch",
-    "unknown_op", "null_image", "null_order", "schema_violation", OK,
+    "unknown_op", "null_image", "null_order", "unknown_schema", "schema_violation", OK,
 )
 
 
@@ -42,6 +42,7 @@ def classify(
     text: str = "line",
     binary: bool = False,
     with_value: bool = False,
+    versions: Mapping[int, T.StructType] | None = None,
 ) -> DataFrame:
     """Full classification of feed lines against key columns and row contract.
 
@@ -49,15 +50,23 @@ def classify(
     event the next steps need: ``key_text``, ``op``, ``ts_ms``, ``ts_us``, ``ts_ns`` and
     ``image`` (variant of the row image the operation stands for); ``with_value`` also
     ``value_text``, the JSON of the event's value part.
+
+    With ``versions`` an event is checked against the schema version that its value part names
+    (``schema_version``), against ``row_schema`` if it names none; one that is not in force is ``unknown_schema``.
     """
     has_value = F.when(F.col("op").isNotNull(), F.lit(True)).otherwise(J.line_has("_parsed", "value"))
     has_both = F.col("_key").isNotNull() & has_value
     parsed = _parsed(lines, text, binary)
-    return _classified(parsed, lines.columns, keys, row_schema, '$[0]["key"]', '$[0]["value"]', has_both, 1, with_value)
+    return _classified(parsed, lines.columns, keys, row_schema, '$[0]["key"]', '$[0]["value"]', has_both, 1, with_value, versions)
 
 
 def classify_messages(
-    messages: DataFrame, keys: Sequence[str], row_schema: T.StructType, key: str = "key", value: str = "value"
+    messages: DataFrame,
+    keys: Sequence[str],
+    row_schema: T.StructType,
+    key: str = "key",
+    value: str = "value",
+    versions: Mapping[int, T.StructType] | None = None,
 ) -> DataFrame:
     """The same for topic messages, whose key and value are JSON bytes of their own.
 
@@ -74,12 +83,12 @@ def classify_messages(
     raw = raw.withColumns({"_k": F.when(blank("_k"), "null").otherwise(F.col("_k")), "_v": F.when(blank("_v"), "null").otherwise(F.col("_v"))})
     parsed = raw.withColumn("_parsed", J.bracketed("_k", "_v"))
     has_both = ~F.col("_bare") & (J.in_line("_parsed", as_type="struct<>", root="$[1]").isNotNull())
-    return _classified(parsed, messages.columns, keys, row_schema, "$[0]", "$[1]", has_both, 2)
+    return _classified(parsed, messages.columns, keys, row_schema, "$[0]", "$[1]", has_both, 2, versions=versions)
 
 
 def _classified(
     parsed: DataFrame, columns: Sequence[str], keys: Sequence[str], row_schema: T.StructType, key_root: str, value_root: str,
-    has_both: Column, texts: int, with_value: bool = False,
+    has_both: Column, texts: int, with_value: bool = False, versions: Mapping[int, T.StructType] | None = None,
 ) -> DataFrame:
     read = lambda *path, as_type="variant": J.in_line("_parsed", *path, as_type=as_type, root=value_root)
     parts = parsed.select(
@@ -96,7 +105,12 @@ def _classified(
         F.coalesce("_ts_us", F.try_multiply("_ts_ms", F.lit(1000))).alias("ts_us"),
     )
     parts = parts.withColumn("ts_ns", F.coalesce("_ts_ns", F.try_multiply("ts_us", F.lit(1000))))
-    parts = contract.with_violations(parts, "image", row_schema)
+    if versions:
+        parts = parts.withColumn("_version", read("schema_version", as_type="int"))
+        parts = contract.with_violations_by_version(parts, "image", row_schema, versions, "_version")
+        unknown = F.col("_version").isNotNull() & ~F.col("_version").isin(*versions)
+    else:
+        parts, unknown = contract.with_violations(parts, "image", row_schema), F.lit(False)
     faults = [
         *_envelope_faults(has_both, texts),
         _fault("null_key", _null_key("_key", keys)),
@@ -104,6 +118,7 @@ def _classified(
         _fault("unknown_op", F.col("op").isNull()),
         _fault("null_image", J.absent(F.col("image"))),
         _fault("null_order", F.col("ts_ms").isNull() | F.col("ts_ns").isNull()),
+        _fault("unknown_schema", unknown),
         _fault("schema_violation", F.size("violations") > 0),
         # only now the image's own key is known to be there and of its type
         _fault("key_mismatch", _another_row("_key", "image", keys)),

@@ -72,7 +72,7 @@ def replay(
     their outcome is in the log, and the outcome has the text it was found for.
     """
     tried = deadletter.retriable(letters.read()).drop("reason")
-    classified = envelope.classify(tried, keys or cfg.keys, row_schema or cfg.row_schema, text="raw", with_value=True)
+    classified = envelope.classify(tried, keys or cfg.keys, row_schema or cfg.row_schema, text="raw", with_value=True, versions=cfg.versions)
     checked = classified.select(*tried.columns, F.col("reason").alias("_found"), "key_text", "value_text")
     checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -23,8 +23,11 @@ MARGIN_US = 10 * 60 * 1_000_000
 
 
 def resolve(cfg: FeedConfig, history: DataFrame) -> FeedConfig:
-    """The feed's settings with the row schema registered for it, looked up once per start."""
-    return replace(cfg, row_schema=contract.latest_schema(history, cfg.subject))
+    """The feed's settings with the schemas registered for it: the latest, and all that are in force.
+
+    Looked up once per start; :func:`run` and the streams take the settings as they are.
+    """
+    return replace(cfg, row_schema=contract.latest_schema(history, cfg.subject), versions=contract.in_force(history, cfg.subject))
 
 
 @dataclass(frozen=True)
@@ -83,7 +86,7 @@ def run(
     """
     mark = watermark.mark_of(control.read(spark, control_path), cfg.feed)
     number = control.fetches(spark, control_path, cfg.feed)
-    classified = envelope.classify(lines.select("line"), cfg.keys, cfg.row_schema, with_value=True)
+    classified = envelope.classify(lines.select("line"), cfg.keys, cfg.row_schema, with_value=True, versions=cfg.versions)
     since = feed.classified_since(classified, mark).withColumn("digest", deadletter.message_key("line"))
     since = since.select("line", "reason", "key_text", "value_text", "ts_ms", "digest", F.monotonically_increasing_id().alias("_place"))
     since = since.persist(StorageLevel.MEMORY_AND_DISK)

@@ -33,7 +33,7 @@ def start_intake(
     """Feed lines to the topic, faulty or undelivered ones to the dead letters."""
 
     def batch(rows: DataFrame, number: int) -> None:
-        classified = envelope.classify(rows.select("line"), cfg.keys, cfg.row_schema, with_value=True)
+        classified = envelope.classify(rows.select("line"), cfg.keys, cfg.row_schema, with_value=True, versions=cfg.versions)
         intake.deliver(cfg, classified, dead, lambda m: publish(m, number), f"{cfg.feed}-intake-{number}")
 
     return start(lines, batch, cfg, checkpoint, drain)
@@ -61,7 +61,7 @@ def start_landing(
     writer = f"{cfg.feed}-landing"
 
     def batch(arrived: DataFrame, number: int) -> None:
-        classified = envelope.classify_messages(arrived, cfg.keys, cfg.row_schema)
+        classified = envelope.classify_messages(arrived, cfg.keys, cfg.row_schema, versions=cfg.versions)
         outcomes = landing.outcome(classified, cfg, event_text("key", "value")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             rows = landing.flat_rows(outcomes)
