@@ -163,3 +163,31 @@ def test_drift_below_the_top(spark):
     assert got["batters.batter.more", "BOOLEAN"] == (1, "new_field")
     assert got["topping.id", "STRING"] == (5, "ok") and got["topping.type", "STRING"] == (3, "ok")
     assert len(rows) == len(got)
+
+
+def test_each_row_is_checked_against_the_version_it_names(spark):
+    one = T.StructType().add("id", "string")
+    two = T.StructType().add("id", "string").add("v", "long")
+    rows = [(1, '{"id":"a"}'), (2, '{"id":"a"}'), (2, '{"id":"a","v":1}'), (None, '{"id":"a"}'), (7, '{}'), (1, None), (None, '{"id":1,"v":"x"}')]
+    df = spark.createDataFrame(rows, "version int, j string").select("version", F.try_parse_json("j").alias("image"))
+    got = contract.with_violations_by_version(df, "image", two, {1: one, 2: two}, "version").collect()
+    assert [r["violations"] for r in got] == [[], ["v:missing"], [], ["v:missing"], None, None, ["id:type", "v:type"]]
+    assert got[0].asDict().keys() == {"version", "image", "violations"}
+
+
+def test_versions_in_force_leave_out_retired_ones(spark):
+    text = contract.avro_of_struct("t", SAMPLE_ROW_SCHEMA)
+    h = spark.createDataFrame([("t-value", 1, text, True), ("t-value", 2, text, False), ("t-value", 3, text, False), ("u-value", 4, text, False)], contract.HISTORY_SCHEMA)
+    assert sorted(contract.in_force(h, "t-value")) == [2, 3]
+
+
+def test_drift_of_arrays_in_arrays(spark):
+    inner = T.StructType().add("a", "long")
+    schema = T.StructType().add("x", T.ArrayType(T.ArrayType(inner))).add("y", T.StructType().add("z", inner))
+    docs = ['{"x":[[{"a":1},{"b":2}],[],5],"y":{"z":{"a":"s"}}}', '{"x":"none","y":{"z":null}}', "[1]", "null"]
+    df = spark.createDataFrame([(d,) for d in docs], "j string").select(F.parse_json("j").alias("image"))
+    got = {(r["field"], r["observed_type"]): (r["n"], r["status"]) for r in contract.drift(spark, df, schema, nested=True).collect()}
+    assert got == {
+        ("x", "ARRAY"): (1, "ok"), ("x", "STRING"): (1, "type_changed"), ("x.a", "BIGINT"): (1, "ok"), ("x.b", "BIGINT"): (1, "new_field"),
+        ("y", "OBJECT"): (2, "ok"), ("y.z", "OBJECT"): (1, "ok"), ("y.z", "VOID"): (1, "type_changed"), ("y.z.a", "STRING"): (1, "type_changed"),
+    }

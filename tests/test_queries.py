@@ -39,7 +39,8 @@ def test_entry(spark):
 # queries that start jobs of their own when called; their operators are covered by the others
 _JOBS = {
     "replay_guard", "dlq_purge", "dlq_replay", "dlq_failover", "dlq_outage", "intake_run", "merge_day", "registry_stored",
-    "commit_progress", "stream_raw_ingest", "stream_merge",
+    "commit_progress", "stream_raw_ingest", "stream_merge", "intake_fetch", "merge_folders", "merge_folders_touched", "merge_restart",
+    "landing_restart", "raw_compaction", "raw_csv_quarantine", "stream_dedupe",
 }
 
 
@@ -64,6 +65,11 @@ def test_time_filters_reach_the_scan(spark):
         assert "PushedFilters: [IsNotNull(ts), " in plan_of(QUERIES[name](spark, DIR))
 
 
+def test_drift_of_all_levels_reads_the_images_once(spark):
+    plan = plan_of(QUERIES["schema_drift_nested"](spark, DIR))
+    assert plan.count("FileScan parquet") == 1 and plan.count("Generate explode") == 1
+
+
 def test_day_scan_lists_one_folder(spark):
     files = QUERIES["raw_day_scan"](spark, DIR).inputFiles()
     assert files and all("ingest_date=2024-01-15/" in f for f in files)

@@ -80,13 +80,17 @@ def read_checked(
         stored = _all_days(spark, path, schema, fmt, checked=True)
     else:
         stored = _day(spark, path, schema, _day_before(spark, run_date), fmt, checked=True)
-    text = F.col(FAULTY) if fmt in _TEXT else F.lit(None).cast("string")
+    if fmt not in _TEXT:
+        return _decoded(stored, schema, fmt).withColumn(FAULTY, F.lit(None).cast("string"))
+    text = F.col(FAULTY)
     if nested := [f for f in schema.fields if fmt == "csv" and _is_nested(f.dataType)]:
         # a field that is no JSON: the row itself could be read, and its text is put together again
         unread = [F.col(f"`{f.name}`").isNotNull() & F.from_json(F.col(f"`{f.name}`"), f.dataType).isNull() for f in nested]
         whole = F.to_csv(F.struct(*[F.col(f"`{f.name}`") for f in schema.fields]), {"quote": '"', "escape": '"'})
         text = F.coalesce(text, F.when(reduce(or_, unread), whole))
-    return _decoded(stored.withColumn("_text", text), schema, fmt, ["_text"]).withColumnRenamed("_text", FAULTY)
+    rows = _decoded(stored.withColumn("_text", text), schema, fmt, ["_text"]).withColumnRenamed("_text", FAULTY)
+    # a generator takes all columns, whichever are asked for: a field that is not read is not found to be faulty
+    return rows.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in rows.columns]))))
 
 
 def split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -265,8 +269,6 @@ def _writer(rows: DataFrame, fmt: str):
 def _reader(reader, fmt: str, checked: bool = False):
     reader = reader.format(fmt)
     if fmt in _TEXT:
-        # whether a row fits must not depend on which of its columns are asked for
-        reader = reader.option("columnPruning", "false")
         reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=FAULTY) if checked else reader.option("mode", "FAILFAST")
     # an unquoted empty field is null and a quoted one an empty text; with the default
     # null marker, which is empty too, both would read as null
