@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import glob
 import random
 
 import pytest
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import session
-from tidemark.operators import watermark
+from tidemark.operators import deadletter, watermark
 from tidemark.plans import merging
+from tidemark.plans.deadletters import Letters
 from tidemark.sources import batches, control, rawzone
 
 SCHEMA = (
@@ -91,6 +93,54 @@ def test_batches(spark, folder):
     assert sorted(r["x"] for r in batches.read(spark, folder, "x int").collect()) == [1, 2]
 
 
+def folder_names(folder):
+    return sorted(f.split("batch=")[1] for f in glob.glob(f"{folder}/batch=*"))
+
+
+def test_a_reader_that_has_begun_can_finish(spark, folder):
+    df = spark.createDataFrame([(1,), (2,)], "x int")
+    for b in "ab":
+        batches.append(df, folder, b)
+    begun = batches.read(spark, folder, "x int")
+    first = batches.rewrite(begun.distinct(), folder, ["a", "b"])
+    assert begun.count() == 4, "what it has listed is still there"
+    assert batches.names(spark, folder) == [first] and folder_names(folder) == sorted(["a", "b", first])
+    batches.append(df, folder, "c")
+    second = batches.rewrite(batches.read(spark, folder, "x int"), folder, [first, "c"])
+    assert batches.names(spark, folder) == [second] and folder_names(folder) == sorted(["c", first, second])
+    assert batches.read(spark, folder, "x int").count() == 4
+
+
+def test_a_rewrite_that_dies_counts_for_nothing(spark, folder, monkeypatch):
+    df = spark.createDataFrame([(1,), (2,)], "x int")
+    batches.append(df, folder, "a")
+    append = batches.append
+
+    def dying(rows, path, batch=None):
+        if path.endswith("_rewrites"):
+            raise ConnectionError("driver lost")
+        return append(rows, path, batch)
+
+    monkeypatch.setattr(batches, "append", dying)
+    with pytest.raises(ConnectionError):
+        batches.rewrite(df, folder, ["a"])
+    monkeypatch.undo()
+    assert batches.names(spark, folder) == ["a"] and batches.read(spark, folder, "x int").count() == 2
+    name = batches.rewrite(df, folder, ["a"])
+    assert batches.read(spark, folder, "x int").count() == 2 and folder_names(folder) == sorted(["a", name])
+
+
+def test_puts_are_not_doubled_while_letters_are_rewritten(spark, folder, monkeypatch):
+    dead = Letters(spark, folder)
+    rows = spark.createDataFrame([("r",)], "raw string")
+    for k in range(3):
+        dead.put(deadletter.puts(rows, "raw", deadletter.message_key("raw"), F.lit("undelivered")), f"b-{k}")
+    monkeypatch.setattr(batches, "remove", lambda *a: (_ for _ in ()).throw(ConnectionError("driver lost")))
+    with pytest.raises(ConnectionError):
+        dead.compact()
+    assert dead.read().first()["puts"] == 3
+
+
 CHANGE = T.StructType().add("id", "string").add("v", "string").add("op", "string").add("ts", "long")
 
 
