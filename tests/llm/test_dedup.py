@@ -218,3 +218,48 @@ def test_components(spark):
     out = components(spark.createDataFrame(pairs, "a long, b long"), Scratch(spark, "test"))
     assert {r.node: r.component for r in out.collect()} == {x: root(x) for x in up}
     assert components(spark.createDataFrame([], "a long, b long"), Scratch(spark, "test")).count() == 0
+
+
+@pytest.mark.parametrize("module", [substring, suffixes])
+def test_rows_that_share_an_id(spark, module):
+    """Null and repeated ids: short rows beside long ones, one row to a partition; nothing is gathered for an id as a whole."""
+    long, other = brute.prose(61, 400), brute.prose(62, 300)
+    rows = [(None, long), (None, long[:150]), (None, long[:101]), (None, f"{other} {long}"), (None, "x"), (None, None)]
+    rows += [(7, other), (7, other[:199]), (7, f"{long} {other}"), (7, ""), (2**60, long), (-3, other[:150])]
+    df = spark.createDataFrame([(k, i, t) for k, (i, t) in enumerate(rows)], "k int, doc_id long, text string")
+    hashes = [r.h for r in df.select("k", row_key()["h"].alias("h")).orderBy("k").collect()]
+    plain = brute.substring if module is substring else brute.suffixes
+    columns = ["n_words", "n_removed", "sha"] if module is substring else ["n_bytes", "n_removed", "n_spans", "sha"]
+    found = plain(rows, hashes)
+    out = module.dedup(df.drop("k").repartition(64)).withColumn("id", F.when(F.col("id") != -(2**63), F.col("id")))
+    assert _rows(out, ["id", *columns]) == sorted(((i, *found[i, h]) for (i, _), h in zip(rows, hashes, strict=True)), key=repr)
+
+
+def test_gathering_keys_spread_hot_ids(spark):
+    from tidemark.llm.frames import gather_key
+
+    rows = [(None, f"t{k}") for k in range(500)] + [(5, f"t{k}") for k in range(500)] + [(k, "same") for k in range(500)]
+    keys = spark.createDataFrame(rows, "doc_id long, text string").select(row_key().alias("k")).select("k.*").select(gather_key().alias("g"))
+    assert keys.distinct().count() >= 1490
+
+
+def test_more_rounds_than_distances():
+    """Windows beyond 400 batches: every distance is still looked at."""
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 101, 1200).astype(np.uint8).tobytes()
+    before = suffixes._BATCH_WINDOWS
+    suffixes._BATCH_WINDOWS = 2
+    try:
+        ends, equal = suffixes.equal_windows([data, data[100:1000]], np.array([500, 400]), np.array([0, 0]))
+    finally:
+        suffixes._BATCH_WINDOWS = before
+    window = suffixes.WINDOW
+    seen = {}
+    for i, t in enumerate((data, data[100:1000])):
+        for j in range(len(t) - window + 1):
+            seen.setdefault(t[j : j + window], []).append((i, j))
+    for i, t in enumerate((data, data[100:1000])):
+        for j in range(len(t) - window + 1):
+            at = (500, 400)[i]
+            if 0 <= at - j <= window - suffixes.GRAM:
+                assert equal[ends[i] + j] == (len(seen[t[j : j + window]]) > 1), (i, j)

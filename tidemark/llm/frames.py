@@ -53,6 +53,14 @@ def row_key(id_col: str = "doc_id", text: str = "text") -> Column:
     )
 
 
+def gather_key() -> Column:
+    """A number for what is gathered per row of ``row_key``: its id, spread by its text's hash, so that rows without an id or with
+    one that many have are not gathered in one place. Rows that clash share what they gather.
+    """
+    spread = F.shiftleft(F.col("h").bitwiseAND(F.lit((1 << 20) - 1)), 44)
+    return F.when(F.col("id") == F.lit(-(2**63)), F.col("h")).otherwise(F.col("id").bitwiseXOR(spread))
+
+
 class Scratch:
     """Tables written below the shared folder, to cut lineage and to be read more than once."""
 

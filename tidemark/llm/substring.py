@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.frames import Scratch, row_key
+from tidemark.llm.frames import Scratch, gather_key, row_key
 
 WINDOW = 20
 GRAM = 7
@@ -55,7 +55,7 @@ def super_kmers(words: W.Words, k: int = WINDOW, m: int = GRAM) -> tuple[np.ndar
 
 
 def minimisers(docs: DataFrame) -> DataFrame:
-    """(mini, id, times) of the super-k-mers of rows (id, h, text): one row per document and minimiser."""
+    """(mini, id, times) of the super-k-mers of rows (id, text): one row per document and minimiser."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in W.pieces(batches, limit=_PIECE):
@@ -274,9 +274,10 @@ def dedup(docs: DataFrame) -> DataFrame:
     """(id, n_words, n_removed, sha) of every row of docs (doc_id, text); see the module's text."""
     scratch = Scratch(docs.sparkSession, "substring")
     rows = docs.select(row_key().alias("k"), "text").select("k.id", "k.h", "text")
-    # by id alone: documents of one id see each other's minimisers, and keep those that are their own
-    shared = shared_minimisers(minimisers(rows))
-    joined = scratch.table(settle_untouched(rows.join(shared, "id", "left")), "joined")
+    # documents that clash in this key see each other's minimisers, and keep those that are their own
+    rows = rows.withColumn("gather", gather_key())
+    shared = shared_minimisers(minimisers(rows.select(F.col("gather").alias("id"), "text"))).withColumnRenamed("id", "gather")
+    joined = scratch.table(settle_untouched(rows.join(shared, "gather", "left")), "joined")
     touched = joined.filter("shared is not null")
 
     place = F.struct("id", "h", "pos")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
-from tidemark.llm.frames import Scratch, row_key
+from tidemark.llm.frames import Scratch, gather_key, row_key
 from tidemark.llm.substring import COUNTED, counted, pair_keys, shared_keys, shared_minimisers
 
 WINDOW = 400
@@ -89,7 +89,7 @@ def half_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def minimisers(docs: DataFrame) -> DataFrame:
-    """(mini, id, times) of the runs of half windows of rows (id, h, text): one row per document and minimiser."""
+    """(mini, id, times) of the runs of half windows of rows (id, text): one row per document and minimiser."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in W.pieces(batches, limit=_PIECE):
@@ -133,7 +133,8 @@ def possible(data: np.ndarray, offsets: np.ndarray, piece: pa.RecordBatch) -> np
     np.add.at(edges, first[keep] + n[keep], -1)
     shared = np.cumsum(edges)[:-1] > 0
     out = np.zeros(len(data), bool)
-    out[: len(data) - HALF] = shared[: len(data) - HALF] & shared[HALF:]
+    n = max(0, len(data) - HALF)
+    out[:n] = shared[:n] & shared[HALF:]
     return out
 
 
@@ -182,8 +183,10 @@ def equal_windows(texts: list[bytes], anchors: np.ndarray, owners: np.ndarray) -
     data = np.frombuffer(b"".join(texts) + b"\0" * 8, np.uint8)
     equal = np.zeros(int(ends[-1]), bool)
     rounds = max(1, -(-len(equal) // _BATCH_WINDOWS))
-    for k in range(min(rounds, WINDOW)):
+    for k in range(rounds):
         low, high = k * WINDOW // rounds, (k + 1) * WINDOW // rounds
+        if low == high:
+            continue
         first = np.clip(anchors - high + 1, 0, many)
         count = np.clip(anchors - low + 1, 0, many) - first
         starts = W.ragged(base + first, count)
@@ -335,9 +338,10 @@ def dedup(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffixes")
     rows = docs.select(row_key().alias("k"), "text").select("k.id", "k.h", "text")
-    # by id alone: documents of one id see each other's minimisers, and keep those that are their own
-    shared = shared_minimisers(minimisers(rows))
-    joined = scratch.table(settle_untouched(rows.join(shared, "id", "left")), "joined")
+    # documents that clash in this key see each other's minimisers, and keep those that are their own
+    rows = rows.withColumn("gather", gather_key())
+    shared = shared_minimisers(minimisers(rows.select(F.col("gather").alias("id"), "text"))).withColumnRenamed("id", "gather")
+    joined = scratch.table(settle_untouched(rows.join(shared, "gather", "left")), "joined")
     touched = joined.filter("shared is not null")
 
     packed = strings(touched.select("id", "h", "text", "shared").dropDuplicates(["id", "h"]))
