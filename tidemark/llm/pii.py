@@ -9,7 +9,8 @@ kind has a parser that works on the characters around its anchor only:
 * ``account``: the value after a cue, at least 8 letters, digits, ``-`` or ``_`` with 3 digits among them.
 
 Offsets are code points, the end exclusive. A null text is empty and has no span; repeated rows get equal
-results, one per row. A run of characters is walked once per kind, so long texts take linear time.
+results, one per row. A run of characters is walked a bounded number of times per kind: an address begins where a run of digits
+begins, and a value is walked only where it does not follow its cue at once, so long texts take linear time.
 """
 
 from __future__ import annotations
@@ -35,13 +36,16 @@ Span = tuple[str, int, int]
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP_RUN = re.compile(r"[0-9.]+")
-_IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
+# from within a run of digits a match would be the rest of one from its beginning
+_IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD_RUN = re.compile(r"[0-9 -]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SCHEME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+.-")
-_USERINFO = re.compile(r"://[^\s/?#@\"'<>]+@[^\s\"'<>]+")
-_VALUE = re.compile(r"[\"']?(?:\s{0,3}(?:number|no\.?|id|is)\b)?\s{0,3}[:=#]?\s{0,3}[\"']?([A-Za-z0-9_-]{8,})")
+_USERINFO = re.compile(r"://[^\s/?#@\"'<>]+@(?=[^\s\"'<>])")
+_REST = re.compile(r"[^\s\"'<>]+")
+_LEAD = re.compile(r"[\"']?(?:\s{0,3}(?:number|no\.?|id|is)\b)?\s{0,3}[:=#]?\s{0,3}[\"']?(?=[A-Za-z0-9_-]{8})")
+_VALUE = re.compile(r"[A-Za-z0-9_-]+")
 
 
 @cache
@@ -81,7 +85,7 @@ def _digits(text: str) -> str:
 def find(text: str) -> list[Span]:
     """All spans, by start, then kind."""
     spans: list[Span] = []
-    email_end = ip_end = card_end = 0
+    email_end = ip_end = card_end = url_end = 0
     for last, (anchor, width) in _automaton().iter(text):
         at = last - width + 1
         if anchor == "digit":
@@ -111,11 +115,15 @@ def find(text: str) -> list[Span]:
             while start and at - start < 32 and text[start - 1] in _SCHEME:
                 start -= 1
             if start < at and (m := _USERINFO.match(text, at)):
-                spans.append(("url", start, m.end()))
+                if m.end() >= url_end:  # else within the rest of the last one, which ends where this one does
+                    url_end = _REST.match(text, m.end()).end()
+                spans.append(("url", start, url_end))
         elif not (at and text[at - 1].isalnum()):
-            m = _VALUE.match(text, last + 1)
-            if m and m.start(1) > last + 1 and sum("0" <= c <= "9" for c in m.group(1)) >= 3:
-                spans.append(("account", m.start(1), m.end(1)))
+            lead = _LEAD.match(text, last + 1)
+            if lead and lead.end() > last + 1:
+                m = _VALUE.match(text, lead.end())
+                if sum("0" <= c <= "9" for c in m.group()) >= 3:
+                    spans.append(("account", m.start(), m.end()))
     spans.sort(key=lambda s: (s[1], RANK[s[0]]))
     return spans
 
