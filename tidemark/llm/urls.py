@@ -80,9 +80,16 @@ def grams_of(text: Column) -> Column:
     return F.flatten(F.transform(F.sequence(F.lit(2), F.size(chars)), ending))
 
 
+def dealt(texts: DataFrame) -> DataFrame:
+    """The texts over all shuffle partitions: they are small, so that a scan puts them into few tasks, but what they are cut
+    into is not.
+    """
+    return texts.repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "text")
+
+
 def gram_counts(texts: DataFrame) -> DataFrame:
     """(gram, n, a, b): how often each n-gram is seen in accepted and in rejected texts."""
-    rows = texts.select("accepted", F.explode(grams_of(F.col("text"))).alias("gram"))
+    rows = dealt(texts).select("accepted", F.explode(grams_of(F.col("text"))).alias("gram"))
     counts = rows.groupBy("gram").agg(
         F.count_if(F.col("accepted")).alias("a"), F.count_if(~F.col("accepted")).alias("b")
     )
@@ -112,7 +119,7 @@ def differences(counts: DataFrame) -> DataFrame:
 
 def raw_scores(texts: DataFrame, model: DataFrame) -> DataFrame:
     """(text, z): the mean log-ratio per character of each distinct text, rounded to 9 places."""
-    grams = texts.select("text", F.explode(grams_of(F.col("text"))).alias("gram"))
+    grams = dealt(texts).select("text", F.explode(grams_of(F.col("text"))).alias("gram"))
     sums = grams.join(model, "gram").groupBy("text").agg(F.sum("delta").alias("total"))
     per = F.greatest(F.length("text"), F.lit(1))
     return sums.select("text", F.round(F.when(F.col("text") == "", 0.0).otherwise(F.col("total") / per), 9).alias("z"))
@@ -155,9 +162,7 @@ def judge(pages: DataFrame, rules=RULES, url: str = "url", into: str = "filter")
     parsed = parsed.withColumn(key, F.concat(F.col(made)["host"], F.col(made)["path"]))
     rule = matching_rule(F.col(made)["host"], F.col(made)["path"], rules)
     texts = parsed.select(F.col(key).alias("text"), (rule["verdict"] == "allow").alias("accepted")).groupBy("text")
-    # cut into n-grams text by text: small files, but many tasks
-    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts = scratch.table(texts.agg(F.min("accepted").alias("accepted")).repartition(parts, "text"), "texts")
+    texts = scratch.table(texts.agg(F.min("accepted").alias("accepted")), "texts")
     model = fit(texts, scratch)
     if model.grams is None:
         scores = texts.filter("accepted is null").select("text", F.lit(0.0).alias("z"))
