@@ -5,6 +5,9 @@ item whose demand has the greatest dot product with what is left of the limits,
 none fits, the item of the greatest product is cut so that it fills the sequence; its rest goes back to the
 others. So sequences are full but for the last of a task, which are cut down to powers of two.
 
+Which ids bear loss comes with the rows: none named, all do; a flag, the row's ids do or do not; ranges of ids, those in them do.
+``conversations`` makes such rows of turns, where only the answers bear loss.
+
 Every task packs its own rows: no shuffle, nothing gathered, and a task that runs again gives the same
 sequences. At most ``BLOCK`` open rests of documents are held at a time.
 
@@ -28,6 +31,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import words as W
 
@@ -226,16 +231,22 @@ def pack(
     max_loss: int | None = None,
     with_ids: bool = False,
     id_col: str = "doc_id",
+    loss: str | None = None,
 ) -> DataFrame:
     """One row per piece of a document: where it begins, how long it is, and its place in a sequence.
 
-    Every id of a document bears loss. ``with_ids`` adds the ids themselves.
+    ``loss`` names a column that says which ids bear loss: a boolean for all of a row's, or an array of structs
+    ``(start, length)`` of ranges of ids; null is none. It adds ``n_loss``, how many of a piece do. A sequence holds at most ``max_loss``
+    of them. ``with_ids`` adds the ids themselves.
     """
     limits = (limit, max_segments, limit if max_loss is None else max_loss)
     whole = limits[2] >= limit
+    if loss is not None and not isinstance(docs.schema[loss].dataType, T.BooleanType | T.ArrayType):
+        raise TypeError(f"{loss} is neither a boolean nor an array of ranges")
 
     id_type = docs.schema[id_col].dataType
     schema = f"{id_col} {id_type.simpleString()}, " + ", ".join(f"{c} long" for c in COLUMNS)
+    schema += ", n_loss long" if loss is not None else ""
     schema += ", ids array<int>" if with_ids else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,21 +261,25 @@ def pack(
                 number += 1
             columns = list(zip(*rows, strict=True))
             arrays = [pa.array(columns[0], kind), *(pa.array(c, pa.int64()) for c in columns[1:7])]
+            if loss is not None:
+                arrays.append(pa.array([x.demand()[2] for sequence in sequences for x in sequence], pa.int64()))
             if with_ids:
                 arrays.append(pa.array([x.astype(np.int32) for x in columns[7]], pa.list_(pa.int32())))
-            return pa.RecordBatch.from_arrays(arrays, [id_col, *COLUMNS, *["ids"] * with_ids])
+            return pa.RecordBatch.from_arrays(arrays, [id_col, *COLUMNS, *["n_loss"] * (loss is not None), *["ids"] * with_ids])
 
         for piece in W.pieces(batches, limit=_PIECE):
             kind = piece.column(id_col).type
             ids, offsets = encode_documents(W.text_column(piece), encoder)
             full: list[list[Item]] = []
-            for doc, a, b in zip(piece.column(id_col).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+            said = [None] * piece.num_rows if loss is None else piece.column(loss).to_pylist()
+            for doc, a, b, what in zip(piece.column(id_col).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), said, strict=True):
                 tokens, start = b - a, 0
+                bears = None if loss is None or what is True else loss_mask(what, tokens)
                 while whole and tokens - start >= limit:
-                    full.append([Item(doc, start, ids[a + start : a + start + limit], tokens)])
+                    full.append([Item(doc, start, ids[a + start : a + start + limit], tokens, _part(bears, start, start + limit))])
                     start += limit
                 if start < tokens:
-                    held.append(Item(doc, start, ids[a + start : b].copy(), tokens))
+                    held.append(Item(doc, start, ids[a + start : b].copy(), tokens, _part(bears, start, tokens)))
                 if len(held) >= BLOCK:
                     closed, held = fill(held, limits, False)
                     full += closed
@@ -274,7 +289,33 @@ def pack(
         if closed:
             yield out(closed)
 
-    return docs.select(id_col, "text").mapInArrow(run, schema)
+    return docs.select(*dict.fromkeys([id_col, "text", *([loss] if loss else [])])).mapInArrow(run, schema)
+
+
+def loss_mask(said: bool | list | None, tokens: int) -> np.ndarray:
+    """Which of a row's ids bear loss; ranges may overlap, and are cut at the row's ends."""
+    mask = np.zeros(tokens, np.bool_)
+    for part in said or ():
+        start, length = (part["start"] or 0), (part["length"] or 0)
+        mask[max(0, start) : max(0, start + length)] = True
+    return mask
+
+
+def _part(mask: np.ndarray | None, a: int, b: int) -> np.ndarray | None:
+    return None if mask is None else mask[a:b]
+
+
+def conversations(turns: DataFrame, answering: str = "assistant", id_col: str = "conv_id") -> DataFrame:
+    """Rows to pack of turns (conv_id, turn, role, text): each turn a row ``doc_id`` struct, the text, and whether it bears loss.
+
+    Turns of one conversation stay next to each other, in order, in one task or, where it is long, in neighbouring ones: they are
+    dealt out by ranges of conversation and turn.
+    """
+    n = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = turns.select(
+        F.struct(F.col(id_col), F.col("turn")).alias("doc_id"), "text", F.coalesce(F.col("role") == answering, F.lit(False)).alias("loss")
+    )
+    return rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
 
 
 def default_path() -> str:
@@ -289,4 +330,5 @@ def op5(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(docs, default_path())
+    """What training reads: the pieces of all sequences with their ids."""
+    return pack(docs, default_path(), with_ids=True)
