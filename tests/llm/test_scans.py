@@ -159,6 +159,32 @@ def test_toxicity_without_labels(spark, docs):
     assert toxicity.score(docs.limit(0), None, "t").count() == 0
 
 
+@pytest.mark.parametrize("n_toxic", [1, 2, 5])
+def test_rare_toxic_labels(spark, n_toxic):
+    """A handful of toxic labels among many: the sample has them all, and the score still tells toxic texts from clean ones."""
+    rnd = random.Random(3)
+    rows, labels = [], []
+    for k in range(4000):
+        own = [brute.prose(rnd.randrange(400), 1) for _ in range(30)]
+        if k < n_toxic:
+            own[5:15:2] = ["zzqworda", "zzqwordb", "zzqworda", "zzqwordb", "zzqworda"]
+        rows.append((k, " ".join(own)))
+        labels.append((k, int(k < n_toxic)))
+    docs = brute.documents(spark, rows)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), train_rows=600)
+    bad = [(k, " ".join(["zzqworda zzqwordb", *(brute.prose(j, 1) for j in range(20)), "zzqworda zzqwordb zzqworda"])) for k in range(2)]
+    fine = [(k, " ".join(brute.prose(j, 1) for j in range(5 * k, 5 * k + 25))) for k in range(10, 30)]
+    got = {r.doc_id: r["t"].score for r in toxicity.score(brute.documents(spark, bad + fine), model, "t").collect()}
+    assert min(got[k] for k in (0, 1)) > max(got[k] for k in range(10, 30))
+
+
+def test_one_kind_of_label(spark, docs):
+    for y in (0, 1):
+        same = spark.createDataFrame([(k, y) for k in range(1, 9)], "doc_id long, toxic int")
+        out = toxicity.score(docs, toxicity.fit(docs, same), "t")
+        assert out.select("t.score", "t.predicted").distinct().collect() == [(float(y), y)]
+
+
 def test_lbfgs_and_calibration():
     x = learn.lbfgs(lambda v: (float(((v - 3) ** 2).sum() + v[0] ** 4), 2 * (v - 3) + np.array([4 * v[0] ** 3, 0])), np.zeros(2))
     assert abs(x[1] - 3) < 1e-3 and abs(4 * x[0] ** 3 + 2 * (x[0] - 3)) < 1e-2
@@ -364,3 +390,97 @@ def test_capped_raking(spark):
         assert sum(w for k, w in weight.items() if k[1] == lang) == pytest.approx(total / 2, rel=1e-3)
     # the natural shares to the power of a half ask for more of b and null than there is
     assert all(r.probability > 0.999 for r in out if r.source != "a")
+
+
+def _old_accounts(text):
+    """The values after cues, by one pattern."""
+    import re
+
+    value = re.compile(r"[\"']?(?:\s{0,3}(?:number|no\.?|id|is)\b)?\s{0,3}[:=#]?\s{0,3}[\"']?([A-Za-z0-9_-]{8,})")
+    out = []
+    for cue in pii.CUES:
+        for form in (cue, cue.upper(), cue.capitalize()):
+            at = text.find(form)
+            while at >= 0:
+                m = value.match(text, at + len(form))
+                if not (at and text[at - 1].isalnum()) and m and m.start(1) > at + len(form) and sum("0" <= c <= "9" for c in m.group(1)) >= 3:
+                    out.append(("account", m.start(1), m.end(1)))
+                at = text.find(form, at + 1)
+    return sorted(out, key=lambda s: s[1])
+
+
+def test_accounts_are_those_of_the_pattern():
+    rnd = random.Random(11)
+    parts = ["token", "Iban", "SSN", "api_key", "no", "id", "number", " is ", ":", "=", " ", '"', "_", "-", "12345678", "ab1c2d3e4f", "x", "no. ", "is"]
+    for _ in range(4000):
+        text = "".join(rnd.choice(parts) for _ in range(rnd.randint(2, 12)))
+        assert [s for s in pii.find(text) if s[0] == "account"] == _old_accounts(text), text
+
+
+@pytest.mark.parametrize(
+    "unit", ["7", "7.", "1.1.1.", "7 ", "a@", "+1", "token_", "_token: ", "://", "a://b@", "id is ", ".", "a.", "@a.", "1-", "9" * 50 + "."]
+)
+def test_a_megabyte_of_anything_takes_linear_time(unit):
+    import time
+
+    text = unit * (1_000_000 // len(unit))
+    start = time.process_time()
+    pii.find(text)
+    assert time.process_time() - start < 6
+
+
+def test_long_runs_have_the_same_spans():
+    for text in ("1" * 300 + ".2.3.4.5", "1.2.3." + "4" * 300, "12.0.0.1.2.3.4.5.6", "a1.2.3.4", "0001.2.3.4 255.255.255.256", "1.2.3.4" * 20):
+        assert [s for s in pii.find(text) if s[0] in pii.BASE] == brute.personal(text), text
+
+
+# packing with a loss mask
+
+
+def _sequences(rows):
+    out = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        out[r.sequence_id].append(r)
+    return out
+
+
+def test_loss_limits_bind(spark):
+    """Flags, ranges and none: no sequence has more than max_loss loss-bearing ids, none is lost, and pieces count them right."""
+    from pyspark.sql import types as T
+
+    rows = [(k, brute.prose(k, 20 + 37 * (k % 9)), [None, True, False][k % 3]) for k in range(200)]
+    flags = spark.createDataFrame(rows, "doc_id long, text string, loss boolean").repartition(3)
+    out = packing.pack(flags, packing.default_path(), 512, max_segments=6, max_loss=128, with_ids=True, loss="loss").collect()
+    whole = {r.doc_id: r.doc_tokens for r in out}
+    for own in _sequences(out).values():
+        assert sum(r.n_loss for r in own) <= 128 and len(own) <= 6 and sum(r.length for r in own) <= 512
+    per = defaultdict(list)
+    for r in out:
+        per[r.doc_id].append(r)
+    for k, _, flag in rows:
+        pieces = sorted(per[k], key=lambda r: r.start)
+        assert [p.start for p in pieces] == np.cumsum([0, *(p.length for p in pieces[:-1])]).tolist()
+        assert sum(p.length for p in pieces) == whole[k] and sum(p.n_loss for p in pieces) == (whole[k] if flag else 0)
+    assert any(sum(r.n_loss for r in own) == 128 for own in _sequences(out).values())
+    ranges = T.ArrayType(T.StructType().add("start", "long").add("length", "long"))
+    some = [(k, brute.prose(k, 300), [(10, 30), (25, 20), (10_000, 5), (-3, 5), (None, 1)]) for k in range(20)] + [(99, None, [(0, 1)]), (98, "", None)]
+    df = spark.createDataFrame(some, T.StructType().add("doc_id", "long").add("text", "string").add("loss", ranges))
+    out = packing.pack(df, packing.default_path(), 512, max_loss=40, loss="loss").collect()
+    lost = defaultdict(int)
+    for r in out:
+        lost[r.doc_id] += r.n_loss
+    assert all(lost[k] == 35 + 2 for k in range(20)) and lost[99] == 1 and lost[98] == 0
+    assert all(sum(r.n_loss for r in own) <= 40 for own in _sequences(out).values())
+    with pytest.raises(TypeError):
+        packing.pack(flags, packing.default_path(), loss="text")
+
+
+def test_conversations_bear_loss_in_answers_only(spark):
+    turns = spark.read.parquet(f"{SF}/conversations.parquet")
+    said = packing.conversations(turns, "assistant")
+    out = packing.pack(said, packing.default_path(), 1024, max_loss=512, loss="loss").collect()
+    roles = {(r.conv_id, r.turn): r.role for r in turns.collect()}
+    assert {(r.doc_id.conv_id, r.doc_id.turn) for r in out} == set(roles)
+    for r in out:
+        assert r.n_loss == (r.length if roles[r.doc_id.conv_id, r.doc_id.turn] == "assistant" else 0)
+    assert all(sum(x.n_loss for x in own) <= 512 for own in _sequences(out).values())

@@ -13,15 +13,18 @@ Scoring runs forward-backward over whole texts. Blocks of ``BLOCK`` words first
 are chained per text, and the blocks are then finished from their exact ends: same marginals, wide arrays.
 
 The sample is at most ``TRAIN_ROWS`` labelled rows of the training folds, chosen by the hash of the id over all
-of them, of whole texts up to ``TRAIN_TEXT_BYTES``. Labels, language, source and id are no inputs of a score.
+of them, and where it holds fewer than ``LEAST`` of a label up to so many more of that label; whole texts up to
+``TRAIN_TEXT_BYTES``, ``TRAIN_BYTES`` in all. A sample with more of a label than all labels have is made up for in
+the score's bias. With few toxic texts cues need fewer of them. Labels, language, source and id are no inputs of a score.
 
 Nulls: a null text is empty; a text without words gets the score of no evidence. A null or contradicting label
-is no label. Without both kinds of label every score is 0. Repeated rows get equal results, one per row.
+is no label. With one kind of label, or none, every score is the share of toxic labels. Repeated rows get equal results, one per row.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +40,14 @@ from tidemark.llm.quality import one_label
 BITS = 18
 TRAIN_ROWS = 3000
 TRAIN_TEXT_BYTES = 256 << 10
+TRAIN_BYTES = 128 << 20
+LEAST = 200
 BLOCK = 128
 RIDGE = 0.02
 CUE_DOCS = 4
 CUE_ODDS = 8.0
 THRESHOLD = 0.7
+CERTAIN = 1e3  # the bias of a model that has seen one label only
 SPAN_MARGINAL = 0.5
 BEGINNINGS = (3, 4, 5, 6, 7, 8)  # bytes
 ENDINGS = (3, 5)
@@ -249,15 +255,17 @@ def _distinct(words: W.Words, hashes: np.ndarray) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def cues(words: W.Words, y: np.ndarray, columns: np.ndarray, offsets: np.ndarray, texts: np.ndarray) -> np.ndarray:
-    """Mask over features: those in at least CUE_DOCS toxic texts and CUE_ODDS times as often as in clean ones."""
+def cues(
+    words: W.Words, y: np.ndarray, columns: np.ndarray, offsets: np.ndarray, texts: np.ndarray, least: int = CUE_DOCS
+) -> np.ndarray:
+    """Mask over features: those in at least ``least`` toxic texts and CUE_ODDS times as often as in clean ones."""
     found = np.zeros((2, 1 << BITS))
     for i in texts:
         own = np.unique(words.ids[words.offsets[i] : words.offsets[i + 1]])
         found[int(y[i]), np.unique(columns[W.ragged(offsets[own], offsets[own + 1] - offsets[own])])] += 1
     toxic, clean = max(1, int(y[texts].sum())), max(1, int((1 - y[texts]).sum()))
     rate = ((found[1] + 0.1) / toxic) / ((found[0] + 0.5) / clean)
-    return (found[1] >= CUE_DOCS) & (rate >= CUE_ODDS)
+    return (found[1] >= least) & (rate >= CUE_ODDS)
 
 
 def document_numbers(chances: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -273,36 +281,71 @@ def document_numbers(chances: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.stack([np.log1p(total), np.minimum(1.0, 10 * total / np.maximum(counts, 1)), top, odds], axis=1)
 
 
-def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, label: str = "toxic") -> Model | None:
-    """Fits on labelled rows; callers leave held-out rows out of ``labels``."""
-    # at most train_rows pairs of numbers: the one broadcast here has that bound
-    sample = one_label(labels, label).orderBy(F.xxhash64("id"), "id").limit(train_rows)
+def training_rows(docs: DataFrame, labels: DataFrame, train_rows: int, label: str) -> tuple[list, float]:
+    """(rows with id, text and y, share of label 1 among all labels)."""
+    known = one_label(labels, label)
+    by_label = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}  # two rows
+    order = [F.xxhash64("id"), F.col("id")]
+    sample = known.orderBy(*order).limit(train_rows)
+    drawn = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
+    for y, n in by_label.items():
+        if drawn.get(y, 0) < min(LEAST, n):
+            sample = sample.unionByName(known.filter(F.col("y") == y).orderBy(*order).limit(LEAST)).distinct()
+    # at most train_rows + LEAST pairs of numbers: the one broadcast here has that bound
     texts = docs.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(sample), "id")
-    rows = texts.filter(F.octet_length("text") <= TRAIN_TEXT_BYTES).limit(2 * train_rows).collect()
+    texts = texts.filter(F.octet_length("text") <= TRAIN_TEXT_BYTES)
+    sizes = texts.select("id", F.octet_length("text").alias("n")).limit(2 * (train_rows + LEAST)).collect()
+    if sum(r["n"] for r in sizes) > TRAIN_BYTES:
+        # the same share of all lengths
+        share = TRAIN_BYTES / sum(r["n"] for r in sizes)
+        texts = texts.filter((F.pmod(F.xxhash64("id", F.lit("bytes")), F.lit(1 << 20)) < int(share * (1 << 20))))
+    rows = texts.limit(2 * (train_rows + LEAST)).collect()
     rows = sorted({(r.id, r.text): r for r in rows}.values(), key=lambda r: (r.id, r.text))
+    return rows, by_label.get(1, 0) / max(1, sum(by_label.values()))
+
+
+def _constant(share: float) -> Model:
+    """Gives every text the same score."""
+    bias = np.log(share / (1 - share)) if 0 < share < 1 else (CERTAIN if share else -CERTAIN)
+    never = np.array([0.0, -20.0, 0.0, -20.0, 0.0, -10.0])
+    return Model(np.zeros(1 << BITS), never, np.array([0.0, 0.0, 0.0, 0.0, bias]))
+
+
+def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, label: str = "toxic") -> Model:
+    """Fits on labelled rows; callers leave held-out rows out of ``labels``."""
+    rows, share = training_rows(docs, labels, train_rows, label)
     y = np.array([r.y for r in rows], np.float64)
     if not 0 < y.sum() < len(y):
-        return None
+        return _constant(share)
     words = W.split(pa.array([r.text for r in rows], pa.string()))
     columns, offsets = features(words.vocab)
     held = W.mix64(np.arange(len(rows), dtype=np.uint64)) % np.uint64(3) == 0
+    if not y[~held].any():
+        held &= y == 0
     distinct = _distinct(words, words.hashes())
-    is_cue = cues(words, y, columns, offsets, distinct[~held[distinct]])
-    cue_word = W.sums(is_cue[columns].astype(np.int64), offsets) > 0
-    marked = cue_word[words.ids] & np.repeat(y == 1, words.counts)
-    # the field is fitted to the toxic texts and as many clean ones
+    for least in range(CUE_DOCS, 0, -1):
+        is_cue = cues(words, y, columns, offsets, distinct[~held[distinct]], least)
+        cue_word = W.sums(is_cue[columns].astype(np.int64), offsets) > 0
+        marked = cue_word[words.ids] & np.repeat(y == 1, words.counts)
+        if (marked & ~np.repeat(held, words.counts)).any():
+            break
+    # the field is fitted to the toxic texts and as many clean ones, drawn by a hash of the text
     clean = np.flatnonzero((y == 0) & ~held)
+    clean = clean[np.argsort([crc32(rows[i].text.encode()) for i in clean], kind="stable")]
     chosen = np.sort(np.concatenate([np.flatnonzero((y == 1) & ~held), clean[: max(300, int(y.sum()))]]))
     take = W.ragged(words.offsets[:-1][chosen], words.counts[chosen])
     lengths = np.concatenate([np.zeros(1, np.int64), np.cumsum(words.counts[chosen])])
     if not marked[take].any():
-        return None
+        return _constant(share)
     weights, chain = fit_chain(words.ids[take], lengths, marked[take], columns, offsets)
     unary = W.sums(weights[columns], offsets)[words.ids]
     x = document_numbers(marginals(unary, words.offsets, chain), words.offsets)
     some = held if 0 < y[held].sum() < held.sum() else np.ones(len(y), bool)
     names = np.arange(x.shape[1])
     document = learn.logistic([(names, row) for row in x[some]], y[some], x.shape[1], 1e-4)
+    drawn = y.mean()
+    if drawn > 2 * share or 1 - drawn > 2 * (1 - share):
+        document[-1] += np.log(share / (1 - share)) - np.log(drawn / (1 - drawn))
     return Model(weights, chain, document)
 
 
@@ -322,20 +365,19 @@ def _spans(text: bytes, toxic: np.ndarray) -> str:
     return ",".join(f"{a}:{b}" for a, b in out)
 
 
-def score(docs: DataFrame, model: Model | None, into: str = "toxicity", threshold: float = THRESHOLD) -> DataFrame:
+def score(docs: DataFrame, model: Model, into: str = "toxicity", threshold: float = THRESHOLD) -> DataFrame:
     """docs with a struct column: score, verdict, expected toxic words and the offending ranges."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def compute(piece: pa.RecordBatch) -> list:
         field, texts = shared.value, W.text_column(piece)
         words = W.split(texts)
-        if field is None:
-            zero = np.zeros(len(words.counts))
-            return [zero, zero.astype(np.int32), zero, pa.array([""] * len(zero), pa.string())]
         columns, offsets = features(words.vocab)
         unary = W.sums(field.weights[columns], offsets)[words.ids]
         chances = marginals(unary, words.offsets, field.chain)
         result = learn.sigmoid(document_numbers(chances, words.offsets) @ field.document[:-1] + field.document[-1])
+        if abs(field.document[-1]) >= CERTAIN:
+            result = np.full(len(result), float(field.document[-1] > 0))
         toxic = chances >= SPAN_MARGINAL
         hits = W.sums(toxic.astype(np.int64), words.offsets) > 0
         raw = texts.cast(pa.binary())
