@@ -626,10 +626,12 @@ def stream_merge(spark, d):
     """The raw zone as a stream of out-of-order files, appended batch by batch, with a daily rewrite."""
     log = X.slot_changes(spark, d)
     raw, state = fresh_dir(spark, "raw"), fresh_dir(spark, "checkpoint")
-    files = _write_in_files(log, "seq", raw)
+    # every file has rows of all times, as landed on the day after the last of them
+    landed = log.withColumn(rawzone.DAY, F.to_date(F.lit("2024-02-01"))).repartition(_FILES, "seq")
+    rawzone.write(landed, raw, many_days=False)
     target = _slots_target(spark, log)
     merging.merge_changes(target, log.filter(F.col("ts") < X.moment(X.CUT)), "2024-01-15")
-    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", _third(files)).parquet(raw)
+    stream = rawzone.stream(spark, raw, log.schema, max_files=_third(_FILES)).drop(rawzone.DAY)
     jobs.start_merge(stream, X.FEED, target, state, drain=True).awaitTermination()
     merging.compact(target, "2024-02-01")
     return target.rows()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import glob
+import os
 import random
 
 import pytest
@@ -246,3 +247,15 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_shuffle_partitions_follow_the_data():
     assert session.shuffle_partitions(0, 8) == 8
     assert session.shuffle_partitions(100 * 2**40, 4000) == 100 * 2**40 // (128 * 2**20)
+
+
+def test_old_work_folders_go(spark):
+    kept, gone, other = (session.fresh_dir(spark, label) for label in ("expire-me", "expire-me", "other-label"))
+    for path in (kept, gone, other):
+        spark.range(1).write.parquet(f"{path}/table")
+    long_ago = 1_600_000_000
+    for path in (gone, other):
+        for where in (path, f"{path}/table"):
+            os.utime(where, (long_ago, long_ago))
+    assert session.expire_work(spark, 3600, "expire-me") == [gone.rsplit("/", 1)[1]]
+    assert os.path.isdir(kept) and os.path.isdir(other) and not os.path.exists(gone)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 from functools import cache
 
@@ -67,3 +68,24 @@ def _own_dir(application: str) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new folder name below the shared folder; nothing is created yet."""
     return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+
+
+def expire_work(spark: SparkSession, older_than_seconds: int, label: str | None = None) -> list[str]:
+    """Scheduled: deletes folders of :func:`fresh_dir` that nothing has been added to for so long; returns their names.
+
+    Jobs leave their intermediate tables there, because a result may still have to be read from them. With ``label`` only folders
+    that were made under it.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tidemark")
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return []
+    bound, gone = int((time.time() - older_than_seconds) * 1000), []
+    for folder in files.listStatus(root):
+        name = folder.getPath().getName()
+        if label is not None and name.rpartition("-")[0] != label:
+            continue
+        inside = [x.getModificationTime() for x in files.listStatus(folder.getPath())] if folder.isDirectory() else []
+        if max([folder.getModificationTime(), *inside]) < bound and files.delete(folder.getPath(), True):
+            gone.append(name)
+    return sorted(gone)
