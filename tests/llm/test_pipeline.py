@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,6 +49,7 @@ def test_stages(steps):
     pieces = defaultdict(list)
     for r in steps[5].collect():
         pieces[r.doc_id].append(r)
+        assert len(r.ids) == r.length and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
     assert set(pieces) == set(mixed)
     assert all(sum(p.length for p in own) == own[0].doc_tokens for own in pieces.values())
 
@@ -69,7 +72,7 @@ def test_stages_on_edges(spark):
 
 def test_registered():
     names = set(contract.queries())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)} and {*QUERIES, "pipeline"} <= names
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)} and {*QUERIES, "pipeline"} <= names
     assert set(ORACLES) <= set(contract.oracle_sql())
 
 
@@ -81,7 +84,8 @@ def test_same_as_sql(spark, monkeypatch, name):
     assert compare.difference(spark, compare.database(sf), name, sf) is None
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+# one of these has a row per negative, the other one per part, order and step
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op12_hard_negatives", "op13_filter_audit"}))
 def test_one_row_per_document(spark, name):
     sf = "/root/testdata/sf0.001"
     out = QUERIES[name](spark, sf)
