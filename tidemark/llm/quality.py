@@ -15,7 +15,6 @@ chance 0 and fails the rules. Repeated rows get equal results, one per row.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -167,21 +166,21 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, label:
             )
 
     schema = f"id {docs.schema['doc_id'].dataType.simpleString()}, y int, c binary, v binary"
-    # features may be many megabytes: they come as Arrow, are compared by checksum, and are held once
-    found = texts.mapInArrow(run, schema).limit(2 * train_rows).toArrow()
-    plain = zip(found.column("id").to_pylist(), found.column("y").to_pylist(), found.column("c"), found.column("v"), strict=True)
-    rows = {(i, crc32(c.as_buffer()), crc32(v.as_buffer())): (y, c.as_buffer(), v.as_buffer()) for i, y, c, v in plain}
-    rows = [rows[key] for key in sorted(rows)]
-    y = np.array([y for y, _, _ in rows], np.float64)
+    rows = texts.mapInArrow(run, schema).limit(2 * train_rows).collect()
+    rows = sorted({(r.id, bytes(r.c)): r for r in rows}.values(), key=lambda r: (r.id, bytes(r.c)))
+    y = np.array([r.y for r in rows], np.float64)
     if not 0 < y.sum() < len(y):
         return Model(np.append(np.zeros(1 << BITS), 40.0), 1.0, 0.0)
     held = W.mix64(np.arange(len(rows), dtype=np.uint64)) % np.uint64(5) == 0
-    samples = [(np.frombuffer(c, np.int32), np.frombuffer(v, np.float32)) for _, c, v in rows]
+    samples = [(np.frombuffer(r.c, np.int32), np.frombuffer(r.v, np.float32)) for r in rows]
+    del rows
+    learn.give_back()
     weights = learn.logistic([s for s, h in zip(samples, held, strict=True) if not h], y[~held], 1 << BITS, RIDGE)
     z = np.array([float(v @ weights[c]) for c, v in samples]) + weights[-1]
-    if not 0 < y[held].sum() < held.sum():
-        return Model(weights, 1.0, 0.0)
-    return Model(weights, *learn.calibrate(z[held], y[held]))
+    slope, shift = learn.calibrate(z[held], y[held]) if 0 < y[held].sum() < held.sum() else (1.0, 0.0)
+    del samples
+    learn.give_back()
+    return Model(weights, slope, shift)
 
 
 def judge(docs: DataFrame, model: Model, into: str = "quality_rules", threshold: float = THRESHOLD) -> DataFrame:
@@ -194,6 +193,7 @@ def judge(docs: DataFrame, model: Model, into: str = "quality_rules", threshold:
         words = W.split(texts)
         numbers = counts(texts, words)
         failed = (numbers[0] < MIN_WORDS) | (100 * numbers[4] > REPEAT_PERCENT * numbers[0])
+        learn.give_back()
         chance = np.where(numbers[0] > 0, learn.sigmoid(slope * logits(words, weights) + shift), 0.0)
         return [*numbers, failed, chance, ~failed & (chance >= threshold)]
 
