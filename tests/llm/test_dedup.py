@@ -50,6 +50,57 @@ def test_suffixes(docs, hashes, monkeypatch, crowd):
     assert _rows(out, ["id", "n_bytes", "n_removed", "n_spans", "sha"]) == expected
 
 
+def _crowd(n: int) -> list[tuple[int, str]]:
+    """Texts around one passage: ends of many lengths in common, near ones too, and some whole copies."""
+    passage, ends = brute.prose(70, 90), [brute.prose(71 + k, 60) for k in range(7)]
+    out = []
+    for k in range(n):
+        left, right = ends[k % 7], ends[(k // 7) % 7]
+        out.append((k, f"{k * 7919} {left[: 10 + 13 * (k % 11)]} {passage} {right[: 5 + 29 * (k % 5)]}{k if k % 3 else ''}{right}"))
+    return out + [(n + k, t) for k, (_, t) in enumerate(out[:4])]
+
+
+@pytest.mark.parametrize("crowd", [10, 2])
+def test_crowded_anchors_are_split_by_distance(spark, monkeypatch, crowd):
+    """Ranges of one string, of a few and of many: dropped, sorted, compared by digests."""
+    monkeypatch.setattr(suffixes, "CROWD", crowd)
+    seen, digests = [], suffixes.repeats_by_digest
+
+    def counted(rows):
+        seen.append(rows.count())
+        return digests(rows)
+
+    monkeypatch.setattr(suffixes, "repeats_by_digest", counted)
+    rows = _crowd(60)
+    docs = brute.documents(spark, rows).repartition(4)
+    hashes = {r.doc_id: r.h for r in docs.select("doc_id", row_key()["h"].alias("h")).collect()}
+    found = brute.suffixes(rows, [hashes[i] for i, _ in rows])
+    expected = sorted(((i, *found[i, hashes[i]]) for i, _ in rows), key=repr)
+    out = _rows(suffixes.dedup(docs), ["id", "n_bytes", "n_removed", "n_spans", "sha"])
+    assert out == expected and any(r[2] for r in out)
+    assert seen[0] > 0
+
+
+def test_ranges_hold_each_window_once(spark):
+    """Cut strings have the windows of the whole one, with the anchor where it was."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for k, size in enumerate((400, 401, 470, 736, 600)):
+        string = bytes(rng.integers(97, 101, size, np.uint8))
+        low, high = max(0, size - 400), 336  # the anchor lies in every window
+        rows.append((b"x", string, int(rng.integers(low, high + 1)), k, 0, 1000 * k, 1))
+    df = spark.createDataFrame(rows, "lead binary, string binary, at int, id long, h long, pos long, times long")
+    windows: dict[int, list] = {k: [] for k in range(len(rows))}
+    for r in suffixes.by_distance(df).collect():
+        whole = rows[r.id]
+        for j in range(len(r.string) - 399):
+            start = r.pos - whole[5] + j
+            assert bytes(r.string[j : j + 400]) == whole[1][start : start + 400] and start + (r["at"] - j) == whole[2]
+            assert bytes(r.lead[1:]) in bytes(r.string[j : j + 400]) and len(r.lead) >= 350
+            windows[r.id].append(start)
+    assert all(sorted(windows[k]) == list(range(len(rows[k][1]) - 399)) for k in windows)
+
+
 @pytest.mark.parametrize("crowd", [256, 1])
 def test_near(docs, hashes, monkeypatch, crowd):
     monkeypatch.setattr(near, "CROWD", crowd)

@@ -13,8 +13,11 @@ where a repeat is possible:
    bucket the suffixes of one anchor are sorted by multikey quicksort, eight bytes to a character: three-way
    partitions of all segments level by level, where a suffix that stands alone drops out. Those still together after 400
    bytes are equal, and every one of them repeats.
-4. Equal anchors lie in one bucket, so nothing is lost at a boundary; an anchor with over ``CROWD`` strings spans
-   buckets, and its suffixes are compared across them by 128-bit digests, grouped with map-side counts.
+4. Equal anchors lie in one bucket, so nothing is lost at a boundary. An anchor with over ``CROWD`` strings is split by
+   distance: its strings are cut into ``RANGES`` ranges of it, and all windows of a range hold the same bytes around the anchor,
+   some 358 of 400. Range and bytes are the new key; a key that one string has is dropped after counting, the others are sorted as
+   in 3. Only a key with over ``CROWD`` strings again, which differ in their last bytes alone, is compared across buckets,
+   by 128-bit digests of its windows, grouped with map-side counts.
 
 Nulls: a null text is empty, a null id comes before others; rows equal in id and text are one document, whose
 repeats are judged as one, and each row gets its result. An empty table gives no rows.
@@ -37,7 +40,8 @@ from tidemark.llm.substring import COUNTED, counted, pair_keys, shared_keys, sha
 WINDOW = 400
 HALF = 200
 GRAM = 64
-CROWD = 20_000  # strings of one anchor that one task sorts: some 10 MB
+CROWD = 1000  # strings of one anchor, or of one range around it, that one task sorts: some 500 KB
+RANGES = 8  # of the distance between a window's start and its anchor
 LEVELS = WINDOW // 8
 _PIECE = 3 << 20
 _SEGMENT = 2 << 20
@@ -277,8 +281,49 @@ def repeats_in_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         yield out()
 
 
-def repeats_in_crowds(crowded: DataFrame) -> DataFrame:
-    """The same for crowded anchors, by digests of their windows."""
+def by_distance(crowded: DataFrame) -> DataFrame:
+    """Strings of crowded anchors, cut by the distance of their windows to the anchor; ``lead`` is the range and what its windows share."""
+    edges = [k * (WINDOW - GRAM + 1) // RANGES for k in range(RANGES + 1)]
+    ranges = []
+    for k, (low, high) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+        first = F.greatest(F.lit(0), F.col("at") - (high - 1))
+        last = F.least(F.octet_length("string") - WINDOW, F.col("at") - low)
+        ranges.append(
+            F.struct(
+                F.lit(bytes([k])).alias("k"), first.alias("first"), (last - first + WINDOW).alias("size"),
+                (F.col("at") - low).alias("common"), F.lit(WINDOW - (high - 1) + low).alias("width"),
+            )
+        )
+    cut = crowded.select("*", F.explode(F.array(*ranges)).alias("r")).filter(F.col("r.size") >= WINDOW)
+    return cut.select(
+        F.concat("r.k", F.expr("substring(string, r.common + 1, r.width)")).alias("lead"),
+        F.expr("substring(string, r.first + 1, r.size)").alias("string"),
+        (F.col("at") - F.col("r.first")).alias("at"), "id", "h", (F.col("pos") + F.col("r.first")).alias("pos"), "times",
+    )
+
+
+def repeats_in_crowds(crowded: DataFrame, scratch: Scratch, parts: int) -> DataFrame:
+    """The same for crowded anchors."""
+    cut = scratch.table(by_distance(crowded), "cut")
+    place = F.struct("id", "h", "pos")
+    found = cut.groupBy("lead", "string").agg(F.min(place).alias("first"), F.first("at").alias("at"), F.sum("times").alias("times"))
+    found = found.select(F.xxhash64("lead").alias("part"), "lead", "string", "at", "first.id", "first.h", "first.pos", "times")
+    found = scratch.table(found, "cut-strings")
+    sizes = found.groupBy("part").agg(F.count(F.lit(1)).alias("many")).filter("many > 1")
+    sizes = scratch.table(sizes.select("part", (F.col("many") > CROWD).alias("crowded")), "cut-parts")
+    shared = found.join(sizes, "part")
+    calm = shared.filter(~F.col("crowded")).repartitionByRange(parts, "lead").sortWithinPartitions("lead")
+    gone = calm.select("lead", "string", "at", "id", "h", "pos", "times").mapInArrow(repeats_in_buckets, INTERVAL)
+    gone = gone.unionByName(repeats_by_digest(shared.filter("crowded")))
+    # what several strings have in common repeats at all its places
+    once = found.filter("times = 1").select("id", "h", "pos")
+    twice = cut.filter("times = 1").join(once, ["id", "h", "pos"], "left_anti")
+    length = F.octet_length("string").cast("long").alias("length")
+    return gone.unionByName(twice.select("id", "h", F.col("pos").alias("start"), length))
+
+
+def repeats_by_digest(crowded: DataFrame) -> DataFrame:
+    """The same by digests of windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -355,7 +400,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     calm = found.join(crowds, "lead", "left_anti").repartitionByRange(parts, "lead").sortWithinPartitions("lead")
     gone = calm.mapInArrow(repeats_in_buckets, INTERVAL)
-    gone = gone.unionByName(repeats_in_crowds(found.join(crowds, "lead", "left_semi")))
+    gone = gone.unionByName(repeats_in_crowds(found.join(crowds, "lead", "left_semi"), scratch, parts))
     # strings that occur twice and more are repeats at all their places
     every = packed.select("id", "h", "pos", (F.octet_length("string")).cast("long").alias("length"))
     once = found.filter("times = 1").select("id", "h", "pos")
