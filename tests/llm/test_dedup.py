@@ -81,6 +81,36 @@ def test_crowded_anchors_are_split_by_distance(spark, monkeypatch, crowd):
     assert seen[0] > 0
 
 
+@pytest.mark.parametrize("crowd", [12, 2])
+def test_crowded_buckets_are_split_by_distance(spark, monkeypatch, crowd):
+    """As above, with windows of words."""
+    monkeypatch.setattr(substring, "CROWD", crowd)
+    passage, rows = brute.prose(90, 24), []
+    for k in range(60):
+        left, right = brute.prose(91 + k % 7, 16).split(), brute.prose(101 + k // 7 % 7, 16).split()
+        rows.append((k, " ".join([f"a{k}", *left[k % 5 :], passage, *right[: 4 + k % 11], f"b{k}", *right])))
+    rows += [(100 + k, rows[k][1]) for k in range(4)]
+    docs = brute.documents(spark, rows).repartition(4)
+    hashes = {r.doc_id: r.h for r in docs.select("doc_id", row_key()["h"].alias("h")).collect()}
+    seen = {}
+
+    def counted(name):
+        step = getattr(substring, name)
+
+        def run(crowded):
+            seen[name] = crowded.count()
+            return step(crowded)
+
+        monkeypatch.setattr(substring, name, run)
+
+    counted("by_distance")
+    counted("repeats_by_window")
+    found = brute.substring(rows, [hashes[i] for i, _ in rows])
+    out = _rows(substring.dedup(docs), ["id", "n_words", "n_removed", "sha"])
+    assert out == sorted(((i, *found[i, hashes[i]]) for i, _ in rows), key=repr) and any(r[2] for r in out)
+    assert seen["by_distance"] > 12 and (seen["repeats_by_window"] > 0) == (crowd == 2)
+
+
 def test_ranges_hold_each_window_once(spark):
     """Cut strings have the windows of the whole one, with the anchor where it was."""
     rng = np.random.default_rng(5)

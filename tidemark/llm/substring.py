@@ -9,7 +9,10 @@ string; equal windows have equal minimisers, so they meet in one bucket.
 2. Equal strings of super-k-mers are one row, with the earliest place. All later places of that string are repeats.
 3. The distinct strings go to the buckets of their minimisers. A bucket cuts them into windows and sorts these; of
    equal ones all but the earliest are repeats. Windows are compared as text.
-4. A crowded bucket (over ``CROWD`` strings) is not sorted in one task: its windows are grouped as rows of their own.
+4. A crowded bucket (over ``CROWD`` strings) is split by the distance of a window to its minimiser: strings are cut into ``RANGES``
+   ranges of it, and all windows of a range share some 14 words around the minimiser. Range and words are the new bucket; one with a
+   single string is dropped after counting, the others are sorted as in 3. Only the windows of a bucket that is crowded
+   again are grouped as rows of their own.
 5. Words covered by repeats go. A document's intervals are joined to its text by id.
 
 Windows are judged on the input. Of two documents with the same id, that with the lower text hash comes first; rows
@@ -33,7 +36,8 @@ from tidemark.llm.frames import Scratch, gather_key, row_key
 
 WINDOW = 20
 GRAM = 7
-CROWD = 20_000  # strings of one minimiser that one task sorts: some 4 MB
+CROWD = 2000  # strings of one bucket that one task sorts: some 400 KB
+RANGES = 2  # of the distance between a window's start and its minimiser
 _PIECE = 3 << 20
 
 
@@ -224,8 +228,61 @@ def repeats_in_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         yield out()
 
 
-def repeats_in_crowds(crowded: DataFrame) -> DataFrame:
-    """The same for crowded buckets, a row per window: grouping combines before it shuffles."""
+def by_distance(crowded: DataFrame, k: int = WINDOW, m: int = GRAM) -> DataFrame:
+    """(lead, string, id, h, pos, n): strings of crowded buckets, cut by the distance of their windows to the minimiser.
+
+    ``lead`` is the range and the words that all its windows share, ``n`` the number of words.
+    """
+    edges = [r * (k - m + 1) // RANGES for r in range(RANGES + 1)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in W.pieces(batches, "string", _PIECE):
+            words = W.split(W.text_column(piece, "string"))
+            heads = words.offsets[:-1]
+            grams = W.mix64(W.rolling(words.hashes()[words.ids], m))
+            places = (W.sliding_min(grams, k - m + 1)[heads] - heads).tolist()
+            owner, made = [], []
+            for i, (string, at, size) in enumerate(zip(piece.column("string").to_pylist(), places, words.counts.tolist(), strict=True)):
+                ends = [0]
+                for w in string.split(b" "):
+                    ends.append(ends[-1] + len(w) + 1)
+                for r, (low, high) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+                    first, last = max(0, at - high + 1), min(size - k, at - low)
+                    if first <= last:
+                        common = string[ends[at - low] : ends[at - high + 1 + k] - 1]
+                        made.append((bytes([r]) + common, string[ends[first] : ends[last + k] - 1], first, last - first + k))
+                        owner.append(i)
+            lead, own, first, n = zip(*made, strict=True) if made else ((), (), (), ())
+            who = pa.array(owner, pa.int64())
+            pos = np.asarray(piece.column("pos").take(who)) + np.array(first, np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(lead, pa.binary()), pa.array(own, pa.binary()), piece.column("id").take(who), piece.column("h").take(who),
+                    pa.array(pos.astype(np.int32)), pa.array(n, pa.int32()),
+                ],
+                ["lead", "string", "id", "h", "pos", "n"],
+            )
+
+    cut = crowded.select("string", "id", "h", "pos")
+    return cut.mapInArrow(run, "lead binary, string binary, id long, h long, pos int, n int")
+
+
+def repeats_in_crowds(crowded: DataFrame, scratch: Scratch, parts: int) -> DataFrame:
+    """The same for crowded buckets."""
+    cut = scratch.table(by_distance(crowded), "cut")
+    found = cut.groupBy("lead", "string").agg(F.min(F.struct("id", "h", "pos")).alias("first"))
+    found = scratch.table(found.select(F.xxhash64("lead").alias("mini"), "string", "first.id", "first.h", "first.pos"), "cut-strings")
+    sizes = found.groupBy("mini").agg(F.count(F.lit(1)).alias("many")).filter("many > 1")
+    sizes = scratch.table(sizes.select("mini", (F.col("many") > CROWD).alias("crowded")), "cut-sizes")
+    shared = found.join(sizes, "mini")
+    calm = shared.filter(~F.col("crowded")).drop("crowded").repartition(parts, "mini").sortWithinPartitions("mini")
+    gone = calm.mapInArrow(repeats_in_buckets, INTERVAL).unionByName(repeats_by_window(shared.filter("crowded")))
+    later = cut.join(found.select("id", "h", "pos"), ["id", "h", "pos"], "left_anti")
+    return gone.unionByName(later.select("id", "h", F.col("pos").alias("start"), F.col("n").alias("length")))
+
+
+def repeats_by_window(crowded: DataFrame) -> DataFrame:
+    """The same with a row per window: grouping combines before it shuffles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -290,7 +347,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     calm = calm.repartition(parts, "mini").sortWithinPartitions("mini")
     gone = calm.mapInArrow(repeats_in_buckets, INTERVAL)
-    gone = gone.unionByName(repeats_in_crowds(found.join(crowds, "mini", "left_semi")))
+    gone = gone.unionByName(repeats_in_crowds(found.join(crowds, "mini", "left_semi"), scratch, parts))
     each = shared_places(touched.select("id", "h", "text", "shared"))
     later = each.join(found.select("id", "h", "pos"), ["id", "h", "pos"], "left_anti")
     gone = gone.unionByName(later.select("id", "h", F.col("pos").alias("start"), (F.col("n") + WINDOW - 1).alias("length")))
