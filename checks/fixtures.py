@@ -205,6 +205,14 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def relayed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The faulty messages with ends of partitions and errors among them, which have neither key nor value."""
+    sent = faulty_messages(spark, sf_dir)
+    error = F.when(F.col("offset") % 50 == 0, "_PARTITION_EOF").when(F.col("offset") % 97 == 0, "_MSG_TIMED_OUT")
+    given = lambda c: F.when(error.isNull(), F.col(c)).alias(c)
+    return sent.select(given("key"), given("value"), "topic", "partition", "offset", "timestamp", error.alias("error"))
+
+
 # ---------------------------------------------------------------- nested documents
 
 

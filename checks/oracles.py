@@ -474,3 +474,31 @@ oracle("stream_dedupe", f"""
 with {LINES}
 select uid as id, us as ts_us, 1::bigint as n from judged
 where reason = 'ok' and event_id % 67 <> 0 and event_id % 73 <> 0""")
+
+FATES = LINES + """,
+sides as (select *, event_id % 73 = 0 or event_id % 19 = 0 or event_id % 29 = 0 as no_key,
+                 case when event_id % 17 = 0 then event_id % 23 = 0 else event_id % 19 = 0 or event_id % 23 = 0 end as no_value
+          from judged),
+fates as (select event_id, event_id % 4 as partition,
+                 case when event_id % 50 = 0 then 'eof' when event_id % 97 = 0 then 'failed'
+                      when event_id % 67 <> 0 and no_key and no_value then 'blank' when event_id % 67 = 0 then 'refused'
+                      when event_id % 17 = 0 and not no_value then 'refused' when no_key or no_value then 'refused'
+                      when reason = 'ok' then 'landed' else 'refused' end as fate from sides)"""
+
+oracle("landing_accounts", f"""
+with {FATES}
+select partition, count(*) as read, count(*) filter (fate = 'landed') as landed, count(*) filter (fate = 'refused') as refused,
+       count(*) filter (fate = 'blank') as blank, count(*) filter (fate = 'eof') as eof, count(*) filter (fate = 'failed') as failed,
+       max(event_id) filter (fate <> 'eof') as max_offset,
+       count(*) filter (fate = 'landed') as raw_rows, count(*) filter (fate = 'failed') as error_letters
+from fates group by partition""")
+
+oracle("delivery_log", f"""
+with {LINES},
+good as (select case when ts < timestamp '2024-01-15 00:00:00' then 'intake-0' when ts < timestamp '2024-01-20 00:00:00' then 'intake-1' else 'intake-2' end as part
+         from judged where reason = 'ok'),
+made as (select part as delivery, case when part = 'intake-2' then 'failed' else 'delivered' end as status from good
+         union all select 'replay', s from good, (values ('failed'), ('delivered')) as t(s) where part = 'intake-2')
+select delivery, status, count(*) as n, case when status = 'failed' then 'ConnectionError: topic is not available' end as error,
+       4::bigint as partitions, 0::bigint as differ
+from made group by 1, 2""")

@@ -16,6 +16,7 @@ from tidemark.operators import audit, changes, contract, deadletter, envelope, f
 from tidemark.plans import deadletters, folders, intake, landing, merging
 from tidemark.plans.deadletters import Letters
 from tidemark.plans.merging import Target
+from tidemark.plans.reports import Accounts, DeliveryLog
 from tidemark.session import fresh_dir
 from tidemark.sources import control, feed, rawzone, registry, topic
 from tidemark.streaming import jobs, progress
@@ -533,6 +534,61 @@ def delivery_report(spark, d):
     return report.withColumn("partition", F.col("partition").cast("bigint"))
 
 
+@query
+def delivery_log(spark, d):
+    """Reports of an intake in three batches, two of them while the topic is down and one of these run again, and of two replays.
+
+    Per batch and status: messages, error, partitions, and those whose number and highest offset are not what the topic holds.
+    """
+    cfg, out = X.FEED, fresh_dir(spark, "topic")
+    letters, report = Letters(spark, fresh_dir(spark, "letters")), DeliveryLog(spark, fresh_dir(spark, "report"))
+    lines = _with_values(spark, d)
+    early, late = F.col("ts") < X.moment(X.CUT), F.col("ts") >= X.moment(X.BROKER_DOWN)
+
+    def up(messages: DataFrame) -> DataFrame:
+        return topic.publish(messages, cfg, out)
+
+    for name, part, sink in (("intake-0", early, up), ("intake-1", ~early & ~late, _down), ("intake-2", late, _down), ("intake-1", ~early & ~late, up)):
+        intake.deliver(cfg, lines.filter(part), letters, sink, name, report=report)
+    for sink in (_down, up):
+        deadletters.replay(letters, cfg, sink, report=report)
+    held = spark.read.schema(topic.MESSAGE_SCHEMA).parquet(out).groupBy("partition", F.input_file_name().alias("file"))
+    batch = F.element_at(F.split("file", "/"), -2).alias("held_in")
+    held = held.agg(F.count("*").alias("n"), F.max("offset").alias("max_offset")).groupBy(batch, "partition").agg(
+        F.sum("n").alias("n"), F.max("max_offset").alias("max_offset"), F.lit(0).cast("bigint").alias("differ")
+    )
+    rows = report.read().withColumn("delivery", F.when(F.col("name").contains("-replay-"), "replay").otherwise(F.col("name")))
+    differ = F.when(F.col("status") == "failed", F.when(F.col("max_offset").isNull(), 0).otherwise(1)).otherwise(F.coalesce("differ", F.lit(1)))
+    return rows.join(held.drop("held_in"), ["partition", "n", "max_offset"], "left").groupBy("delivery", "status").agg(
+        F.sum("n").alias("n"), F.max("error").alias("error"), F.countDistinct("partition").alias("partitions"), F.sum(differ).cast("bigint").alias("differ")
+    )
+
+
+@query
+def landing_accounts(spark, d):
+    """Messages with errors and ends of partitions among them through the landing job, which dies in its second batch and is started again.
+
+    Per partition: what was read, by its fate, and the offset committed; from the sinks themselves the rows that landed and the letters of errors.
+    """
+    cfg = X.FEED
+    source, raw, state = (fresh_dir(spark, label) for label in ("topic", "raw", "checkpoint"))
+    letters, accounts = Letters(spark, fresh_dir(spark, "letters")), Accounts(spark, fresh_dir(spark, "accounts"))
+    files = _write_in_files(X.relayed_messages(spark, d), "offset", source)
+    dies = X.DiesOnce(accounts, "put")
+
+    def attempt():
+        stream = topic.subscribe(spark, cfg, source, max_files=_third(files), errors="error")
+        jobs.start_landing(stream, cfg, raw, letters, state, drain=True, errors="error", accounts=dies).awaitTermination()
+
+    X.restarted(attempt)
+    accounts.compact()
+    landed = rawzone.read(spark, raw, landing.raw_schema(spark, cfg)).groupBy(F.col("msg_partition").alias("partition")).agg(F.count("*").alias("raw_rows"))
+    of = F.get_json_object("raw", "$.msg_partition").cast("int").alias("partition")
+    lost = letters.read().filter(F.col("reason") == envelope.MESSAGE_ERROR).groupBy(of).agg(F.sum("puts").alias("error_letters"))
+    report = accounts.report().join(landed, "partition", "left").join(lost, "partition", "left")
+    return report.withColumn("partition", F.col("partition").cast("bigint")).na.fill(0, ["raw_rows", "error_letters"])
+
+
 @query
 def commit_progress(spark, d):
     """A stream that dies inside its second batch, after it has written, and is started again."""

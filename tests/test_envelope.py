@@ -124,8 +124,8 @@ def test_message_errors(spark):
     df = spark.createDataFrame(
         [(0, None), (0, "_PARTITION_EOF"), (0, "_TIMED_OUT"), (1, None)], "partition int, error string"
     )
-    good, failed = envelope.split_errors(df)
-    assert good.count() == 2 and [r["error"] for r in failed.collect()] == ["_TIMED_OUT"]
+    marked = envelope.with_errors(df.withColumn("reason", F.lit(envelope.OK)))
+    assert envelope.valid(marked).count() == 2 and [r["error"] for r in envelope.quarantined(marked).collect()] == ["_TIMED_OUT"]
     got = {r["partition"]: (r["good"], r["eof"], r["error"]) for r in envelope.error_counts(df).collect()}
     assert got == {0: (1, 1, 1), 1: (1, 0, 0)}
 

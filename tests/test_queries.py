@@ -40,7 +40,7 @@ def test_entry(spark):
 _JOBS = {
     "replay_guard", "dlq_purge", "dlq_replay", "dlq_failover", "dlq_outage", "intake_run", "merge_day", "registry_stored",
     "commit_progress", "stream_raw_ingest", "stream_merge", "intake_fetch", "merge_folders", "merge_folders_touched", "merge_restart",
-    "landing_restart", "raw_compaction", "raw_csv_quarantine", "stream_dedupe",
+    "landing_restart", "raw_compaction", "raw_csv_quarantine", "stream_dedupe", "delivery_log", "landing_accounts",
 }
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.changes import DELETE
-from tidemark.operators.envelope import BLANK, OK
+from tidemark.operators.envelope import BLANK, END, MESSAGE_ERROR, OK
 
 
 def intake_metrics(reason: str = "reason") -> list[Column]:
@@ -55,6 +55,34 @@ def delivery_report(deliveries: DataFrame) -> DataFrame:
     )
 
 
+def delivery_counts(deliveries: DataFrame) -> DataFrame:
+    """The report of one publish: also with an error of the messages that failed."""
+    return deliveries.groupBy("topic", "partition", "status").agg(
+        F.max("error").alias("error"), F.count("*").alias("n"), F.max("offset").alias("max_offset")
+    )
+
+
+def landing_counts(accounts: DataFrame) -> DataFrame:
+    """Per topic partition: messages read = landed + refused + blank + ends of the partition + failed, and the offset committed.
+
+    ``accounts`` have ``partition``, ``reason``, ``n`` and ``max_offset``. Marks of a partition's end take no place in the topic.
+    """
+    reason = F.col("reason")
+
+    def total(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+    return accounts.groupBy("partition").agg(
+        F.sum("n").alias("read"),
+        total(reason == OK).alias("landed"),
+        total(~reason.isin(OK, BLANK, END, MESSAGE_ERROR)).alias("refused"),
+        total(reason == BLANK).alias("blank"),
+        total(reason == END).alias("eof"),
+        total(reason == MESSAGE_ERROR).alias("failed"),
+        F.max(F.when(reason != END, F.col("max_offset"))).alias("max_offset"),
+    )
+
+
 def deliveries(messages: DataFrame, key: str = "key", error: str = "error") -> DataFrame:
     """One delivery row per message: where it went, or what went wrong."""
     return messages.select(

@@ -21,6 +21,8 @@ from tidemark.operators.changes import DELETE, normal_op
 
 OK, BLANK = "ok", "blank"
 UNDELIVERED = "undelivered"
+# what a consumer's error says about a message; such a message has no event
+END, MESSAGE_ERROR = "end_of_partition", "message_error"
 # Every reason a line can get, in the order the tests are made.
 REASONS = (
     BLANK, "bad_utf8", "malformed_json", "missing_envelope", "null_key", "key_mismatch",
@@ -161,8 +163,8 @@ def valid(classified: DataFrame) -> DataFrame:
 
 
 def quarantined(classified: DataFrame) -> DataFrame:
-    """Faulty rows for the dead-letter store. Blank lines are skipped, not stored."""
-    return classified.filter(~F.col("reason").isin(OK, BLANK))
+    """Faulty rows for the dead-letter store. Blank lines and marks of a partition's end are skipped, not stored."""
+    return classified.filter(~F.col("reason").isin(OK, BLANK, END))
 
 
 def typed(schema: T.StructType) -> str:
@@ -189,11 +191,11 @@ def key_columns(classified: DataFrame, key_text: str = "key_text") -> DataFrame:
     return classified.select(names.alias("key_cols")).groupBy("key_cols").agg(F.count("*").alias("n"))
 
 
-def split_errors(messages: DataFrame, error: str = "error", end_of_partition: str = "_PARTITION_EOF"):
-    """Messages without error, and real error messages. End-of-partition marks are neither."""
-    good = messages.filter(F.col(error).isNull())
-    failed = messages.filter(F.col(error).isNotNull() & (F.col(error) != end_of_partition))
-    return good, failed
+def with_errors(classified: DataFrame, error: str = "error", end_of_partition: str = "_PARTITION_EOF") -> DataFrame:
+    """Classified messages with the reasons of those that are a consumer's error: the end of a partition, or a real one."""
+    code = F.col(error)
+    reason = F.when(code == end_of_partition, END).when(code.isNotNull(), MESSAGE_ERROR).otherwise(F.col("reason"))
+    return classified.withColumn("reason", reason)
 
 
 def error_counts(messages: DataFrame, error: str = "error", end_of_partition: str = "_PARTITION_EOF") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 
 from tidemark.config import FeedConfig
 from tidemark.operators import deadletter, envelope
+from tidemark.plans.reports import DeliveryLog
 from tidemark.sources import batches
 from tidemark.sources.topic import encode_lines
 
@@ -61,9 +63,10 @@ def purge(letters: Letters, alert_path: str, alert_after: int | None = None) ->
 def replay(
     letters: Letters,
     cfg: FeedConfig,
-    publish: Callable[[DataFrame], None],
+    publish: Callable[[DataFrame], DataFrame | None],
     row_schema: T.StructType | None = None,
     keys: Sequence[str] | None = None,
+    report: DeliveryLog | None = None,
 ) -> None:
     """Tries all retriable items again: full checks first, then one publish.
 
@@ -78,12 +81,15 @@ def replay(
     try:
         if not checked.take(1):
             return
-        delivered = True
+        messages = encode_lines(checked.filter(F.col("_found") == envelope.OK), cfg)
+        delivered, error, stored = True, None, None
         try:
-            publish(encode_lines(checked.filter(F.col("_found") == envelope.OK), cfg))
-        except Exception:  # noqa: BLE001 - whatever the sink raises, the items are kept
-            delivered = False
+            stored = publish(messages)
+        except Exception as e:  # noqa: BLE001 - whatever the sink raises, the items are kept
+            delivered, error = False, f"{type(e).__name__}: {e}"
             log.warning("replay of %s is not delivered; the items stay", letters.path, exc_info=True)
+        if report is not None:
+            report.put(messages if stored is None else stored, f"{cfg.feed}-replay-{uuid.uuid4().hex}", error)
         good = F.lit(None).cast("string") if delivered else F.lit(envelope.UNDELIVERED)
         reason = F.when(F.col("_found") != envelope.OK, F.col("_found")).otherwise(good)
         letters.put(deadletter.outcomes(checked.withColumn("_reason", reason)))

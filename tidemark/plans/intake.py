@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.config import FeedConfig
 from tidemark.operators import audit, changes, contract, deadletter, envelope, watermark
 from tidemark.plans.deadletters import Letters
+from tidemark.plans.reports import DeliveryLog
 from tidemark.sources import control, feed
 from tidemark.sources.topic import encode_letters, encode_lines
 
@@ -50,6 +51,7 @@ def fetch(
     dead: Letters,
     publish: Callable[[DataFrame], None],
     margin_us: int = MARGIN_US,
+    report: DeliveryLog | None = None,
 ) -> IntakeResult:
     """One fetch of a feed folder: reads the files that are new or have changed since the last one, no others.
 
@@ -62,7 +64,7 @@ def fetch(
         paths = [r["path"] for r in new.select("path").distinct().collect()]
         if not paths:
             return IntakeResult(0, 0, 0, 0, None, True, files=0)
-        result = run(spark, cfg, feed.read_lines(spark, paths), control_path, dead, publish)
+        result = run(spark, cfg, feed.read_lines(spark, paths), control_path, dead, publish, report)
         control.append_files(new.select(F.lit(cfg.feed).alias("feed_name"), *feed.FILE), control_path)
         return replace(result, files=len(paths))
     finally:
@@ -75,7 +77,8 @@ def run(
     lines: DataFrame,
     control_path: str,
     dead: Letters,
-    publish: Callable[[DataFrame], None],
+    publish: Callable[[DataFrame], DataFrame | None],
+    report: DeliveryLog | None = None,
 ) -> IntakeResult:
     """One fetch of lines: everything since the mark, and the mark moves once both sinks are done.
 
@@ -96,7 +99,7 @@ def run(
     try:
         repeated.count(), known.count()
         kept = changes.without_repeats(since, repeated, "digest", "_place").join(known, "digest", "left_anti")
-        result = deliver(cfg, kept, dead, publish, f"{cfg.feed}-fetch-{number}")
+        result = deliver(cfg, kept, dead, publish, f"{cfg.feed}-fetch-{number}", report=report)
         own = F.lit(cfg.feed).alias("feed_name")
         # first the digests: without the mark they do no harm
         refused = envelope.quarantined(kept).select(own, "digest", F.unix_micros(F.current_timestamp()).alias("seen_us"))
@@ -125,9 +128,10 @@ def deliver(
     cfg: FeedConfig,
     classified: DataFrame,
     dead: Letters,
-    publish: Callable[[DataFrame], None],
+    publish: Callable[[DataFrame], DataFrame | None],
     batch: str | None = None,
     publish_dead: Callable[[DataFrame], None] | None = None,
+    report: DeliveryLog | None = None,
 ) -> IntakeResult:
     """Publishes the good lines of classified ones and dead-letters the others.
 
@@ -135,17 +139,22 @@ def deliver(
     for retry; nothing is lost. With ``publish_dead`` the faulty lines also go to the
     dead-letter topic. A batch that is run again under its name replaces what its first try put, refused and
     undelivered lines each for themselves: those that go out the second time are undelivered no more.
+
+    ``report`` gets the delivery report of the batch: messages per partition with the offsets that ``publish`` returns the
+    stored messages with, or with the error that kept them back.
     """
     name = batch or uuid.uuid4().hex
     checked = classified.select("line", "reason", "key_text", "value_text", "ts_ms").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good = envelope.valid(checked)
-        delivered, error = True, None
+        delivered, error, stored = True, None, None
         try:
-            publish(encode_lines(good, cfg))
+            stored = publish(encode_lines(good, cfg))
         except Exception as e:  # noqa: BLE001 - whatever the sink raises, the batch is kept
             delivered, error = False, f"{type(e).__name__}: {e}"
             log.warning("batch %s of %s is not delivered and kept for a replay", name, cfg.feed, exc_info=True)
+        if report is not None:
+            report.put(encode_lines(good, cfg) if stored is None else stored, name, error)
         key = deadletter.message_key("line")
         refused = deadletter.puts(envelope.quarantined(checked), "line", key, "reason")
         if publish_dead is not None:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.config import FeedConfig
 from tidemark.functions.jsontext import json_bytes
@@ -49,25 +50,32 @@ def encode_letters(letters: DataFrame, cfg: FeedConfig) -> DataFrame:
     return _messages(letters, [], key, value, cfg.dead_letter_topic, cfg.topic_partitions)
 
 
-def publish(messages: DataFrame, cfg: FeedConfig, folder: str | None = None, batch: str | None = None) -> None:
+def publish(messages: DataFrame, cfg: FeedConfig, folder: str | None = None, batch: str | None = None) -> DataFrame | None:
     """Appends messages to the topic they name.
 
     In a folder topic every batch owns a sub-folder. A batch that is repeated under its
     name replaces it and so leaves no second copy; without a name it is an addition. Offsets grow
-    within a batch there.
+    within a batch there. Returns the messages as they are stored, with partition and offset; none from Kafka, whose sink tells none.
     """
     if folder is None:
         messages.select("key", "value", "topic").write.format("kafka").options(**cfg.write_options()).save()
-        return
+        return None
     stamped = messages.withColumns({"offset": F.monotonically_increasing_id(), "timestamp": F.current_timestamp()})
-    batches.append(stamped, folder, batch)
+    name = batches.append(stamped, folder, batch)
+    return batches.exact(messages.sparkSession, folder, name, T._parse_datatype_string(MESSAGE_SCHEMA))
 
 
-def subscribe(spark: SparkSession, cfg: FeedConfig, folder: str | None = None, max_files: int | None = None) -> DataFrame:
-    """The topic as a stream, from its first message on."""
+def subscribe(
+    spark: SparkSession, cfg: FeedConfig, folder: str | None = None, max_files: int | None = None, errors: str | None = None
+) -> DataFrame:
+    """The topic as a stream, from its first message on.
+
+    A folder that another consumer fills may hold what that one was told in place of a message: ``errors`` names the column
+    with the code. Spark's own Kafka source has no such rows: it passes partition ends over and fails on errors.
+    """
     if folder is None:
         return spark.readStream.format("kafka").options(**cfg.read_options()).load()
-    reader = spark.readStream.schema(f"{MESSAGE_SCHEMA}, {batches.BATCH} string")
+    reader = spark.readStream.schema(f"{MESSAGE_SCHEMA}, {f'{errors} string, ' if errors else ''}{batches.BATCH} string")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(folder).drop(batches.BATCH)

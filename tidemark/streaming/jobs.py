@@ -19,6 +19,7 @@ from tidemark.operators import changes, deadletter, envelope
 from tidemark.plans import intake, landing
 from tidemark.plans.deadletters import Letters
 from tidemark.plans.merging import Target
+from tidemark.plans.reports import Accounts, DeliveryLog
 from tidemark.sources import rawzone
 
 
@@ -26,15 +27,16 @@ def start_intake(
     lines: DataFrame,
     cfg: FeedConfig,
     dead: Letters,
-    publish: Callable[[DataFrame, int], None],
+    publish: Callable[[DataFrame, int], DataFrame | None],
     checkpoint: str,
     drain: bool = False,
+    report: DeliveryLog | None = None,
 ) -> StreamingQuery:
-    """Feed lines to the topic, faulty or undelivered ones to the dead letters."""
+    """Feed lines to the topic, faulty or undelivered ones to the dead letters, each batch's deliveries to the report."""
 
     def batch(rows: DataFrame, number: int) -> None:
         classified = envelope.classify(rows.select("line"), cfg.keys, cfg.row_schema, with_value=True, versions=cfg.versions)
-        intake.deliver(cfg, classified, dead, lambda m: publish(m, number), f"{cfg.feed}-intake-{number}")
+        intake.deliver(cfg, classified, dead, lambda m: publish(m, number), f"{cfg.feed}-intake-{number}", report=report)
 
     return start(lines, batch, cfg, checkpoint, drain)
 
@@ -47,6 +49,8 @@ def start_landing(
     checkpoint: str,
     drain: bool = False,
     once_within: str | None = None,
+    errors: str | None = None,
+    accounts: Accounts | None = None,
 ) -> StreamingQuery:
     """Topic messages to the raw zone of the day they are read, faulty ones to the dead letters.
 
@@ -57,25 +61,39 @@ def start_landing(
     A message is its key and its value; a key that names another row than the image is a fault. Its
     place in the topic goes with the raw row. The date is part of the streaming plan and so comes from the batch's
     own log entry: a batch repeated after midnight still lands in its first day.
+
+    ``errors`` names a column with the code of a consumer's error. Marks of a partition's end are passed over, other errors are
+    dead letters that name the place in the topic, and the messages around them land. ``accounts`` get the
+    number of messages per partition and fate, after both sinks have the batch.
     """
     writer = f"{cfg.feed}-landing"
 
     def batch(arrived: DataFrame, number: int) -> None:
         classified = envelope.classify_messages(arrived, cfg.keys, cfg.row_schema, versions=cfg.versions)
-        outcomes = landing.outcome(classified, cfg, event_text("key", "value")).persist(StorageLevel.MEMORY_AND_DISK)
+        raw = event_text("key", "value")
+        if errors is not None:
+            classified = envelope.with_errors(classified, errors)
+            place = F.to_json(F.struct(F.col(errors).alias("error"), "msg_partition", "msg_offset"))
+            raw = F.when(F.col("reason") == envelope.MESSAGE_ERROR, place).otherwise(raw)
+        outcomes = landing.outcome(classified, cfg, raw).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             rows = landing.flat_rows(outcomes)
             rawzone.write(rows, raw_path, cfg.raw_format, f"{writer}-{number}", many_days=False)
             bad = envelope.quarantined(outcomes)
             dead.put(deadletter.puts(bad, "raw", deadletter.message_key("raw"), "reason"), f"{writer}-{number}")
+            if accounts is not None:
+                accounts.put(outcomes, f"{writer}-{number}")
         finally:
             outcomes.unpersist()
 
     if once_within is not None:
-        digest = F.sha2(F.concat_ws("/", *[F.coalesce(F.hex(c), F.lit("null")) for c in ("key", "value")]), 256)
+        parts = [F.coalesce(F.hex(c), F.lit("null")) for c in ("key", "value")]
+        if errors is not None:  # an error is known by its place, it has nothing else
+            parts.append(F.when(F.col(errors).isNotNull(), F.concat_ws("/", errors, "partition", "offset")))
+        digest = F.sha2(F.concat_ws("/", *parts), 256)
         messages = changes.dedupe_stream(messages.withColumn("_digest", digest), ["_digest"], "timestamp", once_within)
     dated = messages.select(
-        "key", "value", F.col("partition").alias("msg_partition"), F.col("offset").alias("msg_offset"), F.current_date().alias(rawzone.DAY)
+        "key", "value", *([errors] if errors is not None else []), F.col("partition").alias("msg_partition"), F.col("offset").alias("msg_offset"), F.current_date().alias(rawzone.DAY)
     )
     return start(dated, batch, cfg, checkpoint, drain)
 
