@@ -5,7 +5,10 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import struct
+from collections import defaultdict
 
+import xxhash
 from pyspark.sql import types as T
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -166,3 +169,59 @@ def personal(text: str | None) -> list[tuple[str, int, int]]:
             out.append(("phone", *m.span()))
     kinds = ["email", "ip", "card", "phone"]
     return sorted(out, key=lambda s: (s[1], kinds.index(s[0])))
+
+
+def masked(text: str, spans: list[tuple[str, int, int]]) -> str:
+    """The text with every run of spans that share code points as the name of its first one; spans in their order."""
+    runs: list[list] = []
+    for kind, start, end in spans:
+        if runs and start < runs[-1][2]:
+            runs[-1][2] = max(end, runs[-1][2])
+        else:
+            runs.append([kind, start, end])
+    for kind, start, end in reversed(runs):
+        text = f"{text[:start]}<{kind.upper()}>{text[end:]}"
+    return text
+
+
+def capped_fitting(cells: list[tuple], shares: list[dict | float], sweeps: int, budget: float) -> dict[tuple, float]:
+    """Capped proportional fitting by bisection: probability per cell of (key, tokens).
+
+    ``shares`` per dimension: of each value, or a power of its own tokens.
+    """
+    whole = budget * sum(n for _, n in cells)
+    parts = []
+    for d, wanted in enumerate(shares):
+        has = defaultdict(float)
+        for key, n in cells:
+            has[key[d]] += n
+        share = {v: wanted.get(v, 0.0) if isinstance(wanted, dict) else has[v] ** wanted for v in has}
+        low, high = 0.0, 1e12
+        for _ in range(300):
+            x = (low + high) / 2
+            low, high = (x, high) if sum(min(has[v], x * share[v]) for v in has) < whole else (low, x)
+        parts.append({v: min(has[v], high * share[v]) for v in has})
+    factor = {key: 1.0 for key, _ in cells}
+    for _ in range(sweeps):
+        for d in range(len(shares)):
+            for v, part in parts[d].items():
+                own = [(key, n) for key, n in cells if key[d] == v]
+                low, high = 0.0, 1e9
+                for _ in range(200):
+                    t = (low + high) / 2
+                    low, high = (t, high) if sum(n * min(1.0, factor[key] * t) for key, n in own) < part * (1 - 1e-13) else (low, t)
+                for key, _ in own:
+                    factor[key] *= high
+    return {key: min(1.0, factor[key]) for key, _ in cells}
+
+
+def topic(text: str, hashes: dict[str, int], planes: int, least_bytes: int) -> int:
+    """The side of each plane that more of the text's long words are on."""
+    long = [hashes[w] for w in words(text) if len(w.encode()) >= least_bytes]
+    return sum((sum(1 if h >> bit & 1 else -1 for h in long) > 0) << bit for bit in range(planes))
+
+
+def draw(doc_id: int, seed: int) -> float:
+    """A number in [0, 1) by the id: the 64-bit hash of id and seed, one after the other."""
+    first = xxhash.xxh64_intdigest(struct.pack("<q", doc_id), 42)
+    return xxhash.xxh64_intdigest(struct.pack("<i", seed), first) % 2**53 / 2**53

@@ -486,34 +486,6 @@ def test_conversations_bear_loss_in_answers_only(spark):
     assert all(sum(x.n_loss for x in own) <= 512 for own in _sequences(out).values())
 
 
-def _plain_mixing(cells, targets, sweeps, budget):
-    """Capped proportional fitting by bisection: probability per cell of ((source, lang), tokens)."""
-    whole = budget * sum(n for _, n in cells)
-    parts = []
-    for d in (0, 1):
-        has = defaultdict(float)
-        for key, n in cells:
-            has[key[d]] += n
-        share = {v: targets[d].get(v, 0.0) if targets[d] else has[v] for v in has}
-        low, high = 0.0, 1e12
-        for _ in range(300):
-            x = (low + high) / 2
-            low, high = (x, high) if sum(min(has[v], x * share[v]) for v in has) < whole else (low, x)
-        parts.append({v: min(has[v], high * share[v]) for v in has})
-    factor = {key: 1.0 for key, _ in cells}
-    for _ in range(sweeps):
-        for d in (0, 1):
-            for v, part in parts[d].items():
-                own = [(key, n) for key, n in cells if key[d] == v]
-                low, high = 0.0, 1e9
-                for _ in range(200):
-                    t = (low + high) / 2
-                    low, high = (t, high) if sum(n * min(1.0, factor[key] * t) for key, n in own) < part * (1 - 1e-13) else (low, t)
-                for key, _ in own:
-                    factor[key] *= high
-    return {key: min(1.0, factor[key]) for key, _ in cells}
-
-
 @pytest.mark.parametrize("seed", range(4))
 def test_probabilities_are_those_of_plain_capped_fitting(spark, seed):
     rnd = random.Random(seed)
@@ -522,6 +494,6 @@ def test_probabilities_are_those_of_plain_capped_fitting(spark, seed):
     df = spark.createDataFrame([(*key, n) for key, n in cells], "source string, lang string, tokens long")
     for budget in (0.2, 0.6, 0.95):
         out = mixing.probabilities(df, ("source", "lang"), {"source": targets[0], "lang": targets[1]}, sweeps=6, budget=budget).collect()
-        plain = _plain_mixing(cells, targets, 6, budget)
+        plain = brute.capped_fitting(cells, targets, 6, budget)
         for r in out:
             assert r.probability == pytest.approx(plain[r.source, r.lang], abs=2e-5), (seed, budget, r)
