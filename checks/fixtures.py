@@ -35,9 +35,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# compressed columns of 128 MiB, a split of the scan, are several times as much text
+_TASKS_PER_SPLIT = 4
+
+
 def dealt(rows: DataFrame) -> DataFrame:
-    """Rows of a small table that is one row group, over all cores: for costly work per row."""
-    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+    """Rows of a table for costly work per row: over all cores, though it may be one row group, and in more tasks the larger it is."""
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, _TASKS_PER_SPLIT * rows.rdd.getNumPartitions()))
 
 
 def moment(text: str) -> Column:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from checks import fixtures
 from tidemark.plans import merging
 from tidemark.plans.deadletters import Letters
 from tidemark.sources import rawzone
@@ -37,6 +38,21 @@ def test_rows_that_do_not_fit_come_back_as_text(spark, folder):
     assert everything.filter(F.col(rawzone.FAULTY).isNotNull()).count() == 5
 
 
+def test_what_one_task_reads_of_csv_is_bounded(spark, folder):
+    """A CSV file is one task, so neither the rows of a file nor those of a task that writes grow with the table."""
+    rows = spark.range(0, 50_000, numPartitions=1).select(F.col("id").cast("string"), F.lit(1).alias("n"), F.lit("x").alias("note"), F.lit("[]").alias("ids"))
+    rawzone.write(on_day(rows), f"{folder}/raw", "csv", many_days=False)
+    found = rawzone.read(spark, f"{folder}/raw", TYPED, "csv").groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in found) == 50_000 and max(r["count"] for r in found) <= 20_000
+    rows.repartition(5 * spark.sparkContext.defaultParallelism).write.parquet(f"{folder}/table")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        table = spark.read.parquet(f"{folder}/table")
+        assert fixtures.dealt(table).rdd.getNumPartitions() >= table.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_a_plain_read_stops_at_such_a_row(spark, folder):
     rawzone.write(on_day(spark.createDataFrame([("2", "oops", "c", "[]")], TEXTS)), folder, "csv")
     with pytest.raises(Exception, match="oops|FAILFAST|MALFORMED"):

@@ -248,8 +248,9 @@ def _stored(schema: T.StructType, fmt: str, checked: bool = False) -> T.StructTy
 
 # Text may hold quotes, line breaks, backslashes and blanks at its ends: fields are quoted, a
 # quote inside is doubled, a field may span lines, and nothing is trimmed.
-# A field that spans lines keeps a file from being split: a file is one task, so its rows are bounded.
-_MAX_CSV_ROWS = 200_000
+# A field that spans lines keeps a file from being split: a file is one task, so its rows are bounded. So many
+# rows of 13 KB, as whole documents are with their words as arrays, are 260 MB.
+_MAX_CSV_ROWS = 20_000
 _TEXT = ("csv", "json")
 _CSV = {
     "header": "true",
