@@ -191,3 +191,17 @@ def test_drift_of_arrays_in_arrays(spark):
         ("x", "ARRAY"): (1, "ok"), ("x", "STRING"): (1, "type_changed"), ("x.a", "BIGINT"): (1, "ok"), ("x.b", "BIGINT"): (1, "new_field"),
         ("y", "OBJECT"): (2, "ok"), ("y.z", "OBJECT"): (1, "ok"), ("y.z", "VOID"): (1, "type_changed"), ("y.z.a", "STRING"): (1, "type_changed"),
     }
+
+
+@pytest.mark.parametrize("shapes", [3, 40])
+def test_members_of_equal_objects_are_looked_up_once(spark, shapes):
+    """Few rows per image where objects repeat their members, the same counts where they do not."""
+    parts = [{"id": "x", f"m {k % shapes}, y": k, "type": None if k % 2 else "t"} for k in range(600)]
+    df = spark.createDataFrame([(json.dumps(changed(topping=[*parts, 5])),)], "j string").select(F.parse_json("j").alias("image"))
+    got = {(r["field"], r["observed_type"]): r["n"] for r in contract.drift(spark, df, SAMPLE_ROW_SCHEMA, nested=True).collect()}
+    assert got["topping.id", "STRING"] == 600 and got["topping.type", "VOID"] == got["topping.type", "STRING"] == 300
+    assert [got[f"topping.m {k}, y", "BIGINT"] for k in range(shapes)] == [600 // shapes] * shapes
+    members = []
+    held = contract._with_members(df.select(F.array("image").alias("_values_0")), SAMPLE_ROW_SCHEMA, "", True, members)
+    rows = held.select(F.explode(F.concat(*members))).count()
+    assert rows < 50 if shapes == 3 else rows > 1800

@@ -284,8 +284,10 @@ def drift(
     members of all levels at once, so the images are read once.
     """
     registered = dict(_registered(schema, "", nested))
-    members = _members(F.col(image), schema, "", nested)
-    seen = images.select(F.explode(members).alias("_m")).select(F.col("_m.field").alias("field"), F.col("_m.type").alias("_type"))
+    levels, members = images.select(F.col(image).alias("_values_0")), []
+    levels = _with_members(levels.withColumn("_values_0", F.array("_values_0")), schema, "", nested, members)
+    seen = levels.select(F.explode(F.concat(*members)).alias("_m"))
+    seen = seen.select(F.col("_m.field").alias("field"), F.col("_m.type").alias("_type"), F.col("_m.n").alias("_n"))
     checks = [
         F.when(F.col("field") == path, F.when(_fits(F.col("_type"), t), "ok").otherwise("type_changed"))
         for path, t in registered.items()
@@ -293,9 +295,9 @@ def drift(
     # nested types can spell out differently in every row, the outer kind is what is counted
     kind = _kind(F.col("_type"))
     counted = (
-        seen.select("field", kind.alias("observed_type"), F.coalesce(*checks, F.lit("new_field")).alias("status"))
+        seen.select("field", kind.alias("observed_type"), F.coalesce(*checks, F.lit("new_field")).alias("status"), "_n")
         .groupBy("field", "observed_type", "status")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("_n").alias("n"))
         .select("field", "observed_type", "n", "status")
     )
     expected = spark.createDataFrame(
@@ -323,29 +325,48 @@ def _element(t: T.DataType) -> T.DataType:
     return t
 
 
-def _members(value: Column, schema: T.StructType, prefix: str, nested: bool) -> Column:
-    """Path and kind of every member of an object, and of the objects below it that are registered."""
-    own = F.transform(
-        F.map_entries(F.try_variant_get(value, "$", "map<string,variant>")),
-        lambda e: F.struct(F.concat(F.lit(prefix), e["key"]).alias("field"), F.schema_of_variant(e["value"]).alias("type")),
-    )
-    parts = [own]
+# objects of one array that differ in more ways than this are counted one by one
+_SHAPES = 16
+_MEMBERS = "array<struct<field:string,type:string,n:bigint>>"
+
+
+def _with_members(rows: DataFrame, schema: T.StructType, prefix: str, nested: bool, members: list[Column]) -> DataFrame:
+    """Adds columns for the values of one level and below, and to ``members`` the path, kind and number of what they hold.
+
+    The values of a level are in the newest ``_values_`` column. Those of one type text, which names all members and
+    their types, hold the same members: these are looked up in one of them and count for all. What lies below is taken from every value.
+    """
+    k = len(members)
+    values, shapes = F.col(f"_values_{k}"), F.col(f"_shapes_{k}")
+    rows = rows.withColumn(f"_shapes_{k}", F.when(F.size(values) > 1, F.transform(values, F.schema_of_variant)))
+    rows = rows.withColumn(f"_kinds_{k}", F.array_distinct(shapes))
+    kinds = F.col(f"_kinds_{k}")
+    one = lambda s: F.struct(F.get(values, F.array_position(shapes, s).cast("int") - 1).alias("v"), F.size(F.filter(shapes, lambda x: x == s)).cast("bigint").alias("n"))
+    alone = F.transform(values, lambda v: F.struct(v.alias("v"), F.lit(1).cast("bigint").alias("n")))
+    rows = rows.withColumn(f"_found_{k}", F.when(shapes.isNotNull() & (F.size(kinds) <= _SHAPES), F.transform(F.filter(kinds, lambda s: s.isNotNull()), one)).otherwise(alone))
+    none = F.array().cast(_MEMBERS)
+
+    def held(e: Column) -> Column:
+        entries = F.map_entries(F.try_variant_get(e["v"], "$", "map<string,variant>"))
+        own = F.transform(entries, lambda m: F.struct(F.concat(F.lit(prefix), m["key"]).alias("field"), F.schema_of_variant(m["value"]).alias("type"), e["n"].alias("n")))
+        return F.coalesce(own, none)
+
+    members.append(F.coalesce(F.flatten(F.transform(f"_found_{k}", held)), none))
     for f in schema.fields:
         inner = _element(f.dataType)
         if not (nested and isinstance(inner, T.StructType)):
             continue
-        below = F.array(F.try_variant_get(value, f'$["{f.name}"]', "variant"))
-        t = f.dataType
+        below, t = F.transform(values, _member_of(f.name)), f.dataType
         while isinstance(t, T.ArrayType):
             below = F.flatten(F.transform(below, lambda v: F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array().cast("array<variant>"))))
             t = t.elementType
-        parts.append(F.flatten(F.transform(below, _members_of(inner, f"{prefix}{f.name}."))))
-    none = F.array().cast("array<struct<field:string,type:string>>")
-    return F.concat(*[F.coalesce(p, none) for p in parts]) if len(parts) > 1 else F.coalesce(own, none)
+        rows = rows.withColumn(f"_values_{len(members)}", below)
+        rows = _with_members(rows, inner, f"{prefix}{f.name}.", nested, members)
+    return rows
 
 
-def _members_of(inner: T.StructType, prefix: str) -> Callable[[Column], Column]:
-    return lambda value: _members(value, inner, prefix, nested=True)
+def _member_of(name: str) -> Callable[[Column], Column]:
+    return lambda value: F.try_variant_get(value, f'$["{name}"]', "variant")
 
 
 # ---------------------------------------------------------------- several versions in force
