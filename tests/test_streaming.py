@@ -143,3 +143,11 @@ def test_progress(spark, folder):
     assert sum(n for _, n in progress.progress_rows(q)) == 10
     got = {r["partition"]: (r["n"], r["max_offset"]) for r in progress.committed(spark.read.schema(df.schema).parquet(f"{folder}/out")).collect()}
     assert got == {0: (5, 8), 1: (5, 9)}
+
+
+def test_a_micro_batch_of_few_files_is_dealt_over_all_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    few, many = (spark.range(0, 1000, numPartitions=n) for n in (1, 2 * cores))
+    dealt = jobs.over_cores(few)
+    assert dealt.rdd.getNumPartitions() == cores and sorted(r["id"] for r in dealt.collect()) == list(range(1000))
+    assert jobs.over_cores(many).rdd.getNumPartitions() == 2 * cores

@@ -35,7 +35,7 @@ def start_intake(
     """Feed lines to the topic, faulty or undelivered ones to the dead letters, each batch's deliveries to the report."""
 
     def batch(rows: DataFrame, number: int) -> None:
-        classified = envelope.classify(rows.select("line"), cfg.keys, cfg.row_schema, with_value=True, versions=cfg.versions)
+        classified = envelope.classify(over_cores(rows.select("line")), cfg.keys, cfg.row_schema, with_value=True, versions=cfg.versions)
         intake.deliver(cfg, classified, dead, lambda m: publish(m, number), f"{cfg.feed}-intake-{number}", report=report)
 
     return start(lines, batch, cfg, checkpoint, drain)
@@ -69,7 +69,7 @@ def start_landing(
     writer = f"{cfg.feed}-landing"
 
     def batch(arrived: DataFrame, number: int) -> None:
-        classified = envelope.classify_messages(arrived, cfg.keys, cfg.row_schema, versions=cfg.versions)
+        classified = envelope.classify_messages(over_cores(arrived), cfg.keys, cfg.row_schema, versions=cfg.versions)
         raw = event_text("key", "value")
         if errors is not None:
             classified = envelope.with_errors(classified, errors)
@@ -117,6 +117,12 @@ def start(
     return writer.trigger(processingTime=f"{cfg.trigger_seconds} seconds").start()
 
 
+def over_cores(rows: DataFrame) -> DataFrame:
+    """A micro-batch that comes in fewer files or topic partitions than there are cores, dealt over all: checks cost far more than a shuffle."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def event_text(key: str, value: str) -> Column:
     """A message as the feed line it would be, which is the form dead letters are replayed in."""
     return F.concat(F.lit('{"key":'), _text_of(key), F.lit(',"value":'), _text_of(value), F.lit("}"))
