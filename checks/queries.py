@@ -654,7 +654,7 @@ def stream_dedupe(spark, d):
     sent = X.faulty_messages(spark, d)
     again = sent.withColumn("offset", F.col("offset") + 1_000_000_000)
     for part in (sent.filter(F.col("offset") % 2 == 0), again.filter(F.col("offset") % 4 == 0), sent.filter(F.col("offset") % 3 == 0), sent):
-        part.unionByName(part.filter(F.col("offset") % 5 == 0)).write.mode("append").parquet(f"{source}")
+        _write_in_files(part.unionByName(part.filter(F.col("offset") % 5 == 0)), "offset", source, mode="append")
         stream = topic.subscribe(spark, cfg, source, max_files=2)
         jobs.start_landing(stream, cfg, raw, Letters(spark, letters), state, drain=True, once_within="60 days").awaitTermination()
     rows = rawzone.read(spark, raw, landing.raw_schema(spark, cfg))
@@ -786,9 +786,9 @@ def _versions(rows: DataFrame) -> DataFrame:
 _FILES = 6
 
 
-def _write_in_files(rows: DataFrame, key: str, folder: str) -> int:
+def _write_in_files(rows: DataFrame, key: str, folder: str, mode: str = "error") -> int:
     """Writes rows in about six files, each with rows from all times; returns how many there are."""
-    rows.repartition(_FILES, key).write.parquet(folder)
+    rows.repartition(_FILES, key).write.mode(mode).parquet(folder)
     return len(rows.sparkSession.read.schema(rows.schema).parquet(folder).inputFiles())
 
 

@@ -13,6 +13,7 @@ from checks import fixtures as X
 from checks.oracles import ORACLES
 from checks.queries import QUERIES
 from tidemark.operators import changes, merge
+from tidemark.streaming import jobs
 
 DIR = "/root/testdata/sf0.001"
 
@@ -127,3 +128,12 @@ def test_merges_agree_without_any_broadcast(spark, con):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_micro_batches_do_not_grow_in_number_with_the_table(spark, con, monkeypatch):
+    """A table in many splits brings larger micro-batches, not more of them: each costs a round over all state partitions."""
+    runs, start = [], jobs.start_landing
+    monkeypatch.setattr(jobs, "start_landing", lambda *a, **k: runs.append(start(*a, **k)) or runs[-1])
+    monkeypatch.setattr(X, "dealt", lambda rows: rows.repartition(12))
+    assert compare.difference(spark, con, "stream_dedupe", DIR) is None
+    assert len(runs) == 4 and runs[-1].lastProgress["batchId"] < 4 * 4

@@ -69,7 +69,8 @@ def start_landing(
     writer = f"{cfg.feed}-landing"
 
     def batch(arrived: DataFrame, number: int) -> None:
-        classified = envelope.classify_messages(over_cores(arrived), cfg.keys, cfg.row_schema, versions=cfg.versions)
+        spread = over_cores(arrived) if once_within is None else off_states(arrived, "msg_partition", "msg_offset")
+        classified = envelope.classify_messages(spread, cfg.keys, cfg.row_schema, versions=cfg.versions)
         raw = event_text("key", "value")
         if errors is not None:
             classified = envelope.with_errors(classified, errors)
@@ -123,6 +124,14 @@ def over_cores(rows: DataFrame) -> DataFrame:
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
+def off_states(rows: DataFrame, *place: str) -> DataFrame:
+    """A micro-batch behind a state, which comes in a task per state partition, most of them with hardly any rows: dealt over the cores.
+
+    By the place of a row, which needs no sort, as dealing in turns does.
+    """
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, *place)
+
+
 def event_text(key: str, value: str) -> Column:
     """A message as the feed line it would be, which is the form dead letters are replayed in."""
     return F.concat(F.lit('{"key":'), _text_of(key), F.lit(',"value":'), _text_of(value), F.lit("}"))
