@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -442,9 +443,13 @@ def dlq_failover(spark, d):
 def dlq_outage(spark, d):
     """A long outage: many polls, a batch that is run again, a purge and a failed replay; then everything goes out."""
     letters, out = Letters(spark, fresh_dir(spark, "letters")), fresh_dir(spark, "topic")
-    lines = _with_values(spark, d)
-    for poll in ("poll-1", "poll-2", "poll-3", "poll-3"):
-        intake.deliver(X.FEED, lines, letters, _down, poll)
+    # all polls bring these lines, so they are stored as they were classified
+    lines = _with_values(spark, d).select(*intake.CHECKED).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for poll in ("poll-1", "poll-2", "poll-3", "poll-3"):
+            intake.deliver(X.FEED, lines, letters, _down, poll)
+    finally:
+        lines.unpersist()
     deadletters.purge(letters, fresh_dir(spark, "alerts"))
     deadletters.replay(letters, X.FEED, _down)
     letters.compact()

@@ -224,3 +224,17 @@ def test_kafka_options(spark):
     # the connector is not on this class path; the functions do go to it
     with pytest.raises(Exception, match="(?i)kafka"):
         topic.subscribe(spark, cfg)
+
+
+def test_a_delivery_leaves_lines_that_were_stored_before_it_stored(spark, folder):
+    """Polls that bring the same lines share them as they were classified; a delivery stores only what is not."""
+    lines = spark.createDataFrame([(event(),), ("{broken",)], "line string")
+    classified = envelope.classify(lines, CFG.keys, CFG.row_schema, with_value=True).select(*intake.CHECKED).persist()
+    letters = Letters(spark, f"{folder}/letters")
+    for poll in ("a", "b"):
+        intake.deliver(CFG, classified, letters, down, poll)
+        assert classified.storageLevel.useMemory
+    assert {(r.reason, r.puts) for r in letters.read().collect()} == {("undelivered", 2), ("malformed_json", 2)}
+    classified.unpersist()
+    intake.deliver(CFG, classified, letters, down, "c")
+    assert not classified.storageLevel.useMemory

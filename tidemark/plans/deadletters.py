@@ -49,7 +49,11 @@ class Letters:
 
 def purge(letters: Letters, alert_path: str, alert_after: int | None = None) -> None:
     """Writes the alerts, then closes the stale items."""
-    current = letters.read().persist(StorageLevel.MEMORY_AND_DISK)
+    concerned = ~F.col("retriable")
+    if alert_after is not None:
+        concerned = concerned | (F.col("attempts") >= alert_after)
+    # the others, most of them in an outage, are neither told of nor closed
+    current = letters.read().filter(concerned).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         told = deadletter.alerts(current, alert_after)
         if told.take(1):

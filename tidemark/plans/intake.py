@@ -21,6 +21,8 @@ from tidemark.sources.topic import encode_letters, encode_lines
 log = logging.getLogger(__name__)
 # how late a feed file may show up in a listing, or clocks may differ
 MARGIN_US = 10 * 60 * 1_000_000
+# what a delivery needs of classified lines
+CHECKED = ("line", "reason", "key_text", "value_text", "ts_ms")
 
 
 def resolve(cfg: FeedConfig, history: DataFrame) -> FeedConfig:
@@ -144,7 +146,11 @@ def deliver(
     stored messages with, or with the error that kept them back.
     """
     name = batch or uuid.uuid4().hex
-    checked = classified.select("line", "reason", "key_text", "value_text", "ts_ms").persist(StorageLevel.MEMORY_AND_DISK)
+    checked = classified.select(*CHECKED)
+    # lines that the caller has stored in this form stay stored, and are not stored twice
+    own = checked.storageLevel == StorageLevel.NONE
+    if own:
+        checked.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good = envelope.valid(checked)
         delivered, error, stored = True, None, None
@@ -165,5 +171,6 @@ def deliver(
         counts = {r["metric"]: r["n"] for r in audit.intake_counts(checked).collect()}  # four rows
         mark = good.agg(F.max("ts_ms").alias("t")).first()["t"]
     finally:
-        checked.unpersist()
+        if own:
+            checked.unpersist()
     return IntakeResult(**counts, mark=mark, delivered=delivered, error=error)
