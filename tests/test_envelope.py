@@ -207,3 +207,16 @@ def test_lines_since_keeps_what_it_cannot_read(spark, mark, want):
     lines = {"a": event(time='"ts_ms":5,'), "b": event(time='"ts_ms":6,'), "c": event(time='"ts_ms":99,'), "bad": "{"}
     df = spark.createDataFrame(list(lines.items()), "n string, line string")
     assert {r["n"] for r in feed.classified_since(envelope.classify(df, ["id"], FLAT), mark).collect()} == want
+
+
+def test_earlier_lines_are_left_out_before_the_checks(spark):
+    """The mark's own instant and lines without a readable time stay, and the filter stands below the contract's tests."""
+    texts = [event(time=f'"ts_ms":{t},') for t in (4, 5, 6)] + [event(time=""), event(time='"ts_ms":"x",'), "{broken", ""]
+    rows = spark.createDataFrame([(t,) for t in texts], "line string")
+    late = envelope.classify(rows, ["id"], FLAT, since_ms=5)
+    assert [r.line for r in late.collect()] == texts[1:]
+    whole = envelope.classify(rows, ["id"], FLAT).filter("coalesce(ts_ms, 5) >= 5")
+    columns = [c for c in whole.columns if c != "image"]
+    assert late.select(*columns).collect() == whole.select(*columns).collect()
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("schema_of_variant" if "schema_of_variant" in plan else "schemaOfVariant") < plan.index("Filter (coalesce(") and plan.count("parseJson") == 1

@@ -45,6 +45,7 @@ def classify(
     binary: bool = False,
     with_value: bool = False,
     versions: Mapping[int, T.StructType] | None = None,
+    since_ms: int | None = None,
 ) -> DataFrame:
     """Full classification of feed lines against key columns and row contract.
 
@@ -55,10 +56,17 @@ def classify(
 
     With ``versions`` an event is checked against the schema version that its value part names
     (``schema_version``), against ``row_schema`` if it names none; one that is not in force is ``unknown_schema``.
+
+    With ``since_ms`` lines of an earlier event time are left out as soon as they are parsed, before any check; those
+    without a readable time stay.
     """
     has_value = F.when(F.col("op").isNotNull(), F.lit(True)).otherwise(J.line_has("_parsed", "value"))
     has_both = F.col("_key").isNotNull() & has_value
     parsed = _parsed(lines, text, binary)
+    if since_ms is not None:
+        time = J.in_line("_parsed", "value", "ts_ms", as_type="bigint")
+        timed = _settled(parsed.withColumn("_time", time), ["_parsed", "_time"])
+        parsed = timed.filter(F.coalesce("_time", F.lit(since_ms)) >= since_ms).drop("_time")
     return _classified(parsed, lines.columns, keys, row_schema, '$[0]["key"]', '$[0]["value"]', has_both, 1, with_value, versions)
 
 

@@ -91,7 +91,7 @@ def run(
     """
     mark = watermark.mark_of(control.read(spark, control_path), cfg.feed)
     number = control.fetches(spark, control_path, cfg.feed)
-    classified = envelope.classify(lines.select("line"), cfg.keys, cfg.row_schema, with_value=True, versions=cfg.versions)
+    classified = envelope.classify(lines.select("line"), cfg.keys, cfg.row_schema, with_value=True, versions=cfg.versions, since_ms=mark)
     since = feed.classified_since(classified, mark).withColumn("digest", deadletter.message_key("line"))
     since = since.select("line", "reason", "key_text", "value_text", "ts_ms", "digest", F.monotonically_increasing_id().alias("_place"))
     since = since.persist(StorageLevel.MEMORY_AND_DISK)
