@@ -553,8 +553,13 @@ def delivery_log(spark, d):
     def up(messages: DataFrame) -> DataFrame:
         return topic.publish(messages, cfg, out)
 
-    for name, part, sink in (("intake-0", early, up), ("intake-1", ~early & ~late, _down), ("intake-2", late, _down), ("intake-1", ~early & ~late, up)):
-        intake.deliver(cfg, lines.filter(part), letters, sink, name, report=report)
+    # comes twice, so it is stored as it was classified
+    again = lines.filter(~early & ~late).select(*intake.CHECKED).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for name, part, sink in (("intake-0", lines.filter(early), up), ("intake-1", again, _down), ("intake-2", lines.filter(late), _down), ("intake-1", again, up)):
+            intake.deliver(cfg, part, letters, sink, name, report=report)
+    finally:
+        again.unpersist()
     for sink in (_down, up):
         deadletters.replay(letters, cfg, sink, report=report)
     held = spark.read.schema(topic.MESSAGE_SCHEMA).parquet(out).groupBy("partition", F.input_file_name().alias("file"))

@@ -13,6 +13,7 @@ from checks import fixtures as X
 from checks.oracles import ORACLES
 from checks.queries import QUERIES
 from tidemark.operators import changes, merge
+from tidemark.plans import intake
 from tidemark.streaming import jobs
 
 DIR = "/root/testdata/sf0.001"
@@ -137,3 +138,15 @@ def test_micro_batches_do_not_grow_in_number_with_the_table(spark, con, monkeypa
     monkeypatch.setattr(X, "dealt", lambda rows: rows.repartition(12))
     assert compare.difference(spark, con, "stream_dedupe", DIR) is None
     assert len(runs) == 4 and runs[-1].lastProgress["batchId"] < 4 * 4
+
+
+def test_a_batch_that_comes_again_is_not_classified_again(spark, con, monkeypatch):
+    deliver, stored = intake.deliver, []
+
+    def seen(cfg, classified, letters, publish, batch=None, **more):
+        stored.append((batch, classified.storageLevel.useMemory))
+        return deliver(cfg, classified, letters, publish, batch, **more)
+
+    monkeypatch.setattr(intake, "deliver", seen)
+    assert compare.difference(spark, con, "delivery_log", DIR) is None
+    assert stored == [("intake-0", False), ("intake-1", True), ("intake-2", False), ("intake-1", True)]
