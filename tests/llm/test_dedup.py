@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -11,7 +14,7 @@ import brute
 from tidemark.llm import near, substring, suffixes
 from tidemark.llm import words as W
 from tidemark.llm.components import components
-from tidemark.llm.frames import Scratch, row_key
+from tidemark.llm.frames import Scratch, file_limit, row_key
 
 
 @pytest.fixture(scope="module")
@@ -344,3 +347,57 @@ def test_more_rounds_than_distances():
             at = (500, 400)[i]
             if 0 <= at - j <= window - suffixes.GRAM:
                 assert equal[ends[i] + j] == (len(seen[t[j : j + window]]) > 1), (i, j)
+
+
+@pytest.mark.parametrize("module", [suffixes])
+def test_small_partitions_share_files(spark, folder, monkeypatch, module):
+    rows = _crowd(150)
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(folder)
+    docs, made = spark.read.parquet(folder), []
+
+    class Seen(Scratch):
+        def __init__(self, *args, **kwargs):
+            super().__init__(*args, **kwargs)
+            made.append(self)
+
+    monkeypatch.setattr(module, "Scratch", Seen)
+    monkeypatch.setattr(module, "CROWD", 10)
+    columns = ["id", "n_removed", "sha"]
+    plain = _rows(module.dedup(docs), columns)
+    sizes = {"spark.sql.shuffle.partitions": "80", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in sizes}
+    for name, value in sizes.items():
+        spark.conf.set(name, value)
+    try:
+        many = _rows(module.dedup(docs), columns)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert many == plain and len({r[2] for r in many}) > 100
+    files = {name: sum(f.endswith(".parquet") for f in os.listdir(path)) for name, path in made[-1].paths.items()}
+    assert {"joined", "strings", "cut-strings"} <= set(files) and max(files.values()) <= 32
+    # only what is small is put together, and an unknown size is not
+    assert file_limit(docs) == 32 and file_limit(spark.createDataFrame(rows, docs.schema)) == 2**31 - 1
+
+
+def test_scans_of_texts_hold_little_at_a_time():
+    """Memory of a Python worker besides its batch does not follow the batch: 6 MB of texts, some of which all repeat."""
+
+    class Rows:
+        def mapInArrow(self, run, schema):
+            return run
+
+    texts = [brute.prose(k % 40, 9000) for k in range(120)]
+    ids = pa.array(range(120))
+    batch = pa.RecordBatch.from_arrays([ids, ids, pa.array(texts)], ["id", "h", "text"])
+    minis = pa.Table.from_batches(suffixes.minimisers(Rows())(iter([batch]))).to_pandas().groupby("id").mini.apply(list)
+    shared = pa.array([minis.get(k, []) for k in range(120)], pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays([ids, ids, pa.array(texts), shared], ["id", "h", "text", "shared"])
+    for step in (suffixes.minimisers, suffixes.strings):
+        tracemalloc.start()
+        try:
+            assert sum(out.num_rows for out in step(Rows())(iter([batch]))) > 0
+            peak = tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+        assert peak < 120e6, (step.__name__, peak)
